@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.alleles import overlap_bases
-from .positions import at_positions, next_pos, overlap_pairs, running, stab_max
+from ..session import cut_lineage
+from .positions import at_positions, next_pos, overlap_pairs, point_in_interval, running, stab_max
 
 IV = ("start", "end")
 
@@ -22,13 +23,17 @@ def interval_overlap(a: DataFrame, b: DataFrame, a_iv=IV, b_iv=IV, by=("chrom",)
     return p
 
 
+def _both_ends(df: DataFrame, lo: Column, hi: Column, by, extra=()) -> DataFrame:
+    """One row per end: ``_p`` and whether it is the start (one pass over ``df``)."""
+    ends = F.array(F.struct(lo.cast("bigint").alias("p"), F.lit(1).alias("s")), F.struct(hi.cast("bigint").alias("p"), F.lit(0).alias("s")))
+    return df.select(*by, *extra, F.explode(ends).alias("_x")).select(*by, *extra, F.col("_x.p").alias("_p"), F.col("_x.s").alias("_s"))
+
+
 def _events(b: DataFrame, b_iv, by) -> DataFrame:
-    """Per position: how many intervals start and how many end there."""
+    """Per position: how many intervals start (``_s``) and how many end (``_e``) there."""
     s, e = b_iv
-    ok = b.filter(F.col(s) < F.col(e))
-    up = ok.select(*by, F.col(s).alias("_p"), F.lit(1).alias("_s"), F.lit(0).alias("_e"))
-    down = ok.select(*by, F.col(e).alias("_p"), F.lit(0).alias("_s"), F.lit(1).alias("_e"))
-    return up.unionByName(down).groupBy(*by, "_p").agg(F.sum("_s").alias("_s"), F.sum("_e").alias("_e"))
+    ends = _both_ends(b.filter(F.col(s) < F.col(e)), F.col(s), F.col(e), by)
+    return ends.groupBy(*by, "_p").agg(F.sum("_s").alias("_s"), F.sum(1 - F.col("_s")).alias("_e"))
 
 
 def overlap_count(a: DataFrame, b: DataFrame, a_iv=IV, b_iv=IV, by=("chrom",), out: str = "n_overlaps") -> DataFrame:
@@ -37,13 +42,12 @@ def overlap_count(a: DataFrame, b: DataFrame, a_iv=IV, b_iv=IV, by=("chrom",), o
     Overlapping = starting before A ends, minus ending at or before A's start.
     """
     by = list(by)
-    ev = _events(b, b_iv, by)
     s, e = a_iv
-    pts = a.select(*by, (F.col(e) - 1).alias("_p")).unionByName(a.select(*by, F.col(s).alias("_p")))
-    run = at_positions(pts, ev, "_p", by, sums=["_s", "_e"])
+    pts = _both_ends(a, F.col(s), F.col(e) - 1, by)
+    run = cut_lineage(at_positions(pts.drop("_s"), _events(b, b_iv, by), "_p", by, sums=["_s", "_e"]))
     began = run.select(*by, F.col("_p").alias("_pe"), F.col("run__s").alias("_began"))
     ended = run.select(*by, F.col("_p").alias("_ps"), F.col("run__e").alias("_ended"))
-    x = a.withColumn("_pe", F.col(e) - 1).withColumn("_ps", F.col(s))
+    x = a.withColumn("_pe", F.col(e).cast("bigint") - 1).withColumn("_ps", F.col(s).cast("bigint"))
     x = x.join(began, [*by, "_pe"], "left").join(ended, [*by, "_ps"], "left")
     n = F.coalesce("_began", F.lit(0)) - F.coalesce("_ended", F.lit(0))
     n = F.when(F.col(s) < F.col(e), n).otherwise(F.lit(0))
@@ -87,7 +91,7 @@ def islands(df: DataFrame, iv=IV, by=("chrom",), gap: int = 0, touching: bool =
     edge = r.filter((F.col("run__d") == 0) | (F.col("run__d") == F.col("_d")))
     # A position may close one island and open the next only when touching is off,
     # and then the doubled coordinates keep the two apart.
-    edge = edge.filter(~((F.col("run__d") == 0) & (F.col("_d") == 0)))
+    edge = cut_lineage(edge.filter(~((F.col("run__d") == 0) & (F.col("_d") == 0))))
     closed = next_pos(edge.select(*by, "_p", "run__d"), "_p", by, "_q").filter("run__d > 0")
     st, en = F.col("_p"), F.col("_q")
     if not touching:
@@ -108,7 +112,7 @@ def assign_islands(df: DataFrame, isl: DataFrame, iv=IV, by=("chrom",)) -> DataF
 def interval_merge(df: DataFrame, collapse: dict[str, str] | None = None, iv=IV, by=("chrom",), gap: int = 0,
                    order: str | None = None) -> DataFrame:
     """Merged stretches; ``collapse`` maps output name -> column joined by commas in interval order."""
-    isl = islands(df, iv, by, gap)
+    isl = cut_lineage(islands(df, iv, by, gap))
     if not collapse:
         return isl
     by = list(by)
@@ -121,30 +125,30 @@ def interval_merge(df: DataFrame, collapse: dict[str, str] | None = None, iv=IV,
     return x.groupBy(*by, F.col("island_start").alias("start"), F.col("island_end").alias("end")).agg(*aggs)
 
 
-def covered_before(points: DataFrame, b: DataFrame, pos: str, b_iv=IV, by=("chrom",)) -> DataFrame:
-    """For each distinct point: bases below it covered by the union of B (``covered``)."""
+def covered_before(points: DataFrame, b: DataFrame, b_iv=IV, by=("chrom",)) -> DataFrame:
+    """For each distinct point ``_p``: bases below it covered by the union of B (``covered``)."""
     by = list(by)
-    ev = _events(b, b_iv, by).select(*by, "_p", (F.col("_s") - F.col("_e")).alias("_d"))
-    p = points.select(*by, F.col(pos).alias("_p")).distinct().select("*", F.lit(0).alias("_d"), F.lit(True).alias("_ask"))
-    per = (ev.withColumn("_ask", F.lit(False)).unionByName(p).groupBy(*by, "_p")
-           .agg(F.sum("_d").alias("_d"), F.max("_ask").alias("_ask")))
-    r = next_pos(running(per, "_p", by, sums=["_d"]), "_p", by, "_q")
-    r = r.withColumn("_len", F.when(F.col("run__d") > 0, F.col("_q") - F.col("_p")).otherwise(0).cast("bigint"))
-    r = running(r, "_p", by, sums=["_len"])
-    return r.filter("_ask").select(*by, F.col("_p").alias(pos), (F.col("run__len") - F.coalesce("_len", F.lit(0))).alias("covered"))
+    ev = _events(b, b_iv, by).select(*by, "_p", (F.col("_s") - F.col("_e")).alias("_d"), F.lit(False).alias("_ask"))
+    p = points.select(*by, "_p", F.lit(0).cast("bigint").alias("_d"), F.lit(True).alias("_ask"))
+    per = ev.unionByName(p).groupBy(*by, "_p").agg(F.sum("_d").alias("_d"), F.max("_ask").alias("_ask"))
+    r = running(per, "_p", by, sums=["_d"], following="_q")
+    r = r.withColumn("_len", F.when(F.col("run__d") > 0, F.coalesce(F.col("_q") - F.col("_p"), F.lit(0))).otherwise(0).cast("bigint"))
+    r = running(cut_lineage(r.select(*by, "_p", "_len", "_ask")), "_p", by, sums=["_len"])
+    return r.filter("_ask").select(*by, "_p", (F.col("run__len") - F.col("_len")).alias("covered"))
 
 
 def interval_coverage(a: DataFrame, b: DataFrame, a_iv=IV, b_iv=IV, by=("chrom",), out: str = "fraction") -> DataFrame:
     """Share of each A interval covered by the union of B; 0 for empty A."""
     by = list(by)
     s, e = a_iv
-    pts = a.select(*by, F.col(s).alias("_pt")).unionByName(a.select(*by, F.col(e).alias("_pt")))
-    cov = covered_before(pts, b, "_pt", b_iv, by)
-    lo = cov.select(*by, F.col("_pt").alias(s), F.col("covered").alias("_lo"))
-    hi = cov.select(*by, F.col("_pt").alias(e), F.col("covered").alias("_hi"))
-    x = a.join(lo, [*by, s], "left").join(hi, [*by, e], "left")
+    pts = _both_ends(a, F.col(s), F.col(e), by).drop("_s")
+    cov = cut_lineage(covered_before(pts, b, b_iv, by))
+    lo = cov.select(*by, F.col("_p").alias("_pa"), F.col("covered").alias("_lo"))
+    hi = cov.select(*by, F.col("_p").alias("_pb"), F.col("covered").alias("_hi"))
+    x = a.withColumn("_pa", F.col(s).cast("bigint")).withColumn("_pb", F.col(e).cast("bigint"))
+    x = x.join(lo, [*by, "_pa"], "left").join(hi, [*by, "_pb"], "left")
     frac = F.when(F.col(e) > F.col(s), (F.col("_hi") - F.col("_lo")) / (F.col(e) - F.col(s))).otherwise(F.lit(0.0))
-    return x.withColumn(out, frac.cast("double")).drop("_lo", "_hi")
+    return x.withColumn(out, frac.cast("double")).drop("_lo", "_hi", "_pa", "_pb")
 
 
 def nearest(a: DataFrame, b: DataFrame, a_iv=IV, b_iv=IV, by=("chrom",), prefix: str = "b_") -> DataFrame:
@@ -166,6 +170,7 @@ def nearest(a: DataFrame, b: DataFrame, a_iv=IV, b_iv=IV, by=("chrom",), prefix:
     dr = F.col("run__start") - F.col(e) + 1
     x = x.withColumn("_dl", dl).withColumn("_dr", dr).withColumn("distance", F.when(F.col("_n") > 0, 0).otherwise(F.least("_dl", "_dr")))
     bp = b.select(*[F.col(k) for k in by], *[F.col(k).alias(prefix + k) for k in b.columns if k not in by])
+    x = cut_lineage(x)
     tmp = ["_n", "_dl", "_dr", "run__end", "run__start"]
     hit = overlap_pairs(x.filter("distance = 0").drop(*tmp), b, a_iv, b_iv, by, prefix)
     lt = x.filter("distance > 0 and _dl = distance").withColumn(prefix + be, F.col("run__end")).drop(*tmp).join(bp, [*by, prefix + be])
@@ -183,8 +188,8 @@ def beaten_by_overlap(df: DataFrame, priority: Column, iv=IV, by=("chrom",)) ->
     by = list(by)
     s, e = iv
     d = df.withColumn("_prio", priority).withColumn("_first", F.col(s)).withColumn("_last", F.col(e) - 1)
-    pts = d.select(*by, F.col("_first").alias("_p")).unionByName(d.select(*by, F.col("_last").alias("_p")))
-    top = stab_max(pts, d, "_p", s, e, "_prio", by)
+    d = d.withColumn("_first", F.col("_first").cast("bigint")).withColumn("_last", F.col("_last").cast("bigint"))
+    top = cut_lineage(stab_max(_both_ends(d, F.col("_first"), F.col("_last"), by), d, "_p", s, e, "_prio", by))
     at1 = top.select(*by, F.col("_p").alias("_first"), F.col("top").alias("_t1"))
     at2 = top.select(*by, F.col("_p").alias("_last"), F.col("top").alias("_t2"))
     x = d.join(at1, [*by, "_first"], "left").join(at2, [*by, "_last"], "left")
@@ -221,7 +226,7 @@ def priority_merge(sets: list[DataFrame], pos: str = "pos", ref: str = "ref") ->
     kept = spans(sets[0], 1)
     for i, nxt in enumerate(sets[1:], 2):
         fresh = interval_anti(spans(nxt, i), kept, ("_s", "_e"), ("_s", "_e"))
-        kept = kept.unionByName(fresh)
+        kept = kept.unionByName(cut_lineage(fresh))
     return kept.drop("_s", "_e")
 
 
@@ -233,7 +238,6 @@ def flag_enveloped(sites: DataFrame, trs: DataFrame, pos="pos", ref="ref", tr_po
          .agg(F.min(F.struct(F.col(tr_pos).alias("p"), F.col(tr_order).alias("o"), F.col(tr_id).alias("trid"))).alias("t_best"))
          .withColumn("t_stop", F.col("t_e") + 1))
     spans = sites.select("chrom", F.col(pos).alias("q_s"), (F.col(pos) + F.length(ref)).alias("q_e")).distinct()
-    from .positions import point_in_interval
     hit = point_in_interval(spans, t, "q_s", "t_s", "t_stop", ["chrom"]).filter("q_e <= t_e")
     best = hit.groupBy("chrom", "q_s", "q_e").agg(F.min("t_best").alias("_b"))
     x = sites.withColumn("q_s", F.col(pos)).withColumn("q_e", F.col(pos) + F.length(ref))
@@ -267,18 +271,21 @@ def region_class(sites: DataFrame, features: DataFrame, iv=IV, kind="svtype", cn
     the better of its two breakpoints. DEL/DUP longer than ``cnv_over`` are
     classed by the first class covering more than half of the body instead.
     """
-    rank = {k: i for i, k in enumerate(priority)}
     n = len(priority)
-    f = features.withColumn("_v", F.coalesce(*[F.when(F.col("cls") == k, F.lit(n - i)) for k, i in rank.items()]))
-    pts = sites.select("chrom", F.col(iv[0]).alias("_p")).unionByName(sites.select("chrom", F.col(iv[1]).alias("_p")))
-    top = stab_max(pts, f, "_p", "start", "end", "_v", ["chrom"])
-    lo = top.select("chrom", F.col("_p").alias(iv[0]), F.col("top").alias("_l"))
-    hi = top.select("chrom", F.col("_p").alias(iv[1]), F.col("top").alias("_h"))
-    x = sites.join(lo, ["chrom", iv[0]], "left").join(hi, ["chrom", iv[1]], "left")
-    at_bp = F.coalesce(F.greatest("_l", "_h"), F.lit(0))
-    for k in priority:
-        x = interval_coverage(x, features.filter(F.col("cls") == k), iv, IV, out=f"_f_{k}")
-    large = F.col(kind).isin("DEL", "DUP") & (F.col(iv[1]) - F.col(iv[0]) > cnv_over)
-    body = F.coalesce(*[F.when(F.coalesce(f"_f_{k}", F.lit(0.0)) > 0.5, F.lit(k)) for k in priority], F.lit(otherwise))
-    point = F.coalesce(*[F.when(at_bp == n - i, F.lit(k)) for k, i in rank.items()], F.lit(otherwise))
-    return x.withColumn("region", F.when(large, body).otherwise(point)).drop("_l", "_h", *[f"_f_{k}" for k in priority])
+    f = features.filter(F.col("cls").isin(*priority)).withColumn(
+        "_v", F.coalesce(*[F.when(F.col("cls") == k, F.lit(n - i)) for i, k in enumerate(priority)]))
+    s, e = iv
+    top = cut_lineage(stab_max(_both_ends(sites, F.col(s), F.col(e), ["chrom"]), f, "_p", "start", "end", "_v", ["chrom"]))
+    lo = top.select("chrom", F.col("_p").alias("_pa"), F.col("top").alias("_l"))
+    hi = top.select("chrom", F.col("_p").alias("_pb"), F.col("top").alias("_h"))
+    # Body shares of all classes in one pass: each distinct large span is asked once per class.
+    large = F.col(kind).isin("DEL", "DUP") & (F.col(e) - F.col(s) > cnv_over)
+    bodies = sites.filter(large).select("chrom", s, e).distinct().withColumn("cls", F.explode(F.array(*[F.lit(k) for k in priority])))
+    share = interval_coverage(bodies, f, iv, IV, ("chrom", "cls"), "_f").withColumn(
+        "_v", F.coalesce(*[F.when(F.col("cls") == k, F.lit(n - i)) for i, k in enumerate(priority)]))
+    share = share.groupBy("chrom", s, e).agg(F.max(F.when(F.col("_f") > 0.5, F.col("_v"))).alias("_body"))
+    x = sites.withColumn("_pa", F.col(s).cast("bigint")).withColumn("_pb", F.col(e).cast("bigint"))
+    x = x.join(lo, ["chrom", "_pa"], "left").join(hi, ["chrom", "_pb"], "left").join(share, ["chrom", s, e], "left")
+    v = F.when(large, F.col("_body")).otherwise(F.greatest("_l", "_h"))
+    label = F.coalesce(*[F.when(v == n - i, F.lit(k)) for i, k in enumerate(priority)], F.lit(otherwise))
+    return x.withColumn("region", label).drop("_l", "_h", "_body", "_pa", "_pb")

@@ -29,17 +29,22 @@ def _bin(pos: str, size: int) -> Column:
 
 
 def running(df: DataFrame, pos: str, by: list[str], sums=(), maxes=(), mins=(), reverse: bool = False,
-            bin_size: int = BIN) -> DataFrame:
+            following: str | None = None, bin_size: int = BIN) -> DataFrame:
     """Add ``run_<c>`` for each column: inclusive sum/max/min over positions up to this one.
 
     ``df`` has one row per ``(by, pos)``. ``reverse`` runs from the far end.
+    ``following`` names a column for the next position (forward runs only).
     """
     fns = {**{x: F.sum for x in sums}, **{x: F.max for x in maxes}, **{x: F.min for x in mins}}
     d = df.withColumn("_bin", _bin(pos, bin_size))
-    per_bin = d.groupBy(*by, "_bin").agg(*[fn(x).alias(f"_b_{x}") for x, fn in fns.items()])
+    per_bin = d.groupBy(*by, "_bin").agg(F.min(pos).alias("_first"), *[fn(x).alias(f"_b_{x}") for x, fn in fns.items()])
     order = F.col("_bin").desc() if reverse else F.col("_bin")
-    before = W.partitionBy(*by).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
-    carry = per_bin.select(*by, "_bin", *[fn(f"_b_{x}").over(before).alias(f"_c_{x}") for x, fn in fns.items()])
+    chain = W.partitionBy(*by).orderBy(order)
+    before = chain.rowsBetween(W.unboundedPreceding, -1)
+    carried = [fn(f"_b_{x}").over(before).alias(f"_c_{x}") for x, fn in fns.items()]
+    if following:
+        carried.append(F.lead("_first").over(chain).alias("_next_bin"))
+    carry = per_bin.select(*by, "_bin", *carried)
     within = (W.partitionBy(*by, "_bin").orderBy(F.col(pos).desc() if reverse else F.col(pos))
               .rowsBetween(W.unboundedPreceding, W.currentRow))
     out = d.join(carry, [*by, "_bin"])
@@ -49,7 +54,10 @@ def running(df: DataFrame, pos: str, by: list[str], sums=(), maxes=(), mins=(),
         out = out.withColumn(f"run_{x}", F.greatest(F.max(x).over(within), f"_c_{x}"))
     for x in mins:
         out = out.withColumn(f"run_{x}", F.least(F.min(x).over(within), f"_c_{x}"))
-    return out.drop("_bin", *[f"_c_{x}" for x in fns])
+    if following:
+        here = F.lead(pos).over(W.partitionBy(*by, "_bin").orderBy(pos))
+        out = out.withColumn(following, F.coalesce(here, "_next_bin"))
+    return out.drop("_bin", "_next_bin", *[f"_c_{x}" for x in fns])
 
 
 def next_pos(df: DataFrame, pos: str, by: list[str], out: str = "next_pos", bin_size: int = BIN) -> DataFrame:

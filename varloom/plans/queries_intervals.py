@@ -82,7 +82,7 @@ WITH o AS (SELECT chrom, st, en, fid, max(en) OVER (PARTITION BY chrom ORDER BY
     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pe FROM features),
 g AS (SELECT *, sum(CASE WHEN pe IS NULL OR st > pe THEN 1 ELSE 0 END) OVER (PARTITION BY chrom ORDER BY st, en, fid) AS isl FROM o),
 m AS (SELECT chrom, min(st) AS st, max(en) AS en FROM g GROUP BY chrom, isl)
-SELECT s.vid, round(coalesce(sum(least(s.pos + 300, m.en) - greatest(s.pos, m.st)), 0) / 300.0, 6) AS fraction
+SELECT s.vid, round(coalesce(sum(CASE WHEN m.st IS NOT NULL THEN least(s.pos + 300, m.en) - greatest(s.pos, m.st) END), 0) / 300.0, 6) AS fraction
 FROM sites s LEFT JOIN m ON s.chrom = m.chrom AND s.pos < m.en AND m.st < s.pos + 300 GROUP BY s.vid
 """)
 def interval_coverage(t):
@@ -127,7 +127,7 @@ def priority_merge(t):
 
 @query("""
 WITH tr AS (SELECT * FROM truth WHERE allele_type IN ('trv', 'del'))
-SELECT s.id, count(tr.id) > 0 AS tr_enveloped, arg_min(tr.id, tr.pos * 1000000 + tr.file_pos) AS trid FROM sites s LEFT JOIN tr
+SELECT s.id, count(tr.id) > 0 AS tr_enveloped, arg_min(tr.id, CAST(tr.pos AS BIGINT) * 1000000 + tr.file_pos) AS trid FROM sites s LEFT JOIN tr
   ON s.chrom = tr.chrom AND s.pos >= tr.pos AND s.pos + length(s.ref) <= tr.pos + length(tr.ref) GROUP BY s.id
 """)
 def flag_enveloped(t):

@@ -10,6 +10,7 @@ from .fixtures import Tables, with_views
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
+SOURCE: dict[str, str] = {}  # module each query is written in
 
 
 def query(sql: str | None = None, name: str | None = None):
@@ -20,6 +21,7 @@ def query(sql: str | None = None, name: str | None = None):
         if key in QUERIES:
             raise ValueError(f"query {key} registered twice")
         QUERIES[key] = lambda spark, folder: fn(Tables(spark, folder))
+        SOURCE[key] = fn.__module__
         if sql:
             ORACLE[key] = with_views(sql)
         return fn
@@ -29,4 +31,5 @@ def query(sql: str | None = None, name: str | None = None):
 
 from . import (  # noqa: E402,F401
     queries_intervals,
+    queries_rows,
 )
