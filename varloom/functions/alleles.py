@@ -21,34 +21,35 @@ def shared_suffix_len(a: Column, b: Column) -> Column:
     return shared_prefix_len(F.reverse(a), F.reverse(b))
 
 
+def let(value: Column, fn) -> Column:
+    """``fn(value)`` with ``value`` computed once, however often ``fn`` mentions it."""
+    return F.element_at(F.transform(F.array(value), fn), 1)
+
+
 def trim_alleles(pos, ref, alt, order: str = "suffix_first", keep: int = 1) -> Column:
     """Struct(pos, ref, alt) with the shared ends removed; each allele keeps ``keep`` bases.
 
     ``order`` is ``suffix_first`` or ``prefix_first``; ``keep=0`` trims to empty.
     Only the removed prefix moves ``pos``.
     """
-    pos, ref, alt = c(pos), c(ref), c(alt)
-
-    def room(r, a):
-        return F.least(F.length(r), F.length(a)) - keep
-
-    def cut_suffix(r, a):
-        n = F.greatest(F.least(shared_suffix_len(r, a), room(r, a)), F.lit(0))
-        return F.substr(r, F.lit(1), F.length(r) - n), F.substr(a, F.lit(1), F.length(a) - n)
-
-    def cut_prefix(r, a):
-        n = F.greatest(F.least(shared_prefix_len(r, a), room(r, a)), F.lit(0))
-        return n, F.substr(r, n + 1), F.substr(a, n + 1)
-
-    if order == "suffix_first":
-        r, a = cut_suffix(ref, alt)
-        n, r, a = cut_prefix(r, a)
-    elif order == "prefix_first":
-        n, r, a = cut_prefix(ref, alt)
-        r, a = cut_suffix(r, a)
-    else:
+    if order not in ("suffix_first", "prefix_first"):
         raise ValueError(f"unknown trim order {order!r}")
-    return F.struct((pos + n).cast("int").alias("pos"), r.alias("ref"), a.alias("alt"))
+
+    def removable(t, shared):
+        room = F.least(F.length(t["ref"]), F.length(t["alt"])) - keep
+        return F.greatest(F.least(shared(t["ref"], t["alt"]), room), F.lit(0))
+
+    def part(t, n, front):
+        def cut(x):
+            return F.substr(x, n + 1) if front else F.substr(x, F.lit(1), F.length(x) - n)
+        return F.struct((t["pos"] + (n if front else 0)).cast("int").alias("pos"), cut(t["ref"]).alias("ref"), cut(t["alt"]).alias("alt"))
+
+    def step(t, front):
+        return let(removable(t, shared_prefix_len if front else shared_suffix_len), lambda n: part(t, n, front))
+
+    t0 = F.struct(c(pos).cast("int").alias("pos"), c(ref).alias("ref"), c(alt).alias("alt"))
+    first = order == "prefix_first"
+    return let(let(t0, lambda t: step(t, first)), lambda t: step(t, not first))
 
 
 def contig_rank(chrom) -> Column:

@@ -127,14 +127,19 @@ def remove_tr_enveloped(df: DataFrame) -> DataFrame:
     return df.filter(~F.coalesce("tr_enveloped", F.lit(False)))
 
 
-# Phasing priority by call source.
-PRIORITY = {"DeepVariant": 1, "TRGT": 10, "Sniffles": 100}
-
-
-def priority_scores(df: DataFrame, table: dict[str, int] = PRIORITY) -> DataFrame:
-    known = F.create_map(*[F.lit(z) for kv in table.items() for z in kv])[F.col("source")]
-    bad = F.raise_error(F.concat(F.lit("no priority for source "), F.coalesce("source", F.lit("null"))))
-    return df.withColumn("priority", F.when(known.isNotNull(), known).otherwise(bad.cast("int")))
+# Phasing priority by call source, repeats last or first to give way.
+REPEATS_FIRST = {"DeepVariant": 1, "HPRC_SV_Integration": 10, "TRGT": 100}
+CALLERS_FIRST = {"DeepVariant": 10, "HPRC_SV_Integration": 100, "TRGT": 1}
+
+
+def priority_scores(df: DataFrame, tables: dict[str, dict[str, int]] | None = None) -> DataFrame:
+    """One score column per table; a source without a score is an error."""
+    tables = tables or {"score_trgt_prio": REPEATS_FIRST, "score_dvsv_prio": CALLERS_FIRST}
+    bad = F.raise_error(F.concat(F.lit("no priority for source "), F.coalesce("source", F.lit("null")))).cast("int")
+    for out, table in tables.items():
+        known = F.create_map(*[F.lit(z) for kv in table.items() for z in kv])[F.col("source")]
+        df = df.withColumn(out, F.when(known.isNotNull(), known).otherwise(bad))
+    return df
 
 
 def classify_sites(df: DataFrame, edges=(1, 30, 50, 501, 5001, 50001)) -> DataFrame:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.alleles import trim_alleles
 from ..operators import rows as r
 from .register import query
 
@@ -164,7 +163,11 @@ def split_multiallelics(t):
     return x.select(F.concat("id", F.lit("/"), F.col("alt_index").cast("string")).alias("id"), "pos", "ref", "alt")
 
 
-@query("WITH " + TRIM.format(src="sites") + """,
+PADDED = """(SELECT id, pos, CASE WHEN size > 20 THEN concat('GA', ref) ELSE ref END AS ref,
+  CASE WHEN size > 20 THEN concat('GA', alt) ELSE alt END AS alt, allele_type FROM sites) m"""
+
+
+@query("WITH " + TRIM.format(src=PADDED) + """,
 b AS (SELECT t.id AS original_id, t.pos, t.ref, t.alt, s.file_pos, CASE WHEN t.allele_type = 'snv'
   THEN concat(s.chrom, '-', CAST(t.pos AS STRING), '-', t.ref, '-', t.alt)
   ELSE concat(s.chrom, '-', CAST(t.pos AS STRING), '-', upper(t.allele_type), '-', CAST(abs(s.allele_length) AS STRING)) END AS base
@@ -173,7 +176,10 @@ SELECT original_id, pos, ref, alt, CASE WHEN count(*) OVER (PARTITION BY base) >
   CAST(row_number() OVER (PARTITION BY base ORDER BY file_pos) AS STRING)) ELSE base END AS id FROM b
 """)
 def find_untrimmed(t):
-    return r.find_untrimmed(t.sites).select("original_id", "pos", "ref", "alt", "id")
+    s = t.sites
+    for x in ("ref", "alt"):
+        s = s.withColumn(x, F.when(F.col("size") > 20, F.concat(F.lit("GA"), x)).otherwise(F.col(x)))
+    return r.find_untrimmed(s).select("original_id", "pos", "ref", "alt", "id")
 
 
 @query("SELECT id, pos + length(ref) - 1 AS en FROM sites WHERE allele_type = 'trv'")
@@ -353,11 +359,12 @@ def collapse_multiallelics(t):
     return r.collapse_multiallelics(s).select("chrom", "id", "alt", "value")
 
 
-@query("""SELECT id, CASE WHEN brand_no % 3 = 0 THEN 1 WHEN brand_no % 3 = 1 THEN 10 ELSE 100 END AS priority FROM sites
- WHERE NOT (size > 30)""")
+@query("""SELECT id, CASE brand_no % 3 WHEN 0 THEN 1 WHEN 1 THEN 10 ELSE 100 END AS score_trgt_prio,
+ CASE brand_no % 3 WHEN 0 THEN 10 WHEN 1 THEN 100 ELSE 1 END AS score_dvsv_prio FROM sites WHERE NOT (size > 30)""")
 def priority_scores(t):
-    s = t.sites.withColumns({"tr_enveloped": F.col("size") > 30, "source": F.when(F.col("brand_no") % 3 == 0, "A").when(F.col("brand_no") % 3 == 1, "B").otherwise("C")})
-    return r.priority_scores(r.remove_tr_enveloped(s), {"A": 1, "B": 10, "C": 100}).select("id", "priority")
+    src = F.when(F.col("brand_no") % 3 == 0, "DeepVariant").when(F.col("brand_no") % 3 == 1, "HPRC_SV_Integration").otherwise("TRGT")
+    s = t.sites.withColumns({"tr_enveloped": F.col("size") > 30, "source": src})
+    return r.priority_scores(r.remove_tr_enveloped(s)).select("id", "score_trgt_prio", "score_dvsv_prio")
 
 
 @query("""

@@ -32,4 +32,5 @@ def query(sql: str | None = None, name: str | None = None):
 from . import (  # noqa: E402,F401
     queries_intervals,
     queries_rows,
+    queries_transfer,
 )
