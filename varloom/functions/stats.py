@@ -5,10 +5,10 @@ from __future__ import annotations
 import math
 
 import pandas as pd
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, functions as F, types as T
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def erfc(x: pd.Series) -> pd.Series:
     return x.map(math.erfc, na_action="ignore").astype("float64")
 

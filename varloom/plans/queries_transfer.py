@@ -401,7 +401,7 @@ b AS (SELECT vid, chrom, pos, ref, {LONGER} AS alt, file_pos, CASE WHEN length({
 u AS (SELECT vid, chrom, pos, ref, alt, ty, n, 'small' AS source, CASE WHEN abs(n) >= 30 THEN 'LARGE_INDEL' ELSE 'PASS' END AS filters, file_pos * 2 AS o FROM a
    WHERE NOT (abs(n) >= 30 AND (chrom, pos, ref, alt) IN (SELECT (chrom, pos, ref, alt) FROM b))
   UNION ALL SELECT vid, chrom, pos, ref, alt, ty, n, 'sv', CASE WHEN abs(n) < 30 THEN 'SMALL_SV' ELSE 'PASS' END, file_pos * 2 + 1 FROM b),
-i AS (SELECT *, CASE WHEN ty = 'snv' THEN concat(chrom, '-', CAST(pos AS STRING), '-', ref, '-', alt) ELSE concat(chrom, '-', CAST(pos AS STRING), '-', upper(ty), '-', CAST(abs(n) AS STRING)) END AS base FROM u)
+i AS (SELECT *, CASE WHEN ty = 'snv' THEN concat(chrom, '-', CAST(pos AS STRING), '-', substr(ref, 1, 1), '-', substr(alt, 1, 1)) ELSE concat(chrom, '-', CAST(pos AS STRING), '-', upper(ty), '-', CAST(abs(n) AS STRING)) END AS base FROM u)
 SELECT vid, source, filters, CASE WHEN count(*) OVER (PARTITION BY base) > 1 THEN concat(base, '_', CAST(row_number() OVER (PARTITION BY base ORDER BY o) AS STRING)) ELSE base END AS id FROM i
 """)
 def integrate_callsets(t):

@@ -33,4 +33,5 @@ from . import (  # noqa: E402,F401
     queries_intervals,
     queries_rows,
     queries_transfer,
+    queries_genotypes,
 )
