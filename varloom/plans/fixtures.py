@@ -75,6 +75,19 @@ SELECT vid, concat('T', CAST(vid AS STRING)) AS id, chrom, pos + (brand_no % 5)
 FROM sites
 """
 
+VIEWS["annotated"] = """
+SELECT vid, id, CASE WHEN allele_type LIKE '%_ins' THEN 'ins' WHEN allele_type = 'dup' AND brand_no % 2 = 0 THEN 'ins' ELSE allele_type END AS allele_type,
+  CASE WHEN allele_type LIKE '%_ins' THEN allele_type WHEN allele_type = 'dup' THEN 'tandem_dup'
+       WHEN allele_type = 'ins' AND brand_no % 4 = 1 THEN 'dup_interspersed' WHEN allele_type = 'ins' AND brand_no % 4 = 2 THEN 'numt' END AS allele_subtype,
+  allele_length, ref, alt, qual / 1000.0 AS af, qual % 7 AS ac, size < 12 AS tr_enveloped,
+  CASE brand_no % 5 WHEN 0 THEN 'US' WHEN 1 THEN 'RM' WHEN 2 THEN 'SD' WHEN 3 THEN 'SR' ELSE 'other' END AS region,
+  CASE WHEN size % 4 = 0 THEN 'A|stop_gained&intron_variant|g' WHEN size % 4 = 1 THEN 'A|intron_variant|g,A|missense_variant|h'
+       WHEN size % 4 = 2 THEN 'A|3_prime_UTR_variant|' END AS vep,
+  CASE WHEN brand_no % 3 = 0 THEN name END AS dbsnp_id, CASE WHEN size % 2 = 0 THEN name END AS catalog_id,
+  CASE WHEN brand_no % 6 = 1 THEN name END AS lof_gene, CASE WHEN size % 5 = 3 THEN motif END AS utr_gene, file_pos
+FROM sites
+"""
+
 VIEWS["features"] = """
 SELECT s_suppkey AS fid, CASE WHEN s_suppkey % 24 = 22 THEN 'chrX' WHEN s_suppkey % 24 = 23 THEN 'chrY'
     ELSE concat('chr', CAST(s_suppkey % 24 + 1 AS STRING)) END AS chrom,

@@ -34,4 +34,6 @@ from . import (  # noqa: E402,F401
     queries_rows,
     queries_transfer,
     queries_genotypes,
+    queries_counting,
+    queries_matching,
 )
