@@ -39,13 +39,13 @@ s AS (SELECT vid, sum(CASE WHEN n > 0 THEN ad_ref + ad_alt END) AS as_vardp, sum
  avg(CASE WHEN n > 0 AND ad_alt > 0 THEN p0 / ad_alt END) AS qd, max(pab) AS pab, count(*) FILTER (n = 0) AS r, count(*) FILTER (n = 1) AS h, count(*) FILTER (n = 2) AS a, count(*) AS t FROM c GROUP BY vid),
 e AS (SELECT *, (2.0 * r + h) / (2.0 * t) AS f FROM s),
 x AS (SELECT *, 2.0 * f * (1 - f) * t AS eh, f * f * t AS er, (1 - f) * (1 - f) * t AS ea FROM e)
-SELECT vid, CAST(as_vardp AS BIGINT) AS as_vardp, CAST(as_qualapprox AS BIGINT) AS as_qualapprox, round(round_even(qd, 6), 4) AS as_qd, round(round_even(pab, 6), 4) AS as_pab_max,
+SELECT vid, CAST(as_vardp AS BIGINT) AS as_vardp, CAST(as_qualapprox AS BIGINT) AS as_qualapprox, round_even(qd, 6) AS as_qd, round(round_even(pab, 6), 4) AS as_pab_max,
  CASE WHEN eh > 0 THEN round(round_even(1 - h / eh, 6), 4) ELSE 0.0 END AS inbreeding_coeff,
  round(CASE WHEN er > 0 THEN (r - er) * (r - er) / er ELSE 0 END + CASE WHEN eh > 0 THEN (h - eh) * (h - eh) / eh ELSE 0 END + CASE WHEN ea > 0 THEN (a - ea) * (a - ea) / ea ELSE 0 END, 3) AS hwe_chi2 FROM x
 """)
 def site_quality(t):
     s = q.site_quality(pl_calls(t), ["vid"])
-    return s.select("vid", "as_vardp", "as_qualapprox", *[F.round(c, 4).alias(c) for c in ("as_qd", "as_pab_max", "inbreeding_coeff")], F.round("hwe_chi2", 3).alias("hwe_chi2"))
+    return s.select("vid", "as_vardp", "as_qualapprox", "as_qd", *[F.round(c, 4).alias(c) for c in ("as_pab_max", "inbreeding_coeff")], F.round("hwe_chi2", 3).alias("hwe_chi2"))
 
 
 @query()

@@ -36,4 +36,5 @@ from . import (  # noqa: E402,F401
     queries_genotypes,
     queries_counting,
     queries_matching,
+    queries_depth,
 )
