@@ -252,15 +252,18 @@ def match_tr_catalog(sites: DataFrame, catalog: DataFrame, min_reciprocal: float
 
     ``catalog(chrom, start, end, locus_id, motif)``; one locus per id (rule, then smallest locus id).
     """
-    m = interval_overlap(sites.select("chrom", *iv, vid, motifs), catalog, iv, IV, prefix="c_")
+    content = ["chrom", *iv, motifs]
+    cat = catalog.groupBy("chrom", *IV, "motif").agg(F.min("locus_id").alias("locus_id"))
+    m = interval_overlap(sites.select(*content).distinct(), cat, iv, IV, prefix="c_")
     alen, blen = F.col(iv[1]) - F.col(iv[0]), F.col("c_end") - F.col("c_start")
     inside = F.col("overlap") == alen
     near = (F.col("overlap") >= min_reciprocal * alen - 1e-9) & (F.col("overlap") >= min_reciprocal * blen - 1e-9)
     same = F.exists(F.split(motifs, ","), lambda x: F.upper(x) == F.upper(F.col("c_motif")))
     rule = F.when(inside, 1).when(near & same, 2)
-    best = m.withColumn("_r", rule).filter("_r is not null").groupBy(vid).agg(
+    best = m.withColumn("_r", rule).filter("_r is not null").groupBy(*content).agg(
         F.min(F.struct("_r", F.col("c_locus_id").alias("locus_id"))).alias("_b"))
-    return best.select(vid, F.col("_b.locus_id").alias("locus_id"), F.col("_b._r").alias("rule"))
+    hit = sites.select(*content, vid).join(best, content).groupBy(vid).agg(F.min("_b").alias("_b"))
+    return hit.select(vid, F.col("_b.locus_id").alias("locus_id"), F.col("_b._r").alias("rule"))
 
 
 def region_class(sites: DataFrame, features: DataFrame, iv=IV, kind="svtype", cnv_over: int = 5000,

@@ -130,6 +130,7 @@ def phase_statuses(points: DataFrame, group=("contig", "sample", "collection"),
     floor(n/2) flips and, when n is odd, one switch at its end.
     """
     group = list(group)
+    points = cut_lineage(points)
     tot = points.groupBy(*group).agg(F.sum("state").alias("_s"), F.count("*").alias("_n"))
     tot = tot.select(*group, (F.col("_s") * 2 < F.col("_n")).alias("_inv"))
     x = points.join(tot, group).withColumn("state", F.when(F.col("_inv"), 1 - F.col("state")).otherwise(F.col("state"))).drop("_inv")
@@ -204,7 +205,7 @@ def haplotype_overlaps(calls: DataFrame) -> DataFrame:
 
     Longer reference span wins, then GQ, length, type, QUAL and file order.
     """
-    h = haplotype_calls(calls)
+    h = cut_lineage(haplotype_calls(calls))
     p = overlap_pairs(h, h, by=("chrom", "sample", "haplotype")).filter(F.col("prio") > F.col("b_prio"))
     return p.select("sample", "haplotype", F.col("id").alias("retained"), F.col("kind").alias("type_retained"),
                     F.col("b_id").alias("cleared"), F.col("b_kind").alias("type_cleared"))
@@ -212,7 +213,7 @@ def haplotype_overlaps(calls: DataFrame) -> DataFrame:
 
 def cleared_calls(calls: DataFrame) -> DataFrame:
     """(id, sample) losing to some overlapping call, found without building pairs."""
-    h = haplotype_calls(calls)
+    h = cut_lineage(haplotype_calls(calls))
     return beaten_by_overlap(h, F.col("prio"), by=("chrom", "sample", "haplotype")).filter("beaten").select("id", "sample").distinct()
 
 

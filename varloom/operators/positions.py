@@ -8,7 +8,7 @@ under skew, because rows are summed per position *before* they are ordered:
   rows however many variants share a position; stretches are chained by a
   second window over one row per stretch.
 * ``cover nodes`` - an interval is written as a few aligned blocks of size
-  8^k that tile it exactly, and a point looks up the one block it falls in at
+  4^k that tile it exactly, and a point looks up the one block it falls in at
   each block size in use. Every match is a true containment: no candidate pair
   is built and thrown away, and no pair occurs twice.
 """
@@ -20,8 +20,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 BIN = 1 << 14
-RADIX_BITS = 3
-MAX_LEVEL = 10  # 8^10 > 10^9 bases
+RADIX_BITS = 2
+MAX_LEVEL = 15  # 4^15 > 10^9 bases
 
 
 def _bin(pos: str, size: int) -> Column:
@@ -88,42 +88,37 @@ def at_positions(points: DataFrame, events: DataFrame, pos: str, by: list[str],
 
 # ---------------------------------------------------------------- cover nodes
 
-def _level_nodes(start: Column, end: Column, level: Column) -> Column:
-    """Block numbers used at one level of the exact tiling of ``[start, end)``."""
-    step = F.pow(F.lit(2.0), level * RADIX_BITS)
-    up = F.pow(F.lit(2.0), (level + 1) * RADIX_BITS)
-    lo, hi = F.ceil(start / step).cast("bigint"), F.floor(end / step).cast("bigint")
-    plo, phi = F.ceil(start / up).cast("bigint"), F.floor(end / up).cast("bigint")
-    r = F.lit(1 << RADIX_BITS)
-    none = F.array().cast("array<bigint>")
+def cover_nodes(start: str, end: str) -> Column:
+    """array<struct<lv,nd>> of aligned blocks tiling ``[start, end)`` exactly.
 
-    def seq(a, b):
-        return F.when(a < b, F.sequence(a, b - 1)).otherwise(none)
-
-    return F.when(plo < phi, F.concat(seq(lo, plo * r), seq(phi * r, hi))).otherwise(seq(lo, hi))
+    At each level the blocks left over by the next wider level are taken; shifts divide
+    by the block size, rounding the start up and the end down.
+    """
+    k = RADIX_BITS
+    s, e = f"CAST(`{start}` AS BIGINT)", f"CAST(`{end}` AS BIGINT)"
+    lo, hi = f"shiftright({s} + shiftleft(1L, lv * {k}) - 1, lv * {k})", f"shiftright({e}, lv * {k})"
+    up = f"(lv + 1) * {k}"
+    wide_lo, wide_hi = f"shiftright({s} + shiftleft(1L, {up}) - 1, {up})", f"shiftright({e}, {up})"
 
+    def run(a, b):
+        return f"IF({a} < {b}, sequence({a}, {b} - 1), CAST(array() AS ARRAY<BIGINT>))"
 
-def cover_nodes(start: Column, end: Column) -> Column:
-    """array<struct<lv,nd>> of aligned blocks tiling ``[start, end)`` exactly."""
-    s, e = start.cast("bigint"), end.cast("bigint")
-    length = F.greatest(e - s, F.lit(1))
-    top = F.least(F.floor(F.log2(length.cast("double")) / RADIX_BITS).cast("int"), F.lit(MAX_LEVEL))
-    levels = F.when(e > s, F.sequence(F.lit(0), top)).otherwise(F.array().cast("array<int>"))
-    return F.flatten(F.transform(levels, lambda lv: F.transform(
-        _level_nodes(s, e, lv), lambda n: F.struct(lv.alias("lv"), n.alias("nd")))))
+    nodes = (f"IF({wide_lo} < {wide_hi}, concat({run(lo, f'shiftleft({wide_lo}, {k})')}, {run(f'shiftleft({wide_hi}, {k})', hi)}), {run(lo, hi)})")
+    top = f"least((length(bin({e} - {s})) - 1) div {k}, {MAX_LEVEL})"  # bit length: exact at powers of the radix
+    levels = f"IF({e} > {s}, sequence(0, CAST({top} AS INT)), CAST(array() AS ARRAY<INT>))"
+    return F.expr(f"flatten(transform({levels}, lv -> transform({nodes}, nd -> named_struct('lv', lv, 'nd', nd))))")
 
 
 def with_nodes(df: DataFrame, start: str, end: str) -> DataFrame:
-    return df.withColumn("_n", F.explode(cover_nodes(F.col(start), F.col(end)))).select(
-        "*", F.col("_n.lv").alias("_lv"), F.col("_n.nd").alias("_nd")).drop("_n")
+    return df.withColumn("_n", F.explode(cover_nodes(start, end))).selectExpr("* except (_n)", "_n.lv AS _lv", "_n.nd AS _nd")
 
 
 def with_lookups(points: DataFrame, pos: str, nodes: DataFrame, by: list[str]) -> DataFrame:
-    """One row per point and block size that occurs in ``nodes`` for its group."""
+    """One row per point and block size that occurs in ``nodes``."""
     # A scalar: one array of at most MAX_LEVEL + 1 numbers for the whole table.
     levels = nodes.agg(F.collect_set("_lv").alias("_lvs")).scalar()
-    p = points.withColumn("_lvs", levels).withColumn("_lv", F.explode("_lvs")).drop("_lvs")
-    return p.withColumn("_nd", F.floor(F.col(pos) / F.pow(F.lit(2.0), F.col("_lv") * RADIX_BITS)).cast("bigint"))
+    p = points.select("*", F.explode(levels).alias("_lv"))
+    return p.selectExpr("*", f"shiftright(CAST(`{pos}` AS BIGINT), _lv * {RADIX_BITS}) AS _nd")
 
 
 def prefixed(df: DataFrame, prefix: str) -> DataFrame:

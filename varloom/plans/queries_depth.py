@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import callers as ca, depth as d, reports as rp
-from ..operators.transfer import lookup
+from ..sources import readers, writers
 from .register import query
 
 
@@ -322,3 +322,38 @@ def distinct_contigs_and_samples(t):
     c = ca.distinct_contigs(t.sites).select(F.lit("contig").alias("kind"), F.col("chrom").alias("v"))
     s = ca.samples_of(t.genotypes.withColumn("sample", F.col("sample_id").cast("string"))).select(F.lit("sample").alias("kind"), F.col("sample").alias("v"))
     return c.unionByName(s)
+
+
+# ------------------------------------------------------------------ text forms
+
+@query("""SELECT vid, sample, a0, a1, phased, ad_alt, gq FROM (SELECT vid, CAST(sample_id AS STRING) AS sample, a0, a1, phased, ad_alt, gq FROM genotypes) x""")
+def read_vcf_calls(t):
+    """Calls written as VCF text lines and parsed back, one line per call with its own sample column."""
+    al = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("."))
+    text = F.concat_ws(":", F.concat(al("a0"), F.when(F.col("phased"), "|").otherwise("/"), al("a1")), F.concat_ws(",", "ad_ref", "ad_alt"), F.col("gq").cast("string"))
+    g = t.genotypes.withColumn("text", text).join(t.sites, "vid")
+    s = g.select("chrom", "pos", F.concat_ws("/", F.col("vid").cast("string"), F.col("sample_id").cast("string")).alias("id"), "ref", F.array("alt").alias("alts"), "qual",
+                 F.split("filter_text", ";").alias("filters"), F.array("text").alias("calls"), "vid")
+    body = writers.vcf_body(s, ["vid"], ["GT", "AD", "GQ"], "calls").withColumn("file_pos", F.monotonically_increasing_id())
+    c = readers.calls_of(readers.parse_vcf(body, ["s"]))
+    part = F.split("id", "/")
+    return c.select(part[0].cast("bigint").alias("vid"), part[1].alias("sample"), F.get("gt", F.lit(0)).alias("a0"), F.get("gt", F.lit(1)).alias("a1"), "phased", F.get("ad", F.lit(1)).alias("ad_alt"), "gq")
+
+
+@query("SELECT id, chrom, pos, ref, alt, CAST(qual AS DOUBLE) AS qual, filter_text AS filters, CAST(size AS STRING) AS size FROM sites")
+def write_vcf_text(t):
+    s = t.sites.select("chrom", "pos", "id", "ref", F.array("alt").alias("alts"), "qual", F.split("filter_text", ";").alias("filters"), F.col("size").alias("SIZE"))
+    v = readers.parse_vcf(writers.vcf_body(s, ["SIZE"]).withColumn("file_pos", F.lit(0)), [])
+    return v.select("id", "chrom", "pos", "ref", F.array_join("alts", ",").alias("alt"), "qual", F.array_join("filters", ";").alias("filters"), F.col("info")["SIZE"].alias("size"))
+
+
+@query("SELECT id AS locus_id, chrom, pos AS st, pos + length(ref) AS en, motif FROM sites WHERE size > 3")
+def read_tr_catalog_json(t):
+    e = t.sites.select(F.col("id").alias("LocusId"), F.when(F.col("size") > 3, F.concat("chrom", F.lit(":"), F.col("pos").cast("string"), F.lit("-"), (F.col("pos") + F.length("ref")).cast("string"))).otherwise("n/a").alias("MainReferenceRegion"), F.col("motif").alias("RepeatUnit"))
+    return readers.tr_loci(e).withColumnsRenamed({"start": "st", "end": "en"})
+
+
+@query("SELECT id AS trid, chrom, pos AS st, motif FROM sites")
+def read_tr_catalog_bed(t):
+    b = t.sites.select("chrom", F.col("pos").alias("start"), (F.col("pos") + 1).alias("end"), F.concat(F.lit("ID="), "id", F.lit(";MOTIFS="), "motif").alias("attributes"))
+    return readers.tr_attributes(b).select("trid", "chrom", F.col("start").alias("st"), F.col("attrs")["MOTIFS"].alias("motif"))

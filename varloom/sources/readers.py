@@ -32,7 +32,12 @@ def read_vcf(spark: SparkSession, path, samples: list[str] | None = None) -> Dat
     genotypes (array<struct<sample, fields map>>), file_pos. Use ``calls_of`` for typed calls.
     """
     names = vcf_samples(spark, path) if samples is None else samples
-    v = vcf_lines(spark, path).filter(~F.col("value").startswith("#")).withColumn("_f", F.split("value", "\t"))
+    return parse_vcf(vcf_lines(spark, path), names)
+
+
+def parse_vcf(lines: DataFrame, names: list[str]) -> DataFrame:
+    """Sites with genotypes from text lines (``value``, ``file_pos``); see ``read_vcf``."""
+    v = lines.filter(~F.col("value").startswith("#")).withColumn("_f", F.split("value", "\t"))
     f = lambda i: F.get("_f", F.lit(i))
     d = v.select(
         f(0).alias("chrom"), f(1).cast("int").alias("pos"), _null_dot(f(2)).alias("id"), f(3).alias("ref"),
@@ -79,14 +84,23 @@ def read_bed(spark: SparkSession, paths, extra: dict[str, str] | None = None) ->
 def read_tr_catalog_json(spark: SparkSession, path) -> DataFrame:
     """(locus_id, chrom, start, end, motif); entries without an id or a readable region are skipped."""
     schema = "LocusId string, MainReferenceRegion string, RepeatUnit string"
-    j = spark.read.json(path, schema=schema, multiLine=True).withColumn("_r", region_parts("MainReferenceRegion"))
+    return tr_loci(spark.read.json(path, schema=schema, multiLine=True))
+
+
+def tr_loci(entries: DataFrame) -> DataFrame:
+    """Catalog entries (LocusId, MainReferenceRegion, RepeatUnit) as intervals."""
+    j = entries.withColumn("_r", region_parts("MainReferenceRegion"))
     return j.filter("LocusId is not null and _r.start is not null").select(
         F.col("LocusId").alias("locus_id"), F.col("_r.chrom").alias("chrom"), F.col("_r.start").alias("start"), F.col("_r.end").alias("end"), F.col("RepeatUnit").alias("motif"))
 
 
 def read_tr_catalog_bed(spark: SparkSession, path) -> DataFrame:
     """(trid, chrom, start, end, attrs) from ``KEY=value;`` attributes."""
-    d = read_bed(spark, path, {"attributes": "string"}).withColumn("attrs", F.str_to_map("attributes", F.lit(";"), F.lit("=")))
+    return tr_attributes(read_bed(spark, path, {"attributes": "string"}))
+
+
+def tr_attributes(bed: DataFrame) -> DataFrame:
+    d = bed.withColumn("attrs", F.str_to_map("attributes", F.lit(";"), F.lit("=")))
     return d.select(F.col("attrs")["ID"].alias("trid"), "chrom", "start", "end", "attrs")
 
 
