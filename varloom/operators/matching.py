@@ -9,6 +9,7 @@ before a position and the first one after it.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -27,13 +28,18 @@ def contents(df: DataFrame, cols: list[str], vid: str = "id", largest: bool = Fa
 
 
 def _size_classes(q: DataFrame, r: DataFrame, q_len: str, r_len: str, sim: float):
-    """Give both sides a length class; sizes within ``sim`` of each other differ by at most one class."""
-    import math
+    """Give both sides a length class; sizes within ``sim`` of each other differ by at most one class.
 
+    The neighbours go on ``r``, whose rows are looked up, not on ``q``, whose windows are tiled.
+    """
     step = math.log(1.0 / sim) + 1e-9
-    cls = lambda x: F.floor(F.log(F.abs(F.col(x)).cast("double")) / step).cast("int")
-    qq = q.filter(F.abs(F.col(q_len)) > 0).withColumn("_cl", F.explode(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda d: cls(q_len) + d)))
-    return qq, r.filter(F.abs(F.col(r_len)) > 0).withColumn("_cl", cls(r_len))
+
+    def cls(x):
+        return F.floor(F.log(F.abs(F.col(x)).cast("double")) / step).cast("int")
+
+    qq = q.filter(F.abs(F.col(q_len)) > 0).withColumn("_cl", cls(q_len))
+    near = F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda d: cls(r_len) + d)
+    return qq, r.filter(F.abs(F.col(r_len)) > 0).withColumn("_cl", F.explode(near))
 
 
 def near_pairs(q: DataFrame, r: DataFrame, window: Column | int, by=("chrom",), q_pos="start", r_pos="start",
