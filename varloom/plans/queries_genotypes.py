@@ -184,7 +184,10 @@ def longest_pure_run(t):
     return s.select("id", q.longest_pure_run("seq", "motif").alias("copies"))
 
 
-@query()
+@query("""
+WITH s AS (SELECT id, ref, alt, CASE WHEN length(alt) > length(ref) THEN substr(alt, 2) ELSE substr(ref, 2) END AS q FROM sites)
+SELECT id, length(ref) <> length(alt) AND length(q) >= 9 AND EXISTS (SELECT 1 FROM unnest(generate_series(1, length(q) // 3)) g(u) WHERE length(q) % u = 0 AND repeat(substr(q, 1, CAST(u AS INT)), CAST(length(q) // u AS INT)) = q) AS tandem_indel FROM s
+""")
 def perfect_tandem_indel(t):
     return q.perfect_tandem_indel(t.sites).select("id", "tandem_indel")
 

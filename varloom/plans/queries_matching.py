@@ -50,7 +50,14 @@ def palmer_match(t):
     return m.palmer_match(t.sql(PT), None, t.sql(MEIC), None, t.sql(RM), buffer=200, reciprocal=0.3, seq_sim=0.5, size_sim=0.6)
 
 
-@query()
+@query(f"""
+WITH t0 AS ({PT}), e AS ({MEIC}), rm AS ({RM}), ok AS (SELECT DISTINCT e.* FROM e JOIN rm ON e.chrom = rm.chrom AND e.pos - 1 < rm.pos + 200 AND greatest(rm.pos - 1 - 200, 0) < e.pos),
+a AS (SELECT s.id, sample_id FROM genotypes JOIN sites s USING (vid) WHERE coalesce(a0, 1) <> 0 OR coalesce(a1, 1) <> 0), b AS (SELECT s.id, sample_id FROM genotypes2 JOIN truth s USING (vid) WHERE coalesce(a0, 1) <> 0 OR coalesce(a1, 1) <> 0),
+p AS (SELECT t0.id, ok.id AS mid FROM t0 JOIN ok ON t0.chrom = ok.chrom AND abs(t0.pos - ok.pos) <= 200 AND least(sv_length, length) / greatest(sv_length, length) >= 0.6
+ AND 1 - levenshtein(t0.alt, ok.alt) / greatest(length(t0.alt), length(ok.alt)) >= 0.5 AND least(t0.pos + sv_length, ok.pos + length) - greatest(t0.pos, ok.pos) >= 0.3 * greatest(sv_length, length)),
+n AS (SELECT p.id, p.mid FROM p JOIN a ON a.id = p.id JOIN b ON b.id = p.mid AND b.sample_id = a.sample_id GROUP BY p.id, p.mid HAVING count(*) >= 2)
+SELECT id, min(mid) AS mei_id FROM n GROUP BY id
+""")
 def palmer_match_shared_carriers(t):
     c = calls(t).join(t.sites.select("vid", "id"), "vid")
     tc = m.transferable_carriers(c)
