@@ -230,6 +230,8 @@ def sv_closest_match(q: DataFrame, r: DataFrame, extra_types=()) -> DataFrame:
     def of(d, t):
         return d.filter(F.col("svtype") == t)
 
+    # Both sides are read by several matchers.
+    q, r = cut_lineage(q), cut_lineage(r)
     first = [sv_closest_ranged(of(q, t), of(r, t)) for t in ("DEL", "DUP")] + [sv_closest_point(of(q, "INS"), of(r, "INS"))]
     for t in extra_types:
         first.append((sv_closest_point if t == "BND" else sv_closest_ranged)(of(q, t), of(r, t)))
@@ -472,6 +474,7 @@ def predicted_effects(svs: DataFrame, genes: DataFrame, exons: DataFrame, promot
     start, end. INS are taken as the base they follow.
     """
     s = svs.select("id", "chrom", "svtype", "start", F.greatest("end", F.col("start") + 1).alias("end"))
+    s, genes = cut_lineage(s), cut_lineage(genes)
     gene = overlap_pairs(s, genes)
     inside = (F.col("b_start") <= F.col("start")) & (F.col("end") <= F.col("b_end"))
     spans = (F.col("start") <= F.col("b_start")) & (F.col("b_end") <= F.col("end"))
@@ -489,9 +492,10 @@ def predicted_effects(svs: DataFrame, genes: DataFrame, exons: DataFrame, promot
            .when(t.isin("DEL", "INS", "INV") & hit, "PREDICTED_LOF"))
     u = overlap_pairs(s, utrs).select("id", F.col("b_gene").alias("gene")).distinct().withColumn("_u", F.lit(True))
     x = x.join(u, ["id", "gene"], "left").withColumn("effect", F.coalesce(eff, F.when(F.col("_u"), F.lit("PREDICTED_UTR")), F.lit("PREDICTED_INTRONIC")))
+    x = cut_lineage(x.select("id", "gene", "effect"))
     pr = overlap_pairs(s, promoters).select("id", F.col("b_gene").alias("gene"), F.lit("PREDICTED_PROMOTER").alias("effect")).distinct()
     pr = pr.join(x.select("id", "gene"), ["id", "gene"], "left_anti")
-    found = x.select("id", "gene", "effect").unionByName(pr)
+    found = cut_lineage(x.unionByName(pr))
     free = s.join(found.select("id").distinct(), "id", "left_anti")
     near = nearest_points(free, genes.select("chrom", F.col("tss").alias("start"), F.col("gene").alias("id")), ["chrom"], [])
     tail = free.join(near, ["chrom", "start"]).select("id", F.col("b_id").alias("gene"), F.lit("PREDICTED_NEAREST_TSS").alias("effect"))

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.alleles import contig_sort, sequence_similarity
+from ..session import cut_lineage
 from .intervals import assign_islands, islands
 
 # ------------------------------------------------------------------ benchmark of matched pairs
@@ -86,7 +87,8 @@ def str_regions(a: DataFrame, b: DataFrame) -> DataFrame:
     they belong to; only stretches holding both sets. Overlap components of intervals are islands,
     so no graph search is needed. ``src`` is 1 or 2."""
     u = a.withColumn("src", F.lit(1)).unionByName(b.withColumn("src", F.lit(2)))
-    u = assign_islands(u, islands(u, touching=False))
+    u = cut_lineage(u)
+    u = cut_lineage(assign_islands(u, islands(u, touching=False)))
     both = u.groupBy("chrom", "island_start", "island_end").agg(F.count_distinct("src").alias("_k")).filter("_k = 2").drop("_k")
     return u.join(both, ["chrom", "island_start", "island_end"])
 
