@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .tables import table
 
@@ -22,3 +22,39 @@ def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES["op3_packing"] = op3_packing
+
+
+def op1_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    from .sharding import assign
+
+    return assign(table(spark, folder, "documents"), 40)
+
+
+def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    from .decontamination import find
+
+    out = find(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"), F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+ORACLE["op2_decontamination"] = """
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS r,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+i AS (
+  SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark),
+iw AS (
+  SELECT DISTINCT item, n, array_to_string(w[k:k + n - 1], ' ') AS s
+  FROM (SELECT item, w, least(10, len(w)) AS n, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS k FROM i WHERE len(w) > 0)),
+dw AS (
+  SELECT r, n, k, array_to_string(w[k:k + n - 1], ' ') AS s
+  FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS k FROM d, (SELECT DISTINCT n FROM iw) WHERE len(w) >= n)),
+hit AS (SELECT r, k, n, item FROM dw JOIN iw USING (n, s)),
+words AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(k, k + n)) AS p FROM (SELECT DISTINCT r, k, n FROM hit)) GROUP BY r),
+items AS (SELECT r, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM hit GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r)
+"""
+QUERIES |= {"op1_sharding": op1_sharding, "op2_decontamination": op2_decontamination}
