@@ -58,3 +58,21 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r)
 """
 QUERIES |= {"op1_sharding": op1_sharding, "op2_decontamination": op2_decontamination}
+
+
+def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    from .substrings import remove_repeats
+
+    return remove_repeats(table(spark, folder, "documents")).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+QUERIES["op4_substring_dedup"] = op4_substring_dedup
+ORACLE["op4_substring_dedup"] = """
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+win AS (SELECT r, k, array_to_string(w[k:k + 34], ' ') AS s FROM (SELECT r, w, unnest(range(1, len(w) - 33)) AS k FROM d WHERE len(w) >= 35)),
+again AS (SELECT s FROM win GROUP BY s HAVING count(*) > 1),
+gone AS (SELECT DISTINCT r, p FROM (SELECT r, unnest(range(k, k + 35)) AS p FROM win SEMI JOIN again USING (s))),
+word AS (SELECT r, unnest(range(1, len(w) + 1)) AS p, unnest(w) AS x FROM d),
+kept AS (SELECT r, count(*) AS n, string_agg(x, ' ' ORDER BY p) AS s FROM word ANTI JOIN gone USING (r, p) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(s, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (r)
+"""
