@@ -76,3 +76,21 @@ word AS (SELECT r, unnest(range(1, len(w) + 1)) AS p, unnest(w) AS x FROM d),
 kept AS (SELECT r, count(*) AS n, string_agg(x, ' ' ORDER BY p) AS s FROM word ANTI JOIN gone USING (r, p) GROUP BY r)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(s, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (r)
 """
+
+
+def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
+    from .archives import chunks, read, records, shared_folder, write
+
+    recs = records(table(spark, folder, "pages"))
+    back = read(write(chunks(recs), shared_folder(recs, "archives")), data=False)
+    return back.filter("last").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+QUERIES["op9_warc"] = op9_warc
+ORACLE["op9_warc"] = """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha256(coalesce(html, '')) AS h FROM pages),
+f AS (SELECT h, min(page_id) AS first FROM p WHERE n >= 100 GROUP BY h)
+SELECT page_id, n AS payload_bytes, h AS payload_digest, CASE WHEN page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM p LEFT JOIN f USING (h)
+"""
