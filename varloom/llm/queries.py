@@ -94,3 +94,15 @@ SELECT page_id, n AS payload_bytes, h AS payload_digest, CASE WHEN page_id <> fi
        CASE WHEN page_id <> first THEN first END AS refers_to
 FROM p LEFT JOIN f USING (h)
 """
+
+
+def op7_language(spark: SparkSession, folder: str) -> DataFrame:
+    from . import language as L
+
+    docs = table(spark, folder, "documents")
+    model = L.fit(docs.filter(L.fold() != 2))
+    out, pred, score, _ = L.identify(docs.select("doc_id", "text"), model)
+    return out.select("doc_id", (L.fold() == 2).alias("held_out"), F.col(pred).alias("lang_pred"), F.col(score).alias("score"))
+
+
+QUERIES["op7_language"] = op7_language
