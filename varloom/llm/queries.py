@@ -106,3 +106,15 @@ def op7_language(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES["op7_language"] = op7_language
+
+
+def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    from . import toxicity as T
+    from .language import fold
+
+    docs = table(spark, folder, "documents")
+    model = T.fit(docs, table(spark, folder, "labels"))
+    return T.score(docs, model).select("doc_id", (fold() == 2).alias("held_out"), "score", "predicted")
+
+
+QUERIES["op5_toxicity"] = op5_toxicity

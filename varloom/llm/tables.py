@@ -2,12 +2,23 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import cut_lineage
 
 
+def reachable(spark: SparkSession) -> None:
+    """Python workers find this package where the driver found it, whatever folder the driver runs in."""
+    root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(x for x in (root, env.get("PYTHONPATH", "")) if x)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    reachable(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
