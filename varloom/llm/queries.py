@@ -118,3 +118,27 @@ def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES["op5_toxicity"] = op5_toxicity
+
+
+def op10_near_copies(spark: SparkSession, folder: str) -> DataFrame:
+    from .nearcopies import near_copies
+
+    return near_copies(table(spark, folder, "documents"), size=4)
+
+
+QUERIES["op10_near_copies"] = op10_near_copies
+ORACLE["op10_near_copies"] = """
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[k:k + 3], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS k FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS x FROM s a JOIN s b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+link AS (
+  SELECT a, b FROM common JOIN n na ON a = na.doc_id JOIN n nb ON b = nb.doc_id WHERE 100 * x >= 80 * (na.n + nb.n - x)),
+e AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach AS (SELECT a, a AS b FROM e UNION SELECT reach.a, e.b FROM reach JOIN e ON reach.b = e.a),
+c AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(component_id, doc_id) AS component_id, coalesce(component_id, doc_id) = doc_id AS kept
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN c USING (doc_id)
+"""
