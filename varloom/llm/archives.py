@@ -195,12 +195,3 @@ def _parse(uri: str, f: gzip.GzipFile, data: bool) -> Iterator[tuple]:
                 k += 1
         if f.read(4) != b"\r\n\r\n":
             raise ValueError(f"{uri}: record {record} does not end where its length says")
-
-
-def shared_folder(df: DataFrame, name: str) -> str:
-    """A new folder beside the checkpoints, as a URI."""
-    sc = df.sparkSession.sparkContext
-    if not sc.getCheckpointDir():
-        settled(df.limit(0))
-    at = sc.getCheckpointDir()
-    return f"{at if '://' in at or at.startswith('file:') else 'file://' + at}/{name}-{uuid.uuid4().hex}"

@@ -79,10 +79,11 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, len(w) - coalesce(n, 0) AS n_r
 
 
 def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
-    from .archives import chunks, read, records, shared_folder, write
+    from .archives import chunks, read, records, write
+    from .tables import shared_folder
 
     recs = records(table(spark, folder, "pages"))
-    back = read(write(chunks(recs), shared_folder(recs, "archives")), data=False)
+    back = read(write(chunks(recs), shared_folder(spark, "archives")), data=False)
     return back.filter("last").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
@@ -142,3 +143,42 @@ c AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
 SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(component_id, doc_id) AS component_id, coalesce(component_id, doc_id) = doc_id AS kept
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN c USING (doc_id)
 """
+
+
+def op8_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    from .topk import top_k
+
+    return top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+QUERIES["op8_top_k"] = op8_top_k
+ORACLE["op8_top_k"] = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v FROM embeddings
+           WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+
+def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    from .lines import dedup_lines
+
+    out = dedup_lines(table(spark, folder, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("kept", F.lit("")), 256).alias("kept_sha256"))
+
+
+QUERIES["op6_line_dedup"] = op6_line_dedup
+ORACLE["op6_line_dedup"] = """
+WITH d AS (SELECT doc_id, CASE WHEN text IS NULL THEN [] ELSE string_split(text, chr(10)) END AS l FROM documents),
+w AS (
+  SELECT doc_id, k, l[k] || chr(10) || l[k + 1] || chr(10) || l[k + 2] AS s
+  FROM (SELECT doc_id, l, unnest(range(1, len(l) - 1)) AS k FROM d WHERE len(l) >= 3) WHERE trim(l[k] || l[k + 1] || l[k + 2], ' ' || chr(9) || chr(11) || chr(12) || chr(13)) <> ''),
+f AS (SELECT s, min({'d': doc_id, 'k': k}) AS first FROM w GROUP BY s HAVING count(*) > 1),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(CASE WHEN doc_id = first.d THEN greatest(k, first.k + 3) ELSE k END, k + 3)) AS p
+  FROM w JOIN f USING (s) WHERE doc_id <> first.d OR k <> first.k),
+line AS (SELECT doc_id, unnest(range(1, len(l) + 1)) AS p, unnest(l) AS x FROM d),
+kept AS (SELECT doc_id, count(*) AS n, string_agg(x, chr(10) ORDER BY p) AS s FROM line ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, CAST(len(l) AS BIGINT) AS n_lines, len(l) - coalesce(n, 0) AS n_removed, sha256(coalesce(s, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (doc_id)
+"""

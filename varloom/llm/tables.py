@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +28,22 @@ def settled(df: DataFrame) -> DataFrame:
     return cut_lineage(df)
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder beside the checkpoints, as a URI."""
+    sc = spark.sparkContext
+    if not sc.getCheckpointDir():
+        settled(spark.range(0))
+    at = sc.getCheckpointDir()
+    return f"{at if ':/' in at else 'file://' + at}/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder."""
+    at = shared_folder(df.sparkSession, name)
+    df.write.parquet(at)
+    return df.sparkSession.read.parquet(at)
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Column names like ``names`` that ``df`` doesn't have."""
     taken, out = {c.lower() for c in df.columns}, []
