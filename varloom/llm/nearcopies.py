@@ -77,7 +77,7 @@ def _digest(s: np.ndarray) -> int:
 
 
 def _signed(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, n (shingles), c (digest of the set; null if empty), coords."""
+    """doc_id, th (hash of the text), n (shingles), c (digest of the set; null if empty), coords."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -85,10 +85,10 @@ def _signed(docs: DataFrame, size: int) -> DataFrame:
                 sets = shingle_sets(b.column("text"), size)
                 sig = iter(signatures(sets).view(np.int64))
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([_digest(s) if len(s) else None for s in sets], pa.int64()),
-                     pa.array([next(sig) if len(s) else None for s in sets], pa.list_(pa.int64()))], names=["doc_id", "n", "c", "coords"])
+                    [b.column("doc_id"), b.column("th"), pa.array([len(s) for s in sets], pa.int64()), pa.array([_digest(s) if len(s) else None for s in sets], pa.int64()),
+                     pa.array([next(sig) if len(s) else None for s in sets], pa.list_(pa.int64()))], names=["doc_id", "th", "n", "c", "coords"])
 
-    return docs.mapInArrow(run, "doc_id bigint, n bigint, c bigint, coords array<bigint>")
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("th")).mapInArrow(run, "doc_id bigint, th bigint, n bigint, c bigint, coords array<bigint>")
 
 
 def _candidates(classes: DataFrame) -> DataFrame:
@@ -236,6 +236,10 @@ def _confirmed(docs: DataFrame, families: DataFrame, size: int, percent: int) ->
 
 def near_copies(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row."""
+    return _decided(docs, size, percent).drop("th")
+
+
+def _decided(docs: DataFrame, size: int, percent: int) -> DataFrame:
     d = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     signed = settled(_signed(d, size))
     classes = settled(signed.filter("c IS NOT NULL").groupBy("c").agg(F.min("doc_id").alias("id"), F.max("n").alias("n"), F.max("coords").alias("coords")))
@@ -246,13 +250,14 @@ def near_copies(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     own = settled(own)
     least = own.groupBy("root").agg(F.min("id").alias("component_id"))
     named = settled(own.join(least, "root").select("c", "component_id"))
-    out = signed.select("doc_id", "n", "c").join(named, "c", "left")
+    out = signed.select("doc_id", "th", "n", "c").join(named, "c", "left")
     comp = F.when(F.col("c").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), comp.alias("component_id"), F.col("doc_id").eqNullSafe(comp).alias("kept"))
+    return out.select("doc_id", "th", F.col("n").alias("n_shingles"), comp.alias("component_id"), F.col("doc_id").eqNullSafe(comp).alias("kept"))
 
 
 def keep(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """One document of each component (that with its least id), columns as they are; rows without shingles stay."""
-    (mark,) = fresh(docs, "gone")
-    gone = near_copies(docs, size, percent).filter(~F.col("kept")).select(F.col("doc_id").alias(mark)).distinct()
-    return docs.join(gone, F.col("doc_id").cast("bigint").eqNullSafe(F.col(mark)), "left_anti")
+    who, th = fresh(docs, "who", "th")
+    gone = _decided(docs, size, percent).filter(~F.col("kept")).select(_named("doc_id").alias(who), F.col("th").alias(th)).distinct()
+    named = docs.withColumns({who: F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(1 << 63))), th: F.xxhash64(F.col("text").cast("string"))})
+    return named.join(gone, [who, th], "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
