@@ -3,6 +3,7 @@
 import random
 from statistics import median
 
+import pytest
 from pyspark.sql import functions as F
 
 from varloom.operators import depth as d, matching as m
@@ -37,7 +38,21 @@ def some_rows(seed, n, tag):
     return out + [(f"{tag}9{i:02d}", "c", 30, 14, "INS", "ACGTACGTACGTAC") for i in range(n // 2)]
 
 
-def test_collapse_equals_greedy_scan(spark):
+@pytest.mark.parametrize("n", [10, 1000])
+def test_a_long_chain_collapses_in_as_many_jobs_as_a_short_one(spark, n):
+    """Neighbours are similar, others are too far: every second site of the chain is kept."""
+    d = spark.createDataFrame([(f"v{i:05d}", "c", i * 8, 12, "INS", "ACGTACGTACGT") for i in range(n)], S)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup(f"chain{n}", "chain")
+    got = {r["id"]: r["kept_id"] for r in m.collapse_sites(d, 10).collect()}
+    jobs = len(tracker.getJobIdsForGroup(f"chain{n}"))
+    spark.sparkContext.setJobGroup("rest", "rest")
+    assert got == {f"v{i:05d}": f"v{i - i % 2:05d}" for i in range(n)}
+    assert jobs < 60
+
+
+@pytest.mark.parametrize("most", [5, 1 << 20])
+def test_collapse_equals_greedy_scan(spark, most):
     rows = some_rows(4, 60, "v")
     firsts = {}
     for x in rows:
@@ -50,7 +65,7 @@ def test_collapse_equals_greedy_scan(spark):
         if not near:
             kept.append(x)
     want = {x[0]: owner[firsts[x[1:]]] for x in rows}
-    got = {r["id"]: r["kept_id"] for r in m.collapse_sites(spark.createDataFrame(rows, S), 10, 0.8, 0.8).collect()}
+    got = {r["id"]: r["kept_id"] for r in m.collapse_sites(spark.createDataFrame(rows, S), 10, 0.8, 0.8, most).collect()}
     assert got == want
 
 
@@ -67,7 +82,7 @@ def test_similarity_rounds(spark):
         sc = {}
         for x in qs.values():
             for y in rs.values():
-                if similar(x, y, t, t, 500):
+                if similar(x, y, t, 0.7, 500):
                     sc[x[0], y[0]] = (-(1 - lev(x[5], y[5]) / max(len(x[5]), len(y[5]))), abs(x[2] - y[2]))
         bq = {i: min((v, j) for (k, j), v in sc.items() if k == i)[1] for i in {k for k, _ in sc}}
         br = {j: min((v, i) for (i, k), v in sc.items() if k == j)[1] for j in {k for _, k in sc}}
@@ -141,6 +156,57 @@ def test_vcf_round_trip(spark, tmp_path):
     assert lines == ["chr1\t5\tv1\tAT\tA\t30.0\tq10;q20\t.", "chr2\t7\t.\tA\tC,G\t.\tPASS\tAC=1,2"]
 
 
+def test_vcf_files_keep_their_samples_and_order(spark, tmp_path):
+    head = "\t".join("#CHROM POS ID REF ALT QUAL FILTER INFO FORMAT".split())
+    (tmp_path / "a.vcf").write_text(f"{head}\ts1\nchr1\t1\tx\tA\tC\t.\t.\t.\tGT\t0/1\n")
+    (tmp_path / "b.vcf").write_text(f"##long\n{head}\ts2\ts3\n" + "".join(f"chr1\t{i}\ty{i}\tA\tC\t.\t.\t.\tGT\t1/1\t0/0\n" for i in range(2, 400)))
+    for path, first in ((str(tmp_path), ["x", "y2"]), ([str(tmp_path / "b.vcf"), str(tmp_path / "a.vcf")], ["y2", "y3"])):
+        v = readers.read_vcf(spark, path)
+        rows = v.orderBy("file_pos").select("id").collect()
+        assert [r.id for r in rows[:2]] == first and len(rows) == 399
+        calls = readers.calls_of(v)
+        assert {(r.id[0], r.sample) for r in calls.collect()} == {("x", "s1"), ("y", "s2"), ("y", "s3")}
+    (tmp_path / "c.vcf").write_text(f"{head}\ts4\nchr1\t1\tx\tA\tC\t.\t.\t.\tGT\t0/1\t1/1\n")
+    with pytest.raises(Exception, match="do not match the header"):
+        readers.read_vcf(spark, str(tmp_path)).collect()
+
+
+def test_file_order_of_any_size_numbers_suffixes(spark):
+    from varloom.operators import rows as r
+
+    d = spark.createDataFrame([("chr1", 1, f"b_{s}", p) for s, p in ((3, 5), (1, 1 << 40), (2, 7), (1, 1 << 50))], "chrom string, pos int, id string, file_pos bigint")
+    got = [x.id for x in r.reassign_suffixes(d.withColumn("was", F.col("id"))).orderBy("was", "file_pos").collect()]
+    assert got == ["b_1", "b_2", "b_3", "b_4"]
+
+
+def test_writers_of_shards(spark, tmp_path):
+    d = spark.range(1000).select(F.concat(F.lit("s"), (F.col("id") % 3).cast("string")).alias("sample"), F.col("id").alias("pos"), F.lit("chr1").alias("chrom"))
+    writers.write_per_sample(d, str(tmp_path / "per"))
+    files = list((tmp_path / "per").glob("sample=*/*.parquet"))
+    assert {f.parent.name for f in files} == {"sample=s0", "sample=s1", "sample=s2"} and len(files) <= 12
+    writers.shard_by_records(d.coalesce(1), str(tmp_path / "rec"), 300)
+    assert sorted(spark.read.parquet(str(f)).count() for f in (tmp_path / "rec").glob("*.parquet")) == [100, 300, 300, 300]
+    writers.write_site_table(d, str(tmp_path / "sites"), 400)
+    assert spark.read.parquet(str(tmp_path / "sites")).filter("region_bin = 1").count() == 400
+    writers.write_annotation_tsv(spark.createDataFrame([("chr1", None)], "a string, b string"), str(tmp_path / "tsv"))
+    assert spark.read.text(str(tmp_path / "tsv")).first()[0] == "chr1\t."
+    (tmp_path / "p.ped").write_text("#x\nf\tc\tp\tm\t1\t0\n")
+    assert readers.read_ped(spark, str(tmp_path / "p.ped")).first()["mother"] == "m"
+    (tmp_path / "a.tsv").write_text("s\tAFR\n")
+    assert tuple(readers.read_ancestry(spark, str(tmp_path / "a.tsv")).first()) == ("s", "AFR")
+
+
+def test_a_cluster_without_a_checkpoint_folder_is_an_error():
+    from types import SimpleNamespace
+
+    from varloom.session import checkpoint_folder
+
+    conf = SimpleNamespace(get=lambda *a: None)
+    sc = SimpleNamespace(getCheckpointDir=lambda: None, getConf=lambda: conf, master="spark://host:7077")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_folder(SimpleNamespace(sparkContext=sc, conf=conf))
+
+
 def test_small_sources(spark, tmp_path):
     (tmp_path / "t.tsv").write_text("chr1\t5\tA\tT\tx\t.\t3\n")
     assert tuple(readers.read_annotation_tsv(spark, str(tmp_path / "t.tsv"), ["p", "q"]).first()) == ("chr1", 5, "A", "T", "x", None, "3")

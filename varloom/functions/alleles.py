@@ -90,19 +90,27 @@ def sequence_similarity(a, b) -> Column:
     )
 
 
-def sequence_similar(a, b, at_least: float) -> Column:
-    """``sequence_similarity >= at_least``; lengths are compared before any edit distance."""
+def sequence_score(a, b, at_least: float) -> Column:
+    """``sequence_similarity`` where it is at least ``at_least``, else NULL: one edit distance, which stops at the largest
+    that still suffices, and none where lengths alone rule it out."""
     x, y = F.upper(c(a)), F.upper(c(b))
     lx, ly = F.length(x), F.length(y)
     longer = F.greatest(lx, ly)
+    most = F.floor(longer * (1.0 - at_least) + 1e-9).cast("int")
+    far = F.call_function("levenshtein", x, y, most)
     return (
-        F.when(x == y, F.lit(True))
-        .when((lx == 0) | (ly == 0), F.lit(at_least <= 0))
-        .when(F.least(lx, ly) < longer * at_least - 1e-9, F.lit(False))
-        .otherwise(1.0 - F.levenshtein(x, y) / longer >= at_least)
+        F.when(x == y, F.lit(1.0))
+        .when((lx == 0) | (ly == 0), F.lit(0.0) if at_least <= 0 else F.lit(None).cast("double"))
+        .when(F.least(lx, ly) < longer * at_least - 1e-9, F.lit(None).cast("double"))
+        .otherwise(F.when(far >= 0, 1.0 - far / longer))
     )
 
 
+def sequence_similar(a, b, at_least: float) -> Column:
+    """``sequence_similarity >= at_least``."""
+    return sequence_score(a, b, at_least).isNotNull()
+
+
 def id_base(vid) -> Column:
     """Id without a trailing ``_<digits>``."""
     return F.regexp_replace(c(vid), r"_\d+$", "")

@@ -54,7 +54,7 @@ def bin_median_depth(runs: DataFrame, bin_size: int, one_based: bool = False) ->
                     ((F.col("_lo") + F.col("_hi")) / 2).cast("int").alias("depth"))
 
 
-def cohort_coverage(runs: DataFrame, n_samples: int, bin_size: int, thresholds=(1, 5, 10, 15, 20, 25, 30)) -> DataFrame:
+def cohort_coverage(runs: DataFrame, n_samples: int | Column, bin_size: int, thresholds=(1, 5, 10, 15, 20, 25, 30)) -> DataFrame:
     """Coverage over blocks on which no sample's depth changes, also cut at bin boundaries.
 
     Per block (1-based start): mean, upper median ``sorted[n // 2]``, total and the share of
@@ -72,8 +72,9 @@ def cohort_coverage(runs: DataFrame, n_samples: int, bin_size: int, thresholds=(
     agg = hit.groupBy("chrom", "start", "end").agg(
         F.sum("depth").alias("total"), F.sort_array(F.collect_list("depth")).alias("_d"),  # one value per sample
         *[F.count_if(F.col("depth") > t).alias(f"_t{t}") for t in thresholds])
-    short = n_samples - F.size("_d")
-    med = F.when(F.lit(n_samples // 2) < short, F.lit(0)).otherwise(F.get("_d", F.lit(n_samples // 2) - short))
+    n_samples = F.lit(n_samples)
+    middle, short = F.floor(n_samples / 2), n_samples - F.size("_d")
+    med = F.when(middle < short, F.lit(0)).otherwise(F.get("_d", (middle - short).cast("int")))
     return agg.select("chrom", (F.col("start") + 1).alias("start"), "end", F.bround(F.col("total") / n_samples, 6).alias("mean"),
                       med.cast("int").alias("median"), F.col("total").cast("bigint").alias("total"),
                       *[F.bround(F.col(f"_t{t}") / n_samples, 6).alias(f"over_{t}") for t in thresholds])

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions import genotype as g, stats
 from .intervals import interval_semi
@@ -72,13 +72,36 @@ def hwe(quality: DataFrame) -> DataFrame:
 FREQ = ["ac", "an", "af", "ncr", "nhet", "nhomalt", "nhomref", "n_bi_genos", "freq_het", "freq_homalt", "freq_homref"]
 
 
+def _per_allele(calls: DataFrame, by: list[str], hap: Column, site: dict[str, Column]) -> DataFrame:
+    """``by``, the summed ``site`` values, ``n_alts`` and a map ``_ac`` of copies by ALT number.
+
+    A call gives one row for the site values and one for each ALT it carries, summed before they meet again, so a
+    site of many ALTs costs no more than the copies seen. ``hap`` calls count an ALT once.
+    """
+    alts = F.coalesce(F.filter("gt", lambda a: a > 0), F.array().cast("array<int>"))
+    seen = F.concat(F.array(F.lit(0)), F.when(hap, F.array_distinct(alts)).otherwise(alts))
+    n_alts = F.col("n_alts") if "n_alts" in calls.columns else F.lit(1)
+    x = calls.select(*by, n_alts.alias("n_alts"), *[v.cast("bigint").alias(k) for k, v in site.items()], F.explode(seen).alias("_al"))
+    own = F.col("_al") == 0
+    sums = x.groupBy(*by, "_al").agg(F.count("*").alias("_ac"), F.max("n_alts").alias("n_alts"), *[F.sum(F.when(own, F.col(k))).alias(k) for k in site])
+    return sums
+
+
+def _met(sums: DataFrame, by: list[str], site) -> DataFrame:
+    """One row per ALT with its ``ac`` beside the site values."""
+    copies = F.map_from_entries(F.collect_list(F.when(F.col("_al") > 0, F.struct("_al", "_ac"))))
+    one = sums.groupBy(*by).agg(F.max("n_alts").alias("n_alts"), copies.alias("_m"), *[F.sum(k).alias(k) for k in site])
+    out = one.withColumn("allele", F.explode(F.sequence(F.lit(1), F.col("n_alts"))))
+    return out.withColumn("ac", F.coalesce(F.try_element_at("_m", "allele"), F.lit(0)).cast("bigint")).drop("_m")
+
+
 def allele_frequencies(calls: DataFrame, samples: DataFrame, key, par: DataFrame | None = None) -> DataFrame:
-    """Counts and frequencies per site for all samples, each population, each sex, and both.
+    """Counts and frequencies per site and ALT for all samples, each population, each sex, and both.
 
-    ``samples(sample, population, sex)``. With a ``chrom`` column in the key and ``par``
-    intervals (or none), male calls on chrX/chrY outside them count as one allele and
-    female chrY calls are left out. ``population``/``sex`` are ``all`` in the totals;
-    ``grpmax`` (on the grand total) is the population with the highest frequency.
+    ``samples(sample, population, sex)``; ``calls`` may hold ``n_alts`` (else 1). With a ``chrom`` column in the key and
+    ``par`` intervals (or none), male calls on chrX/chrY outside them count as one allele and
+    female chrY calls are left out. ``population``/``sex`` are ``all`` in the totals. Genotype counts and
+    ``grpmax`` (the population with the highest frequency, first name on ties) are for sites of one ALT; NULL otherwise.
     """
     key = list(key)
     x = calls.join(samples.select("sample", "population", "sex"), "sample")
@@ -91,29 +114,28 @@ def allele_frequencies(calls: DataFrame, samples: DataFrame, key, par: DataFrame
             x = x.join(inside, ["chrom", "pos"], "left")
             hap = hap & F.col("_par").isNull()
         x = x.filter(~((F.col("chrom") == "chrY") & (F.col("sex") == "female")))
-    x = x.withColumn("_hap", hap)
     called = F.size(F.filter("gt", lambda a: a.isNotNull()))
     alts = g.n_alt("gt")
     full = ~g.has_null("gt")
-    one = F.col("_hap")
-    parts = x.groupBy(*key, "population", "sex").agg(
-        F.sum(F.when(one, F.least(alts, F.lit(1))).otherwise(alts)).cast("bigint").alias("ac"),
-        F.sum(F.when(one, F.least(called, F.lit(1))).otherwise(called)).cast("bigint").alias("an"),
-        F.sum(F.when(one, 1).otherwise(F.greatest(F.size("gt"), F.lit(0)))).cast("bigint").alias("_slots"),
-        F.count_if(full & ~one & (alts == 1)).alias("nhet"), F.count_if(full & (alts >= F.when(one, 1).otherwise(2))).alias("nhomalt"),
-        F.count_if(full & (alts == 0)).alias("nhomref"))
-    sums = ["ac", "an", "_slots", "nhet", "nhomalt", "nhomref"]
-    # The cube runs over site x population x sex totals, not over calls.
+    site = {"an": F.when(hap, F.least(called, F.lit(1))).otherwise(called), "_slots": F.when(hap, 1).otherwise(F.greatest(F.size("gt"), F.lit(0))),
+            "nhet": full & ~hap & (alts == 1), "nhomalt": full & (alts >= F.when(hap, 1).otherwise(2)), "nhomref": full & (alts == 0)}
+    parts = _per_allele(x, [*key, "population", "sex"], hap, site)
+    # The cube runs over site x population x sex x ALT totals, not over calls.
     dims = F.array(*[F.struct(F.lit(p).alias("p"), F.lit(s).alias("s")) for p in (False, True) for s in (False, True)])
     cube = (parts.withColumn("_g", F.explode(dims))
             .withColumn("population", F.when(F.col("_g.p"), F.col("population")).otherwise("all"))
             .withColumn("sex", F.when(F.col("_g.s"), F.col("sex")).otherwise("all"))
-            .groupBy(*key, "population", "sex").agg(*[F.sum(v).alias(v) for v in sums]))
-    out = cube.withColumns({"af": F.try_divide("ac", "an"), "ncr": 1 - F.try_divide("an", "_slots"),
-                            "n_bi_genos": F.col("nhet") + F.col("nhomalt") + F.col("nhomref")})
+            .groupBy(*key, "population", "sex", "_al").agg(F.sum("_ac").alias("_ac"), F.max("n_alts").alias("n_alts"), *[F.sum(v).alias(v) for v in site]))
+    out = _met(cube, [*key, "population", "sex"], site)
+    one = F.col("n_alts") == 1
+    out = out.withColumns({v: F.when(one, F.col(v)) for v in ("nhet", "nhomalt", "nhomref")})
+    out = out.withColumns({"af": F.try_divide("ac", "an"), "ncr": 1 - F.try_divide("an", "_slots"),
+                           "n_bi_genos": F.col("nhet") + F.col("nhomalt") + F.col("nhomref")})
     for v in ("het", "homalt", "homref"):
         out = out.withColumn(f"freq_{v}", F.try_divide(f"n{v}", "n_bi_genos"))
-    return out.drop("_slots")
+    carried = one & (F.col("sex") == "all") & (F.col("population") != "all") & (F.col("ac") > 0)
+    best = F.min(F.when(carried, F.struct((-F.col("af")).alias("a"), "population"))).over(W.partitionBy(*key))
+    return out.withColumn("grpmax", best["population"]).drop("_slots", "n_alts")
 
 
 def grpmax(freqs: DataFrame, key) -> DataFrame:
@@ -124,12 +146,15 @@ def grpmax(freqs: DataFrame, key) -> DataFrame:
 
 
 def fill_tags(calls: DataFrame, key) -> DataFrame:
-    """AC, AN, AF and MAF per site from the calls."""
+    """AC, AN and AF per site and ALT (``allele`` from 1; ``n_alts`` or 1 ALT), and the site's MAF: the second largest
+    frequency among the reference and all ALTs."""
     key = list(key)
-    t = calls.groupBy(*key).agg(F.sum(g.n_alt("gt")).cast("bigint").alias("ac"),
-                                F.sum(F.size(F.filter("gt", lambda a: a.isNotNull()))).cast("bigint").alias("an"))
-    t = t.withColumn("af", F.try_divide("ac", "an"))
-    return t.withColumn("maf", F.least(F.col("af"), 1 - F.col("af")))
+    site = {"an": F.size(F.filter("gt", lambda a: a.isNotNull()))}
+    sums = _per_allele(calls, key, F.lit(False), site)
+    t = _met(sums, key, site).withColumn("af", F.try_divide("ac", "an")).drop("n_alts")
+    w = W.partitionBy(*key)
+    rates = F.array_sort(F.array_append(F.collect_list("af").over(w), 1 - F.sum("af").over(w)))
+    return t.withColumn("maf", F.try_element_at(rates, F.lit(-2)))
 
 
 def set_missing_to_ref(calls: DataFrame) -> DataFrame:
@@ -137,8 +162,8 @@ def set_missing_to_ref(calls: DataFrame) -> DataFrame:
 
 
 def common_filter(calls: DataFrame, key, expr: str = "af >= 0.01 and ac > 1") -> DataFrame:
-    """Sites whose tags satisfy ``expr`` (over ac, an, af, maf)."""
-    return fill_tags(calls, key).filter(expr)
+    """Sites of which some ALT's tags satisfy ``expr`` (over ac, an, af, maf)."""
+    return fill_tags(calls, key).filter(expr).select(*key).distinct()
 
 
 def phased_fraction_dedup(calls: DataFrame, allele_key, vid="id", order="file_pos") -> DataFrame:

@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import genotype as g
-from ..functions.alleles import c, overlap_bases, sequence_similar, sequence_similarity, size_similarity
+from ..functions.alleles import c, overlap_bases, sequence_score, sequence_similar, sequence_similarity, size_similarity
 from ..session import cut_lineage
 from .intervals import IV, islands, assign_islands, overlap_count
 from .positions import at_positions, overlap_pairs, point_in_interval, prefixed
@@ -50,10 +50,14 @@ def near_pairs(q: DataFrame, r: DataFrame, window: Column | int, by=("chrom",),
     if 0 < size_sim < 1:
         q, r = _size_classes(q, r, q_len, r_len, size_sim)
         by = [*by, "_cl"]
-    w = window if isinstance(window, Column) else F.lit(window)
-    q = q.withColumns({"_lo": F.col(q_pos) - w, "_hi": F.col(q_pos) + w + 1})
     rp = prefixed(r, prefix).withColumnsRenamed({prefix + x: x for x in by})
-    out = point_in_interval(rp, q, prefix + r_pos, "_lo", "_hi", by).drop("_lo", "_hi", "_cl")
+    if isinstance(window, Column):
+        q = q.withColumns({"_lo": F.col(q_pos) - window, "_hi": F.col(q_pos) + window + 1})
+        out = point_in_interval(rp, q, prefix + r_pos, "_lo", "_hi", by).drop("_lo", "_hi", "_cl")
+    else:  # stretches as wide as the window: what is near lies in the same or a neighbouring one
+        at = lambda x: F.floor(F.col(x) / F.lit(window + 1))
+        q = q.withColumn("_at", F.explode(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda d: at(q_pos) + d)))
+        out = q.join(rp.withColumn("_at", at(prefix + r_pos)), [*by, "_at"]).filter(F.abs(F.col(q_pos) - F.col(prefix + r_pos)) <= window).drop("_at", "_cl")
     if size_sim > 0:
         out = out.filter(size_similarity(q_len, prefix + r_len) >= size_sim - 1e-9)
     return out
@@ -260,22 +264,24 @@ def external_af_match(q: DataFrame, truth_sets: dict[str, DataFrame], af_columns
 SEQ = ["chrom", "start", "len", "kind", "seq"]
 
 
-def similar_pairs(q: DataFrame, r: DataFrame, seq_sim: float, size_sim: float, window: int) -> DataFrame:
+def similar_pairs(q: DataFrame, r: DataFrame, seq_sim: float, size_sim: float, window: int, first: Column | None = None) -> DataFrame:
     """Pairs of contents of one kind with similar place, size and sequence; ``score`` is the
-    sequence similarity."""
-    p = near_pairs(q, r, window, ("chrom", "kind"), size_sim=size_sim).filter(sequence_similar("seq", "b_seq", seq_sim))
-    return p.withColumn("score", sequence_similarity("seq", "b_seq"))
+    sequence similarity. Only pairs that satisfy ``first`` are compared by sequence."""
+    p = near_pairs(q, r, window, ("chrom", "kind"), size_sim=size_sim)
+    if first is not None:
+        p = p.filter(first)
+    return p.withColumn("score", sequence_score("seq", "b_seq", seq_sim)).filter("score IS NOT NULL")
 
 
-def similarity_match(q: DataFrame, r: DataFrame, rounds=(0.9, 0.7, 0.5), window: int = 500, size_sim: float | None = None) -> DataFrame:
-    """(id, truth_id, match_type): mutual best pairs of contents, at falling thresholds on what is left.
+def similarity_match(q: DataFrame, r: DataFrame, rounds=(0.9, 0.7, 0.5), window: int = 500, size_sim: float = 0.7) -> DataFrame:
+    """(id, truth_id, match_type): mutual best pairs of contents, at falling sequence thresholds on what is left.
 
-    Rows: id, chrom, start, len, kind, seq. Copies share their content's partner.
+    The size limit stays. Rows: id, chrom, start, len, kind, seq. Copies share their content's partner.
     """
     qc, rc = cut_lineage(contents(q, SEQ)), cut_lineage(contents(r, SEQ))
     found = None
     for t in rounds:
-        p = cut_lineage(similar_pairs(qc, rc, t, t if size_sim is None else size_sim, window).select("id", "b_id", "score", F.abs(F.col("start") - F.col("b_start")).alias("_d")))
+        p = cut_lineage(similar_pairs(qc, rc, t, size_sim, window).select("id", "b_id", "score", F.abs(F.col("start") - F.col("b_start")).alias("_d")))
         order = F.struct(-F.col("score"), "_d")
         bq = p.groupBy("id").agg(F.min(F.struct(order.alias("o"), "b_id")).alias("_x")).select("id", F.col("_x.b_id").alias("b_id"))
         br = p.groupBy("b_id").agg(F.min(F.struct(order.alias("o"), "id")).alias("_x")).select("b_id", F.col("_x.id").alias("id"))
@@ -317,42 +323,66 @@ def callset_overlap(evals: DataFrame, truth: DataFrame, truth_sv: DataFrame, min
     return unify_annotation_tables(parts)
 
 
-def collapse_sites(sites: DataFrame, window: int = 500, seq_sim: float = 0.9, size_sim: float = 0.9) -> DataFrame:
+def collapse_sites(sites: DataFrame, window: int = 500, seq_sim: float = 0.9, size_sim: float = 0.9, most: int = 1 << 20) -> DataFrame:
     """(id, kept_id): greedy collapse in (position, id) order.
 
-    A site is kept unless an earlier kept one is similar; it then joins the earliest such. The
-    greedy answer is reached in rounds over the pair list: sites without an earlier undecided
-    or kept neighbour are kept, sites next to a kept one are removed. Each round is written out.
+    A site is kept unless an earlier kept one is similar; it then joins the earliest such. Sites more than ``window``
+    apart never meet, so the similar pairs of each stretch without such a gap are scanned in order by one task; the number
+    of jobs does not follow the data. A stretch of over ``most`` pairs is not gathered: it is decided in rounds.
     """
-    nodes = cut_lineage(contents(sites, SEQ).withColumn("ord", F.struct("chrom", "start", "id")))
-    p = similar_pairs(nodes.drop("ord"), nodes.drop("ord"), seq_sim, size_sim, window)
+    nodes = cut_lineage(contents(sites, SEQ))
     before = (F.col("b_start") < F.col("start")) | ((F.col("b_start") == F.col("start")) & (F.col("b_id") < F.col("id")))
-    edges = cut_lineage(p.filter(before).select("id", F.col("b_id").alias("early"), F.col("b_start").alias("es")))
-    todo = nodes.select("id")
-    decided = None
-    open_edges = edges
-    while True:
-        blocked = open_edges.select("id").distinct()
-        kept = cut_lineage(todo.join(blocked, "id", "left_anti"))
+    p = similar_pairs(nodes, nodes, seq_sim, size_sim, window, before)
+    edges = cut_lineage(p.select("chrom", "start", "id", F.col("b_id").alias("early"), F.col("b_start").alias("es")))
+    reach = edges.select("chrom", F.col("es").alias("start"), (F.col("start") + 1).alias("end"))
+    isl = islands(reach, by=["chrom"])
+    edges = assign_islands(edges.withColumn("end", F.col("start") + 1), isl, by=["chrom"])
+    edges = cut_lineage(edges.select("chrom", F.col("island_start").alias("island"), "start", "id", "early", "es"))
+    size = edges.groupBy("chrom", "island").agg(F.count("*").alias("_n"))
+    big = cut_lineage(size.filter(F.col("_n") > most).select("chrom", "island"))
+    scanned = edges.join(big, ["chrom", "island"], "left_anti").groupBy("chrom", "island").applyInPandas(_scan, "id string, kept_id string")
+    decided = scanned
+    if not big.isEmpty():
+        decided = decided.unionByName(_rounds(edges.join(big, ["chrom", "island"], "left_semi").select("id", "early", "es")))
+    final = nodes.select(F.col("id").alias("_cid")).join(decided.withColumnRenamed("id", "_cid"), "_cid", "left").select("_cid", F.coalesce("kept_id", "_cid").alias("kept_id"))
+    return sites.join(nodes.withColumnRenamed("id", "_cid"), SEQ).join(final, "_cid").select("id", "kept_id")
+
+
+def _scan(pairs):
+    """Sites with an earlier similar one, in order: each joins the earliest of those that are kept themselves."""
+    import pandas as pd
+
+    pairs = pairs.sort_values(["start", "id", "es", "early"])
+    owner: dict[str, str] = {}
+    for vid, early in zip(pairs["id"], pairs["early"]):
+        if owner.get(vid, vid) == vid and owner.get(early, early) == early:
+            owner[vid] = early
+    return pd.DataFrame({"id": list(owner), "kept_id": list(owner.values())}, dtype="object")
+
+
+def _rounds(edges: DataFrame) -> DataFrame:
+    """(id, kept_id) of the sites with an earlier neighbour, decided in rounds: sites whose earlier neighbours are all removed
+    are kept, sites next to a kept one are removed."""
+    todo = cut_lineage(edges.select("id").union(edges.select("early")).distinct())
+    decided, open_edges = None, edges
+    while not todo.isEmpty():
+        kept = cut_lineage(todo.join(open_edges.select("id").distinct(), "id", "left_anti"))
         hit = open_edges.join(kept.withColumnRenamed("id", "early"), "early", "left_semi")
         gone = hit.groupBy("id").agg(F.min_by("early", F.struct("es", "early")).alias("kept_id"))
         step = cut_lineage(kept.withColumn("kept_id", F.col("id")).unionByName(gone))
         decided = step if decided is None else decided.unionByName(step)
         todo = cut_lineage(todo.join(step.select("id"), "id", "left_anti"))
-        if todo.isEmpty():
-            break
         out_of_play = step.filter("id <> kept_id").select(F.col("id").alias("early"))
         open_edges = cut_lineage(open_edges.join(todo, "id", "left_semi").join(out_of_play, "early", "left_anti"))
     # A site belongs to the earliest kept neighbour over all rounds.
     kept = decided.filter("id = kept_id").select(F.col("id").alias("early"))
     claim = edges.join(kept, "early", "left_semi").groupBy("id").agg(F.min_by("early", F.struct("es", "early")).alias("_k"))
-    final = decided.join(claim, "id", "left").select(F.col("id").alias("_cid"), F.coalesce("_k", "kept_id").alias("kept_id"))
-    return sites.join(contents(sites, SEQ).withColumnRenamed("id", "_cid"), SEQ).join(final, "_cid").select("id", "kept_id")
+    return decided.join(claim, "id", "left").filter("id <> kept_id").select("id", F.coalesce("_k", "kept_id").alias("kept_id"))
 
 
 def consolidate_collapsed(calls: DataFrame, clusters: DataFrame, min_jaccard: float = 0.0, vid="id"):
     """(clusters, calls) after collapsing: removed sites whose carriers overlap too little come back
-    on their own; ref or missing calls of the kept site are filled from removed ones; ``merge_count``
+    on their own (two sites without carriers are equal); ref or missing calls of the kept site are filled from removed ones; ``merge_count``
     and ``merge_type`` describe each kept site."""
     cl = clusters
     if min_jaccard > 0:
@@ -364,7 +394,7 @@ def consolidate_collapsed(calls: DataFrame, clusters: DataFrame, min_jaccard: fl
              .join(n.select(F.col(vid).alias("kept_id"), F.col("n").alias("_b")), "kept_id", "left"))
         inter = F.coalesce("_i", F.lit(0))
         union = F.coalesce("_a", F.lit(0)) + F.coalesce("_b", F.lit(0)) - inter
-        low = j.filter(F.coalesce(F.try_divide(inter, union), F.lit(0.0)) < min_jaccard).select(vid, F.lit(True).alias("_low"))
+        low = j.filter(F.coalesce(F.try_divide(inter, union), F.lit(1.0)) < min_jaccard).select(vid, F.lit(True).alias("_low"))
         cl = clusters.join(low, vid, "left").withColumn("kept_id", F.when(F.col("_low"), F.col(vid)).otherwise(F.col("kept_id"))).drop("_low")
     cl = cut_lineage(cl)
     info = cl.groupBy("kept_id").agg(F.count("*").alias("merge_count")).withColumn("merge_type", F.when(F.col("merge_count") > 1, "COLLAPSED").otherwise("UNIQUE"))

@@ -189,7 +189,13 @@ TYPE_RANK = {"DEL": 2, "INS": 1, "SNV": 0, "OTHER": -1}
 
 
 def haplotype_calls(calls: DataFrame) -> DataFrame:
-    """Phased alt alleles as closed reference spans, one row per carrying haplotype."""
+    """Phased alt alleles as closed reference spans, one row per carrying haplotype.
+
+    Repeat sites and sites inside repeats (``tr_enveloped``, where given) take no part.
+    """
+    calls = calls.filter("allele_type <> 'trv'")
+    if "tr_enveloped" in calls.columns:
+        calls = calls.filter("NOT coalesce(tr_enveloped, false)")
     t, n = F.lower("allele_type"), F.abs("allele_length")
     kind = F.when(n == 0, "SNV").when(t.contains("del"), "DEL").when(t.contains("ins") | t.contains("dup"), "INS").otherwise("OTHER")
     hap = F.filter(F.array(F.lit(1), F.lit(2)), lambda h: F.coalesce(F.try_element_at(F.col("gt"), h) > 0, F.lit(False)))
@@ -218,12 +224,14 @@ def cleared_calls(calls: DataFrame) -> DataFrame:
 
 
 def clear_calls(calls: DataFrame, cleared: DataFrame, vid="id") -> DataFrame:
-    """Listed calls lose GT and every other call field."""
+    """Listed calls lose GT, phase and every other call field."""
     x = calls.join(cleared.select(vid, "sample").distinct().withColumn("_x", F.lit(True)), [vid, "sample"], "left")
     kinds = dict(calls.dtypes)
     null2 = F.array(F.lit(None).cast("int"), F.lit(None).cast("int"))
     cols = {"gt": F.when(F.col("_x"), null2).otherwise(F.col("gt"))}
-    for f in ("gq", "ad", "pl", "ev", "bev"):
+    if "phased" in kinds:
+        cols["phased"] = F.col("_x").isNull() & F.col("phased")
+    for f in ("gq", "ad", "pl", "dp", "ev", "bev"):
         if f in kinds:
             cols[f] = F.when(F.col("_x").isNull(), F.col(f))
     return x.withColumns(cols).drop("_x")

@@ -167,22 +167,23 @@ def stab_max(points: DataFrame, intervals: DataFrame, pos: str, start: str, end:
     return (asked.join(best, [*by, "_lv", "_nd"]).groupBy(*by, pos).agg(F.max("_best").alias("top")))
 
 
-def number_rows(df: DataFrame, key: list[str], order: str, out: str, count: str | None = None,
+def number_rows(df: DataFrame, key: list[str], order: str | list[str], out: str, count: str | None = None,
                 chunk: int = 1 << 20) -> DataFrame:
-    """1-based rank of each row within ``key`` by the unique integer ``order``.
+    """1-based rank of each row within ``key`` by the unique integer ``order`` (or columns that start with an integer).
 
     Rows are ranked inside ``(key, order div chunk)``, which can hold at most
-    ``chunk`` rows, and shifted by the counts of earlier chunks; a key owning
+    ``chunk`` values of the integer, and shifted by the counts of earlier chunks; a key owning
     most of the table is therefore spread over many tasks.
     """
-    d = df.withColumn("_ch", F.floor(F.col(order) / chunk))
+    order = [order] if isinstance(order, str) else list(order)
+    d = df.withColumn("_ch", F.expr(f"CAST(`{order[0]}` AS BIGINT) DIV {chunk}"))
     per = d.groupBy(*key, "_ch").agg(F.count("*").alias("_n"))
     w = W.partitionBy(*key).orderBy("_ch")
     shift = per.select(*key, "_ch",
                        F.coalesce(F.sum("_n").over(w.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_s"),
                        F.sum("_n").over(W.partitionBy(*key)).alias("_t"))
     nul = [F.col("d." + k).eqNullSafe(F.col("s." + k)) for k in [*key, "_ch"]]
-    rank = F.row_number().over(W.partitionBy(*key, "_ch").orderBy(order))
+    rank = F.row_number().over(W.partitionBy(*key, "_ch").orderBy(*order))
     cond = reduce(lambda x, y: x & y, nul)
     ranked = d.withColumn("_r", rank).alias("d").join(shift.alias("s"), cond)
     cols = [F.col("d." + x) for x in df.columns] + [(F.col("_r") + F.col("_s")).cast("bigint").alias(out)]

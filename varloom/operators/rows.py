@@ -7,7 +7,7 @@ push down to the scan, except the id operators, which rank rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions import genotype as g
 from ..functions.alleles import c, contig_sort, id_base, id_suffix, size_similarity, trim_alleles
@@ -235,13 +235,13 @@ def abs_svlen(df: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ ids
 
-def _suffix_repeats(df: DataFrame, base: Column, order: str) -> DataFrame:
+def _suffix_repeats(df: DataFrame, base: Column, order: str | list[str]) -> DataFrame:
     n = number_rows(df.withColumn("_base", base), ["_base"], order, "_k", count="_n")
     vid = F.when(F.col("_n") > 1, F.concat_ws("_", "_base", F.col("_k").cast("string"))).otherwise(F.col("_base"))
     return n.withColumn("id", vid).drop("_base", "_k", "_n")
 
 
-def assign_ids(df: DataFrame, order: str = "file_pos") -> DataFrame:
+def assign_ids(df: DataFrame, order: str | list[str] = "file_pos") -> DataFrame:
     """SNV ``chrom-pos-ref-alt``, others ``chrom-pos-TYPE-|len|``; repeats get ``_1.._n`` in file order."""
     snv = F.lower("allele_type") == "snv"
     base = F.when(snv, F.concat_ws("-", "chrom", "pos", "ref", "alt")).otherwise(
@@ -274,12 +274,19 @@ def decrement_tr_ids(df: DataFrame) -> DataFrame:
 
 
 def reassign_suffixes(df: DataFrame, order: str = "file_pos") -> DataFrame:
-    """Per position: a lone base id loses its suffix, repeated ones are numbered by old suffix, then file order."""
+    """Per position: a lone base id loses its suffix, repeated ones are numbered by old suffix, then file order.
+
+    Rows are ranked among those of their suffix and shifted by the counts of smaller suffixes.
+    """
     key = ["chrom", "pos", "_base"]
-    d = df.withColumn("_base", id_base("id")).withColumn("_o", id_suffix("id").cast("bigint") * F.lit(1 << 36) + F.col(order))
-    n = number_rows(d, key, "_o", "_k", count="_n")
-    vid = F.when(F.col("_n") > 1, F.concat_ws("_", "_base", F.col("_k").cast("string"))).otherwise(F.col("_base"))
-    return n.withColumn("id", vid).drop("_base", "_o", "_k", "_n")
+    d = df.withColumn("_base", id_base("id")).withColumn("_o", id_suffix("id").cast("bigint"))
+    n = number_rows(d, [*key, "_o"], order, "_k")
+    per = d.groupBy(*key, "_o").agg(F.count("*").alias("_c"))
+    w = W.partitionBy(*key)
+    shift = per.select(*key, "_o", F.coalesce(F.sum("_c").over(w.orderBy("_o").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_s"), F.sum("_c").over(w).alias("_n"))
+    n = n.join(shift, [*key, "_o"])
+    vid = F.when(F.col("_n") > 1, F.concat_ws("_", "_base", (F.col("_k") + F.col("_s")).cast("string"))).otherwise(F.col("_base"))
+    return n.withColumn("id", vid).select(*df.columns)
 
 
 def sort_same_position(df: DataFrame) -> DataFrame:

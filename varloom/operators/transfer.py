@@ -184,10 +184,14 @@ def allele_key(df: DataFrame) -> DataFrame:
 
 def fill_phased_genotypes(phased: DataFrame, unphased: DataFrame, fields=("ad", "dp", "gq"),
                           key=("chrom", "pos", "uref", "ualt", "sample")) -> DataFrame:
-    """On sites both sets hold, missing GTs come from the unphased set and its other fields win."""
+    """On sites both sets hold, GTs without an alt and not fully called come from the unphased set and its other fields win.
+
+    Such are calls with no allele, half-missing ones whose called side is the reference, and a lone reference allele.
+    """
     key = list(key)
     x = phased.join(_other(unphased, key, ["gt", *fields]), key, "left")
-    x = x.withColumn("gt", F.when(g.all_null("gt") & F.col("o_gt").isNotNull(), F.col("o_gt")).otherwise(F.col("gt")))
+    empty = g.all_null("gt") | (~g.is_carrier("gt") & (g.has_null("gt") | (F.size("gt") == 1)))
+    x = x.withColumn("gt", F.when(empty & F.col("o_gt").isNotNull(), F.col("o_gt")).otherwise(F.col("gt")))
     for f in fields:
         x = x.withColumn(f, F.when(F.coalesce("o_hit", F.lit(False)), F.col(f"o_{f}")).otherwise(F.col(f)))
     return _drop_other(x)
@@ -504,8 +508,7 @@ def integrate_callsets(small: DataFrame, large: DataFrame, size: int = 50, tags=
     flagged = F.array_contains("filters", flags[0])
     kept = a.filter(~flagged).unionByName(a.filter(flagged).join(b.select(*k).distinct(), k, "left_anti"))
     u = kept.withColumn("_src", F.lit(0)).unionByName(b.withColumn("_src", F.lit(1)))
-    u = u.withColumn("_order", F.col("file_pos") * 1024 + F.col("alt_index") * 2 + F.col("_src"))
-    return assign_ids(u, "_order").drop("_order", "_src")
+    return assign_ids(u, ["file_pos", "alt_index", "_src"]).drop("_src")
 
 
 # ------------------------------------------------------------------ reads and pairs

@@ -60,6 +60,13 @@ SELECT l_partkey AS vid, o_custkey AS sample_id,
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY l_partkey, o_custkey
 """
 
+# Sites of one to four ALTs: which ALT a call carries follows from the sample.
+VIEWS["multi"] = """
+SELECT vid, sample_id, CAST(vid % 4 AS INT) + 1 AS n_alts, a0 * (1 + CAST(sample_id % (vid % 4 + 1) AS INT)) AS a0,
+  a1 * (1 + CAST(floor(sample_id / 3.0) AS INT) % (CAST(vid % 4 AS INT) + 1)) AS a1, ad_ref, ad_alt, gq, ps, phased
+FROM genotypes
+"""
+
 VIEWS["samples"] = """
 SELECT c_custkey AS sample_id, r_name AS population,
   CASE WHEN c_custkey % 2 = 0 THEN 'male' ELSE 'female' END AS sex, n_name AS cohort, c_mktsegment AS family

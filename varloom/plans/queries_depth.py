@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import callers as ca, depth as d, reports as rp
+from ..session import scratch
 from ..sources import readers, writers
 from .register import query
 
@@ -42,22 +43,20 @@ SELECT CAST(b.st + 1 AS INT) AS st, b.en, round(sum(depth) / max(n.n), 4) AS mea
 FROM b JOIN depth_runs r ON r.st <= b.st AND b.st < r.en CROSS JOIN n WHERE b.en IS NOT NULL GROUP BY b.st, b.en
 """)
 def cohort_coverage(t):
-    n = t.depth_runs.select("sample_id").distinct().count()
+    n = t.depth_runs.agg(F.count_distinct("sample_id").alias("n")).scalar()
     c = d.cohort_coverage(runs(t), n, 80, (5, 20))
     return c.select(F.col("start").alias("st"), F.col("end").alias("en"), F.round("mean", 4).alias("mean"), "median", "total", F.round("over_20", 4).alias("over_20"))
 
 
-@query("SELECT sample_id AS sample, CAST(50 + floor((st - 50) / 700.0) * 700 AS INT) AS st, CAST(sum(depth) AS BIGINT) AS depth FROM depth_runs WHERE st >= 50 GROUP BY 1, 2")
+@query("SELECT sample_id AS sample, CAST(floor(st / 700.0) * 700 AS INT) AS st, CAST(sum(depth) AS BIGINT) AS depth FROM depth_runs GROUP BY 1, 2")
 def ploidy_matrix(t):
-    return d.ploidy_matrix(runs(t).filter("start >= 50"), 700).select("sample", F.col("start").alias("st"), "depth")
+    return d.ploidy_matrix(runs(t), 700).select("sample", F.col("start").alias("st"), "depth")
 
 
-@query("""SELECT st, max(CASE WHEN sample_id = 3 THEN depth END) AS s3, max(CASE WHEN sample_id = 7 THEN depth END) AS s7 FROM
- (SELECT r_regionkey AS sample_id, n_nationkey AS st, n_regionkey + n_nationkey AS depth FROM nation CROSS JOIN (SELECT 3 AS r_regionkey UNION ALL SELECT 7) k) x GROUP BY st""")
+@query("SELECT st, max(CASE WHEN sample_id = 3 THEN depth END) AS s3, max(CASE WHEN sample_id = 7 THEN depth END) AS s7 FROM depth_runs GROUP BY st")
 def to_wide_matrix(t):
-    two = t.nation.withColumn("sample", F.explode(F.array(F.lit(3), F.lit(7))))
-    x = two.select("sample", F.col("n_nationkey").alias("st"), (F.col("n_regionkey") + F.col("n_nationkey")).alias("depth"))
-    return d.to_wide_matrix(x, [3, 7], keys=("st",)).withColumnsRenamed({"3": "s3", "7": "s7"})
+    x = t.depth_runs.select(F.col("sample_id").alias("sample"), "st", "depth")
+    return d.to_wide_matrix(x, [3, 7], keys=("st",), check=False).withColumnsRenamed({"3": "s3", "7": "s7"})
 
 
 METH = "SELECT chrom, st, en, concat('s', CAST(fid % 3 AS STRING)) AS sample, CAST(fid AS INT) AS score FROM features UNION ALL SELECT chrom, st, en, concat('s', CAST((fid + 1) % 3 AS STRING)), CAST(fid + 5 AS INT) FROM features"
@@ -105,8 +104,9 @@ def ploidy_scores(t):
 
 @query()
 def dosage_batches(t):
-    b = runs(t).withColumn("bin", F.least(F.floor(F.col("start") / 200), F.lit(39)))
-    return d.dosage_batches(b, 40, 4, components=5)
+    b = runs(t).withColumn("bin", F.floor(F.col("start") / 200))
+    bins = b.agg(F.max("bin")).first()[0] + 1  # a cohort's runs end where its longest sample does
+    return d.dosage_batches(b, bins, 4, components=5)
 
 
 @query("""
@@ -326,34 +326,45 @@ def distinct_contigs_and_samples(t):
 
 # ------------------------------------------------------------------ text forms
 
-@query("""SELECT vid, sample, a0, a1, phased, ad_alt, gq FROM (SELECT vid, CAST(sample_id AS STRING) AS sample, a0, a1, phased, ad_alt, gq FROM genotypes) x""")
+@query("""SELECT vid, concat('s', CAST(sample_id % 5 AS STRING)) AS sample, a0, a1, phased, ad_alt, gq,
+ row_number() OVER (ORDER BY floor(vid / 2000.0), sample_id % 5, vid, sample_id) - 1 + dense_rank() OVER (ORDER BY floor(vid / 2000.0), sample_id % 5) AS file_pos FROM genotypes""")
 def read_vcf_calls(t):
-    """Calls written as VCF text lines and parsed back, one line per call with its own sample column."""
+    """Calls written as VCF files, each with a header that names its own sample, and read back in file order."""
     al = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("."))
     text = F.concat_ws(":", F.concat(al("a0"), F.when(F.col("phased"), "|").otherwise("/"), al("a1")), F.concat_ws(",", "ad_ref", "ad_alt"), F.col("gq").cast("string"))
-    g = t.genotypes.withColumn("text", text).join(t.sites, "vid")
-    s = g.select("chrom", "pos", F.concat_ws("/", F.col("vid").cast("string"), F.col("sample_id").cast("string")).alias("id"), "ref", F.array("alt").alias("alts"), "qual",
-                 F.split("filter_text", ";").alias("filters"), F.array("text").alias("calls"), "vid")
-    body = writers.vcf_body(s, ["vid"], ["GT", "AD", "GQ"], "calls").withColumn("file_pos", F.monotonically_increasing_id())
-    c = readers.calls_of(readers.parse_vcf(body, ["s"]))
-    part = F.split("id", "/")
-    return c.select(part[0].cast("bigint").alias("vid"), part[1].alias("sample"), F.get("gt", F.lit(0)).alias("a0"), F.get("gt", F.lit(1)).alias("a1"), "phased", F.get("ad", F.lit(1)).alias("ad_alt"), "gq")
+    shard = F.format_string("%06d-%d", F.floor(F.col("vid") / 2000).cast("int"), (F.col("sample_id") % 5).cast("int"))
+    g = t.genotypes.withColumns({"text": text, "shard": shard, "label": F.concat(F.lit("s"), (F.col("sample_id") % 5).cast("string"))}).join(t.sites, "vid")
+    s = g.select("chrom", "pos", F.concat_ws("/", F.col("vid").cast("string"), F.col("sample_id").cast("string")).alias("id"), "ref",
+                 F.array("alt").alias("alts"), "qual", F.split("filter_text", ";").alias("filters"), F.array("text").alias("calls"), "vid", "shard", "label", "sample_id")
+    body = writers.vcf_lines_of(s, ["vid"], ["GT", "AD", "GQ"], "calls", ["shard", "vid", "sample_id"])
+    head = s.select("shard", "label").distinct().select("shard", F.lit(-1).cast("bigint").alias("vid"), F.lit(-1).cast("bigint").alias("sample_id"), writers.vcf_header(F.array("label")).alias("value"))
+    path = scratch(t.spark, "vcf")
+    lines = body.select("shard", "vid", "sample_id", "value").unionByName(head).repartition("shard").sortWithinPartitions("shard", "vid", "sample_id")
+    lines.select("shard", "value").write.partitionBy("shard").text(path)
+    c = readers.calls_of(readers.read_vcf(t.spark, path))
+    return c.select(F.split("id", "/")[0].cast("bigint").alias("vid"), "sample", F.get("gt", F.lit(0)).alias("a0"), F.get("gt", F.lit(1)).alias("a1"), "phased", F.get("ad", F.lit(1)).alias("ad_alt"), "gq", "file_pos")
 
 
 @query("SELECT id, chrom, pos, ref, alt, CAST(qual AS DOUBLE) AS qual, filter_text AS filters, CAST(size AS STRING) AS size FROM sites")
 def write_vcf_text(t):
     s = t.sites.select("chrom", "pos", "id", "ref", F.array("alt").alias("alts"), "qual", F.split("filter_text", ";").alias("filters"), F.col("size").alias("SIZE"))
-    v = readers.parse_vcf(writers.vcf_body(s, ["SIZE"]).withColumn("file_pos", F.lit(0)), [])
+    path = scratch(t.spark, "sites")
+    writers.write_vcf_text(writers.vcf_body(s, ["SIZE"]), path)
+    v = readers.read_vcf(t.spark, path)
     return v.select("id", "chrom", "pos", "ref", F.array_join("alts", ",").alias("alt"), "qual", F.array_join("filters", ";").alias("filters"), F.col("info")["SIZE"].alias("size"))
 
 
 @query("SELECT id AS locus_id, chrom, pos AS st, pos + length(ref) AS en, motif FROM sites WHERE size > 3")
 def read_tr_catalog_json(t):
     e = t.sites.select(F.col("id").alias("LocusId"), F.when(F.col("size") > 3, F.concat("chrom", F.lit(":"), F.col("pos").cast("string"), F.lit("-"), (F.col("pos") + F.length("ref")).cast("string"))).otherwise("n/a").alias("MainReferenceRegion"), F.col("motif").alias("RepeatUnit"))
-    return readers.tr_loci(e).withColumnsRenamed({"start": "st", "end": "en"})
+    path = scratch(t.spark, "catalog")
+    e.write.json(path)
+    return readers.read_tr_catalog_json(t.spark, path, multiline=False).withColumnsRenamed({"start": "st", "end": "en"})
 
 
 @query("SELECT id AS trid, chrom, pos AS st, motif FROM sites")
 def read_tr_catalog_bed(t):
     b = t.sites.select("chrom", F.col("pos").alias("start"), (F.col("pos") + 1).alias("end"), F.concat(F.lit("ID="), "id", F.lit(";MOTIFS="), "motif").alias("attributes"))
-    return readers.tr_attributes(b).select("trid", "chrom", F.col("start").alias("st"), F.col("attrs")["MOTIFS"].alias("motif"))
+    path = scratch(t.spark, "catalog")
+    b.write.csv(path, sep="\t")
+    return readers.read_tr_catalog_bed(t.spark, path).select("trid", "chrom", F.col("start").alias("st"), F.col("attrs")["MOTIFS"].alias("motif"))

@@ -54,36 +54,50 @@ def hwe(t):
 
 
 AF = """
-c AS (SELECT g.*, s.chrom, m.population AS pop, m.sex, s.chrom IN ('chrX', 'chrY') AND m.sex = 'male' AS hap,
-  coalesce(a0, 0) + coalesce(a1, 0) AS n, CASE WHEN a0 IS NULL THEN 0 ELSE 1 END + CASE WHEN a1 IS NULL THEN 0 ELSE 1 END AS k
-  FROM genotypes g JOIN sites s USING (vid) JOIN samples m USING (sample_id) WHERE NOT (s.chrom = 'chrY' AND m.sex = 'female')),
-f AS (SELECT vid, chrom, coalesce(pop, 'all') AS population, coalesce(sex, 'all') AS sex, CAST(sum(CASE WHEN hap THEN least(n, 1) ELSE n END) AS BIGINT) AS ac,
+c AS (SELECT g.*, m.population AS pop, m.sex, s.chrom IN ('chrX', 'chrY') AND m.sex = 'male' AS hap,
+  CASE WHEN a0 > 0 THEN 1 ELSE 0 END + CASE WHEN a1 > 0 THEN 1 ELSE 0 END AS n, CASE WHEN a0 IS NULL THEN 0 ELSE 1 END + CASE WHEN a1 IS NULL THEN 0 ELSE 1 END AS k
+  FROM multi g JOIN sites s USING (vid) JOIN samples m USING (sample_id) WHERE NOT (s.chrom = 'chrY' AND m.sex = 'female')),
+f AS (SELECT vid, max(n_alts) AS n_alts, coalesce(pop, 'all') AS population, coalesce(sex, 'all') AS sex,
  CAST(sum(CASE WHEN hap THEN least(k, 1) ELSE k END) AS BIGINT) AS an, sum(CASE WHEN hap THEN 1 ELSE 2 END) AS slots,
  count(*) FILTER (k = 2 AND NOT hap AND n = 1) AS nhet, count(*) FILTER (k = 2 AND n >= CASE WHEN hap THEN 1 ELSE 2 END) AS nhomalt, count(*) FILTER (k = 2 AND n = 0) AS nhomref
- FROM c GROUP BY GROUPING SETS ((vid, chrom, pop, sex), (vid, chrom, pop), (vid, chrom, sex), (vid, chrom)))"""
+ FROM c GROUP BY GROUPING SETS ((vid, pop, sex), (vid, pop), (vid, sex), (vid))),
+d AS (SELECT vid, pop, sex, hap, a0 AS al FROM c WHERE a0 > 0 UNION ALL SELECT vid, pop, sex, hap, a1 FROM c WHERE a1 > 0 AND NOT (hap AND a0 IS NOT NULL AND a0 = a1)),
+m AS (SELECT vid, coalesce(pop, 'all') AS population, coalesce(sex, 'all') AS sex, al, count(*) AS ac FROM d GROUP BY GROUPING SETS ((vid, al, pop, sex), (vid, al, pop), (vid, al, sex), (vid, al))),
+z AS (SELECT f.vid, f.n_alts, f.population, f.sex, al.al AS allele, coalesce(ac, 0) AS ac, an, slots, nhet, nhomalt, nhomref
+ FROM f JOIN (SELECT 1 AS al UNION ALL SELECT 2 UNION ALL SELECT 3 UNION ALL SELECT 4) al ON al.al <= f.n_alts
+ LEFT JOIN m ON m.vid = f.vid AND m.population = f.population AND m.sex = f.sex AND m.al = al.al)"""
 
 
 @query(f"""
-WITH {AF}, gm AS (SELECT vid, population AS grpmax FROM (SELECT *, row_number() OVER (PARTITION BY vid ORDER BY ac / an DESC, population) AS n FROM f
-  WHERE sex = 'all' AND population <> 'all' AND ac > 0) z WHERE n = 1)
-SELECT s.id, f.population, f.sex, s.allele_type, f.ac, f.an, round(f.ac / nullif(f.an, 0), 6) AS af, round(1 - f.an / nullif(f.slots, 0), 6) AS ncr, f.nhet, f.nhomalt, f.nhomref,
- round(f.nhet / nullif(f.nhet + f.nhomalt + f.nhomref, 0), 6) AS freq_het, gm.grpmax FROM f JOIN sites s USING (vid) LEFT JOIN gm USING (vid)
+WITH {AF}, gm AS (SELECT vid, population AS grpmax FROM (SELECT *, row_number() OVER (PARTITION BY vid ORDER BY ac / an DESC, population) AS n FROM z
+  WHERE sex = 'all' AND population <> 'all' AND ac > 0 AND n_alts = 1) q WHERE n = 1)
+SELECT s.id, z.population, z.sex, z.allele, s.allele_type, z.ac, z.an, round(z.ac / nullif(z.an, 0), 6) AS af, round(1 - z.an / nullif(z.slots, 0), 6) AS ncr,
+ CASE WHEN n_alts = 1 THEN z.nhet END AS nhet, CASE WHEN n_alts = 1 THEN z.nhomalt END AS nhomalt, CASE WHEN n_alts = 1 THEN z.nhomref END AS nhomref,
+ CASE WHEN n_alts = 1 THEN round(z.nhet / nullif(z.nhet + z.nhomalt + z.nhomref, 0), 6) END AS freq_het, gm.grpmax FROM z JOIN sites s USING (vid) LEFT JOIN gm USING (vid)
 """)
 def allele_frequencies(t):
     k = t.sites.select("vid", "chrom")
-    f = q.allele_frequencies(calls(t).join(k, "vid"), people(t), ["vid", "chrom"])
-    top = q.grpmax(f, ["vid"]).select("vid", "grpmax")
-    out = f.join(t.sites.select("vid", "id", "allele_type"), "vid").join(top, "vid", "left")
-    return rounded(out.select("id", "population", "sex", "allele_type", "ac", "an", "af", "ncr", "nhet", "nhomalt", "nhomref", "freq_het", "grpmax"), "af", "ncr", "freq_het")
+    c = calls(t, "multi").join(t.multi.select("vid", "n_alts").distinct(), "vid")
+    f = q.allele_frequencies(c.join(k, "vid"), people(t), ["vid", "chrom"])
+    out = f.join(t.sites.select("vid", "id", "allele_type"), "vid")
+    return rounded(out.select("id", "population", "sex", "allele", "allele_type", "ac", "an", "af", "ncr", "nhet", "nhomalt", "nhomref", "freq_het", "grpmax"), "af", "ncr", "freq_het")
 
 
-TAGS = """tags AS (SELECT vid, sum(coalesce(a0, 0) + coalesce(a1, 0)) AS ac, sum(CASE WHEN a0 IS NULL THEN 0 ELSE 1 END + CASE WHEN a1 IS NULL THEN 0 ELSE 1 END) AS an FROM genotypes GROUP BY vid)"""
+TAGS = """k AS (SELECT vid, max(n_alts) AS n_alts, sum(CASE WHEN a0 IS NULL THEN 0 ELSE 1 END + CASE WHEN a1 IS NULL THEN 0 ELSE 1 END) AS an FROM multi GROUP BY vid),
+d AS (SELECT vid, al, count(*) AS ac FROM (SELECT vid, a0 AS al FROM multi UNION ALL SELECT vid, a1 FROM multi) q WHERE al > 0 GROUP BY vid, al),
+tags AS (SELECT k.vid, x.al AS allele, coalesce(ac, 0) AS ac, an FROM k JOIN (SELECT 1 AS al UNION ALL SELECT 2 UNION ALL SELECT 3 UNION ALL SELECT 4) x ON x.al <= k.n_alts
+ LEFT JOIN d ON d.vid = k.vid AND d.al = x.al),
+rates AS (SELECT vid, ac / nullif(an, 0) AS f FROM tags UNION ALL SELECT vid, 1 - sum(ac / nullif(an, 0)) FROM tags GROUP BY vid),
+second AS (SELECT vid, f AS maf FROM (SELECT vid, f, row_number() OVER (PARTITION BY vid ORDER BY f DESC NULLS LAST) AS n FROM rates) r WHERE n = 2)"""
 
 
-@query(f"""WITH {TAGS} SELECT vid, CAST(ac AS BIGINT) AS ac, CAST(an AS BIGINT) AS an, round(ac / nullif(an, 0), 6) AS af,
- round(least(ac / nullif(an, 0), 1 - ac / nullif(an, 0)), 6) AS maf FROM tags""")
+def tag_calls(t):
+    return t.multi.select("vid", F.array("a0", "a1").alias("gt"), "n_alts")
+
+
+@query(f"""WITH {TAGS} SELECT vid, allele, CAST(ac AS BIGINT) AS ac, CAST(an AS BIGINT) AS an, round(ac / nullif(an, 0), 6) AS af, round(maf, 6) AS maf FROM tags LEFT JOIN second USING (vid)""")
 def fill_tags(t):
-    return rounded(q.fill_tags(calls(t), ["vid"]), "af", "maf")
+    return rounded(q.fill_tags(tag_calls(t), ["vid"]), "af", "maf")
 
 
 @query("SELECT vid, sample_id AS sample, concat(CAST(coalesce(a0, 0) AS STRING), '/', CAST(coalesce(a1, 0) AS STRING)) AS gt FROM genotypes")
@@ -91,9 +105,9 @@ def set_missing_to_ref(t):
     return q.set_missing_to_ref(calls(t)).select("vid", "sample", gt_text().alias("gt"))
 
 
-@query(f"WITH {TAGS} SELECT vid FROM tags WHERE ac / an >= 0.55 AND ac > 20")
+@query(f"WITH {TAGS} SELECT DISTINCT vid FROM tags WHERE ac / an >= 0.3 AND ac > 12")
 def common_filter(t):
-    return q.common_filter(calls(t), ["vid"], "af >= 0.55 and ac > 20").select("vid")
+    return q.common_filter(tag_calls(t), ["vid"], "af >= 0.3 and ac > 12")
 
 
 @query("""
@@ -283,9 +297,20 @@ def phase_status_matrix(t):
     return ph.phase_status_matrix(site_calls(t), statuses(t), people(t).filter("population = 'ASIA'")).select("id", "sample", "phase_status")
 
 
-HAPS = """h AS (SELECT s.chrom, g.sample_id, u.hap, s.id, s.pos AS st, s.pos + length(s.ref) AS en, gq, s.qual, s.file_pos, abs(s.allele_length) AS n,
+# Sites folded onto three short stretches, so that calls of a sample overlap often.
+CROWD = "concat('chr', CAST(vid % 3 + 1 AS STRING)) AS chrom, pos % 400 AS pos"
+
+
+def crowded_calls(t):
+    s = t.sites.select("vid", "id", "ref", "allele_type", "allele_length", "qual", "file_pos", *[F.expr(x) for x in ("concat('chr', CAST(vid % 3 + 1 AS STRING)) AS chrom", "pos % 400 AS pos")])
+    return calls(t).join(s, "vid")
+
+
+HAPS = f"""s AS (SELECT vid, id, ref, allele_type, allele_length, qual, file_pos, {CROWD} FROM sites WHERE allele_type <> 'trv'),
+w AS (SELECT vid, sample_id, gq, 1 AS hap FROM genotypes WHERE phased AND a0 > 0 UNION ALL SELECT vid, sample_id, gq, 2 FROM genotypes WHERE phased AND a1 > 0),
+h AS (SELECT s.chrom, w.sample_id, w.hap, s.id, s.pos AS st, s.pos + length(s.ref) AS en, gq, s.qual, s.file_pos, abs(s.allele_length) AS n,
   CASE WHEN s.allele_length = 0 THEN 'SNV' WHEN s.allele_type LIKE '%del%' THEN 'DEL' WHEN s.allele_type LIKE '%ins%' OR s.allele_type LIKE '%dup%' THEN 'INS' ELSE 'OTHER' END AS kind
-  FROM genotypes g JOIN sites s USING (vid) JOIN (SELECT 1 AS hap UNION ALL SELECT 2) u ON (u.hap = 1 AND g.a0 > 0) OR (u.hap = 2 AND g.a1 > 0) WHERE g.phased),
+  FROM w JOIN s USING (vid)),
 r AS (SELECT *, CASE kind WHEN 'DEL' THEN 2 WHEN 'INS' THEN 1 WHEN 'SNV' THEN 0 ELSE -1 END AS kr FROM h),
 o AS (SELECT a.sample_id AS sample, a.hap AS haplotype, a.id AS retained, a.kind AS type_retained, b.id AS cleared, b.kind AS type_cleared FROM r a JOIN r b
   ON a.chrom = b.chrom AND a.sample_id = b.sample_id AND a.hap = b.hap AND a.id <> b.id AND a.st < b.en AND b.st < a.en
@@ -294,17 +319,18 @@ o AS (SELECT a.sample_id AS sample, a.hap AS haplotype, a.id AS retained, a.kind
 
 @query(f"WITH {HAPS} SELECT * FROM o")
 def haplotype_overlaps(t):
-    return ph.haplotype_overlaps(site_calls(t))
+    return ph.haplotype_overlaps(crowded_calls(t))
 
 
 @query(f"WITH {HAPS} SELECT DISTINCT cleared AS id, sample FROM o")
 def cleared_calls(t):
-    return ph.cleared_calls(site_calls(t))
+    return ph.cleared_calls(crowded_calls(t))
 
 
 @query(f"""WITH {HAPS}, x AS (SELECT DISTINCT cleared AS id, sample FROM o)
-SELECT s.id, g.sample_id AS sample, CASE WHEN x.id IS NOT NULL THEN './.' ELSE {GT.format('a0', 'a1')} END AS gt, CASE WHEN x.id IS NULL THEN gq END AS gq
+SELECT s.id, g.sample_id AS sample, CASE WHEN x.id IS NOT NULL THEN './.' ELSE {GT.format('a0', 'a1')} END AS gt, CASE WHEN x.id IS NULL THEN gq END AS gq,
+ CASE WHEN x.id IS NULL THEN ad_ref + ad_alt END AS dp, phased AND x.id IS NULL AS phased
 FROM genotypes g JOIN sites s USING (vid) LEFT JOIN x ON x.id = s.id AND x.sample = g.sample_id""")
 def clear_calls(t):
-    c = site_calls(t)
-    return ph.clear_calls(c, ph.cleared_calls(c)).select("id", "sample", gt_text().alias("gt"), "gq")
+    c = crowded_calls(t)
+    return ph.clear_calls(c, ph.cleared_calls(c)).select("id", "sample", gt_text().alias("gt"), "gq", "dp", "phased")

@@ -123,7 +123,7 @@ def similarity_match(t):
 
 @query()
 def callset_overlap(t):
-    s = t.sites.withColumn("filters", F.split("filter_text", ";")).filter("allele_type <> 'snv'")
+    s = t.sites.withColumn("filters", F.split("filter_text", ";"))
     tr = t.truth.withColumn("filters", F.split("filter_text", ";")).withColumnsRenamed({"ac": "AC", "an": "AN"}).withColumn("nhomalt", F.col("size"))
     sv = tr.withColumns({"N_HOMREF": F.col("size"), "N_HET": F.col("brand_no"), "N_HOMALT": F.lit(0)})
     return m.callset_overlap(s, tr, sv).select("id", "match_type", "truth_id", "AC", "AN", "N_HOMREF", "N_HET", "N_HOMALT")
@@ -136,14 +136,14 @@ def collapse_input(t):
 
 @query()
 def collapse_sites(t):
-    return m.collapse_sites(collapse_input(t), window=30)
+    return m.collapse_sites(collapse_input(t))
 
 
 @query()
 def consolidate_collapsed(t):
     a = calls(t).join(t.sites.select("vid", "id"), "vid").select("id", "sample", "gt")
     b = calls(t, "genotypes2").join(t.truth.select("vid", "id"), "vid").select("id", "sample", "gt")
-    info, filled = m.consolidate_collapsed(a.unionByName(b), m.collapse_sites(collapse_input(t), window=30), 0.1)
+    info, filled = m.consolidate_collapsed(a.unionByName(b), m.collapse_sites(collapse_input(t)), 0.1)
     n = filled.groupBy("id").agg(F.count("*").alias("n_calls")).withColumnRenamed("id", "kept_id")
     return info.join(n, "kept_id", "left")
 
@@ -169,7 +169,7 @@ def agglomerate(t):
 CALLER = "CASE brand_no % 3 WHEN 0 THEN 'pbsv' WHEN 1 THEN 'delly' ELSE 'sniffles' END"
 CALLS = f"c AS (SELECT r.*, {CALLER} AS caller, an AS ref_depth, u.ac AS alt_depth FROM r JOIN truth u USING (id) WHERE r.len >= 50)"
 SUPPORT = f"""sup AS (SELECT * FROM (SELECT q.id, c.caller, c.ref_depth, c.alt_depth, abs(q.st - c.st) AS d, row_number() OVER (PARTITION BY q.id, c.caller ORDER BY abs(q.st - c.st), c.st, c.id DESC) AS n FROM q JOIN c
-  ON q.chrom = c.chrom AND q.svtype = c.svtype AND c.caller <> 'sniffles') z WHERE n = 1 AND d <= 50)"""
+  ON q.chrom = c.chrom AND q.svtype = c.svtype AND c.caller <> 'sniffles') z WHERE n = 1 AND d <= 500)"""
 
 
 def support_inputs(t):
@@ -181,7 +181,7 @@ def support_inputs(t):
 
 @query(f"WITH {Q}, {CALLS}, {SUPPORT} SELECT id, caller, ref_depth, alt_depth FROM sup")
 def caller_support(t):
-    return m.caller_support(*support_inputs(t), window=50)
+    return m.caller_support(*support_inputs(t))
 
 
 @query(f"""WITH {Q} SELECT svtype, CASE WHEN len < 100 THEN '50-99' WHEN len < 500 THEN '100-499' WHEN len < 5000 THEN '500-4999' ELSE '5000+' END AS bucket, caller, CAST(count(*) AS BIGINT) AS n
@@ -198,7 +198,7 @@ SELECT q.id, b.caller AS bev, e.ev, b.alt_depth, CASE WHEN b.id IS NULL THEN 'NO
 def best_caller(t):
     v, c = support_inputs(t)
     v2 = v.drop("supp").join(t.sites.select("id", F.expr(CALLER).alias("supp")), "id")
-    out = m.best_caller(v2, m.caller_support(v, c, window=50))
+    out = m.best_caller(v2, m.caller_support(v, c))
     return out.select("id", "bev", F.array_join("ev", ",").alias("ev"), F.element_at("ad", 2).alias("alt_depth"), "status")
 
 

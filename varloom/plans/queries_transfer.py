@@ -138,7 +138,7 @@ J = "FROM genotypes a LEFT JOIN (SELECT * FROM genotypes2 WHERE gq >= 30) b USIN
 
 
 @query(f"""
-SELECT vid, sample_id AS sample, CASE WHEN a.a0 IS NULL AND a.a1 IS NULL AND b.gq IS NOT NULL THEN {GT.format('b.a0', 'b.a1')} ELSE {GT.format('a.a0', 'a.a1')} END AS gt,
+SELECT vid, sample_id AS sample, CASE WHEN (a.a0 IS NULL OR a.a1 IS NULL) AND coalesce(a.a0, 0) = 0 AND coalesce(a.a1, 0) = 0 AND b.gq IS NOT NULL THEN {GT.format('b.a0', 'b.a1')} ELSE {GT.format('a.a0', 'a.a1')} END AS gt,
  CASE WHEN b.gq IS NOT NULL THEN b.gq ELSE a.gq END AS gq, CASE WHEN b.gq IS NOT NULL THEN b.ad_alt ELSE a.ad_alt END AS ad_alt {J}
 """)
 def fill_phased_genotypes(t):
@@ -356,19 +356,19 @@ NAT = "SELECT l_partkey AS vid, s_nationkey AS sample, max(CASE WHEN l_returnfla
 
 
 @query(f"""
-WITH a AS ({NAT.format('< 0.02')}), b AS ({NAT.format('> 0.06')}),
+WITH a AS ({NAT.format('< 0.04')}), b AS ({NAT.format('>= 0.04')}),
 v AS (SELECT vid, CAST(count(*) AS BIGINT) AS merge_count FROM (SELECT DISTINCT vid FROM a UNION ALL SELECT DISTINCT vid FROM b) q GROUP BY vid)
 SELECT v.vid, n_nationkey AS sample, merge_count, CASE WHEN a.a0 IS NOT NULL THEN {GT.format('a.a0', 'a.a1')} WHEN b.a0 IS NOT NULL THEN {GT.format('b.a0', 'b.a1')} ELSE '0/0' END AS gt
 FROM v CROSS JOIN nation LEFT JOIN a ON a.vid = v.vid AND a.sample = n_nationkey LEFT JOIN b ON b.vid = v.vid AND b.sample = n_nationkey
 """)
 def merge_cohort(t):
-    a, b = (t.sql(NAT.format(w)).select("vid", "sample", F.array("a0", "a1").alias("gt")) for w in ("< 0.02", "> 0.06"))
+    a, b = (t.sql(NAT.format(w)).select("vid", "sample", F.array("a0", "a1").alias("gt")) for w in ("< 0.04", ">= 0.04"))
     return x.merge_cohort([a, b], t.nation.select(F.col("n_nationkey").alias("sample")), site_key=["vid"]).withColumn("gt", gt_text())
 
 
 @query(f"""
-WITH u AS (SELECT 0 AS st, g.sample, s.chrom, s.pos, s.ref, s.alt, s.file_pos, g.a0, g.a1 FROM ({NAT.format('< 0.02')}) g JOIN sites s USING (vid)
- UNION ALL SELECT 1, g.sample, s.chrom, s.pos, s.ref, {LOW}, s.file_pos, g.a0, g.a1 FROM ({NAT.format('> 0.06')}) g JOIN sites s USING (vid)),
+WITH u AS (SELECT 0 AS st, g.sample, s.chrom, s.pos, s.ref, s.alt, s.file_pos, g.a0, g.a1 FROM ({NAT.format('< 0.04')}) g JOIN sites s USING (vid)
+ UNION ALL SELECT 1, g.sample, s.chrom, s.pos, s.ref, {LOW}, s.file_pos, g.a0, g.a1 FROM ({NAT.format('>= 0.04')}) g JOIN sites s USING (vid)),
 o AS (SELECT chrom, pos, ref, alt, min(st * 100000000 + file_pos) AS o FROM u GROUP BY chrom, pos, ref, alt),
 n AS (SELECT *, CAST(row_number() OVER (PARTITION BY chrom, pos, ref ORDER BY o) AS INT) AS i FROM o),
 l AS (SELECT chrom, pos, ref, string_agg(alt, ',' ORDER BY i) AS alts FROM n GROUP BY chrom, pos, ref)
@@ -378,7 +378,7 @@ FROM u JOIN n USING (chrom, pos, ref, alt) JOIN l ON l.chrom = u.chrom AND l.pos
 def merge_cohort_multiallelic(t):
     k = ["chrom", "pos", "ref", "alt", "file_pos"]
     sets = []
-    for w, alt in (("< 0.02", F.col("alt")), ("> 0.06", F.expr(LOW))):
+    for w, alt in (("< 0.04", F.col("alt")), (">= 0.04", F.expr(LOW))):
         s = t.sites.withColumn("alt", alt).select("vid", *k)
         sets.append(t.sql(NAT.format(w)).join(s, "vid").select("sample", F.array("a0", "a1").alias("gt"), *k))
     return x.merge_cohort_multiallelic(sets).select("chrom", "pos", "ref", F.array_join("alts", ",").alias("alts"), "sample", gt_text().alias("gt"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,15 +26,27 @@ def get_spark(app: str = "varloom", master: str | None = None, **conf: str) -> S
     return b.getOrCreate()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the reliable checkpoint folder and read it back.
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The folder that ``spark.checkpoint.dir`` names, as Spark uses it.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``; only
-    where that is unset (single-machine tests) a temporary one is made.
+    Where it is unset, a single machine gets a temporary one; on a cluster executors would each write to their
+    own disks and later reads fail, so that is an error.
     """
-    spark = df.sparkSession
     sc = spark.sparkContext
     if not sc.getCheckpointDir():
         named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
+        if not named and not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="varloom-ckpt-"))
+    return sc.getCheckpointDir()
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path beside the checkpoints, in the same shared storage."""
+    return f"{checkpoint_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the reliable checkpoint folder and read it back."""
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint(eager=True)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from ..functions.alleles import region_parts
 
@@ -11,44 +11,73 @@ def _null_dot(c: Column) -> Column:
     return F.when(c != ".", c)
 
 
+def _plain(uri: Column) -> Column:
+    """One spelling of a file's address (``file:///x`` and ``file:/x`` are the same)."""
+    return F.regexp_replace(uri, "^([A-Za-z0-9]+):/+", "$1:/")
+
+
+def _files(spark: SparkSession, path) -> list[tuple[str, int]]:
+    """The files behind ``path`` with their rank: as listed, and by name within a folder or pattern."""
+    out: dict[str, int] = {}
+    for p in [path] if isinstance(path, str) else path:
+        for f in sorted(spark.read.text(p).inputFiles()):
+            out.setdefault(f, len(out))
+    return list(out.items())
+
+
 def vcf_lines(spark: SparkSession, path) -> DataFrame:
-    """Raw lines with ``file_pos``: an increasing line number within and across files.
+    """Raw lines with ``file_no`` and ``file_pos``: line numbers that run through the files in order, without gaps.
 
-    A plain text file is split between tasks; a gzip file is one task per file (write shards).
+    ``path`` is a path, a pattern or a list of them. Tasks read files in any order and cut plain text into blocks
+    (a gzip file is one block), so lines are numbered inside their block and shifted by the lines of earlier
+    blocks: one row per block is ordered, however many lines there are.
     """
-    return spark.read.text(path).withColumn("file_pos", F.monotonically_increasing_id())
+    at = F.col("_metadata.file_path"), F.col("_metadata.file_block_start")
+    raw = spark.read.text(path).select("value", _plain(at[0]).alias("_file"), at[1].alias("_block"), F.monotonically_increasing_id().alias("_row"))
+    ranks = spark.createDataFrame(_files(spark, path), "_file string, file_no int").withColumn("_file", _plain(F.col("_file")))
+    blocks = raw.groupBy("_file", "_block").agg(F.min("_row").alias("_first"), F.count("*").alias("_n")).join(ranks, "_file")
+    before = F.sum("_n").over(W.orderBy("file_no", "_block").rowsBetween(W.unboundedPreceding, -1))
+    blocks = blocks.select("_file", "_block", "file_no", "_first", F.coalesce(before, F.lit(0)).alias("_before"))
+    return raw.join(blocks, ["_file", "_block"]).select("value", "file_no", (F.col("_before") + F.col("_row") - F.col("_first")).alias("file_pos"))
 
 
-def vcf_samples(spark: SparkSession, path) -> list[str]:
-    """Sample names of the first column-header line (one row comes to the driver)."""
-    row = spark.read.text(path).filter(F.col("value").startswith("#CHROM")).first()
-    return row["value"].split("\t")[9:] if row else []
+def vcf_samples(lines: DataFrame) -> DataFrame:
+    """(file_no, samples) from each file's own column-header line."""
+    head = lines.filter(F.col("value").startswith("#CHROM")).groupBy("file_no").agg(F.min_by("value", "file_pos").alias("_h"))
+    names = F.split("_h", "\t")
+    return head.select("file_no", F.slice(names, 10, F.greatest(F.size(names) - 9, F.lit(1))).alias("samples"))
 
 
 def read_vcf(spark: SparkSession, path, samples: list[str] | None = None) -> DataFrame:
-    """Sites with genotypes.
+    """Sites with genotypes, each file's calls named by its own header unless ``samples`` is given.
 
     Columns: chrom, pos, id, ref, alts, qual, filters, info (map, flags map to NULL), format,
     genotypes (array<struct<sample, fields map>>), file_pos. Use ``calls_of`` for typed calls.
+    A line with another number of calls than its header names fails the job.
     """
-    names = vcf_samples(spark, path) if samples is None else samples
-    return parse_vcf(vcf_lines(spark, path), names)
+    lines = vcf_lines(spark, path)
+    if samples is not None:
+        return parse_vcf(lines, samples)
+    return parse_vcf(lines.join(vcf_samples(lines), "file_no", "left"))
 
 
-def parse_vcf(lines: DataFrame, names: list[str]) -> DataFrame:
-    """Sites with genotypes from text lines (``value``, ``file_pos``); see ``read_vcf``."""
-    v = lines.filter(~F.col("value").startswith("#")).withColumn("_f", F.split("value", "\t"))
+def parse_vcf(lines: DataFrame, names: list[str] | None = None) -> DataFrame:
+    """Sites with genotypes from text lines (``value``, ``file_pos``, and ``samples`` unless named); see ``read_vcf``."""
+    who = F.coalesce(F.col("samples"), F.array().cast("array<string>")) if names is None else F.array(*[F.lit(s) for s in names]).cast("array<string>")
+    v = lines.filter(~F.col("value").startswith("#")).withColumns({"_f": F.split("value", "\t"), "_who": who})
     f = lambda i: F.get("_f", F.lit(i))
+    odd = F.raise_error(F.concat(F.lit("calls do not match the header at "), f(0), F.lit(":"), f(1))).cast("array<string>")
+    calls = F.slice("_f", 10, F.greatest(F.size("_f") - 9, F.lit(1)))
     d = v.select(
         f(0).alias("chrom"), f(1).cast("int").alias("pos"), _null_dot(f(2)).alias("id"), f(3).alias("ref"),
         F.when(f(4) == ".", F.array().cast("array<string>")).otherwise(F.split(f(4), ",")).alias("alts"),
         f(5).try_cast("double").alias("qual"), F.when(f(6) == ".", F.array().cast("array<string>")).otherwise(F.split(f(6), ";")).alias("filters"),
         F.when(f(7) != ".", F.str_to_map(f(7), F.lit(";"), F.lit("="))).alias("info"), F.split(f(8), ":").alias("format"),
-        F.slice("_f", 10, F.greatest(F.size("_f") - 9, F.lit(1))).alias("_g"), F.size("_f").alias("_n"), "file_pos")
-    who = F.array(*[F.lit(s) for s in names]).cast("array<string>")
-    geno = F.zip_with(who, "_g", lambda s, g: F.struct(s.alias("sample"), F.map_from_arrays(
+        F.when(F.size("_f") <= 9, F.array().cast("array<string>")).when(F.size("_f") - 9 == F.size("_who"), calls).otherwise(odd).alias("_g"), "_who", "file_pos")
+    geno = F.zip_with("_who", "_g", lambda s, g: F.struct(s.alias("sample"), F.map_from_arrays(
         F.slice(F.col("format"), 1, F.size(F.split(g, ":"))), F.split(g, ":")).alias("fields")))
-    return d.withColumn("genotypes", F.when(F.col("_n") > 9, geno).otherwise(F.array().cast("array<struct<sample:string,fields:map<string,string>>>"))).drop("_g", "_n")
+    none = F.array().cast("array<struct<sample:string,fields:map<string,string>>>")
+    return d.withColumn("genotypes", F.when(F.size("_g") > 0, geno).otherwise(none)).drop("_g", "_who")
 
 
 def _ints(c: Column) -> Column:
@@ -81,10 +110,13 @@ def read_bed(spark: SparkSession, paths, extra: dict[str, str] | None = None) ->
     return spark.read.csv(paths, sep="\t", comment="#", schema=schema)
 
 
-def read_tr_catalog_json(spark: SparkSession, path) -> DataFrame:
-    """(locus_id, chrom, start, end, motif); entries without an id or a readable region are skipped."""
+def read_tr_catalog_json(spark: SparkSession, path, multiline: bool = True) -> DataFrame:
+    """(locus_id, chrom, start, end, motif); entries without an id or a readable region are skipped.
+
+    ``multiline`` files hold one array (a task each); with it false, files of an entry a line are split between tasks.
+    """
     schema = "LocusId string, MainReferenceRegion string, RepeatUnit string"
-    return tr_loci(spark.read.json(path, schema=schema, multiLine=True))
+    return tr_loci(spark.read.json(path, schema=schema, multiLine=multiline))
 
 
 def tr_loci(entries: DataFrame) -> DataFrame:

@@ -11,8 +11,19 @@ def _dot(c: Column) -> Column:
     return F.coalesce(c.cast("string"), F.lit("."))
 
 
+def vcf_header(samples: Column) -> Column:
+    """The column-header line for an array of sample names."""
+    fixed = "#CHROM POS ID REF ALT QUAL FILTER INFO FORMAT".split()
+    return F.concat_ws("\t", F.lit("\t".join(fixed)), F.array_join(samples, "\t"))
+
+
 def vcf_body(sites: DataFrame, info: list[str], format_keys: list[str] | None = None, genotypes: str | None = None) -> DataFrame:
-    """One text line per site. ``info`` columns become ``KEY=value`` (true flags just ``KEY``);
+    """One text line per site with its place, for ``write_vcf_text``; see ``vcf_lines_of``."""
+    return vcf_lines_of(sites, info, format_keys, genotypes, ["chrom", "pos"])
+
+
+def vcf_lines_of(sites: DataFrame, info: list[str], format_keys: list[str] | None, genotypes: str | None, beside: list[str]) -> DataFrame:
+    """The columns ``beside`` and a text line per site. ``info`` columns become ``KEY=value`` (true flags just ``KEY``);
     ``genotypes`` is an array of already formatted call strings."""
     kinds = dict(sites.dtypes)
     parts = [F.when(F.col(k), F.lit(k)) if kinds[k] == "boolean" else F.concat(F.lit(f"{k}="), F.col(k).cast("string")) for k in info]
@@ -21,7 +32,7 @@ def vcf_body(sites: DataFrame, info: list[str], format_keys: list[str] | None =
             _dot(F.col("qual")), F.coalesce(F.nullif(F.array_join("filters", ";"), F.lit("")), F.lit(".")), F.coalesce(F.nullif(text, F.lit("")), F.lit("."))]
     if genotypes:
         cols += [F.lit(":".join(format_keys or ["GT"])), F.array_join(genotypes, "\t")]
-    return sites.select("chrom", "pos", F.concat_ws("\t", *cols).alias("value"))
+    return sites.select(*beside, F.concat_ws("\t", *cols).alias("value"))
 
 
 def write_vcf_text(body: DataFrame, path: str, partitions: int | None = None, compression: str = "gzip") -> None:
@@ -51,8 +62,10 @@ def write_site_table(df: DataFrame, path: str, bin_size: int = 10_000_000) -> No
     d.repartitionByRange("chrom", "pos").sortWithinPartitions("chrom", "pos").write.mode("overwrite").partitionBy("chrom", "region_bin").parquet(path)
 
 
-def write_per_sample(calls: DataFrame, path: str) -> None:
-    calls.write.mode("overwrite").partitionBy("sample").parquet(path)
+def write_per_sample(calls: DataFrame, path: str, salts: int = 4) -> None:
+    """One folder a sample, of at most ``salts`` files: a sample's rows are dealt to that many tasks."""
+    salt = F.pmod(F.xxhash64(*calls.columns), F.lit(salts))
+    calls.repartition("sample", salt).write.mode("overwrite").partitionBy("sample").parquet(path)
 
 
 def shard_by_records(df: DataFrame, path: str, records: int) -> None:
