@@ -66,6 +66,15 @@ def test_exact_binomial_p(spark):
         assert row["p"] == pytest.approx(want, rel=1e-8, abs=1e-300)
 
 
+def test_error_function(spark):
+    import math
+
+    xs = [0.0, 1e-9, 0.3, 1.0, 1.9999, 2.0, 2.5, 5.0, 9.0, -0.7, -3.0]
+    got = [r[0] for r in spark.createDataFrame([(x,) for x in xs], "x double").select(stats.erfc(F.col("x"))).collect()]
+    assert all(abs(g - math.erfc(x)) <= 1e-11 * max(math.erfc(x), 1e-3) for g, x in zip(got, xs))
+    assert spark.sql("SELECT CAST(NULL AS DOUBLE) AS x").select(stats.erfc(F.col("x"))).first()[0] is None
+
+
 def test_chi2_tail_uses_error_function(spark):
     d = spark.createDataFrame([(0.0,), (3.841458820694124,), (None,)], "x double").select(stats.chi2_sf_1df(F.col("x")).alias("p"))
     p = [row["p"] for row in d.collect()]

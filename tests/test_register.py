@@ -9,10 +9,8 @@ import pytest
 from varloom.plans.fixtures import BASE
 
 SMALL = "/root/testdata/sf0.001"
-# Kept JVM-side: everything but the error-function and machine-learning queries.
-PYTHON_ALLOWED = {"hwe", "ploidy_scores", "dosage_batches"}
 SAMPLE = ["allele_frequencies", "interval_overlap", "assign_ids", "site_quality", "count_annotations", "phase_block_flips", "exact_match",
-          "haplotype_overlaps", "sample_counts", "merge_cohort", "trio_transmission"]
+          "haplotype_overlaps", "hwe", "ploidy_scores", "sample_counts", "merge_cohort", "trio_transmission"]
 
 
 def test_every_sql_has_a_query():
@@ -27,8 +25,7 @@ def plan(df):
 def test_plans_have_no_cartesian_product_and_no_python(spark, name):
     p = plan(entry.queries()[name](spark, SMALL))
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
-    if name not in PYTHON_ALLOWED:
-        assert not re.search(r"ArrowEvalPython|BatchEvalPython|MapInPandas|FlatMapGroupsInPandas", p)
+    assert not re.search(r"ArrowEvalPython|BatchEvalPython|MapInPandas|FlatMapGroupsInPandas", p)
 
 
 def test_scan_reads_only_the_needed_columns(spark):

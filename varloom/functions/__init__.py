@@ -1 +1 @@
-"""Column expressions used by the operators; all JVM-side except ``stats.erfc``."""
+"""Column expressions used by the operators; all JVM-side."""

@@ -141,9 +141,9 @@ def ploidy_scores(cn: DataFrame) -> DataFrame:
     z = F.try_divide(F.col("cn") - F.avg("cn").over(over), F.stddev("cn").over(over))
     x = cn.withColumn("z", z).withColumn("p", stats.normal_sf(F.abs("z")) * 2)
     n = F.count("p").over(over)
-    up = W.partitionBy("chrom").orderBy("p").rowsBetween(W.unboundedPreceding, 0)
+    up = W.partitionBy("chrom").orderBy("p").rangeBetween(W.unboundedPreceding, W.currentRow)  # ties rank alike
     x = x.withColumn("_q", F.col("p") * n / F.count("p").over(up))
-    x = x.withColumn("q", F.least(F.lit(1.0), F.min("_q").over(W.partitionBy("chrom").orderBy(F.col("p").desc()).rowsBetween(W.unboundedPreceding, 0))))
+    x = x.withColumn("q", F.least(F.lit(1.0), F.min("_q").over(W.partitionBy("chrom").orderBy(F.col("p").desc()).rangeBetween(W.unboundedPreceding, W.currentRow))))
     return x.drop("_q").join(sex_labels(cn), "sample", "left")
 
 

@@ -115,6 +115,11 @@ SELECT c_custkey AS sample_id, CAST(DATE '1940-01-01' + CAST(c_custkey % 22000 A
 """
 
 
+# Complementary error function of a value >= 0 on the checking side: the series of erf by logarithms of its terms.
+ERFC = ("CASE WHEN {x} > 6 THEN 0.0 WHEN {x} <= 0 THEN 1.0 ELSE 1 - 2 / sqrt(pi()) * list_sum(list_transform(generate_series(0, 160), "
+        "lambda i: exp((2 * i + 1) * ln({x}) + i * ln(2) - {x} * {x} - lgamma(2 * i + 2) + i * ln(2) + lgamma(i + 1)))) END")
+
+
 def requires(name: str) -> list[str]:
     """Views ``name`` needs, in order, itself last."""
     out: list[str] = []

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import callers as ca, depth as d, reports as rp
 from ..session import scratch
 from ..sources import readers, writers
+from .fixtures import ERFC
 from .register import query
 
 
@@ -97,9 +98,24 @@ def genotype_bins(t):
       FROM genotypes g JOIN sites s USING (vid) GROUP BY ALL""")
 
 
-@query()
+@query(f"""
+WITH gb AS (SELECT s.chrom, g.ps AS sample, CAST(floor(s.pos / 500.0) AS INT) * 500 AS start, sum(ad_ref + ad_alt) AS depth FROM genotypes g JOIN sites s USING (vid) GROUP BY ALL),
+m AS (SELECT sample, quantile_cont(depth, 0.5) AS m FROM gb WHERE chrom NOT IN ('chrX', 'chrY') GROUP BY sample),
+x AS (SELECT gb.*, 2.0 * depth / nullif(m, 0) AS cn FROM gb JOIN m USING (sample)),
+bad AS (SELECT chrom, start FROM x GROUP BY chrom, start HAVING count(*) FILTER (cn <= 0.2) / count(*) > 0.8),
+c AS (SELECT sample, chrom, quantile_cont(cn, 0.5) AS cn FROM x ANTI JOIN bad USING (chrom, start) GROUP BY sample, chrom),
+z AS (SELECT *, (cn - avg(cn) OVER (PARTITION BY chrom)) / nullif(stddev_samp(cn) OVER (PARTITION BY chrom), 0) AS z FROM c),
+p AS (SELECT *, {ERFC.format(x='(abs(z) / sqrt(2))')} AS p FROM z),
+r AS (SELECT *, p * count(p) OVER (PARTITION BY chrom) / count(p) OVER (PARTITION BY chrom ORDER BY p RANGE UNBOUNDED PRECEDING) AS r FROM p),
+q AS (SELECT *, least(1.0, min(r) OVER (PARTITION BY chrom ORDER BY p DESC RANGE UNBOUNDED PRECEDING)) AS q FROM r),
+xy AS (SELECT sample, CAST(round_even(max(cn) FILTER (chrom = 'chrX'), 0) AS INT) AS x, CAST(round_even(max(cn) FILTER (chrom = 'chrY'), 0) AS INT) AS y FROM c GROUP BY sample)
+SELECT sample, chrom, round(cn, 4) AS cn, round(z, 4) AS z, round(p, 4) AS p, round(q, 4) AS q, x AS x_copies, y AS y_copies,
+ CASE WHEN x = 1 AND y = 1 THEN 'MALE' WHEN x = 2 AND y = 0 THEN 'FEMALE' WHEN x = 1 AND y = 0 THEN 'TURNER' WHEN x = 2 AND y = 1 THEN 'KLINEFELTER'
+  WHEN x = 3 AND y = 0 THEN 'TRIPLE X' WHEN x = 1 AND y = 2 THEN 'JACOBS' ELSE 'OTHER' END AS sex FROM q JOIN xy USING (sample)
+""")
 def ploidy_scores(t):
-    return d.ploidy_scores(d.copy_numbers(genotype_bins(t)))
+    out = d.ploidy_scores(d.copy_numbers(genotype_bins(t)))
+    return out.select("sample", "chrom", *[F.round(c, 4).alias(c) for c in ("cn", "z", "p", "q")], "x_copies", "y_copies", "sex")
 
 
 @query()

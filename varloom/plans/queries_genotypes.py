@@ -8,6 +8,7 @@ from ..functions import genotype as g
 from ..operators import genotypes as q, phasing as ph
 from .queries_rows import calls
 from .queries_transfer import GT, PLS, gt_text, half
+from .fixtures import ERFC
 from .register import query
 
 
@@ -48,9 +49,14 @@ def site_quality(t):
     return s.select("vid", "as_vardp", "as_qualapprox", "as_qd", *[F.round(c, 4).alias(c) for c in ("as_pab_max", "inbreeding_coeff")], F.round("hwe_chi2", 3).alias("hwe_chi2"))
 
 
-@query()
+@query(f"""
+WITH s AS (SELECT vid, count(*) FILTER (a0 + a1 = 0) AS r, count(*) FILTER (a0 + a1 = 1) AS h, count(*) FILTER (a0 + a1 = 2) AS a, count(*) AS t FROM genotypes WHERE a0 IS NOT NULL AND a1 IS NOT NULL GROUP BY vid),
+e AS (SELECT *, (2.0 * r + h) / (2.0 * t) AS f FROM s), x AS (SELECT *, 2.0 * f * (1 - f) * t AS eh, f * f * t AS er, (1 - f) * (1 - f) * t AS ea FROM e),
+c AS (SELECT vid, CASE WHEN er > 0 THEN (r - er) * (r - er) / er ELSE 0 END + CASE WHEN eh > 0 THEN (h - eh) * (h - eh) / eh ELSE 0 END + CASE WHEN ea > 0 THEN (a - ea) * (a - ea) / ea ELSE 0 END AS chi2 FROM x)
+SELECT vid, 1 AS allele, round(round_even({ERFC.format(x='sqrt(chi2 / 2)')}, 6), 4) AS hwe FROM c
+""")
 def hwe(t):
-    return q.hwe(q.site_quality(pl_calls(t), ["vid"])).select("vid", "allele", "hwe")
+    return q.hwe(q.site_quality(pl_calls(t), ["vid"])).select("vid", "allele", F.round("hwe", 4).alias("hwe"))
 
 
 AF = """
