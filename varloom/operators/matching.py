@@ -189,11 +189,11 @@ def dbvar_match(q: DataFrame, r: DataFrame, limits: dict = DBVAR_LIMITS) -> Data
 
 # ------------------------------------------------------------------ nearest-call matches
 
-def sv_closest_ranged(q: DataFrame, r: DataFrame, min_overlap: float = 0.5) -> DataFrame:
+def sv_closest_ranged(q: DataFrame, r: DataFrame, min_overlap: float = 0.5, by=("chrom",)) -> DataFrame:
     """Per query the truth row with the largest overlap / longer length, if above ``min_overlap``
-    (ties: highest start, then id). Columns: id, chrom, start, end, len."""
-    cols = ["chrom", "start", "end", "len"]
-    p = overlap_pairs(q.select(*cols).distinct(), contents(r, cols, largest=True))
+    (ties: highest start, then id). Columns: id, start, end, len and those of ``by``."""
+    cols = [*by, "start", "end", "len"]
+    p = overlap_pairs(q.select(*cols).distinct(), contents(r, cols, largest=True), by=by)
     share = overlap_bases("start", "end", "b_start", "b_end") / F.greatest(F.abs("len"), F.abs("b_len"))
     best = p.withColumn("_o", share).filter(F.col("_o") > min_overlap).groupBy(*cols).agg(F.max(F.struct("_o", "b_start", "b_id")).alias("_b"))
     return q.join(best, cols).select("id", F.col("_b.b_id").alias("truth_id"))
@@ -218,31 +218,41 @@ def nearest_points(q: DataFrame, r: DataFrame, by: list[str], cols: list[str], v
                     F.col(f"_c._row.{vid}").alias(f"b_{vid}"), F.col("_c.s").alias("b_start"), *[F.col(f"_c._row.{x}").alias(f"b_{x}") for x in cols])
 
 
-def sv_closest_point(q: DataFrame, r: DataFrame, max_distance: int = 100, ratio: float = 10.0) -> DataFrame:
+def sv_closest_point(q: DataFrame, r: DataFrame, max_distance: int = 100, ratio: float = 10.0, by=("chrom",)) -> DataFrame:
     """Nearest start per query, kept when closer than ``max_distance`` with a length ratio inside
     (1/ratio, ratio). The limits are tested after the nearest is chosen."""
-    n = nearest_points(q, r, ["chrom"], ["len"])
-    x = q.join(n, ["chrom", "start"])
+    by = list(by)
+    n = nearest_points(q, r, by, ["len"])
+    x = q.join(n, [*by, "start"])
     k = F.abs("b_len") / F.abs("len")
     return x.filter((F.col("distance") < max_distance) & (k < ratio) & (k > 1.0 / ratio)).select("id", F.col("b_id").alias("truth_id"))
 
 
-def sv_closest_match(q: DataFrame, r: DataFrame, extra_types=()) -> DataFrame:
-    """DEL and DUP by overlap, INS by place; then INS against DUP and DUP against INS as points for
-    ids without a match. Carries the truth FILTER when ``r`` has one. ``extra_types`` (INV, BND)
-    are matched by overlap or place on their own."""
-    def of(d, t):
-        return d.filter(F.col("svtype") == t)
+# Element types that count as insertions.
+ELEMENTS = ["ALU", "LINE1", "SVA", "HERVK"]
+
 
+def type_family(svtype="svtype") -> Column:
+    """INS for ``INS`` with any subtype and for mobile elements, INV for INV/CPX, BND for BND/CTX, else the type itself."""
+    t = c(svtype)
+    return (F.when(t.startswith("INS") | t.isin(ELEMENTS), "INS").when(t.isin("INV", "CPX"), "INV").when(t.isin("BND", "CTX"), "BND").otherwise(t))
+
+
+def sv_closest_match(q: DataFrame, r: DataFrame, extra_types=()) -> DataFrame:
+    """Families of types (``type_family``): DEL and DUP by overlap, INS by place; then INS against DUP and DUP against INS as
+    points for ids without a match. Carries the truth FILTER when ``r`` has one. ``extra_types`` (INV, BND)
+    are matched by overlap or place on their own. All types of a kind are matched in one pass, the family being part of the key."""
+    by = ("chrom", "_ty")
+    cols = ["id", "chrom", "start", "end", "len"]
     # Both sides are read by several matchers.
-    q, r = cut_lineage(q), cut_lineage(r)
-    first = [sv_closest_ranged(of(q, t), of(r, t)) for t in ("DEL", "DUP")] + [sv_closest_point(of(q, "INS"), of(r, "INS"))]
-    for t in extra_types:
-        first.append((sv_closest_point if t == "BND" else sv_closest_ranged)(of(q, t), of(r, t)))
-    done = cut_lineage(reduce(DataFrame.unionByName, first))
-    left = q.join(done.select("id"), "id", "left_anti")
-    second = sv_closest_point(of(left, "INS"), of(r, "DUP")).unionByName(sv_closest_point(of(left, "DUP"), of(r, "INS")))
-    out = done.unionByName(second)
+    q, r0 = (cut_lineage(d.select(*cols, type_family().alias("_ty"))) for d in (q, r))
+    ranged = ["DEL", "DUP", *[t for t in extra_types if t != "BND"]]
+    points = ["INS", *[t for t in extra_types if t == "BND"]]
+    of = lambda d, types: d.filter(F.col("_ty").isin(types))
+    done = cut_lineage(sv_closest_ranged(of(q, ranged), of(r0, ranged), by=by).unionByName(sv_closest_point(of(q, points), of(r0, points), by=by)))
+    left = of(q, ["INS", "DUP"]).join(done.select("id"), "id", "left_anti")
+    other = left.withColumn("_ty", F.when(F.col("_ty") == "INS", "DUP").otherwise("INS"))
+    out = done.unionByName(sv_closest_point(other, of(r0, ["INS", "DUP"]), by=by))
     if "filter" in r.columns:
         out = out.join(lookup(r.withColumnsRenamed({"id": "truth_id", "filter": "truth_filter"}), ["truth_id"], ["truth_filter"]), "truth_id", "left")
     return out

@@ -74,10 +74,16 @@ def match_summary(evals: DataFrame, matches: DataFrame) -> DataFrame:
     return g.withColumn("pct", 100.0 * F.col("n") / F.sum("n").over(W.partitionBy("allele_type")))
 
 
-def informative_pairs(pairs: DataFrame) -> DataFrame:
-    """Pairs with at least one non-empty INFO side."""
-    blank = lambda c: F.col(c).isNull() | F.col(c).isin("", ".")
-    return pairs.filter(~(blank("eval_info") & blank("truth_info")))
+def informative_columns(table: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
+    """Without the column pairs that are empty in every row; one row of flags decides.
+
+    A table's columns must be known before it is read, so this looks at the data once when it is called.
+    """
+    blank = lambda x: F.col(x).isNull() | F.col(x).cast("string").isin("", ".")
+    if not pairs:
+        return table
+    seen = table.agg(*[F.max(~(blank(a) & blank(b))).alias(f"_{i}") for i, (a, b) in enumerate(pairs)]).first()
+    return table.drop(*[x for i, p in enumerate(pairs) if not seen[i] for x in p])
 
 
 # ------------------------------------------------------------------ repeat call concordance

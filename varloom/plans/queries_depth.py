@@ -183,10 +183,12 @@ def match_summary(t):
     return rp.match_summary(t.sites, m).withColumn("pct", F.round("pct", 6))
 
 
-@query(f"SELECT id FROM ({PAIRS}) p WHERE NOT (size < 10 AND brand_no < 10)")
-def informative_pairs(t):
-    p = t.sql(PAIRS).withColumns({"eval_info": F.when(F.col("size") >= 10, F.col("eval_info")), "truth_info": F.when(F.col("brand_no") >= 10, F.col("truth_info")).otherwise(".")})
-    return rp.informative_pairs(p).select("id")
+@query(f"SELECT id, eval_name, truth_name, CAST(size AS STRING) AS size_eval, NULLIF('', '') AS size_truth FROM ({PAIRS}) p")
+def informative_columns(t):
+    """Of three column pairs the one that is empty everywhere goes; the other two stay, though one is half empty."""
+    none = F.lit(None).cast("string")
+    p = t.sql(PAIRS).select("id", "eval_name", "truth_name", F.col("size").cast("string").alias("size_eval"), none.alias("size_truth"), F.lit(".").alias("x_eval"), F.lit("").alias("x_truth"))
+    return rp.informative_columns(p, [("eval_name", "truth_name"), ("size_eval", "size_truth"), ("x_eval", "x_truth")])
 
 
 TRS = "SELECT id, chrom, pos AS st, pos + length(ref) AS en, ref, alt, motif, size, brand_no FROM {0} WHERE allele_type = 'trv'"

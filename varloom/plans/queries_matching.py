@@ -16,6 +16,14 @@ def svs(t, view="sites"):
     return t.sql(SVQ.format(view)).withColumnsRenamed({"st": "start", "en": "end"})
 
 
+def subtypes(d):
+    """Insertions under several of their names."""
+    n = F.col("vid") % 4
+    name = F.when(n == 1, "INS:ME").when(n == 2, "INS:ME:ALU").when(n == 3, "SVA").otherwise("INS")
+    inv = F.when(n == 1, "CPX").otherwise("INV")
+    return d.withColumn("svtype", F.when(F.col("svtype") == "INS", name).when(F.col("svtype") == "INV", inv).otherwise(F.col("svtype")))
+
+
 Q = f"q AS ({SVQ.format('sites')}), r AS ({SVQ.format('truth')})"
 
 CAT = """SELECT chrom, pos AS st, pos + length(ref) AS en, substr(ref, 2) AS seq, CASE brand_no % 4 WHEN 0 THEN 'SINE/Alu' WHEN 1 THEN 'L1HS' WHEN 2 THEN 'SVA_E' ELSE 'LTR' END AS designation,
@@ -102,8 +110,8 @@ both_steps AS (SELECT * FROM one UNION ALL SELECT * FROM two)"""
 
 @query(f"WITH {Q}, {CLOSEST.format('')} SELECT b.id, b.rid AS truth_id, r.filter_text AS truth_filter FROM both_steps b JOIN r ON r.id = b.rid")
 def sv_closest_match(t):
-    r = svs(t, "truth").withColumnRenamed("filter_text", "filter")
-    return m.sv_closest_match(svs(t), r).select("id", "truth_id", "truth_filter")
+    r = subtypes(svs(t, "truth")).withColumnRenamed("filter_text", "filter")
+    return m.sv_closest_match(subtypes(svs(t)), r).select("id", "truth_id", "truth_filter")
 
 
 @query(f"""WITH {Q}, {CLOSEST.format(' UNION ALL ' + RANGED.format('INV'))} SELECT q.id, b.rid AS x_id, u.ac AS x_ac FROM q LEFT JOIN both_steps b USING (id) LEFT JOIN truth u ON u.id = b.rid""")
