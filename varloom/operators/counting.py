@@ -305,8 +305,28 @@ def trio_transmission(calls: DataFrame, sites: DataFrame, trios: DataFrame, key,
     return with_totals(pre, regions).groupBy("child", "bucket", "tr_status", *(["region"] if regions else [])).agg(*[F.sum(v).alias(v) for v in vals])
 
 
+def evidence(entry: Column) -> Column:
+    """struct(caller, ref_reads, alt_reads) of an evidence text ``caller_(ref_alt)``; NULL where it does not read so."""
+    depths = r"_\(([0-9]+)_([0-9]+)\)$"
+    n = lambda i: F.regexp_extract(entry, depths, i).cast("int")
+    return F.when(entry.rlike("." + depths), F.struct(F.regexp_replace(entry, depths, "").alias("caller"), n(1).alias("ref_reads"), n(2).alias("alt_reads")))
+
+
+def caller_gqs(regenotyper: str = "kanpig", expand_regenotyper: bool = False) -> Column:
+    """array<struct<caller, gq>> of a call with ``gq``, ``bev`` and ``ev``: the call's own GQ without a best caller or with the
+    re-genotyper as such; otherwise one for each evidence text, from that caller's own reads."""
+    own = lambda name: F.when(F.col("gq").isNotNull(), F.array(F.struct(F.lit(name).alias("caller"), F.col("gq").cast("int").alias("gq"))))
+    seen = F.filter(F.transform("ev", evidence), lambda e: e.isNotNull())
+    each = F.transform(seen, lambda e: F.struct(e["caller"].alias("caller"), g.gq_from_pl(g.pl_from_ad(e["ref_reads"], e["alt_reads"])).alias("gq")))
+    kept = F.col("bev") == regenotyper if not expand_regenotyper else F.lit(False)
+    return F.when(F.col("bev").isNull(), own("no_caller")).when(kept, own(regenotyper)).otherwise(each)
+
+
 def trio_gq_table(calls: DataFrame, sites: DataFrame, trios: DataFrame, key, edges=PLOT_EDGES, by_caller: bool = False) -> DataFrame:
-    """Child het calls with both parents called, by bucket x GQ x TR (x caller): inherited and de novo."""
+    """Child het calls with both parents called, by bucket x GQ x TR (x caller): inherited and de novo.
+
+    ``by_caller``: see ``caller_gqs`` (needs ``ev`` and ``bev``).
+    """
     key = list(key)
     kid = calls.join(trios, "sample").filter(g.is_carrier("gt"))
     par = calls.filter(~g.has_null("gt")).select(*key, "sample", g.is_carrier("gt").alias("_p"))
@@ -315,7 +335,7 @@ def trio_gq_table(calls: DataFrame, sites: DataFrame, trios: DataFrame, key, edg
     x = x.join(sites.select(*key, size_column(edges).alias("bucket"), F.coalesce("tr_enveloped", F.lit(False)).alias("tr")), key)
     dims = ["bucket", "gq", "tr"]
     if by_caller:
-        x = x.withColumn("caller", F.explode(F.transform("ev", lambda e: F.regexp_extract(e, r"^([^:]+)", 1))))
+        x = x.withColumn("_c", F.explode(caller_gqs())).withColumns({"caller": F.col("_c.caller"), "gq": F.col("_c.gq")})
         dims.append("caller")
     inh = F.col("_f") | F.col("_m")
     return x.groupBy(*dims).agg(F.count_if(inh).alias("inherited"), F.count_if(~inh).alias("de_novo"))

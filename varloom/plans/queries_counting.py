@@ -133,12 +133,24 @@ NAT_CALLS = """nc AS (SELECT l_partkey AS vid, s_nationkey AS sample, max(CASE W
   CAST(max(l_quantity) AS INT) AS gq FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY l_partkey, s_nationkey)"""
 
 
-@query(f"""WITH {NAT_CALLS}
+READS = "(SELECT 'pbsv' AS caller, 7 AS m, 9 AS n UNION ALL SELECT 'delly_2', 5, 4)"
+LIKELY = "list_sort([CAST(round_even(-10 * (l0 - best), 0) AS INT), CAST(round_even(-10 * (l1 - best), 0) AS INT), CAST(round_even(-10 * (l2 - best), 0) AS INT)])[2]"
+
+
+@query(f"""WITH {NAT_CALLS},
+r AS (SELECT nc.*, caller, CAST(gq % m AS INT) AS r, CAST(vid % n AS INT) AS a FROM nc CROSS JOIN {READS} k),
+l AS (SELECT *, a * log10(0.05) + r * log10(1.0 - 0.05) AS l0, a * log10(0.5) + r * log10(0.5) AS l1, a * log10(0.95) + r * log10(1.0 - 0.95) AS l2 FROM r),
+b AS (SELECT *, greatest(l0, l1, l2) AS best FROM l),
+e AS (SELECT vid, sample, a0, a1, 'no_caller' AS caller, gq FROM nc WHERE vid % 4 = 0 UNION ALL SELECT vid, sample, a0, a1, 'kanpig', gq FROM nc WHERE vid % 4 = 1
+ UNION ALL SELECT vid, sample, a0, a1, caller, CASE WHEN r + a = 0 THEN 0 ELSE least(99, {LIKELY}) END FROM b WHERE vid % 4 > 1)
 SELECT {PLOT} AS bucket, c.gq, tr_enveloped AS tr, caller, CAST(count(*) FILTER (f.a0 + f.a1 > 0 OR m.a0 + m.a1 > 0) AS BIGINT) AS inherited, CAST(count(*) FILTER (NOT (f.a0 + f.a1 > 0 OR m.a0 + m.a1 > 0)) AS BIGINT) AS de_novo
-FROM nc c JOIN nc f ON f.vid = c.vid AND f.sample = c.sample + 1 JOIN nc m ON m.vid = c.vid AND m.sample = c.sample + 2 JOIN annotated n ON n.vid = c.vid
-CROSS JOIN (SELECT 'pbsv' AS caller UNION ALL SELECT 'delly') k WHERE c.a0 + c.a1 > 0 GROUP BY ALL""")
+FROM e c JOIN nc f ON f.vid = c.vid AND f.sample = c.sample + 1 JOIN nc m ON m.vid = c.vid AND m.sample = c.sample + 2 JOIN annotated n ON n.vid = c.vid
+WHERE c.a0 + c.a1 > 0 GROUP BY ALL""")
 def trio_gq_table(t):
-    c = t.sql(f"WITH {NAT_CALLS} SELECT * FROM nc").select("vid", "sample", F.array("a0", "a1").alias("gt"), "gq", F.array(F.lit("pbsv:0/1"), F.lit("delly:0/1")).alias("ev"))
+    n = t.sql(f"WITH {NAT_CALLS} SELECT * FROM nc")
+    ev = [F.format_string("pbsv_(%d_%d)", F.col("gq") % 7, F.col("vid") % 9), F.format_string("delly_2_(%d_%d)", F.col("gq") % 5, F.col("vid") % 4), F.lit("broken")]
+    bev = F.when(F.col("vid") % 4 == 1, "kanpig").when(F.col("vid") % 4 > 1, "pbsv")
+    c = n.select("vid", "sample", F.array("a0", "a1").alias("gt"), "gq", F.array(*ev).alias("ev"), bev.alias("bev"))
     trios = t.nation.select(F.col("n_nationkey").alias("sample"), (F.col("n_nationkey") + 1).alias("father"), (F.col("n_nationkey") + 2).alias("mother"))
     return k.trio_gq_table(c, t.annotated, trios, ["vid"], by_caller=True)
 
