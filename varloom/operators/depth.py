@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions import stats
 from ..functions.alleles import contig_sort
-from ..session import cut_lineage
 from .positions import point_in_interval, running
 
 RUN = ["sample", "chrom"]
@@ -54,11 +55,16 @@ def bin_median_depth(runs: DataFrame, bin_size: int, one_based: bool = False) ->
                     ((F.col("_lo") + F.col("_hi")) / 2).cast("int").alias("depth"))
 
 
+COVER_BIN = 4096  # bases; a task holds this times the number of depths
+
+
 def cohort_coverage(runs: DataFrame, n_samples: int | Column, bin_size: int, thresholds=(1, 5, 10, 15, 20, 25, 30)) -> DataFrame:
     """Coverage over blocks on which no sample's depth changes, also cut at bin boundaries.
 
     Per block (1-based start): mean, upper median ``sorted[n // 2]``, total and the share of
     samples strictly above each threshold. Blocks stop where the first sample ends.
+
+    No run meets a block: counts by depth change at runs' ends, and are summed along the contig, by stretches of ``COVER_BIN`` bases.
     """
     ends = runs.groupBy("chrom", "sample").agg(F.min("start").alias("s"), F.max("end").alias("e")).groupBy("chrom").agg(
         (F.floor(F.min("s") / bin_size) * bin_size).cast("int").alias("_from"), F.min("e").alias("_to"))
@@ -66,18 +72,45 @@ def cohort_coverage(runs: DataFrame, n_samples: int | Column, bin_size: int, thr
     grid = ends.select("chrom", F.explode(F.sequence(F.col("_from"), F.col("_to") - 1, F.lit(bin_size))).alias("start"))
     last = ends.select("chrom", F.col("_to").alias("start"))
     pos = cuts.unionByName(grid).unionByName(last).distinct().join(ends, "chrom").filter("start >= _from and start <= _to").select("chrom", "start")
-    blocks = cut_lineage(running(pos.withColumn("_z", F.lit(0)), "start", ["chrom"], sums=["_z"], following="end").filter("end is not null").select("chrom", "start", "end"))
-    r = runs.select("chrom", F.col("start").alias("_s"), F.col("end").alias("_e"), "depth")
-    hit = point_in_interval(blocks, r, "start", "_s", "_e", ["chrom"])
-    agg = hit.groupBy("chrom", "start", "end").agg(
-        F.sum("depth").alias("total"), F.sort_array(F.collect_list("depth")).alias("_d"),  # one value per sample
-        *[F.count_if(F.col("depth") > t).alias(f"_t{t}") for t in thresholds])
-    n_samples = F.lit(n_samples)
-    middle, short = F.floor(n_samples / 2), n_samples - F.size("_d")
-    med = F.when(middle < short, F.lit(0)).otherwise(F.get("_d", (middle - short).cast("int")))
-    return agg.select("chrom", (F.col("start") + 1).alias("start"), "end", F.bround(F.col("total") / n_samples, 6).alias("mean"),
-                      med.cast("int").alias("median"), F.col("total").cast("bigint").alias("total"),
-                      *[F.bround(F.col(f"_t{t}") / n_samples, 6).alias(f"over_{t}") for t in thresholds])
+    blocks = running(pos.withColumn("_z", F.lit(0)), "start", ["chrom"], sums=["_z"], following="end").filter("end is not null")
+    at = lambda x: F.floor(F.col(x) / COVER_BIN).cast("bigint")
+    # How many samples gain or lose a depth at a position: one row per position and depth, however many samples.
+    change = runs.select("chrom", "depth", F.explode(F.array(F.struct(F.col("start").alias("p"), F.lit(1).alias("d")), F.struct(F.col("end").alias("p"), F.lit(-1).alias("d")))).alias("_x"))
+    change = change.groupBy("chrom", F.col("_x.p").alias("start"), "depth").agg(F.sum("_x.d").alias("d")).filter("d <> 0").withColumn("bin", at("start"))
+    per = change.groupBy("chrom", "depth", "bin").agg(F.sum("d").alias("d"))
+    w = W.partitionBy("chrom", "depth").orderBy("bin")
+    held = per.select("chrom", "depth", "bin", F.sum("d").over(w.rowsBetween(W.unboundedPreceding, 0)).alias("d"), F.lead("bin").over(w).alias("_next"))
+    held = held.filter("d <> 0 AND _next IS NOT NULL").select("chrom", F.explode(F.expr("sequence(bin + 1, _next)")).alias("bin"), "depth", "d")
+    none = F.lit(None).cast("int")
+    rows = held.select("chrom", "bin", none.alias("start"), none.alias("end"), F.col("depth").cast("int").alias("depth"), "d", none.alias("all")).unionByName(
+        change.select("chrom", "bin", "start", none.alias("end"), F.col("depth").cast("int").alias("depth"), "d", none.alias("all"))).unionByName(
+        blocks.select("chrom", at("start").alias("bin"), "start", "end", none.alias("depth"), F.lit(None).cast("bigint").alias("d"), F.lit(n_samples).cast("int").alias("all")))
+    names = [f"_t{t}" for t in thresholds]
+
+    def stretch(key, x):
+        """Counts by depth at each block's start, for the blocks of one stretch."""
+        b = x[x["end"].notna()].sort_values("start")
+        e = x[x["d"].notna()]
+        starts = b["start"].to_numpy(np.int64)
+        values, col = np.unique(e["depth"].to_numpy(np.int64), return_inverse=True)
+        row = np.where(e["start"].isna(), 0, np.searchsorted(starts, e["start"].fillna(0).to_numpy(np.int64), "left"))
+        n = np.zeros((len(starts) + 1, max(1, len(values))), np.int64)
+        np.add.at(n, (row, col), e["d"].to_numpy(np.int64))
+        n = np.cumsum(n, axis=0)[:len(starts)]
+        values = values if len(values) else np.zeros(1, np.int64)
+        out = {"chrom": key[0], "start": starts, "end": b["end"].to_numpy(np.int64), "total": n @ values, "_n": n.sum(1)}
+        out |= {name: n[:, values > t].sum(1) for name, t in zip(names, thresholds)}
+        samples = b["all"].to_numpy(np.int64)
+        need = samples // 2 - (samples - out["_n"]) + 1  # the middle one's place among the samples with a depth; the others count as 0
+        out["median"] = np.where(need <= 0, 0, values[np.minimum((np.cumsum(n, axis=1) < need[:, None]).sum(1), len(values) - 1)])
+        out["all"] = samples
+        return pd.DataFrame(out)
+
+    schema = "chrom string, start int, end int, total bigint, _n bigint, " + "".join(f"{x} bigint, " for x in names) + "median int, all int"
+    agg = rows.groupBy("chrom", "bin").applyInPandas(stretch, schema).filter("_n > 0")
+    share = lambda x: F.bround(F.col(x) / F.col("all"), 6)
+    return agg.select("chrom", (F.col("start") + 1).alias("start"), "end", share("total").alias("mean"), "median", "total",
+                      *[share(f"_t{t}").alias(f"over_{t}") for t in thresholds])
 
 
 def ploidy_matrix(bins: DataFrame, size: int = 1_000_000) -> DataFrame:
