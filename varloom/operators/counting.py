@@ -257,7 +257,11 @@ def sample_counts(calls: DataFrame, sites: DataFrame, key, edges=PLOT_EDGES, af_
 
 def variant_list(sites: DataFrame, calls: DataFrame, key) -> DataFrame:
     """Class, |length|, frequency and genotype numbers per site; repeats give one row per ALT with
-    trimmed lengths. Only calls without any called allele are missing."""
+    trimmed lengths. Only calls without any called allele are missing.
+
+    ``af`` is a list by ALT or one number; of a list a repeat's ALT takes its own and other sites the first. One number
+    says nothing about several ALTs: theirs come from the calls.
+    """
     key = list(key)
     trv = F.lower("allele_type") == "trv"
     per_alt = F.when(trv, F.transform("alts", lambda a, i: F.struct((i + 1).alias("i"), a.alias("alt")))).otherwise(
@@ -266,7 +270,11 @@ def variant_list(sites: DataFrame, calls: DataFrame, key) -> DataFrame:
     s = s.withColumn("_t", F.when(F.col("_i") > 0, trim_alleles(F.lit(1), "ref", "_alt", "prefix_first", keep=0)))
     net = F.length("_t.alt") - F.length("_t.ref")
     cls = F.when(F.col("_i") == 0, F.col("allele_type")).when(net == 0, "TR_SNV").when(net > 0, "TR_INS").otherwise("TR_DEL")
-    s = s.select(*key, "_i", cls.alias("allele_class"), F.when(F.col("_i") == 0, F.coalesce("allele_length", F.lit(0))).otherwise(F.abs(net)).alias("svlen"), "region", F.col("af").alias("_af"))
+    if dict(sites.dtypes)["af"].startswith("array"):
+        own = F.get("af", F.greatest(F.col("_i") - 1, F.lit(0)))
+    else:
+        own = F.when((F.col("_i") == 0) | (F.size("alts") == 1), F.col("af"))
+    s = s.select(*key, "_i", cls.alias("allele_class"), F.when(F.col("_i") == 0, F.coalesce("allele_length", F.lit(0))).otherwise(F.abs(net)).alias("svlen"), "region", own.alias("_af"))
     any_row = calls.join(s, key)
     none = g.all_null("gt")
     n = F.when(F.col("_i") == 0, g.n_alt("gt")).otherwise(F.size(F.filter("gt", lambda a: a == F.col("_i"))))

@@ -101,14 +101,22 @@ def sample_counts(t):
 TRIMMED_NET = "abs(length(alt) - length(ref))"
 
 
-@query(f"""WITH p AS (SELECT vid, CASE WHEN allele_type = 'trv' THEN 1 ELSE 0 END AS alt_index, CASE WHEN allele_type <> 'trv' THEN allele_type WHEN length(alt) = length(ref) THEN 'TR_SNV' WHEN length(alt) > length(ref) THEN 'TR_INS' ELSE 'TR_DEL' END AS allele_class,
-  CASE WHEN allele_type = 'trv' THEN {TRIMMED_NET} ELSE allele_length END AS svlen, CASE WHEN allele_type <> 'trv' THEN af END AS af, region FROM annotated),
-c AS (SELECT *, CASE WHEN a0 IS NULL AND a1 IS NULL THEN NULL ELSE coalesce(a0, 0) + coalesce(a1, 0) END AS n FROM genotypes)
-SELECT vid, alt_index, allele_class, svlen, round(coalesce(af, (count(*) FILTER (n = 1) + 2 * count(*) FILTER (n = 2)) / (2 * count(n))), 6) AS af, CAST(count(*) FILTER (n = 0) AS BIGINT) AS n_ref, CAST(count(*) FILTER (n = 1) AS BIGINT) AS n_het,
- CAST(count(*) FILTER (n = 2) AS BIGINT) AS n_hom, CAST(count(*) FILTER (n IS NULL) AS BIGINT) AS n_missing, region FROM p JOIN c USING (vid) GROUP BY vid, alt_index, allele_class, svlen, af, region HAVING max(n) > 0""")
+@query("""
+WITH x AS (SELECT n.*, k.n_alts FROM annotated n JOIN (SELECT vid, max(n_alts) AS n_alts FROM multi GROUP BY vid) k USING (vid)),
+a AS (SELECT x.*, i, concat(alt, substr('ACG', 1, CAST(i AS INT) - 1)) AS own FROM x JOIN (SELECT 1 AS i UNION ALL SELECT 2 UNION ALL SELECT 3 UNION ALL SELECT 4) n ON i <= n_alts WHERE allele_type = 'trv'),
+p AS (SELECT vid, 0 AS i, allele_type AS allele_class, allele_length AS svlen, af, region FROM x WHERE allele_type <> 'trv' UNION ALL
+ SELECT vid, i, CASE WHEN length(own) = length(ref) THEN 'TR_SNV' WHEN length(own) > length(ref) THEN 'TR_INS' ELSE 'TR_DEL' END, abs(length(own) - length(ref)), CASE WHEN file_pos % 2 = 0 THEN i / 10.0 END, region FROM a),
+c AS (SELECT p.*, coalesce(a0, 0) > 0 OR coalesce(a1, 0) > 0 AS carried, CASE WHEN a0 IS NULL AND a1 IS NULL THEN NULL WHEN i = 0 THEN CASE WHEN a0 > 0 THEN 1 ELSE 0 END + CASE WHEN a1 > 0 THEN 1 ELSE 0 END
+  ELSE CASE WHEN a0 = i THEN 1 ELSE 0 END + CASE WHEN a1 = i THEN 1 ELSE 0 END END AS n FROM p JOIN multi USING (vid))
+SELECT vid, CAST(i AS INT) AS alt_index, allele_class, svlen, round(coalesce(af, CASE WHEN i > 0 THEN (count(*) FILTER (n = 1) + 2 * count(*) FILTER (n = 2)) / nullif(2 * count(n), 0) END), 6) AS af, count(*) FILTER (n = 0) AS n_ref,
+ count(*) FILTER (n = 1) AS n_het, count(*) FILTER (n = 2) AS n_hom, count(*) FILTER (n IS NULL) AS n_missing, region FROM c GROUP BY vid, i, allele_class, svlen, af, region HAVING bool_or(carried)""")
 def variant_list(t):
-    s = t.annotated.withColumns({"alts": F.array("alt"), "af": F.when(F.col("allele_type") != "trv", F.col("af").cast("double"))})
-    out = k.variant_list(s, calls(t), ["vid"])
+    n = t.multi.groupBy("vid").agg(F.max("n_alts").alias("n_alts"))
+    more = F.transform(F.sequence(F.lit(1), F.col("n_alts")), lambda i: F.concat("alt", F.substring(F.lit("ACG"), F.lit(1), i - 1)))
+    by_alt = F.when(F.col("file_pos") % 2 == 0, F.transform(F.sequence(F.lit(1), F.col("n_alts")), lambda i: i / 10.0))
+    trv = F.col("allele_type") == "trv"
+    s = t.annotated.join(n, "vid").withColumns({"alts": F.when(trv, more).otherwise(F.array("alt")), "af": F.when(trv, by_alt).otherwise(F.array(F.col("af").cast("double")))})
+    out = k.variant_list(s, t.multi.select("vid", F.col("sample_id").alias("sample"), F.array("a0", "a1").alias("gt")), ["vid"])
     return out.withColumn("af", F.round("af", 6))
 
 
