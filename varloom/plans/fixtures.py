@@ -141,6 +141,8 @@ def with_views(body: str) -> str:
                     names.append(r)
     ctes = [f"{n} AS ({VIEWS[n].strip()})" for n in names]
     body = body.strip()
+    if body[:15].upper() == "WITH RECURSIVE ":
+        return "WITH RECURSIVE " + ",\n".join(ctes) + ("," if ctes else "") + body[14:]
     if body[:5].upper() == "WITH ":
         return "WITH " + ",\n".join(ctes) + ("," if ctes else "") + body[4:]
     return ("WITH " + ",\n".join(ctes) + "\n" if ctes else "") + body

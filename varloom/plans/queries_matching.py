@@ -124,7 +124,29 @@ def sim_cols(t, view):
     return svs(t, view).withColumns({"kind": F.col("svtype"), "seq": F.when(F.length("alt") > F.length("ref"), F.col("alt")).otherwise(F.col("ref"))}).select("id", *m.SEQ)
 
 
-@query()
+def sim_sql(view):
+    return f"SELECT id, chrom, st, len, svtype AS kind, CASE WHEN length(alt) > length(ref) THEN alt ELSE ref END AS seq FROM ({SVQ.format(view)}) v"
+
+
+SCORE = """CASE WHEN upper(q.seq) = upper(r.seq) THEN 1.0 WHEN length(q.seq) = 0 OR length(r.seq) = 0 THEN 0.0
+ ELSE 1.0 - levenshtein(upper(q.seq), upper(r.seq)) / greatest(length(q.seq), length(r.seq)) END"""
+NEAR = "q.chrom = r.chrom AND q.kind = r.kind AND abs(q.st - r.st) <= 500 AND q.len > 0 AND r.len > 0 AND least(q.len, r.len) / greatest(q.len, r.len) >= {0} - 1e-9"
+
+
+def round_sql(t, before):
+    n = str(t).replace(".", "")
+    out = " AND ".join(["TRUE"] + [f"id NOT IN (SELECT id FROM m{x}) AND b_id NOT IN (SELECT b_id FROM m{x})" for x in before])
+    return f"""p{n} AS (SELECT * FROM p WHERE score >= {t} AND {out}),
+m{n} AS (SELECT a.id, a.b_id, 'SIMILAR_{t}' AS match_type FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY score DESC, d, b_id) AS n FROM p{n}) a
+ JOIN (SELECT *, row_number() OVER (PARTITION BY b_id ORDER BY score DESC, d, id) AS n FROM p{n}) b ON a.id = b.id AND a.b_id = b.b_id AND a.n = 1 AND b.n = 1)"""
+
+
+@query(f"""WITH qa AS ({sim_sql('sites')}), ra AS ({sim_sql('truth')}),
+q AS (SELECT chrom, st, len, kind, seq, min(id) AS id FROM qa GROUP BY ALL), r AS (SELECT chrom, st, len, kind, seq, min(id) AS id FROM ra GROUP BY ALL),
+p AS (SELECT q.id, r.id AS b_id, {SCORE} AS score, abs(q.st - r.st) AS d FROM q JOIN r ON {NEAR.format(0.7)}),
+{round_sql(0.9, [])}, {round_sql(0.7, ['09'])}, {round_sql(0.5, ['09', '07'])},
+m AS (SELECT * FROM m09 UNION ALL SELECT * FROM m07 UNION ALL SELECT * FROM m05)
+SELECT qa.id, m.b_id AS truth_id, m.match_type FROM qa JOIN q ON q.chrom = qa.chrom AND q.st = qa.st AND q.len = qa.len AND q.kind = qa.kind AND q.seq = qa.seq JOIN m ON m.id = q.id""")
 def similarity_match(t):
     return m.similarity_match(sim_cols(t, "sites"), sim_cols(t, "truth"))
 
@@ -142,7 +164,13 @@ def collapse_input(t):
     return sim_cols(t, "sites").unionByName(sim_cols(t, "truth"))
 
 
-@query()
+@query(f"""WITH RECURSIVE u AS ({sim_sql('sites')} UNION ALL {sim_sql('truth')}), q AS (SELECT chrom, st, len, kind, seq, min(id) AS id FROM u GROUP BY ALL),
+e AS (SELECT q.id, list(r.id ORDER BY r.st, r.id) AS early FROM q JOIN q r ON {NEAR.format(0.9)} AND (r.st < q.st OR (r.st = q.st AND r.id < q.id)) AND {SCORE} >= 0.9 GROUP BY q.id),
+o AS (SELECT q.chrom, q.id, early, row_number() OVER (PARTITION BY q.chrom ORDER BY q.st, q.id) AS n FROM q LEFT JOIN e USING (id)),
+g AS (SELECT DISTINCT chrom, CAST(0 AS BIGINT) AS n, CAST([] AS VARCHAR[]) AS kept, CAST(NULL AS VARCHAR) AS id, CAST(NULL AS VARCHAR) AS kept_id FROM o UNION ALL
+ SELECT chrom, n, CASE WHEN k IS NULL THEN list_append(kept, id) ELSE kept END, id, coalesce(k, id)
+ FROM (SELECT o.chrom, o.n, g.kept, o.id, list_filter(o.early, lambda x: list_contains(g.kept, x))[1] AS k FROM g JOIN o ON o.chrom = g.chrom AND o.n = g.n + 1) s)
+SELECT u.id, g.kept_id FROM u JOIN q ON q.chrom = u.chrom AND q.st = u.st AND q.len = u.len AND q.kind = u.kind AND q.seq = u.seq JOIN g ON g.id = q.id""")
 def collapse_sites(t):
     return m.collapse_sites(collapse_input(t))
 
