@@ -507,11 +507,13 @@ def raw_caller_evidence(variants: DataFrame, calls: DataFrame, window: int = 500
 
 # ------------------------------------------------------------------ gene effects
 
-def predicted_effects(svs: DataFrame, genes: DataFrame, exons: DataFrame, promoters: DataFrame, utrs: DataFrame) -> DataFrame:
-    """Gene lists per SV and effect (long: id, effect, genes) by the documented meanings.
+def predicted_effects(svs: DataFrame, genes: DataFrame, exons: DataFrame, promoters: DataFrame, utrs: DataFrame,
+                      noncoding: DataFrame | None = None) -> DataFrame:
+    """Gene (or element) lists per SV and effect (long: id, effect, genes) by the documented meanings.
 
-    SVs: id, chrom, start, end, svtype. Genes: gene, chrom, start, end, tss; parts: gene, chrom,
-    start, end. INS are taken as the base they follow.
+    SVs: id, chrom, start, end, svtype (CNV: multi-allelic). Genes: gene, chrom, start, end, tss; parts and
+    ``noncoding`` elements: gene, chrom, start, end. INS are taken as the base they follow. An SV that meets
+    nothing is PREDICTED_INTERGENIC with an empty list.
     """
     s = svs.select("id", "chrom", "svtype", "start", F.greatest("end", F.col("start") + 1).alias("end"))
     s, genes = cut_lineage(s), cut_lineage(genes)
@@ -525,7 +527,7 @@ def predicted_effects(svs: DataFrame, genes: DataFrame, exons: DataFrame, promot
     x = gene.select("id", "svtype", F.col("b_gene").alias("gene"), inside.alias("inside"), spans.alias("spans"), tss.alias("tss")).join(exon, ["id", "gene"], "left")
     t = F.col("svtype")
     hit = F.coalesce("exonic", F.lit(False))
-    eff = (F.when((t == "DUP") & F.col("spans"), "PREDICTED_COPY_GAIN").when((t == "INV") & F.col("spans"), "PREDICTED_INV_SPAN")
+    eff = (F.when((t == "CNV") & hit, "PREDICTED_MSV_EXON_OVR").when((t == "DUP") & F.col("spans"), "PREDICTED_COPY_GAIN").when((t == "INV") & F.col("spans"), "PREDICTED_INV_SPAN")
            .when((t == "DUP") & F.col("inside") & F.col("exon_whole"), "PREDICTED_INTRAGENIC_EXON_DUP")
            .when((t == "DUP") & F.col("inside") & F.col("in_exon"), "PREDICTED_PARTIAL_EXON_DUP")
            .when((t == "DUP") & ~F.col("inside") & F.col("tss"), "PREDICTED_TSS_DUP").when((t == "DUP") & ~F.col("inside"), "PREDICTED_DUP_PARTIAL")
@@ -539,7 +541,13 @@ def predicted_effects(svs: DataFrame, genes: DataFrame, exons: DataFrame, promot
     free = s.join(found.select("id").distinct(), "id", "left_anti")
     near = nearest_points(free, genes.select("chrom", F.col("tss").alias("start"), F.col("gene").alias("id")), ["chrom"], [])
     tail = free.join(near, ["chrom", "start"]).select("id", F.col("b_id").alias("gene"), F.lit("PREDICTED_NEAREST_TSS").alias("effect"))
-    return found.unionByName(tail).groupBy("id", "effect").agg(F.array_sort(F.collect_set("gene")).alias("genes"))
+    parts, alone = found.unionByName(tail), free.select("id")
+    if noncoding is not None:
+        el = overlap_pairs(s, noncoding)
+        el = el.select("id", F.col("b_gene").alias("gene"), F.when(whole, "PREDICTED_NONCODING_SPAN").otherwise("PREDICTED_NONCODING_BREAKPOINT").alias("effect"))
+        parts, alone = parts.unionByName(el), alone.join(el.select("id").distinct(), "id", "left_anti")
+    parts = parts.unionByName(alone.select("id", F.lit(None).cast("string").alias("gene"), F.lit("PREDICTED_INTERGENIC").alias("effect")))
+    return parts.groupBy("id", "effect").agg(F.array_sort(F.collect_set("gene")).alias("genes"))
 
 
 def collapse_doubled_dups(svs: DataFrame, effects: list[str]) -> DataFrame:

@@ -247,11 +247,30 @@ def raw_caller_evidence(t):
     return m.raw_caller_evidence(v.select("id", "sample", "n_alt", *m.SEQ), c.select("id", "sample", "caller", "gq", "n_alt", *m.SEQ))
 
 
-@query()
+MEET = "s.chrom = x.chrom AND s.st < x.en AND x.st < s.en"
+
+
+@query(f"""WITH {Q}, s AS (SELECT id, chrom, CASE WHEN svtype = 'DUP' AND vid % 5 = 0 THEN 'CNV' ELSE svtype END AS t, st, greatest(en, st + 1) AS en FROM q),
+f AS (SELECT name AS gene, chrom, st, en FROM features), ex AS (SELECT gene, chrom, st + 40 AS st, st + 90 AS en FROM f), pr AS (SELECT gene, chrom, st - 200 AS st, st AS en FROM f),
+ut AS (SELECT gene, chrom, st, st + 40 AS en FROM f), nc AS (SELECT concat('E', gene) AS gene, chrom, st + 260 AS st, st + 280 AS en FROM f),
+g AS (SELECT s.id, s.t, x.gene, x.st <= s.st AND s.en <= x.en AS inside, s.st <= x.st AND x.en <= s.en AS spans, x.st >= s.st AND x.st < s.en AS tss FROM s JOIN f x ON {MEET}),
+e AS (SELECT s.id, x.gene, bool_or(s.st <= x.st AND x.en <= s.en) AS exon_whole, bool_or(x.st <= s.st AND s.en <= x.en) AS in_exon FROM s JOIN ex x ON {MEET} GROUP BY s.id, x.gene),
+u AS (SELECT DISTINCT s.id, x.gene FROM s JOIN ut x ON {MEET}),
+c AS (SELECT g.id, g.gene, CASE WHEN t = 'CNV' AND e.id IS NOT NULL THEN 'MSV_EXON_OVR' WHEN t = 'DUP' AND spans THEN 'COPY_GAIN' WHEN t = 'INV' AND spans THEN 'INV_SPAN' WHEN t = 'DUP' AND inside AND exon_whole THEN 'INTRAGENIC_EXON_DUP'
+  WHEN t = 'DUP' AND inside AND in_exon THEN 'PARTIAL_EXON_DUP' WHEN t = 'DUP' AND NOT inside AND tss THEN 'TSS_DUP' WHEN t = 'DUP' AND NOT inside THEN 'DUP_PARTIAL' WHEN t IN ('DEL', 'INS', 'INV') AND e.id IS NOT NULL THEN 'LOF'
+  WHEN u.id IS NOT NULL THEN 'UTR' ELSE 'INTRONIC' END AS effect FROM g LEFT JOIN e USING (id, gene) LEFT JOIN u USING (id, gene)),
+p AS (SELECT DISTINCT s.id, x.gene, 'PROMOTER' AS effect FROM s JOIN pr x ON {MEET} WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.id = s.id AND c.gene = x.gene)),
+o AS (SELECT * FROM c UNION ALL SELECT * FROM p), free AS (SELECT * FROM s WHERE id NOT IN (SELECT id FROM o)),
+n AS (SELECT id, gene, 'NEAREST_TSS' AS effect FROM (SELECT free.id, f.gene, row_number() OVER (PARTITION BY free.id ORDER BY abs(f.st - free.st), f.st DESC, f.gene DESC) AS k FROM free JOIN f ON f.chrom = free.chrom) z WHERE k = 1),
+d AS (SELECT s.id, x.gene, CASE WHEN s.st <= x.st AND x.en <= s.en THEN 'NONCODING_SPAN' ELSE 'NONCODING_BREAKPOINT' END AS effect FROM s JOIN nc x ON {MEET}),
+y AS (SELECT * FROM o UNION ALL SELECT * FROM n UNION ALL SELECT * FROM d UNION ALL SELECT id, NULL, 'INTERGENIC' FROM free WHERE id NOT IN (SELECT id FROM d))
+SELECT id, concat('PREDICTED_', effect) AS effect, coalesce(string_agg(DISTINCT gene, ',' ORDER BY gene), '') AS genes FROM y GROUP BY id, effect""")
 def predicted_effects(t):
     f = t.features.select(F.col("name").alias("gene"), "chrom", F.col("st").alias("start"), F.col("en").alias("end"), F.col("st").alias("tss"))
     part = lambda lo, hi: f.select("gene", "chrom", (F.col("start") + lo).alias("start"), (F.col("start") + hi).alias("end"))
-    return m.predicted_effects(svs(t), f, part(40, 90), part(-200, 0), part(0, 40)).withColumn("genes", F.array_join("genes", ","))
+    s = svs(t).withColumn("svtype", F.when((F.col("svtype") == "DUP") & (F.col("vid") % 5 == 0), "CNV").otherwise(F.col("svtype")))
+    elements = part(260, 280).withColumn("gene", F.concat(F.lit("E"), "gene"))
+    return m.predicted_effects(s, f, part(40, 90), part(-200, 0), part(0, 40), elements).withColumn("genes", F.array_join("genes", ","))
 
 
 @query(f"""
