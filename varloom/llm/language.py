@@ -34,7 +34,7 @@ SAMPLE = 2000
 LANGS = 64
 LOST = 0.001
 DIM = 16
-PIECE = 1 << 19
+PIECE = 1 << 18
 
 _KIND = np.full(256, 32, np.uint8)  # letters as they are, small; anything else is an edge
 _KIND[97:123] = np.arange(97, 123)
@@ -192,15 +192,12 @@ def identify(docs: DataFrame, model: Model) -> tuple[DataFrame, str, str, str]:
     pred, score, rejected, letter = fresh(docs, "lang_pred", "score", "rejected", "letter")
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("lang string, score double")
-    def ask(text):
-        import pandas as pd
-
+    @F.arrow_udf("lang string, score double")
+    def ask(text: pa.Array) -> pa.Array:
         m: Model = sent.value
-        b = pa.RecordBatch.from_arrays([pa.array(text, pa.string(), from_pandas=True)], names=["text"])
-        parts = [m.scores(x.column("text")) for x in slices(b, "text")]
-        k, p = (np.concatenate(x) if parts else np.zeros(0) for x in (zip(*parts) if parts else ((), ())))
-        return pd.DataFrame({"lang": [m.langs[i] for i in k], "score": p.astype(float)})
+        parts = [m.scores(x.column("text")) for x in slices(pa.RecordBatch.from_arrays([text], names=["text"]), "text", 1 << 20)]
+        k, p = (np.concatenate(x) for x in zip(*parts)) if parts else (np.zeros(0, np.int64), np.zeros(0))
+        return pa.StructArray.from_arrays([pa.array(m.langs, pa.string()).take(pa.array(k)), pa.array(p, pa.float64())], ["lang", "score"])
 
     x = docs.withColumn(letter, has_letter(F.col("text").cast("string")))
     x = x.withColumn(pred, ask(F.col("text").cast("string")))

@@ -15,8 +15,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-PIECE = 1 << 19
-SLICE = 4 << 20
+PIECE = 1 << 18
+SLICE = 2 << 20
 
 _R = np.uint64(0x9E3779B97F4A7C55)
 _R_INV = np.uint64(pow(int(_R), -1, 1 << 64))
