@@ -308,13 +308,18 @@ def symbolic_type(raw, move_all_dups: bool = False) -> Column:
             .when(t.contains("INS") | t.contains("DUP") | t.contains("NUMT"), "INS").otherwise(bad))
 
 
+def origin_span(text) -> Column:
+    """Struct(chrom, start, end) of one ``contig:start-end`` entry with anything behind it; NULL bounds where it does not read so."""
+    place = F.substring_index(c(text), ":", -1)
+    number = lambda i: F.regexp_extract(place, "^([0-9]+)-([0-9]+)", i).try_cast("int")
+    return F.struct(F.substring_index(F.substring_index(c(text), ":", -2), ":", 1).alias("chrom"), number(1).alias("start"), number(2).alias("end"))
+
+
 def longest_origin(origin) -> Column:
-    """Struct(chrom, start, end, len) of the longest ``chr:s-e`` listed; the first of equals."""
-    pat = r"(chr[^:]+):(\d+)-(\d+)"
-    items = F.transform(F.split(c(origin), ","), lambda x: F.struct(
-        F.regexp_extract(x, pat, 1).alias("chrom"), F.regexp_extract(x, pat, 2).try_cast("int").alias("start"),
-        F.regexp_extract(x, pat, 3).try_cast("int").alias("end")))
-    ok = F.filter(items, lambda o: o["start"].isNotNull())
+    """Struct(chrom, start, end) of the longest ``chr:s-e`` listed; the first of equals."""
+    items = F.transform(F.split(c(origin), ","), origin_span)
+    items = F.transform(items, lambda o: F.struct(F.regexp_extract(o["chrom"], "chr.+", 0).alias("chrom"), o["start"].alias("start"), o["end"].alias("end")))
+    ok = F.filter(items, lambda o: o["start"].isNotNull() & (o["chrom"] != ""))
     first = F.lit(None).cast("struct<chrom:string,start:int,end:int>")
     return F.aggregate(ok, first, lambda best, o: F.when(
         best.isNull() | (F.abs(o["end"] - o["start"]) > F.abs(best["end"] - best["start"])), o).otherwise(best))
@@ -401,8 +406,8 @@ def transform_allele_type(df: DataFrame, window: int = 10, size_sim: float = 0.9
     """Collapse subtypes to ins/del, kept in ``allele_subtype``. A dup stays dup only when tandem:
     one ORIGIN of similar size with POS in or near it (the origin's contig is not compared)."""
     n = F.abs("allele_length")
-    pat = r"^(.+):(\d+)-(\d+)_?[+-]$"
-    s, e = (F.regexp_extract("origin", pat, i).try_cast("int") for i in (2, 3))
+    span, stranded = origin_span("origin"), F.col("origin").rlike("[+-]$")
+    s, e = (F.when(stranded, span[x]) for x in ("start", "end"))
     near = F.col("pos").between(s, e) | (F.abs(s - F.col("pos")) <= window) | (F.abs(e - F.col("pos")) <= window)
     tandem = ((n >= min_size) & ~F.col("origin").contains(",") & s.isNotNull()
               & (size_similarity(n, e - s) >= size_sim) & near)

@@ -221,7 +221,7 @@ def fill_format_fields(calls: DataFrame, source: DataFrame, key, fields=("ad", "
     return _drop_other(x)
 
 
-def transfer_genotypes(base: DataFrame, donor: DataFrame, site_key, samples_shared: bool = True) -> DataFrame:
+def transfer_genotypes(base: DataFrame, donor: DataFrame, site_key) -> DataFrame:
     """Matched sites: het calls take the donor's GT and phase. Unmatched sites lose phase."""
     site_key = list(site_key)
     key = [*site_key, "sample"]

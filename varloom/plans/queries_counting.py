@@ -77,10 +77,10 @@ def gene_counts(t):
     return k.gene_counts(annotated(t), k.carrier_weights(calls(t), ["vid"]), ["vid"])
 
 
-@query("""SELECT allele_type AS bucket, CAST(sum(size) AS BIGINT) AS carriers, round(sum(size) / 25.0, 6) AS carriers_per_sample FROM sites GROUP BY allele_type HAVING sum(size) > 0""")
+@query("""SELECT allele_type AS bucket, CAST(sum(size) AS BIGINT) AS carriers, round(sum(size) / max((SELECT count(*) FROM nation)), 6) AS carriers_per_sample FROM sites GROUP BY allele_type HAVING sum(size) > 0""")
 def merge_count_tables(t):
     shards = t.sites.groupBy(F.col("chrom").alias("shard"), F.col("allele_type").alias("bucket")).agg(F.sum("size").alias("carriers"))
-    n = t.sites.select(F.col("chrom").alias("shard"), F.lit(25).cast("bigint").alias("n")).distinct()
+    n = t.sites.select(F.col("chrom").alias("shard"), t.nation.agg(F.count("*").alias("n")).scalar().alias("n")).distinct()
     return k.merge_count_tables(shards, n).withColumn("carriers_per_sample", F.round("carriers_per_sample", 6))
 
 
