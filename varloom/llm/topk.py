@@ -3,8 +3,9 @@
 Every vector's distances to ``PIVOTS`` pivots are computed once. For a query q and a candidate x the largest
 difference of their distances to a pivot bounds the distance of q and x from below, and with the squared
 lengths the inner product from above: (|q|^2 + |x|^2 - bound^2) / 2. A task takes one block of queries and
-one of candidates. It drops the runs of candidates whose common bound is too low, then looks at each query's
-candidates in the order of their bounds and stops when the next bound lies below the k-th best score so far; that score
+one of candidates. Candidates near the same pivot stand in runs of ``RUN``, each with the least and largest of its distances to every
+pivot, so a run has one bound for a query. Runs are evaluated in the order of their bounds, a query drops those
+below its k-th best score so far, and all ends when no bound is left that reaches it; that score
 starts from a bounded sample, which all tasks get. Scores themselves are integers and exact. A query's
 best of each block meet in one window.
 
@@ -28,7 +29,8 @@ PIVOTS = 24
 SAMPLE = 1024
 QUERY_BLOCK = 2048
 BLOCK = 16384
-RUN = 256
+RUN = 64
+AT_ONCE = 32
 STEP = 512
 
 
@@ -139,32 +141,34 @@ def _best(qk: np.ndarray, qv: np.ndarray, qd: np.ndarray, ci: np.ndarray, ck: np
     for p in range(cd.shape[1]):
         lo, hi = np.minimum.reduceat(cd[:, p], runs), np.maximum.reduceat(cd[:, p], runs)
         np.maximum(low, np.maximum(lo[None] - qd[:, p, None], qd[:, p, None] - hi[None]), out=low)
-    alive = (bound(low, np.maximum.reduceat(c2, runs)) >= floor[:, None]).any(0)
-    cand = np.flatnonzero(np.repeat(alive, np.diff(np.append(runs, len(ci)))))
-    if not len(cand):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    low = np.zeros((nq, len(cand)))
-    for p in range(cd.shape[1]):
-        np.maximum(low, np.abs(cd[cand, p][None] - qd[:, p, None]), out=low)
-    top = bound(low, c2[cand])
-    del low
-    rows, at, score = [], [], []
-    for i in range(nq):
-        live = np.flatnonzero(top[i] >= floor[i])
-        live = live[np.argsort(-top[i][live], kind="stable")]
-        ids, sc, kth, done = np.zeros(0, np.int64), np.zeros(0, np.int64), floor[i], 0
-        step = 8 * k
-        while done < len(live) and top[i][live[done]] >= kth:
-            part = cand[live[done:done + step]]
-            done += step
-            part = part[ck[part] != qk[i]]
-            ids, sc = np.append(ids, part), np.append(sc, _products(qv[i:i + 1], cv[part])[0])
-            keep = np.lexsort((ci[ids], -sc))[:k]
-            ids, sc = ids[keep], sc[keep]
-            if len(sc) == k:
-                kth = max(kth, sc[-1])
-            step *= 2
-        rows.append(np.full(len(ids), i))
-        at.append(ids)
-        score.append(sc)
-    return np.concatenate(rows), np.concatenate(at), np.concatenate(score)
+    top = bound(low, np.maximum.reduceat(c2, runs))
+    order = np.argsort(-top.max(0), kind="stable")
+    top = top[:, order]
+    rest = np.maximum.accumulate(top[:, ::-1], axis=1)[:, ::-1]  # best bound from here on
+    width = np.diff(np.append(runs, len(ci)))
+    row, at, score = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    kth = floor.copy()
+    for j in range(0, len(order), AT_ONCE):
+        live = np.flatnonzero(rest[:, j] >= kth)
+        if not len(live):
+            break
+        live = live[(top[live, j:j + AT_ONCE] >= kth[live, None]).any(1)]
+        use = order[j:j + AT_ONCE]
+        use = use[(top[live, j:j + AT_ONCE] >= kth[live, None]).any(0)]
+        if not len(live) or not len(use):
+            continue
+        cand = np.concatenate([np.arange(runs[u], runs[u] + width[u]) for u in use])
+        s = _products(qv[live], cv[cand])
+        r, c = np.nonzero(s >= kth[live, None])
+        own = ck[cand[c]] == qk[live[r]]
+        r, c = r[~own], c[~own]
+        row, at, score = np.append(row, live[r]), np.append(at, cand[c]), np.append(score, s[r, c])
+        o = np.lexsort((ci[at], -score, row))
+        row, at, score = row[o], at[o], score[o]
+        first = np.searchsorted(row, np.arange(nq))
+        place = np.arange(len(row)) - first[row]
+        keep = place < k
+        last = place == k - 1
+        kth[row[last]] = np.maximum(kth[row[last]], score[last])
+        row, at, score = row[keep], at[keep], score[keep]
+    return row, at, score
