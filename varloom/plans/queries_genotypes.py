@@ -255,8 +255,11 @@ def transfer_haplotypes(t):
     return ph.transfer_haplotypes(a, calls(t, "genotypes2"), ("vid",)).select("vid", "sample", gt_text().alias("gt"))
 
 
+ONE_ALT = """tags AS (SELECT vid, sum(coalesce(a0, 0) + coalesce(a1, 0)) AS ac, sum(CASE WHEN a0 IS NULL THEN 0 ELSE 1 END + CASE WHEN a1 IS NULL THEN 0 ELSE 1 END) AS an FROM genotypes GROUP BY vid)"""
+
+
 @query(f"""
-WITH {TAGS}, c AS (SELECT g.vid, g.sample_id, CAST(floor(g.ps / 10.0) AS BIGINT) AS ps, ac / an AS af FROM genotypes g JOIN tags USING (vid) WHERE a0 IS NOT NULL AND a1 IS NOT NULL),
+WITH {ONE_ALT}, c AS (SELECT g.vid, g.sample_id, CAST(floor(g.ps / 10.0) AS BIGINT) AS ps, ac / an AS af FROM genotypes g JOIN tags USING (vid) WHERE a0 IS NOT NULL AND a1 IS NOT NULL),
 r AS (SELECT *, max(af) OVER (PARTITION BY sample_id, ps) AS top, row_number() OVER (PARTITION BY sample_id, ps ORDER BY af DESC, vid) AS n FROM c)
 SELECT DISTINCT vid FROM r WHERE af >= 0.7 OR (top < 0.7 AND n = 1)
 """)
