@@ -333,6 +333,9 @@ def callset_overlap(evals: DataFrame, truth: DataFrame, truth_sv: DataFrame, min
     return unify_annotation_tables(parts)
 
 
+GROUP = 100_000
+
+
 def collapse_sites(sites: DataFrame, window: int = 500, seq_sim: float = 0.9, size_sim: float = 0.9, most: int = 1 << 20) -> DataFrame:
     """(id, kept_id): greedy collapse in (position, id) order.
 
@@ -350,7 +353,9 @@ def collapse_sites(sites: DataFrame, window: int = 500, seq_sim: float = 0.9, si
     edges = cut_lineage(edges.select("chrom", F.col("island_start").alias("island"), "start", "id", "early", "es"))
     size = edges.groupBy("chrom", "island").agg(F.count("*").alias("_n"))
     big = cut_lineage(size.filter(F.col("_n") > most).select("chrom", "island"))
-    scanned = edges.join(big, ["chrom", "island"], "left_anti").groupBy("chrom", "island").applyInPandas(_scan, "id string, kept_id string")
+    # Whole stretches are dealt to groups of about ``GROUP`` pairs; stretches share no site, so one scan may take several.
+    groups = F.pmod(F.xxhash64("chrom", "island"), F.lit(edges.count() // GROUP + 1))
+    scanned = edges.join(big, ["chrom", "island"], "left_anti").groupBy(groups.alias("g")).applyInPandas(_scan, "id string, kept_id string")
     decided = scanned
     if not big.isEmpty():
         decided = decided.unionByName(_rounds(edges.join(big, ["chrom", "island"], "left_semi").select("id", "early", "es")))
