@@ -175,6 +175,48 @@ def test_near_copies(monkeypatch, docs, rows, nothing, hot, tile):
         assert nearcopies.near_copies(nothing).count() == 0
 
 
+def linked_by_all_pairs(sets, percent):
+    root = list(range(len(sets)))
+    for i in range(len(sets)):
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j]):
+                root = [root[j] if r == root[i] else r for r in root]
+    return {frozenset(k for k, r in enumerate(root) if r == x) for x in root}
+
+
+def linked(sets, percent):
+    import numpy as np
+
+    root = nearcopies._linked([np.array(sorted(s), np.uint64) for s in sets], percent)
+    return {frozenset(np.flatnonzero(root == x).tolist()) for x in root}
+
+
+def test_two_largest_components_are_joined_by_members_of_both():
+    new = iter(range(100, 1000))
+    more = lambda s, n: s | {next(new) for _ in range(n)}
+    core = set(range(90))
+    i, j = more(core, 10), more(core, 10)
+    sets = [i, j, more(i, 20), more(j, 20)]
+    assert linked(sets, 80) == {frozenset(range(4))} == linked_by_all_pairs(sets, 80)
+
+
+@pytest.mark.parametrize("seed", range(60))
+def test_random_chains_are_linked_as_by_all_pairs(seed):
+    import random
+
+    rng = random.Random(seed)
+    sets = []
+    for chain in range(rng.randrange(2, 5)):
+        at = [set(range(1000 * chain, 1000 * chain + 60))]
+        for _ in range(rng.randrange(2, 25)):
+            s = set(rng.choice(at))
+            s -= set(rng.sample(sorted(s), rng.randrange(0, 8)))
+            at.append(s | {rng.randrange(10_000, 10_000_000) for _ in range(rng.randrange(0, 14))})
+        sets += at
+    rng.shuffle(sets)
+    assert linked(sets, 80) == linked_by_all_pairs(sets, 80)
+
+
 def test_language(docs, nothing, spark):
     d = spark.createDataFrame([(i, ("the house and the garden " if i % 2 else "das haus und der garten ") + f"x{i}", "en" if i % 2 else "de") for i in range(200)], "doc_id bigint, text string, lang string")
     model = language.fit(d.filter(language.fold() != 2))
