@@ -231,6 +231,21 @@ def test_language(docs, nothing, spark):
     assert language.identify(d, language.fit(d.filter("false")))[0].filter("lang_pred <> 'und'").count() == 0
 
 
+def test_all_of_many_languages_are_learnt(spark):
+    import random
+
+    rng = random.Random(4)
+    pools = [["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(12)] for _ in range(70)]
+    rows = [(k * 100 + i, " ".join(rng.choices(pool, k=20)), f"l{k:02}") for k, pool in enumerate(pools) for i in range(60 if k < 64 else 40)]
+    d = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = language.fit(d.filter(language.fold() != 2))
+    assert len(model.langs) == 70
+    out, pred, _, rejected = language.identify(d, model)
+    held = out.filter(language.fold() == 2).toPandas()
+    rare = held[held.lang >= "l64"]
+    assert len(rare) > 20 and (rare.lang == rare[pred]).mean() > 0.95 and (held.lang == held[pred]).mean() > 0.95 and held[rejected].mean() < 0.1
+
+
 def test_toxicity(spark, docs, nothing):
     import random
 

@@ -2,10 +2,12 @@
 
 Subwords are the 2- to 4-byte pieces of lower-cased words with their edges. Each hashes to one
 of ``BUCKETS`` embeddings, a text is the mean of its subwords' embeddings, and a softmax layer gives the
-language. Both are trained by stochastic gradient descent in numpy on at most ``SAMPLE`` labelled rows
-(dealt evenly to the languages, of which the ``LANGS`` most frequent count); each row trains
+language. Both are trained by stochastic gradient descent in numpy on about ``SAMPLE`` labelled rows, dealt evenly
+to all languages, or ``LEAST`` of each where there are more than ``SAMPLE / LEAST`` languages; each row trains
 as a whole and as a short piece, so short texts are known too. Since the mean is linear, embeddings and
-layer fold into one table of ``BUCKETS x languages`` numbers (16 MB at most), which is all that is sent to tasks.
+layer of up to ``DIM`` languages fold into one table of ``BUCKETS x languages`` numbers. With more they are sent to tasks
+as they are: 4 MB and 64 bytes a language. On the driver the sample grows with the languages, and the logits that
+set the temperature with their square (``LEAST / 5`` rows of each by all languages: 0.2 GB a copy at 2,000 languages).
 
 A part of the sample is kept from training: it sets the temperature of the probabilities, and the least
 probability, under which a text is rejected: that below which ``LOST`` of the rightly named rows lie.
@@ -17,7 +19,6 @@ clash with get an underscore before the new name in ``identify``; ``keep`` retur
 
 from __future__ import annotations
 
-import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -31,7 +32,7 @@ from .words import slices, text_bytes
 BUCKETS = 1 << 16
 SIZES = (2, 3, 4)
 SAMPLE = 2000
-LANGS = 64
+LEAST = 31
 LOST = 0.001
 DIM = 16
 PIECE = 1 << 18
@@ -45,23 +46,29 @@ _KIND[128:] = np.arange(128, 256)
 @dataclass
 class Model:
     langs: list[str]
-    table: np.ndarray  # logits of each subword, by language
+    table: np.ndarray  # of each subword the logits by language, or the embedding if there is a layer
     bias: np.ndarray
     least: float  # rejected below
+    layer: np.ndarray | None = None
 
     def scores(self, col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Most likely language (its number) and calibrated probability of each text."""
-        total = np.zeros((len(col), len(self.langs)))
+        total = np.zeros((len(col), self.table.shape[1]))
         count = np.zeros(len(col))
         for doc, sub in subwords(col):
             if len(doc):
                 at = np.flatnonzero(np.diff(doc, prepend=-1))
                 total[doc[at]] += np.add.reduceat(self.table[sub], at, axis=0)
                 count[doc[at]] += np.diff(at, append=len(doc))
-        z = total / np.maximum(count, 1)[:, None] + self.bias
-        p = np.exp(z - z.max(1, keepdims=True))
-        p /= p.sum(1, keepdims=True)
-        return p.argmax(1), p.max(1)
+        total /= np.maximum(count, 1)[:, None]
+        best, sure = np.zeros(len(col), np.int64), np.zeros(len(col))
+        step = max(1, (1 << 20) // len(self.langs))  # texts whose probabilities are held at once
+        for lo in range(0, len(col), step):
+            z = (total[lo:lo + step] if self.layer is None else total[lo:lo + step] @ self.layer) + self.bias
+            p = np.exp(z - z.max(1, keepdims=True))
+            p /= p.sum(1, keepdims=True)
+            best[lo:lo + step], sure[lo:lo + step] = p.argmax(1), p.max(1)
+        return best, sure
 
 
 def subwords(col: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -110,15 +117,15 @@ def has_letter(text: Column) -> Column:
 
 
 def sample(docs: DataFrame, rows: int = SAMPLE) -> list[tuple[str, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """At most about ``rows`` labelled rows as subword counts: (lang, buckets, counts, and both of a short piece)."""
+    """About ``rows`` labelled rows, or ``LEAST`` of each language, as subword counts: (lang, buckets, counts, and both of a short piece)."""
     d = docs.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")).filter(F.col("lang").isNotNull() & has_letter(F.col("text")))
-    counts = d.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGS).collect()
+    counts = d.groupBy("lang").count().collect()
     if not counts:
         return []
-    quota = rows / len(counts)
-    share = F.create_map(*itertools.chain.from_iterable((F.lit(r[0]), F.lit(min(1.0, quota / r[1]))) for r in counts))
+    quota = max(rows / len(counts), LEAST)
+    shares = docs.sparkSession.createDataFrame([(r[0], min(1.0, quota / r[1])) for r in counts], "lang string, share double")
     u = F.pmod(F.xxhash64("text", F.lit(7)), F.lit(1 << 30)) / (1 << 30)
-    picked = d.filter(u < F.coalesce(share[F.col("lang")], F.lit(0.0)))
+    picked = d.join(F.broadcast(shares), "lang").filter(u < F.col("share")).select("lang", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -149,8 +156,9 @@ def fit(docs: DataFrame, rows: int = SAMPLE, epochs: int = 8, seed: int = 3) ->
     if not langs:
         return Model(["und"], np.zeros((BUCKETS, 1), np.float32), np.zeros(1), 0.0)
     rng = np.random.default_rng(seed)
-    whole = [(langs.index(r[0]), r[1], r[2] / max(1, r[2].sum())) for r in got]
-    short = [(langs.index(r[0]), r[3], r[4] / max(1, r[4].sum())) for r in got if len(r[3])]
+    number = {x: k for k, x in enumerate(langs)}
+    whole = [(number[r[0]], r[1], r[2] / max(1, r[2].sum())) for r in got]
+    short = [(number[r[0]], r[3], r[4] / max(1, r[4].sum())) for r in got if len(r[3])]
     held = set(rng.permutation(len(whole))[:len(whole) // 5].tolist()) if len(whole) >= 25 else set()
     kept = [x for i, x in enumerate(whole) if i in held]
     train = [x for i, x in enumerate(whole) if i not in held] + [x for i, x in enumerate(short) if i % 5]
@@ -172,8 +180,7 @@ def fit(docs: DataFrame, rows: int = SAMPLE, epochs: int = 8, seed: int = 3) ->
             lin -= rate * np.outer(x, g)
             bias -= rate * 0.1 * g
             emb[h] -= (rate * 20) * share[:, None] * back
-    table = (emb @ lin).astype(np.float32)
-    logits = np.array([share @ table[h] + bias for _, h, share in kept or train])
+    logits = np.array([share @ emb[h] for _, h, share in kept or train]) @ lin + bias
     y = np.array([k for k, _, _ in kept or train])
 
     def prob(t: float) -> np.ndarray:
@@ -184,7 +191,9 @@ def fit(docs: DataFrame, rows: int = SAMPLE, epochs: int = 8, seed: int = 3) ->
     best = min(scales, key=lambda t: -np.log(np.maximum(prob(t)[np.arange(len(y)), y], 1e-12)).mean())
     right = prob(best).max(1)[prob(best).argmax(1) == y]
     least = min(0.5, float(np.quantile(right, LOST))) if len(right) else 0.0
-    return Model(langs, table * np.float32(best), bias.astype(float) * best, least)
+    lin *= np.float32(best)
+    folded = len(langs) <= DIM
+    return Model(langs, (emb @ lin).astype(np.float32) if folded else emb, bias.astype(float) * best, least, None if folded else lin)
 
 
 def identify(docs: DataFrame, model: Model) -> tuple[DataFrame, str, str, str]:
