@@ -246,6 +246,15 @@ def test_all_of_many_languages_are_learnt(spark):
     assert len(rare) > 20 and (rare.lang == rare[pred]).mean() > 0.95 and (held.lang == held[pred]).mean() > 0.95 and held[rejected].mean() < 0.1
 
 
+def test_a_drawn_text_with_many_copies_is_sampled_once(spark):
+    d = spark.range(3000).select(F.concat(F.lit("text number "), "id").alias("text"), F.lit("en").alias("lang"))
+    drawn = d.orderBy(F.pmod(F.xxhash64("text", F.lit(7)), F.lit(1 << 30))).first()["text"]
+    copies = spark.range(1500).select(F.lit(drawn).alias("text"), F.lit("en").alias("lang"))
+    got = language.sample(d.union(copies).repartition(5), 100)
+    assert 50 < len(got) < 160
+    assert len(language.sample(copies, 100)) == 1
+
+
 def test_toxicity(spark, docs, nothing):
     import random
 

@@ -2,8 +2,8 @@
 
 Subwords are the 2- to 4-byte pieces of lower-cased words with their edges. Each hashes to one
 of ``BUCKETS`` embeddings, a text is the mean of its subwords' embeddings, and a softmax layer gives the
-language. Both are trained by stochastic gradient descent in numpy on about ``SAMPLE`` labelled rows, dealt evenly
-to all languages, or ``LEAST`` of each where there are more than ``SAMPLE / LEAST`` languages; each row trains
+language. Both are trained by stochastic gradient descent in numpy on about ``SAMPLE`` distinct labelled texts, dealt evenly
+to all languages, or ``LEAST`` of each where there are more than ``SAMPLE / LEAST`` languages; each text trains
 as a whole and as a short piece, so short texts are known too. Since the mean is linear, embeddings and
 layer of up to ``DIM`` languages fold into one table of ``BUCKETS x languages`` numbers. With more they are sent to tasks
 as they are: 4 MB and 64 bytes a language. On the driver the sample grows with the languages, and the logits that
@@ -117,19 +117,23 @@ def has_letter(text: Column) -> Column:
 
 
 def sample(docs: DataFrame, rows: int = SAMPLE) -> list[tuple[str, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """About ``rows`` labelled rows, or ``LEAST`` of each language, as subword counts: (lang, buckets, counts, and both of a short piece)."""
+    """About ``rows`` distinct labelled texts, or ``LEAST`` of each language, as subword counts: (lang, buckets, counts, and both of a short piece)."""
     d = docs.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")).filter(F.col("lang").isNotNull() & has_letter(F.col("text")))
-    counts = d.groupBy("lang").count().collect()
+    d = d.withColumn("th", F.xxhash64("text"))
+    counts = d.select("lang", "th").distinct().groupBy("lang").count().collect()
     if not counts:
         return []
     quota = max(rows / len(counts), LEAST)
     shares = docs.sparkSession.createDataFrame([(r[0], min(1.0, quota / r[1])) for r in counts], "lang string, share double")
     u = F.pmod(F.xxhash64("text", F.lit(7)), F.lit(1 << 30)) / (1 << 30)
-    picked = d.join(F.broadcast(shares), "lang").filter(u < F.col("share")).select("lang", "text")
+    picked = d.join(F.broadcast(shares), "lang").filter(u < F.col("share")).select("lang", "th", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()  # of the sample's texts only
         for whole in batches:
-            for b in slices(whole, "text"):
+            known = list(zip(whole.column("lang").to_pylist(), whole.column("th").to_pylist()))
+            first = [k not in seen and not seen.add(k) for k in known]
+            for b in slices(whole.filter(pa.array(first, pa.bool_())), "text"):
                 out: list[list] = [[], []]
                 texts = b.column("text").to_pylist()
                 for i, t in enumerate(texts):
@@ -141,9 +145,9 @@ def sample(docs: DataFrame, rows: int = SAMPLE) -> list[tuple[str, np.ndarray, n
                         got = [s for _, s in subwords(pa.array([x]))]
                         h, n = np.unique(np.concatenate(got) if got else np.zeros(0, np.int64), return_counts=True)
                         o.append((h.astype(np.uint32).tobytes(), n.astype(np.float32).tobytes()))
-                yield pa.RecordBatch.from_arrays([b.column("lang"), *[pa.array([x[j] for x in o], pa.binary()) for o in out for j in (0, 1)]], names=["lang", "h", "n", "sh", "sn"])
+                yield pa.RecordBatch.from_arrays([b.column("lang"), b.column("th"), *[pa.array([x[j] for x in o], pa.binary()) for o in out for j in (0, 1)]], names=["lang", "th", "h", "n", "sh", "sn"])
 
-    got = picked.mapInArrow(run, "lang string, h binary, n binary, sh binary, sn binary").toArrow().to_pydict()
+    got = picked.mapInArrow(run, "lang string, th bigint, h binary, n binary, sh binary, sn binary").dropDuplicates(["lang", "th"]).toArrow().to_pydict()
     dec = lambda x, t: np.frombuffer(x, t)
     rows_ = [(la, dec(a, np.uint32), dec(b, np.float32), dec(c, np.uint32), dec(e, np.float32)) for la, a, b, c, e in zip(*(got[k] for k in ("lang", "h", "n", "sh", "sn")))]
     return sorted(rows_, key=lambda r: (r[0], len(r[1]), r[1].tobytes(), r[2].tobytes()))
