@@ -43,3 +43,14 @@ def test_stages_take_odd_and_empty_tables(spark, docs, nothing, name, stage):
     assert stage(spark, nothing, SMALL).count() == 0
     got = stage(spark, docs, SMALL)
     assert got.count() >= 0 and (name == "packing" or got.columns == docs.columns)
+
+
+def test_one_row_of_each_group_of_near_copies_stays(spark):
+    base = [" ".join(f"w{k}x{i}" for i in range(60)) for k in range(4)]
+    near = base[1] + " more"
+    rows = [(1, base[0])] * 3 + [(2, base[0])] + [(None, base[1])] * 2 + [(None, near)] + [(7, base[2]), (7, base[2] + " more"), (8, base[3]), (9, None), (None, "")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = [tuple(r) for r in corpus_pipeline.near_copies(spark, docs, SMALL).collect()]
+    ids = sorted(str(d) for d, _ in got)
+    assert ids == sorted(["1", "None", "7", "8", "9", "None"])
+    assert sum(t in (base[1], near) for _, t in got) == 1 and (9, None) in got and (None, "") in got and set(got) <= set(rows)

@@ -18,8 +18,8 @@ A pair at exactly 80 % is missed by the signatures with a probability of 2e-7; e
 
 Nulls, empty texts and texts without words have no shingles and are linked with nothing; their component
 is their own id. Rows with a null id belong to the components of their set, and never name them unless
-all are null. Rows equal in id and text share one answer. Empty tables give no rows. ``keep`` returns all
-columns as they are; otherwise other columns are not read.
+all are null. Rows equal in id and text share one answer, so ``keep`` leaves all or none of them; ``keep_one`` leaves one row of a
+component. Empty tables give no rows. Both return all columns as they are; otherwise other columns are not read.
 """
 
 from __future__ import annotations
@@ -247,7 +247,7 @@ def _confirmed(docs: DataFrame, families: DataFrame, size: int, percent: int) ->
 
 def near_copies(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row."""
-    return _decided(docs, size, percent).drop("th")
+    return _decided(docs, size, percent).drop("th", "root")
 
 
 def _decided(docs: DataFrame, size: int, percent: int) -> DataFrame:
@@ -260,10 +260,10 @@ def _decided(docs: DataFrame, size: int, percent: int) -> DataFrame:
     own = classes.select("c", "id").join(links.withColumnRenamed("node", "c"), "c", "left").withColumn("root", F.coalesce("root", "c"))
     own = settled(own)
     least = own.groupBy("root").agg(F.min("id").alias("component_id"))
-    named = settled(own.join(least, "root").select("c", "component_id"))
-    out = signed.select("doc_id", "th", "n", "c").join(named, "c", "left")
+    named = settled(own.join(least, "root").select("c", "component_id", "root"))
+    out = signed.select("doc_id", "th", "n", "c").join(named, "c", "left")  # root: null without shingles
     comp = F.when(F.col("c").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "th", F.col("n").alias("n_shingles"), comp.alias("component_id"), F.col("doc_id").eqNullSafe(comp).alias("kept"))
+    return out.select("doc_id", "th", F.col("n").alias("n_shingles"), comp.alias("component_id"), F.col("doc_id").eqNullSafe(comp).alias("kept"), "root")
 
 
 def keep(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
@@ -272,3 +272,19 @@ def keep(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     gone = _decided(docs, size, percent).filter(~F.col("kept")).select(_named("doc_id").alias(who), F.col("th").alias(th)).distinct()
     named = docs.withColumns({who: F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(1 << 63))), th: F.xxhash64(F.col("text").cast("string"))})
     return named.join(gone, [who, th], "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def keep_one(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """One row of each component, also where ids repeat or are all null: that with its least id, of several texts with this id the one
+    with the least hash, of equal rows any. Columns as they are; rows without shingles stay."""
+    who, th, lead = fresh(docs, "who", "th", "lead")
+    rows = settled(_decided(docs, size, percent).filter("root IS NOT NULL").select(_named("doc_id").alias(who), F.col("th").alias(th), "kept", "root"))
+    least = settled(rows.filter("kept").groupBy(who, th).agg(F.first("root").alias("root"), F.count("*").alias("n")))
+    least = settled(least.join(least.groupBy("root").agg(F.min(th).alias(lead)), "root").select(who, th, "n", (F.col(th) == F.col(lead)).alias("stays")))
+    gone = rows.filter("NOT kept").select(who, th).distinct().unionByName(least.filter("NOT stays").select(who, th))
+    named = docs.withColumns({who: F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(1 << 63))), th: F.xxhash64(F.col("text").cast("string"))})
+    left = named.join(gone, [who, th], "left_anti")
+    again = least.filter("stays AND n > 1").select(who, th)
+    if not again.isEmpty():
+        left = left.join(again, [who, th], "left_anti").unionByName(left.join(again, [who, th], "left_semi").dropDuplicates([who, th]))
+    return left.select(*[F.col(f"`{c}`") for c in docs.columns])
