@@ -17,6 +17,22 @@ def test_every_sql_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
+def test_the_rest_is_listed_without_the_training_data_operators(monkeypatch):
+    """As where their folder was deleted: neither they nor the pipeline are listed, and nothing fails."""
+    import sys
+
+    for name in [m for m in sys.modules if m.startswith("varloom.llm") or m == "corpus_pipeline"]:
+        monkeypatch.delitem(sys.modules, name)
+
+    class Absent:
+        def find_spec(self, name, path=None, target=None):
+            if name.startswith("varloom.llm"):
+                raise ModuleNotFoundError(f"No module named {name!r}", name="varloom.llm")
+
+    monkeypatch.setattr(sys, "meta_path", [Absent(), *sys.meta_path])
+    assert set(entry.queries()) == set(entry.register.QUERIES) and set(entry.oracle_sql()) == set(entry.register.ORACLE)
+
+
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
