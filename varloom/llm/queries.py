@@ -182,3 +182,12 @@ line AS (SELECT doc_id, unnest(range(1, len(l) + 1)) AS p, unnest(l) AS x FROM d
 kept AS (SELECT doc_id, count(*) AS n, string_agg(x, chr(10) ORDER BY p) AS s FROM line ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
 SELECT doc_id, CAST(len(l) AS BIGINT) AS n_lines, len(l) - coalesce(n, 0) AS n_removed, sha256(coalesce(s, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (doc_id)
 """
+
+
+def op11_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    from .fingerprints import edited
+
+    return edited(table(spark, folder, "documents"))
+
+
+QUERIES["op11_fingerprints"] = op11_fingerprints
