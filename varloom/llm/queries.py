@@ -191,3 +191,32 @@ def op11_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES["op11_fingerprints"] = op11_fingerprints
+
+
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    from .whitening import whiten
+
+    out = whiten(table(spark, folder, "embeddings"))
+    return out.withColumn("deviation", F.expr("try_cast(deviation AS bigint)"))  # null where it needs more than 64 bits: from some millions of unit vectors on
+
+
+QUERIES["op12_whitening"] = op12_whitening
+
+
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    from .negatives import mine
+
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0, label=label)
+
+
+QUERIES["op13_hard_negatives"] = op13_hard_negatives
+ORACLE["op13_hard_negatives"] = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v FROM embeddings
+           WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS a, c.vec_id AS c, a.label = c.label AS same, CAST(list_inner_product(a.v, c.v) AS BIGINT) AS score FROM v a JOIN v c ON a.vec_id <> c.vec_id WHERE a.vec_id % 100 = 0),
+p AS (SELECT a, c, score FROM (SELECT *, row_number() OVER (PARTITION BY a ORDER BY score DESC, c) AS r FROM s WHERE same) WHERE r <= 5),
+n AS (SELECT p.a, p.c AS p, p.score AS ps, s.c AS n, s.score AS ns, row_number() OVER (PARTITION BY p.a, p.c ORDER BY s.score DESC, s.c) AS r
+      FROM p JOIN s ON p.a = s.a AND NOT s.same AND 80 * p.score <= 100 * s.score AND 100 * s.score <= 100 * p.score)
+SELECT a AS anchor_id, p AS positive_id, CAST(r AS INTEGER) AS rank, n AS negative_id, ps AS positive_score, ns AS negative_score FROM n WHERE r <= 5
+"""
