@@ -282,7 +282,43 @@ def test_a_long_text_scores_like_its_pieces():
     m.emb, m.filters, m.lin = rng.normal(size=m.emb.shape).astype(np.float32), rng.normal(size=m.filters.shape).astype(np.float32), np.ones_like(m.lin)
     long = " ".join(f"w{x}" for x in rng.integers(0, 5000, 150_000))
     feats, doc = toxicity.features(pa.array([long, "", "a"]))
-    assert np.allclose(m.logits(pa.array([long, "", "a"])), m.pooled(feats, doc)[0] @ m.lin, atol=1e-2)
+    assert np.allclose(m.logits(feats, doc), m.pooled(feats, doc)[0] @ m.lin, atol=1e-2)
+
+
+@pytest.mark.parametrize("width", toxicity.WIDTHS)
+def test_a_window_scores_alike_on_either_side_of_a_cut(monkeypatch, width):
+    """One filter of a width answers to one word only, at each of its places, alone or beside a word that spoils what is cut short."""
+    import numpy as np
+    import pyarrow as pa
+
+    monkeypatch.setattr(toxicity, "SLICE", 10)
+    k = toxicity.WIDTHS.index(width)
+    for place in range(width):
+        m = toxicity.Model()
+        hot, cold = (toxicity.features(pa.array([w]))[0][0, 0] for w in ("hot", "cold"))
+        m.emb[0, hot, 0], m.emb[0, cold, 1] = 1.0, 1.0
+        c = sum(toxicity.WIDTHS[:k]) * toxicity.FILTERS
+        m.filters[0, c + place * toxicity.FILTERS] = 1.0
+        m.filters[1, c + (width - 1) * toxicity.FILTERS] = -1.0  # a window cut short before its last word would score more
+        m.lin[k * toxicity.FILTERS] = 1.0
+        for at in range(30):
+            for spoiled in (-1, *range(max(0, at - 2), min(30, at + 3))):
+                words = ["x"] * 30
+                words[at] = "hot"
+                if spoiled >= 0 and spoiled != at:
+                    words[spoiled] = "cold"
+                feats, doc = toxicity.features(pa.array([" ".join(words), "hot"]))
+                assert np.array_equal(m.logits(feats, doc), m.pooled(feats, doc)[0] @ m.lin + m.bias), (place, at, spoiled)
+
+
+def test_training_rows_are_bounded_by_words(spark, monkeypatch):
+    """One text an id, none over LONGEST words, WORDS in all; copies of an id don't multiply."""
+    monkeypatch.setattr(toxicity, "LONGEST", 50)
+    monkeypatch.setattr(toxicity, "WORDS", 1000)
+    d = spark.range(400).select(F.col("id").alias("doc_id"), F.repeat(F.lit("a,b "), F.when(F.col("id") % 5 == 0, 40).otherwise(10)).alias("text"))
+    d = d.unionByName(d.filter("doc_id = 1").crossJoin(spark.range(300)).select("doc_id", F.lit("other text").alias("text")))
+    got = toxicity.sample(d, spark.range(400).select(F.col("id").alias("doc_id"), (F.col("id") % 2).alias("toxic")), 1000, 1000, None)
+    assert 0 < sum(len(f) for _, f, _ in got) <= 1000 and max(len(f) for _, f, _ in got) <= 50 and len(got) >= 45
 
 
 @pytest.mark.parametrize("block,queries", [(16384, 2048), (20, 3)])
