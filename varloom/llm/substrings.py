@@ -1,14 +1,16 @@
 """Removal of passages that occur more than once (windows of consecutive words, same document included).
 
 Each window's Rabin-Karp hash (64 bits) is counted over the corpus. Rows of hashes would be
-several times the input, so texts are dealt once into batches of about ``BATCH`` bytes; a batch
+several times the input, so texts are dealt once, by their row's place in the table, into batches of about ``BATCH`` bytes; a batch
 sends its distinct hashes, sorted, as differences in as few bytes as they need, cut into buckets by
 their first bits. A bucket gathers one array from each batch, counts in how many batches
 each hash lies, and answers each array with one bit a hash. The batch joins its answers, adds the
 hashes that it holds several times itself, and merges the marked windows into maximal intervals.
 
 A hash is sent at most once by a batch, so a passage that a third of all documents share weighs
-as much as any other. Batches and buckets follow the input's size, and with it their number. Two
+as much as any other, and equal rows are spread over batches. From ``WIDE`` bytes of input on, batches and buckets grow with its square root, so that the
+number of arrays (batches x buckets) grows with the input and not with its square. A batch that
+is not the one that asked (``docs`` was read differently the second time) fails the job. Two
 different windows are taken for one with a chance of about (number of windows)^2 / 2^65 in all.
 
 Nulls: a null text has no words; ids may be null. Rows equal in id and text count as two rows, so
@@ -28,6 +30,7 @@ from .words import SPACED, Words, covered, slices, text_bytes, whole_windows, wi
 
 BATCH = 16 << 20
 BUCKET = 16 << 20
+WIDE = 1 << 40
 
 
 def _sliced(docs: pa.Table, size: int) -> list[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]]:
@@ -69,9 +72,10 @@ def remove_repeats(docs: DataFrame, size: int = 35) -> DataFrame:
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     total = docs.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()[0]
-    batches = max(1, -(-total // BATCH))
-    bits = max(0, (total // BUCKET)).bit_length()
-    dealt = docs.select("doc_id", text.alias("text"), F.pmod(F.xxhash64("doc_id", text), F.lit(batches)).alias("batch"))
+    wide = max(1.0, (total / WIDE) ** 0.5)
+    batches = max(1, -(-total // int(BATCH * wide)))
+    bits = max(0, (total // int(BUCKET * wide))).bit_length()
+    dealt = docs.select("doc_id", text.alias("text"), F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(batches)).alias("batch"))
     kind = dealt.schema["doc_id"].dataType.simpleString()
 
     def send(t: pa.Table) -> pa.Table:
@@ -94,7 +98,8 @@ def remove_repeats(docs: DataFrame, size: int = 35) -> DataFrame:
             at = np.minimum(np.searchsorted(twice, x), max(0, len(twice) - 1))
             marks.append(np.packbits(twice[at] == x).tobytes() if len(twice) else None)
         keep = [i for i, m in enumerate(marks) if m and any(m)]
-        return pa.table({"bucket": t.column("bucket").take(pa.array(keep, pa.int64())), "batch": t.column("batch").take(pa.array(keep, pa.int64())), "marks": pa.array([marks[i] for i in keep], pa.binary())})
+        return pa.table({"bucket": t.column("bucket").take(pa.array(keep, pa.int64())), "batch": t.column("batch").take(pa.array(keep, pa.int64())),
+                         "size": pa.array([len(got[i]) for i in keep], pa.int64()), "marks": pa.array([marks[i] for i in keep], pa.binary())})
 
     def mark(t: pa.Table, answers: pa.Table) -> pa.Table:
         parts = _sliced(t, size)
@@ -102,7 +107,9 @@ def remove_repeats(docs: DataFrame, size: int = 35) -> DataFrame:
         h, back, n = np.unique(all_h, return_inverse=True, return_counts=True)
         again, cut = n > 1, _cuts(h, bits)
         del all_h
-        for k, m in zip(answers.column("bucket").to_pylist(), answers.column("marks").to_pylist()):
+        for k, size_k, m in zip(answers.column("bucket").to_pylist(), answers.column("size").to_pylist(), answers.column("marks").to_pylist()):
+            if size_k != cut[k + 1] - cut[k]:
+                raise RuntimeError("a batch holds other rows than when it sent its hashes: the table was read differently the second time")
             again[cut[k]:cut[k + 1]] |= np.unpackbits(np.frombuffer(m, np.uint8), count=cut[k + 1] - cut[k]).astype(bool)
         hit, at = again[back], 0
         out: dict[str, list] = {"doc_id": [], "n_words": [], "n_removed": [], "spans": [], "kept": []}
@@ -128,6 +135,6 @@ def remove_repeats(docs: DataFrame, size: int = 35) -> DataFrame:
                          "spans": pa.array(out["spans"], span), "kept": pa.array(out["kept"], pa.binary()).cast(pa.string())})
 
     sent = dealt.groupBy("batch").applyInArrow(send, "bucket int, batch bigint, width int, hashes binary")
-    answers = sent.groupBy("bucket").applyInArrow(count, "bucket int, batch bigint, marks binary")
+    answers = sent.groupBy("bucket").applyInArrow(count, "bucket int, batch bigint, size bigint, marks binary")
     return dealt.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(
         mark, f"doc_id {kind}, n_words bigint, n_removed bigint, spans array<struct<start:bigint,length:bigint>>, kept string")
