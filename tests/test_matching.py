@@ -184,8 +184,11 @@ def test_writers_of_shards(spark, tmp_path):
     writers.write_per_sample(d, str(tmp_path / "per"))
     files = list((tmp_path / "per").glob("sample=*/*.parquet"))
     assert {f.parent.name for f in files} == {"sample=s0", "sample=s1", "sample=s2"} and len(files) <= 12
-    writers.shard_by_records(d.coalesce(1), str(tmp_path / "rec"), 300)
-    assert sorted(spark.read.parquet(str(f)).count() for f in (tmp_path / "rec").glob("*.parquet")) == [100, 300, 300, 300]
+    hot = d.withColumn("pos", F.when(F.col("pos") % 3 == 0, 7).otherwise(F.col("pos"))).unionByName(d.withColumn("chrom", F.lit("chr10"))).withColumn("id", F.monotonically_increasing_id())
+    m = writers.shard_by_records(hot.repartition(7), str(tmp_path / "rec"), 300).orderBy("shard").collect()
+    assert [r["rows"] for r in m] == [300] * 6 + [200] and m[0].first_chrom == "chr1" and m[-1].last_chrom == "chr10" and m[-1].last_pos == 999
+    assert all((a.last_chrom, a.last_pos) <= (b.first_chrom, b.first_pos) for a, b in zip(m, m[1:]))
+    assert [spark.read.parquet(str(tmp_path / "rec" / f"shard={i}")).count() for i in range(7)] == [300] * 6 + [200]
     writers.write_site_table(d, str(tmp_path / "sites"), 400)
     assert spark.read.parquet(str(tmp_path / "sites")).filter("region_bin = 1").count() == 400
     writers.write_annotation_tsv(spark.createDataFrame([("chr1", None)], "a string, b string"), str(tmp_path / "tsv"))

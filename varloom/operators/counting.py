@@ -347,31 +347,3 @@ def trio_gq_table(calls: DataFrame, sites: DataFrame, trios: DataFrame, key, edg
         dims.append("caller")
     inh = F.col("_f") | F.col("_m")
     return x.groupBy(*dims).agg(F.count_if(inh).alias("inherited"), F.count_if(~inh).alias("de_novo"))
-
-
-def truth_gq_table(evals: DataFrame, truth: DataFrame, key_small: int = 20, pad: int = 200, size_sim: float = 0.7,
-                   edges=PLOT_EDGES) -> DataFrame:
-    """Calls, matched calls and genotype-concordant calls per bucket and GQ.
-
-    Below ``key_small`` bases a match is exact (chrom, pos, ref, alt); from there on DEL/INS
-    match by place and size. Rows are calls of one sample: ``id, chrom, pos, ref, alt, gq, n_alt,
-    allele_type, allele_length`` with ``truth`` alike.
-    """
-    from .matching import windowed_match
-
-    small = F.abs("allele_length") < key_small
-    k = ["chrom", "pos", "ref", "alt"]
-    ex = evals.filter(small).join(truth.select(*k, F.col("n_alt").alias("_t")).distinct(), k).select("id", (F.col("n_alt") == F.col("_t")).alias("_same"))
-    fz = windowed_match(evals.filter(~small), truth.filter(~small), pad, size_sim, carry=["n_alt"]).select("id", (F.col("n_alt") == F.col("b_n_alt")).alias("_same"))
-    hit = ex.unionByName(fz).groupBy("id").agg(F.bool_or("_same").alias("_same"))
-    x = evals.join(hit, "id", "left").withColumn("bucket", size_column(edges))
-    return x.groupBy("bucket", "gq").agg(F.count("*").alias("variants"), F.count("_same").alias("matched"), F.count_if("_same").alias("concordant"))
-
-
-def gq_cutoff_table(evals: DataFrame, truth_hits: DataFrame, de_novo: DataFrame, truth: DataFrame, edges=PLOT_EDGES) -> DataFrame:
-    """Per type x size x GQ: calls, truth-supported calls, de novo calls, and the truth total of the bucket."""
-    x = (evals.join(truth_hits.select("id").distinct().withColumn("_t", F.lit(True)), "id", "left")
-         .join(de_novo.select("id").distinct().withColumn("_d", F.lit(True)), "id", "left").withColumn("bucket", size_column(edges)))
-    out = x.groupBy("bucket", "gq").agg(F.count("*").alias("calls"), F.count("_t").alias("truth_supported"), F.count("_d").alias("de_novo"))
-    tot = truth.groupBy(size_column(edges).alias("bucket")).agg(F.count("*").alias("truth_total"))
-    return out.join(tot, "bucket", "left").fillna(0, ["truth_total"])

@@ -189,20 +189,74 @@ def sex_labels(cn: DataFrame) -> DataFrame:
     return xy.select("sample", F.col("x").alias("x_copies"), F.col("y").alias("y_copies"), lab.alias("sex"))
 
 
-def dosage_batches(bins: DataFrame, n_bins: int, batches: int, components: int = 10, seed: int = 1) -> DataFrame:
-    """Sample batches: principal components of scaled bins, then k-means. ``bins`` carry a dense
-    ``bin`` number below ``n_bins`` (a genome has a few thousand large bins)."""
+MOST_SAMPLES = 4096  # a cohort's samples x samples matrix on the driver: 128 MB of doubles
+
+
+def _cohort(bins: DataFrame) -> list:
+    names = [r["sample"] for r in bins.select("sample").distinct().orderBy("sample").limit(MOST_SAMPLES + 1).collect()]
+    if len(names) > MOST_SAMPLES:
+        raise ValueError(f"more than {MOST_SAMPLES} samples: their correlations would exceed the driver's bound")
+    return names
+
+
+def correlations(bins: DataFrame, contigs=None) -> tuple[list, np.ndarray]:
+    """Samples in order, and the correlation matrix of their depths over all bins (``sample, chrom, bin, depth``; absent bins are 0).
+
+    Each bin is one vector of the cohort's length; Spark sums the samples x samples products of bins, so what the driver
+    gets is bounded by samples, however many bins there are. ``contigs`` names those that count (all). A sample without variance correlates with none.
+    """
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.stat import Correlation
+
+    names = _cohort(bins)
+    if not names:
+        return [], np.zeros((0, 0))
+    x = bins.filter(F.col("chrom").isin(list(contigs))) if contigs is not None else bins
+    cells = x.groupBy("chrom", "bin", "sample").agg(F.sum("depth").cast("double").alias("v")).groupBy("chrom", "bin").agg(F.map_from_entries(F.collect_list(F.struct("sample", "v"))).alias("_m"))
+    row = F.transform(F.array(*[F.lit(n) for n in names]), lambda n: F.coalesce(F.try_element_at("_m", n), F.lit(0.0)))
+    vectors = cells.select(array_to_vector(row).alias("v"))
+    if vectors.limit(2).count() < 2:
+        return names, np.eye(len(names))
+    m = Correlation.corr(vectors, "v").first()[0].toArray()
+    m = np.where(np.isfinite(m), m, 0.0)
+    np.fill_diagonal(m, 1.0)
+    return names, m
+
+
+def sample_correlations(bins: DataFrame, contigs=None) -> DataFrame:
+    """(sample_a, sample_b, r) of every pair of samples."""
+    names, m = correlations(bins, contigs)
+    kind = bins.schema["sample"].dataType.simpleString()
+    rows = [(names[i], names[j], float(m[i, j])) for i in range(len(names)) for j in range(len(names))]
+    return bins.sparkSession.createDataFrame(rows, f"sample_a {kind}, sample_b {kind}, r double")
+
+
+def dosage_components(bins: DataFrame, components: int = 10, contigs=None) -> DataFrame:
+    """(component, explained, sample, loading): leading principal components of the samples over centred and scaled bins.
+
+    They are the eigenvectors of the samples' correlation matrix, largest entry positive; ``explained`` is the share of variance.
+    """
+    names, m = correlations(bins, contigs)
+    kind = bins.schema["sample"].dataType.simpleString()
+    value, vector = np.linalg.eigh(m)
+    rows = []
+    for k in range(min(components, len(names))):
+        v = vector[:, -1 - k]
+        v = v * np.sign(v[np.abs(v).argmax()])
+        rows += [(k + 1, float(value[-1 - k] / len(names)), n, float(x)) for n, x in zip(names, v)]
+    return bins.sparkSession.createDataFrame(rows, f"component int, explained double, sample {kind}, loading double")
+
+
+def dosage_batches(bins: DataFrame, batches: int, components: int = 10, seed: int = 1, least: int = 60, most: int = 150, contigs=None) -> DataFrame:
+    """Sample batches by k-means over the leading components: sample, batch, its size, and whether that lies between ``least`` and ``most``."""
     from pyspark.ml.clustering import KMeans
-    from pyspark.ml.feature import PCA
     from pyspark.ml.functions import array_to_vector
 
-    cells = F.map_from_entries(F.collect_list(F.struct("bin", F.col("depth").cast("double").alias("v"))))  # n_bins per sample
-    grid = F.transform(F.sequence(F.lit(0), F.lit(n_bins - 1)), lambda i: F.coalesce(F.try_element_at("_m", i.cast("bigint")), F.lit(0.0)))
-    v = bins.groupBy("sample", F.col("bin").cast("bigint").alias("bin")).agg(F.sum("depth").alias("depth")).groupBy("sample").agg(cells.alias("_m"))
-    v = v.select("sample", array_to_vector(grid).alias("features"))
-    pcs = PCA(k=components, inputCol="features", outputCol="pcs").fit(v).transform(v)
-    km = KMeans(k=batches, featuresCol="pcs", predictionCol="batch", seed=seed).fit(pcs)
-    return km.transform(pcs).select("sample", "batch")
+    pcs = dosage_components(bins, components, contigs).groupBy("sample").agg(F.array_sort(F.collect_list(F.struct("component", "loading"))).getField("loading").alias("_l"))
+    pcs = pcs.select("sample", array_to_vector("_l").alias("pcs"))
+    found = KMeans(k=batches, featuresCol="pcs", predictionCol="batch", seed=seed).fit(pcs).transform(pcs).select("sample", "batch")
+    size = F.count("*").over(W.partitionBy("batch"))  # a cohort's samples
+    return found.withColumn("size", size).withColumn("size_ok", F.col("size").between(least, most))
 
 
 def filter_bins(bins: DataFrame, min_count: int = 5, low_share: float = 0.9, percentiles=(0.01, 0.99), extreme_share: float = 0.9) -> DataFrame:

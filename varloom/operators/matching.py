@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import genotype as g
-from ..functions.alleles import c, overlap_bases, sequence_score, sequence_similar, sequence_similarity, size_similarity
+from ..functions.alleles import c, overlap_bases, sequence_score, sequence_similar, size_similarity
 from ..session import cut_lineage
 from .intervals import IV, islands, assign_islands, overlap_count
 from .positions import at_positions, overlap_pairs, point_in_interval, prefixed
@@ -442,24 +442,7 @@ def agglomerate(callsets: list[DataFrame], min_overlap: float = 0.5, min_size: f
     return total
 
 
-# ------------------------------------------------------------------ caller evidence
-
-def caller_support(variants: DataFrame, calls: DataFrame, window: int = 500, min_length: int = 50) -> DataFrame:
-    """(id, caller, ref_depth, alt_depth) from each supporting caller's nearest same-type call.
-
-    ``variants``: id, chrom, start, svtype, svlen, callers array. ``calls``: caller, chrom, start,
-    svtype, alts array<struct<len, depth>>, ref_depth. Among several ALTs the closest length counts.
-    """
-    v = variants.withColumn("caller", F.explode("callers"))
-    longest = F.array_max(F.transform("alts", lambda a: F.abs(a["len"])))
-    r = calls.filter(longest >= min_length)
-    by = ["chrom", "svtype", "caller"]
-    r = r.withColumn("id", F.concat_ws(":", "caller", F.col("start").cast("string")) if "id" not in calls.columns else F.col("id"))
-    n = nearest_points(v, r, by, ["alts", "ref_depth"], right_wins=False)
-    x = v.join(n, [*by, "start"]).filter(F.col("distance") <= window)
-    best = F.array_min(F.transform("b_alts", lambda a: F.struct(F.abs(F.abs(a["len"]) - F.abs(F.col("svlen"))).alias("d"), a["depth"].alias("depth"))))
-    return x.select("id", "caller", F.col("b_ref_depth").alias("ref_depth"), best["depth"].alias("alt_depth"))
-
+# ------------------------------------------------------------------ callers
 
 def caller_counts(variants: DataFrame, edges=(50, 100, 500, 5000)) -> DataFrame:
     """Variants per type x length bucket x caller (``supp`` is a comma list)."""
@@ -487,28 +470,6 @@ def best_caller(variants: DataFrame, support: DataFrame, edges=(50, 100, 500, 50
                       g.gq_from_pl("pl").alias("gq"), F.when(F.col("_b").isNull(), "NO_AD").otherwise("FILLED").alias("status"))
 
 
-def raw_caller_evidence(variants: DataFrame, calls: DataFrame, window: int = 500, seq_sim: float = 0.7, size_sim: float = 0.7) -> DataFrame:
-    """Evidence per variant from all callers' raw calls: EV strings ``caller:gt:gq`` in caller order,
-    BEV the caller with the highest GQ among those agreeing on the genotype, and match counters.
-
-    ``variants``: id, sample, n_alt and the similarity columns; ``calls`` also caller, gq.
-    """
-    # Pair distinct contents once, whatever number of samples carries them.
-    qc, rc = contents(variants, SEQ), contents(calls, SEQ)
-    p = near_pairs(qc, rc, window, ("chrom", "kind"), size_sim=size_sim).filter(sequence_similar("seq", "b_seq", seq_sim))
-    p = cut_lineage(p.select(F.col("id").alias("qid"), F.col("b_id").alias("rid"), F.struct(
-        (-sequence_similarity("seq", "b_seq")).alias("s"), F.abs(F.col("start") - F.col("b_start")).alias("d")).alias("_o")))
-    v = variants.join(qc.withColumnRenamed("id", "qid"), SEQ).select("id", "sample", "n_alt", "qid")
-    r = calls.join(rc.withColumnRenamed("id", "rid"), SEQ).groupBy("rid", "sample", "caller").agg(F.max(F.struct("gq", "n_alt")).alias("_c"))
-    near = p.join(r, "rid").groupBy("qid", "sample", "caller").agg(F.min_by("_c", F.struct("_o", "rid")).alias("_c"))
-    ev = near.groupBy("qid", "sample").agg(F.array_sort(F.collect_list(F.struct("caller", F.col("_c.n_alt").alias("n"), F.col("_c.gq").alias("gq")))).alias("_e"))
-    x = v.join(ev, ["qid", "sample"], "left")
-    agree = F.filter("_e", lambda e: e["n"] == F.col("n_alt"))
-    best = F.array_max(F.transform(agree, lambda e: F.struct(e["gq"].alias("gq"), e["caller"].alias("caller"))))
-    text = F.transform("_e", lambda e: F.concat_ws(":", e["caller"], e["n"].cast("string"), e["gq"].cast("string")))
-    return x.select("id", "sample", F.array_join(text, ",").alias("ev"), best["caller"].alias("bev"),
-                    F.greatest(F.size("_e"), F.lit(0)).alias("n_matched"), F.greatest(F.size(agree), F.lit(0)).alias("n_agree"))
-
 
 # ------------------------------------------------------------------ gene effects
 

@@ -6,9 +6,12 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from ..functions.alleles import contig_sort, sequence_similarity
+from ..functions import genotype as g
+from ..functions.alleles import contig_sort
 from ..session import cut_lineage
 from .intervals import assign_islands, islands
+from .positions import overlap_pairs
+from .sequences import distance, spelled, with_bases
 
 # ------------------------------------------------------------------ benchmark of matched pairs
 
@@ -88,44 +91,94 @@ def informative_columns(table: DataFrame, pairs: list[tuple[str, str]]) -> DataF
 
 # ------------------------------------------------------------------ repeat call concordance
 
+def _sites(calls: DataFrame) -> DataFrame:
+    """Distinct places of calls; ``_to`` is the open end that overlaps are judged by (two bases at least)."""
+    return calls.select("chrom", "start", "end").distinct().withColumn("_to", F.greatest(F.col("end"), F.col("start") + 1) + 1)
+
+
+def _shared(sites: DataFrame, other: DataFrame) -> DataFrame:
+    """Sites that overlap a site of ``other``, with the first and last place (``_lo``, open ``_hi``) that both cover."""
+    cover = islands(other, ("start", "_to"))
+    p = overlap_pairs(sites, cover, ("start", "_to"), ("start", "end"))
+    return p.groupBy("chrom", "start", "end").agg(F.min(F.greatest("start", "b_start")).alias("_lo"), F.max(F.least("_to", "b_end")).alias("_hi"))
+
+
 def str_regions(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Calls of two sets (``id, chrom, start, end``) labelled with the stretch of overlapping calls
-    they belong to; only stretches holding both sets. Overlap components of intervals are islands,
-    so no graph search is needed. ``src`` is 1 or 2."""
-    u = a.withColumn("src", F.lit(1)).unionByName(b.withColumn("src", F.lit(2)))
-    u = cut_lineage(u)
-    u = cut_lineage(assign_islands(u, islands(u, touching=False)))
-    both = u.groupBy("chrom", "island_start", "island_end").agg(F.count_distinct("src").alias("_k")).filter("_k = 2").drop("_k")
-    return u.join(both, ["chrom", "island_start", "island_end"])
-
-
-def str_concordance(a: DataFrame, b: DataFrame, similar: float = 0.9) -> DataFrame:
-    """Per region and sample: the two haplotype sequences of each set joined in position order and
-    compared straight and swapped by edit distance.
-
-    Calls: sample, chrom, start, end, hap1, hap2 (sequences), nonref1, nonref2, motif_len. Flanking
-    reference between calls is left out on both sides. EXACT at 1, SIMILAR from ``similar``, else DIVERGENT.
+    """Sites of two call sets (``chrom, start, end``, both ends in) with the region they belong to; ``src`` is 1 or 2.
+
+    Sites of different sets that overlap share a region, and so on along the chain; sites of one set don't link each other.
+    Two sites are linked just when the stretches that both sets cover within them overlap, so regions are the islands
+    of those stretches and no graph search is needed. ``window_start`` and ``window_end`` bound the region's sites.
+    """
+    one, two = _sites(a), _sites(b)
+    x = cut_lineage(_shared(one, two).withColumn("src", F.lit(1)).unionByName(_shared(two, one).withColumn("src", F.lit(2))))
+    iv = ("_lo", "_hi")
+    x = assign_islands(x, islands(x, iv, touching=False), iv)
+    ends = x.groupBy("chrom", "island_start").agg(F.min("start").alias("window_start"), F.max("end").alias("window_end"))
+    return x.join(ends, ["chrom", "island_start"]).select("chrom", "start", "end", "src", "window_start", "window_end", F.col("island_start").alias("region"))
+
+
+def str_site_summary(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Per set (``src``): its sites, those that overlap the other set, those that don't, and the share of the former."""
+    n = _sites(a).withColumn("src", F.lit(1)).unionByName(_sites(b).withColumn("src", F.lit(2))).groupBy("src").agg(F.count("*").alias("sites"))
+    x = n.join(str_regions(a, b).groupBy("src").agg(F.count("*").alias("_o")), "src", "left").withColumn("overlapped", F.coalesce("_o", F.lit(0)))
+    return x.select("src", "sites", "overlapped", (F.col("sites") - F.col("overlapped")).alias("exclusive"), (100.0 * F.col("overlapped") / F.col("sites")).alias("pct_overlapped"))
+
+
+def str_concordance(a: DataFrame, b: DataFrame, reference: DataFrame, block: int, pairs: DataFrame | None = None, similar: float = 0.9, order: str | None = None) -> DataFrame:
+    """Per region and sample: both sets' haplotypes spelled out over the region, compared straight and swapped by edit distance.
+
+    Calls: sample, chrom, start, end (1-based, both ends in), hap1, hap2 (sequences; NULL or empty where not called, the one that is left then
+    counts as the first), nonref1, nonref2, motif_len. A haplotype takes the calls by position, cut where they overlap the last one, and the bases of
+    ``reference`` (see ``sequences``) between them and out to the region's ends, so a sample without calls there is the reference.
+    ``pairs`` (sample, sample_b) names the samples to compare, else those of one name. Of several calls of a sample at one place the last by ``order`` counts.
+    EXACT at 1, SIMILAR from ``similar``, else DIVERGENT. A region's text is as long as the region.
     """
-    reg = str_regions(a.withColumn("id", F.lit("")), b.withColumn("id", F.lit("")))
-    items = F.array_sort(F.collect_list(F.struct("start", "end", "hap1", "hap2")))
-    seqs = reg.groupBy("chrom", "island_start", "island_end", "sample", "src").agg(
-        items.alias("_i"), F.bool_or("nonref1").alias("_n1"), F.bool_or("nonref2").alias("_n2"), F.min("motif_len").alias("motif_len"))
-    seqs = seqs.select("chrom", "island_start", "island_end", "sample", "src", "motif_len",
-                       F.upper(F.array_join(F.transform("_i", lambda x: x["hap1"]), "")).alias("h1"), F.upper(F.array_join(F.transform("_i", lambda x: x["hap2"]), "")).alias("h2"),
-                       (F.col("_n1").cast("int") + F.col("_n2").cast("int")).alias("nonref"))
-    k = ["chrom", "island_start", "island_end", "sample"]
-    one = seqs.filter("src = 1").drop("src").withColumnsRenamed({"h1": "a1", "h2": "a2", "nonref": "nonref_a", "motif_len": "motif_a"})
-    two = seqs.filter("src = 2").drop("src").withColumnsRenamed({"h1": "b1", "h2": "b2", "nonref": "nonref_b", "motif_len": "motif_b"})
-    x = one.join(two, k)
-    straight = (sequence_similarity("a1", "b1") + sequence_similarity("a2", "b2")) / 2
-    swapped = (sequence_similarity("a1", "b2") + sequence_similarity("a2", "b1")) / 2
-    e1 = F.levenshtein("a1", "b1") + F.levenshtein("a2", "b2")
-    e2 = F.levenshtein("a1", "b2") + F.levenshtein("a2", "b1")
-    x = x.withColumns({"_s": straight, "_w": swapped, "_e1": e1, "_e2": e2})
+    reg = cut_lineage(str_regions(a, b))
+    region = ["chrom", "region", "window_start", "window_end"]
+    key = ["chrom", "start", "end"]
+    who = "sample" if pairs is None else "sample_b"
+
+    def spelled_calls(calls: DataFrame, src: int, name: str) -> DataFrame:
+        last = F.col(order) if order else F.struct("hap1", "hap2")
+        c = calls.groupBy("sample", *key).agg(F.max_by(F.struct("hap1", "hap2", "nonref1", "nonref2"), last).alias("_c"), F.min("motif_len").alias("motif_len")).select("sample", *key, "_c.*", "motif_len")
+        haps = F.filter(F.transform(F.array("hap1", "hap2"), lambda h: F.upper(h)), lambda h: h.isNotNull() & (h != ""))
+        c = c.join(reg.filter(F.col("src") == src), key).withColumn("_h", haps)
+        item = lambda i: F.when(F.size("_h") > i, F.struct("start", "end", F.get("_h", F.lit(i)).alias("seq")))
+        g = c.groupBy(*region, "sample").agg(
+            F.array_sort(F.collect_list(item(0))).alias("_i1"), F.array_sort(F.collect_list(item(1))).alias("_i2"),
+            (F.coalesce(F.bool_or("nonref1"), F.lit(False)).cast("int") + F.coalesce(F.bool_or("nonref2"), F.lit(False)).cast("int")).alias(f"nonref_{name}"))
+        return g.withColumnsRenamed({"_i1": f"_{name}1", "_i2": f"_{name}2"})
+
+    def motifs(calls: DataFrame, src: int, name: str) -> DataFrame:
+        return calls.join(reg.filter(F.col("src") == src), key).groupBy(*region).agg(F.min("motif_len").alias(f"motif_{name}"))
+
+    one, two = spelled_calls(a, 1, "a"), spelled_calls(b, 2, "b").withColumnRenamed("sample", who)
+    if pairs is not None:
+        one, two = one.join(pairs.select("sample", "sample_b"), "sample"), two.join(pairs.select("sample", "sample_b"), "sample_b")
+    x = one.join(two, [*region, *dict.fromkeys(["sample", who])], "full")
+    windows = reg.select("chrom", F.col("window_start").alias("start"), F.col("window_end").alias("end"))
+    text = with_bases(windows, reference, block, "_ref").withColumnsRenamed({"start": "window_start", "end": "window_end"})
+    x = x.join(text, ["chrom", "window_start", "window_end"]).join(motifs(a, 1, "a"), region).join(motifs(b, 2, "b"), region)
+    none = F.array().cast("array<struct<start:int,end:int,seq:string>>")
+    haps = ["a1", "a2", "b1", "b2"]
+    x = x.withColumns({f"_{h}": F.coalesce(f"_{h}", none) for h in haps})
+    x = x.withColumns({h: spelled(f"_{h}", "_ref", "window_start", "window_end") for h in haps})
+    x = x.withColumns({f"_{p}{q}": distance(F.col(p), F.col(q)) for p in ("a1", "a2") for q in ("b1", "b2")} | {f"_{h}r": distance(F.col(h), F.col("_ref")) for h in haps})
+
+    def like(p: str, q: str) -> Column:
+        longer = F.greatest(F.length(p), F.length(q))
+        return F.when(longer == 0, F.lit(1.0)).otherwise(1 - F.col(f"_{p}{q}") / longer)
+
+    x = x.withColumns({"_s": (like("a1", "b1") + like("a2", "b2")) / 2, "_w": (like("a1", "b2") + like("a2", "b1")) / 2})
     sim = F.greatest("_s", "_w")
-    return x.select(*k, F.when(sim == 1.0, "EXACT").when(sim >= similar, "SIMILAR").otherwise("DIVERGENT").alias("category"), sim.alias("similarity"),
-                    F.when(F.col("_w") > F.col("_s"), F.col("_e2")).otherwise(F.col("_e1")).alias("edit_distance"),
-                    (F.length("a1") + F.length("a2") - F.length("b1") - F.length("b2")).alias("length_diff"), "nonref_a", "nonref_b", "motif_a", "motif_b")
+    return x.select(
+        "chrom", F.col("window_start").alias("start"), F.col("window_end").alias("end"), *dict.fromkeys(["sample", who]),
+        F.when(sim == 1.0, "EXACT").when(sim >= similar, "SIMILAR").otherwise("DIVERGENT").alias("category"), sim.alias("similarity"),
+        F.when(F.col("_w") > F.col("_s"), F.col("_a1b2") + F.col("_a2b1")).otherwise(F.col("_a1b1") + F.col("_a2b2")).alias("edit_distance"),
+        (F.col("_a1r") + F.col("_a2r")).alias("ref_distance_a"), (F.col("_b1r") + F.col("_b2r")).alias("ref_distance_b"),
+        (F.length("a1") + F.length("a2") - F.length("b1") - F.length("b2")).alias("length_diff"), (F.col("window_end") - F.col("window_start") + 1).alias("locus_size"),
+        "motif_a", "motif_b", F.coalesce("nonref_a", F.lit(0)).alias("nonref_a"), F.coalesce("nonref_b", F.lit(0)).alias("nonref_b"))
 
 
 def str_nonref_matrix(conc: DataFrame) -> DataFrame:
@@ -152,6 +205,55 @@ def callset_qc(sites: DataFrame, matches: DataFrame) -> DataFrame:
                      F.array_contains("filters", "PASS").alias("passing")).agg(F.count("*").alias("sites"), F.count("_m").alias("matched"))
 
 
+def sampled_calls(calls: DataFrame, most: int, seed: int = 0, vid: str = "vid") -> DataFrame:
+    """At most ``most`` calls of each sample, those of the smallest seeded hashes: the same calls whatever the order, and a sample of a union is found in
+    the samples of its parts. Calls are counted by ranges of the hash first, so only the range in which a sample's limit falls is ranked."""
+    x = calls.withColumn("_h", F.xxhash64(vid, "sample", F.lit(seed))).withColumn("_b", F.shiftright("_h", 54))
+    per = x.groupBy("sample", "_b").agg(F.count("*").alias("_n"))
+    upto = per.withColumn("_c", F.sum("_n").over(W.partitionBy("sample").orderBy("_b").rowsBetween(W.unboundedPreceding, W.currentRow)))  # 1,024 ranges
+    x = x.join(upto.filter(F.col("_c") - F.col("_n") < most), ["sample", "_b"])
+    cut = x.filter(F.col("_c") > most).withColumn("_r", F.row_number().over(W.partitionBy("sample", "_b").orderBy("_h", vid)) + F.col("_c") - F.col("_n")).filter(F.col("_r") <= most)
+    return x.filter(F.col("_c") <= most).select(*calls.columns).unionByName(cut.select(*calls.columns))
+
+
+def sample_qc(calls: DataFrame, sites: DataFrame, edges=(0, 1, 50, 500, 5000), max_gq: int = 99, gq_step: int = 10, vid: str = "vid") -> DataFrame:
+    """Per sample, allele type, size bucket and GQ bin of the carried calls: calls, het and hom ones, and those of variants that only this sample carries.
+
+    ``calls``: vid, sample, gt, gq; GQ is cut at ``max_gq`` and binned by ``gq_step`` (NULL stays NULL).
+    """
+    from .counting import size_bucket
+
+    c = calls.filter(g.is_carrier("gt"))
+    alone = c.groupBy(vid).agg(F.count_distinct("sample").alias("_k")).filter("_k = 1").select(vid, F.lit(True).alias("_a"))
+    x = c.join(sites.select(vid, "allele_type", size_bucket("allele_length", edges).alias("size_bucket")), vid).join(alone, vid, "left")
+    hom = F.size("gt") == g.n_alt("gt")
+    gq = (F.floor(F.least(F.col("gq"), F.lit(max_gq)) / gq_step) * gq_step).cast("int")
+    return x.groupBy("sample", "allele_type", "size_bucket", gq.alias("gq_bin")).agg(
+        F.count("*").alias("calls"), F.count_if(g.is_het("gt")).alias("het"), F.count_if(hom).alias("hom"), F.count("_a").alias("singletons"))
+
+
+def family_qc(calls: DataFrame, sites: DataFrame, trios: DataFrame, edges=(0, 1, 50, 500, 5000), vid: str = "vid") -> DataFrame:
+    """Per trio, allele type and size bucket of the child's carried variants that are fully called in all three: carried by the father only, the mother only,
+    both or none, the inherited share, and how many of the parents' heterozygous variants (one parent het, the other without) reach the child.
+
+    ``trios``: family, child, father, mother. One pass: the three calls of a site meet in one group.
+    """
+    from .counting import size_bucket
+
+    roles = trios.select("family", F.explode(F.array(*[F.struct(F.col(r).alias("sample"), F.lit(r).alias("role")) for r in ("child", "father", "mother")])).alias("_r")).select("family", "_r.*").distinct()
+    known = calls.filter(~g.has_null("gt")).select(vid, "sample", g.n_alt("gt").alias("_n"), g.is_het("gt").alias("_het"))
+    of = lambda r, v: F.max(F.when(F.col("role") == r, F.col(v)))
+    t = known.join(roles, "sample").groupBy("family", vid).agg(*[of(r, "_n").alias(r) for r in ("child", "father", "mother")], *[of(r, "_het").alias(f"{r}_het") for r in ("father", "mother")])
+    t = t.filter("child IS NOT NULL AND father IS NOT NULL AND mother IS NOT NULL")
+    kid, dad, mum = (F.col(r) > 0 for r in ("child", "father", "mother"))
+    one_het = (F.col("father_het") & ~mum) | (F.col("mother_het") & ~dad)
+    x = t.join(sites.select(vid, "allele_type", size_bucket("allele_length", edges).alias("size_bucket")), vid)
+    out = x.groupBy("family", "allele_type", "size_bucket").agg(
+        F.count_if(kid).alias("child_variants"), F.count_if(kid & dad & ~mum).alias("paternal"), F.count_if(kid & ~dad & mum).alias("maternal"), F.count_if(kid & dad & mum).alias("both"),
+        F.count_if(kid & ~dad & ~mum).alias("de_novo"), F.count_if(one_het).alias("parent_het"), F.count_if(one_het & kid).alias("transmitted"))
+    return out.withColumns({"inherited_share": F.try_divide(F.col("child_variants") - F.col("de_novo"), F.col("child_variants")), "transmitted_share": F.try_divide("transmitted", "parent_het")})
+
+
 def aggregate_eval_tables(tables: list[DataFrame], labels: list[dict[str, str]]) -> DataFrame:
     """Per-sample evaluation tables with their labels as columns, in contig order."""
     tagged = [reduce(lambda d, kv: d.withColumn(kv[0], F.lit(kv[1])), lab.items(), t) for t, lab in zip(tables, labels)]

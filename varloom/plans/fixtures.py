@@ -73,6 +73,11 @@ SELECT c_custkey AS sample_id, r_name AS population,
 FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
 """
 
+# Reference sequence in blocks of 64 bases: block b of a contig holds positions 64 b + 1 to 64 b + 64.
+VIEWS["reference"] = """
+SELECT chrom, CAST(floor(vid / 24.0) AS INT) AS block, concat(seq, reverse(seq)) AS bases FROM bases
+"""
+
 # A second call set over all parts: same places, shifted by brand, some alleles changed.
 VIEWS["truth"] = """
 SELECT vid, concat('T', CAST(vid AS STRING)) AS id, chrom, pos + (brand_no % 5) AS pos, vid AS file_pos, size, ref,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import counting as k
+from ..operators import counting as k, truth as tr
 from .queries_rows import calls
 from .queries_transfer import find_trios
 from .register import query
@@ -145,45 +145,84 @@ READS = "(SELECT 'pbsv' AS caller, 7 AS m, 9 AS n UNION ALL SELECT 'delly_2', 5,
 LIKELY = "list_sort([CAST(round_even(-10 * (l0 - best), 0) AS INT), CAST(round_even(-10 * (l1 - best), 0) AS INT), CAST(round_even(-10 * (l2 - best), 0) AS INT)])[2]"
 
 
-@query(f"""WITH {NAT_CALLS},
+EMIT = f"""{NAT_CALLS},
 r AS (SELECT nc.*, caller, CAST(gq % m AS INT) AS r, CAST(vid % n AS INT) AS a FROM nc CROSS JOIN {READS} k),
 l AS (SELECT *, a * log10(0.05) + r * log10(1.0 - 0.05) AS l0, a * log10(0.5) + r * log10(0.5) AS l1, a * log10(0.95) + r * log10(1.0 - 0.95) AS l2 FROM r),
 b AS (SELECT *, greatest(l0, l1, l2) AS best FROM l),
 e AS (SELECT vid, sample, a0, a1, 'no_caller' AS caller, gq FROM nc WHERE vid % 4 = 0 UNION ALL SELECT vid, sample, a0, a1, 'kanpig', gq FROM nc WHERE vid % 4 = 1
- UNION ALL SELECT vid, sample, a0, a1, caller, CASE WHEN r + a = 0 THEN 0 ELSE least(99, {LIKELY}) END FROM b WHERE vid % 4 > 1)
+ UNION ALL SELECT vid, sample, a0, a1, caller, CASE WHEN r + a = 0 THEN 0 ELSE least(99, {LIKELY}) END FROM b WHERE vid % 4 > 1)"""
+
+
+def nat_calls(t):
+    n = t.sql(f"WITH {NAT_CALLS} SELECT * FROM nc")
+    ev = [F.format_string("pbsv_(%d_%d)", F.col("gq") % 7, F.col("vid") % 9), F.format_string("delly_2_(%d_%d)", F.col("gq") % 5, F.col("vid") % 4), F.lit("broken")]
+    bev = F.when(F.col("vid") % 4 == 1, "kanpig").when(F.col("vid") % 4 > 1, "pbsv")
+    return n.select("vid", "sample", F.array("a0", "a1").alias("gt"), "gq", F.array(*ev).alias("ev"), bev.alias("bev"))
+
+
+def nat_trios(t):
+    return t.nation.select(F.col("n_nationkey").alias("sample"), (F.col("n_nationkey") + 1).alias("father"), (F.col("n_nationkey") + 2).alias("mother"))
+
+
+@query(f"""WITH {EMIT}
 SELECT {PLOT} AS bucket, c.gq, tr_enveloped AS tr, caller, CAST(count(*) FILTER (f.a0 + f.a1 > 0 OR m.a0 + m.a1 > 0) AS BIGINT) AS inherited, CAST(count(*) FILTER (NOT (f.a0 + f.a1 > 0 OR m.a0 + m.a1 > 0)) AS BIGINT) AS de_novo
 FROM e c JOIN nc f ON f.vid = c.vid AND f.sample = c.sample + 1 JOIN nc m ON m.vid = c.vid AND m.sample = c.sample + 2 JOIN annotated n ON n.vid = c.vid
 WHERE c.a0 + c.a1 > 0 GROUP BY ALL""")
 def trio_gq_table(t):
-    n = t.sql(f"WITH {NAT_CALLS} SELECT * FROM nc")
-    ev = [F.format_string("pbsv_(%d_%d)", F.col("gq") % 7, F.col("vid") % 9), F.format_string("delly_2_(%d_%d)", F.col("gq") % 5, F.col("vid") % 4), F.lit("broken")]
-    bev = F.when(F.col("vid") % 4 == 1, "kanpig").when(F.col("vid") % 4 > 1, "pbsv")
-    c = n.select("vid", "sample", F.array("a0", "a1").alias("gt"), "gq", F.array(*ev).alias("ev"), bev.alias("bev"))
-    trios = t.nation.select(F.col("n_nationkey").alias("sample"), (F.col("n_nationkey") + 1).alias("father"), (F.col("n_nationkey") + 2).alias("mother"))
-    return k.trio_gq_table(c, t.annotated, trios, ["vid"], by_caller=True)
+    return k.trio_gq_table(nat_calls(t), t.annotated, nat_trios(t), ["vid"], by_caller=True)
+
+
+EVAL_SITES = """SELECT s.vid AS id, s.chrom, s.pos, s.ref, s.alt, n.allele_type, n.allele_length, n.tr_enveloped, s.pos - 1 + CASE WHEN n.allele_type = 'del' THEN abs(n.allele_length) ELSE length(s.ref) END AS en
+ FROM sites s JOIN annotated n ON n.vid = s.vid"""
+TRUTH_SITES = """SELECT vid AS id, chrom, pos, lower(ref) AS ref, alt, CASE WHEN allele_type LIKE '%_ins' THEN 'ins' ELSE allele_type END AS allele_type, allele_length,
+ pos - 1 + CASE WHEN allele_type = 'del' THEN abs(allele_length) ELSE length(ref) END AS en FROM truth"""
+TRUTH_CALLS = """SELECT l_partkey AS id, s_nationkey AS sample, min(CASE WHEN l_returnflag = 'A' THEN 1 ELSE 0 END) AS a0, max(CASE WHEN l_linestatus = 'F' AND l_tax < 0.04 THEN 1 ELSE 0 END) AS a1
+ FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY l_partkey, s_nationkey"""
+
 
+def truth_inputs(t):
+    ends = lambda d: d.withColumnRenamed("en", "end")
+    tc = t.sql(TRUTH_CALLS).select("id", "sample", F.array("a0", "a1").alias("gt"))
+    return ends(t.sql(EVAL_SITES)), nat_calls(t).withColumnRenamed("vid", "id"), ends(t.sql(TRUTH_SITES)), tc
 
-EVAL = "SELECT id, chrom, pos, ref, alt, size AS gq, size % 2 + 1 AS n_alt, CASE WHEN allele_type IN ('snv', 'trv') THEN 'snv' WHEN allele_type = 'del' THEN 'del' ELSE 'ins' END AS allele_type, allele_length FROM sites"
-TRUE_CALLS = "SELECT id, chrom, pos, ref, alt, brand_no % 2 + 1 AS n_alt, CASE WHEN allele_type IN ('snv', 'trv') THEN 'snv' WHEN allele_type = 'del' THEN 'del' ELSE 'ins' END AS allele_type, allele_length FROM truth"
+
+def truth_pairs(exact: str, fuzzy: str) -> str:
+    kind = "CASE WHEN allele_type = 'ins' THEN 'INS' WHEN allele_type = 'del' THEN 'DEL' WHEN allele_type = 'trv' THEN 'TRV' ELSE 'SNV' END"
+    return f"""es AS (SELECT *, {kind} AS kind, abs(allele_length) AS len, pos - 1 AS st FROM ({EVAL_SITES}) q WHERE allele_type <> 'trv'),
+ts AS (SELECT *, {kind} AS kind, abs(allele_length) AS len, pos - 1 AS st FROM ({TRUTH_SITES}) q), tc AS ({TRUTH_CALLS}),
+pairs AS (SELECT e.id, t.id AS truth_id FROM es e JOIN ts t ON e.chrom = t.chrom AND e.pos = t.pos AND upper(e.ref) = upper(t.ref) AND upper(e.alt) = upper(t.alt) WHERE NOT (e.kind IN ('DEL', 'INS') AND e.len >= 20) AND {exact}
+  UNION SELECT e.id, t.id FROM es e JOIN ts t ON e.chrom = t.chrom AND e.kind = t.kind WHERE e.len >= 20 AND t.len > 0 AND {fuzzy}),
+own AS (SELECT DISTINCT p.id, tc.sample FROM pairs p JOIN tc ON tc.id = p.truth_id WHERE tc.a0 + tc.a1 > 0)"""
+
+
+SHARE = "greatest(least(e.en, t.en) - greatest(e.st, t.st), 0) / least(e.len, t.len)"
+ALIKE = "least(e.len, t.len) / greatest(e.len, t.len)"
+FUZZY_TABLE = f"""abs(e.st - t.st) + abs(e.en - t.en) <= CASE WHEN e.kind = 'DEL' THEN 500 ELSE 200 END AND ((e.kind = 'DEL' AND {ALIKE} >= 0.7 - 1e-9 AND {SHARE} >= 0.7 - 1e-9) OR (e.kind = 'INS' AND {ALIKE} >= 0.5 - 1e-9))"""
+FUZZY_CUTOFF = f"""t.len >= 20 AND {ALIKE} >= 0.8 - 1e-9 AND ((e.kind = 'DEL' AND {SHARE} >= 0.8 - 1e-9 AND (abs(e.st - t.st) <= 500 OR abs(e.en - t.en) <= 500)) OR (e.kind = 'INS' AND abs(e.st - t.st) <= 100))"""
 
 
 @query(f"""
-WITH e AS ({EVAL}), u AS ({TRUE_CALLS}), x AS (SELECT e.id, bool_or(e.n_alt = u.n_alt) AS same FROM e JOIN u USING (chrom, pos, ref, alt) WHERE abs(e.allele_length) < 100 GROUP BY e.id),
-z AS (SELECT e.id, e.n_alt = u.n_alt AS same, row_number() OVER (PARTITION BY e.id ORDER BY abs(e.pos - u.pos), u.id, u.n_alt) AS n FROM e JOIN u ON e.chrom = u.chrom AND e.allele_type = u.allele_type AND e.allele_type <> 'snv' AND abs(e.pos - u.pos) <= 60
-  AND abs(e.allele_length) >= 100 AND abs(u.allele_length) >= 100 AND least(abs(e.allele_length), abs(u.allele_length)) / greatest(abs(e.allele_length), abs(u.allele_length)) >= 0.7),
-h AS (SELECT id, same FROM x UNION ALL SELECT id, same FROM z WHERE n = 1)
-SELECT {PLOT} AS bucket, gq, CAST(count(*) AS BIGINT) AS variants, CAST(count(h.id) AS BIGINT) AS matched, CAST(count(*) FILTER (h.same) AS BIGINT) AS concordant FROM e LEFT JOIN h USING (id) GROUP BY 1, 2
+WITH {EMIT}, {truth_pairs('true', FUZZY_TABLE)},
+x AS (SELECT {PLOT} AS bucket, caller, gq, tr_enveloped AS tr, es.id, m.id IS NOT NULL AS m, own.id IS NOT NULL AS c
+  FROM e JOIN es ON es.id = e.vid LEFT JOIN (SELECT DISTINCT id FROM pairs) m ON m.id = es.id LEFT JOIN own ON own.id = es.id AND own.sample = e.sample WHERE e.a0 + e.a1 > 0)
+SELECT bucket, caller, gq, tr, CAST(count(DISTINCT id) AS BIGINT) AS variants, CAST(count(DISTINCT CASE WHEN m THEN id END) AS BIGINT) AS matched, CAST(count(*) FILTER (m) AS BIGINT) AS calls_matched,
+ CAST(count(*) FILTER (m AND c) AS BIGINT) AS concordant, CAST(count(*) FILTER (m AND NOT c) AS BIGINT) AS discordant FROM x GROUP BY ALL
 """)
 def truth_gq_table(t):
-    return k.truth_gq_table(t.sql(EVAL), t.sql(TRUE_CALLS), key_small=100, pad=60, size_sim=0.7)
+    return tr.truth_gq_table(*truth_inputs(t))
+
+
+LENGTHS = "CASE WHEN abs(allele_length) < 1 THEN '0-0' WHEN abs(allele_length) < 50 THEN '1-49' WHEN abs(allele_length) < 100 THEN '50-99' WHEN abs(allele_length) < 500 THEN '100-499' WHEN abs(allele_length) < 5000 THEN '500-4999' ELSE '5000-49999' END"
 
 
 @query(f"""
-WITH e AS ({EVAL}), u AS ({TRUE_CALLS}), x AS (SELECT DISTINCT e.id FROM e JOIN u USING (chrom, pos, ref, alt)), tt AS (SELECT {PLOT} AS bucket, CAST(count(*) AS BIGINT) AS truth_total FROM u GROUP BY 1)
-SELECT b.bucket, gq, calls, truth_supported, de_novo, coalesce(truth_total, 0) AS truth_total FROM (SELECT {PLOT} AS bucket, gq, CAST(count(*) AS BIGINT) AS calls, CAST(count(x.id) AS BIGINT) AS truth_supported,
-  CAST(count(*) FILTER (n_alt = 1) AS BIGINT) AS de_novo FROM e LEFT JOIN x USING (id) GROUP BY 1, 2) b LEFT JOIN tt USING (bucket)
+WITH {NAT_CALLS}, {truth_pairs("NOT (t.kind IN ('DEL', 'INS') AND t.len >= 20)", FUZZY_CUTOFF)},
+x AS (SELECT kind, {LENGTHS} AS size, c.gq, own.id IS NOT NULL AS s, coalesce(f.a0 + f.a1 = 0 AND m.a0 + m.a1 = 0, false) AS d FROM nc c JOIN es ON es.id = c.vid
+  LEFT JOIN nc f ON f.vid = c.vid AND f.sample = c.sample + 1 LEFT JOIN nc m ON m.vid = c.vid AND m.sample = c.sample + 2 LEFT JOIN own ON own.id = c.vid AND own.sample = c.sample WHERE c.a0 + c.a1 > 0),
+tt AS (SELECT CASE WHEN kind = 'TRV' THEN 'SNV' ELSE kind END AS kind, {LENGTHS} AS size, CAST(count(*) AS BIGINT) AS truth_total FROM ts JOIN tc USING (id) WHERE a0 + a1 > 0 GROUP BY 1, 2)
+SELECT kind, size, gq, calls, truth_supported, de_novo, coalesce(truth_total, 0) AS truth_total, (SELECT count(*) FROM nation) AS children FROM (
+  SELECT kind, size, gq, CAST(count(*) AS BIGINT) AS calls, CAST(count(*) FILTER (s) AS BIGINT) AS truth_supported, CAST(count(*) FILTER (d) AS BIGINT) AS de_novo FROM x GROUP BY ALL) z LEFT JOIN tt USING (kind, size)
 """)
 def gq_cutoff_table(t):
-    e, u = t.sql(EVAL), t.sql(TRUE_CALLS)
-    hits = e.join(u.select("chrom", "pos", "ref", "alt").distinct(), ["chrom", "pos", "ref", "alt"], "left_semi")
-    return k.gq_cutoff_table(e, hits, e.filter("n_alt = 1"), u)
+    sites, calls, truth, truth_calls = truth_inputs(t)
+    return tr.gq_cutoff_table(sites, calls, nat_trios(t), truth, truth_calls)

@@ -8,6 +8,7 @@ from ..operators import callers as ca, depth as d, reports as rp
 from ..session import scratch
 from ..sources import readers, writers
 from .fixtures import ERFC
+from .queries_rows import calls
 from .register import query
 
 
@@ -54,10 +55,12 @@ def ploidy_matrix(t):
     return d.ploidy_matrix(runs(t), 700).select("sample", F.col("start").alias("st"), "depth")
 
 
-@query("SELECT st, max(CASE WHEN sample_id = 3 THEN depth END) AS s3, max(CASE WHEN sample_id = 7 THEN depth END) AS s7 FROM depth_runs GROUP BY st")
+@query("""SELECT CAST(floor(sample_id / 3.0) AS BIGINT) AS third, st, max(CASE WHEN sample_id % 3 = 0 THEN depth END) AS s0, max(CASE WHEN sample_id % 3 = 1 THEN depth END) AS s1, max(CASE WHEN sample_id % 3 = 2 THEN depth END) AS s2
+ FROM depth_runs GROUP BY 1, 2""")
 def to_wide_matrix(t):
-    x = t.depth_runs.select(F.col("sample_id").alias("sample"), "st", "depth")
-    return d.to_wide_matrix(x, [3, 7], keys=("st",), check=False).withColumnsRenamed({"3": "s3", "7": "s7"})
+    """Samples side by side, three at a time; their bin lists differ, so the check stays off."""
+    x = t.depth_runs.select(F.floor(F.col("sample_id") / 3).alias("third"), F.concat(F.lit("s"), (F.col("sample_id") % 3).cast("string")).alias("sample"), "st", "depth")
+    return d.to_wide_matrix(x, ["s0", "s1", "s2"], keys=("third", "st"), check=False)
 
 
 METH = "SELECT chrom, st, en, concat('s', CAST(fid % 3 AS STRING)) AS sample, CAST(fid AS INT) AS score FROM features UNION ALL SELECT chrom, st, en, concat('s', CAST((fid + 1) % 3 AS STRING)), CAST(fid + 5 AS INT) FROM features"
@@ -118,11 +121,20 @@ def ploidy_scores(t):
     return out.select("sample", "chrom", *[F.round(c, 4).alias(c) for c in ("cn", "z", "p", "q")], "x_copies", "y_copies", "sex")
 
 
+def dosage_bins(t):
+    return runs(t).withColumn("bin", F.floor(F.col("start") / 200))
+
+
+@query("""WITH d AS (SELECT sample_id, CAST(floor(st / 200.0) AS INT) AS bin, sum(depth) AS v FROM depth_runs GROUP BY 1, 2),
+g AS (SELECT s.sample_id, b.bin, coalesce(d.v, 0) AS v FROM (SELECT DISTINCT sample_id FROM d) s CROSS JOIN (SELECT DISTINCT bin FROM d) b LEFT JOIN d ON d.sample_id = s.sample_id AND d.bin = b.bin)
+SELECT a.sample_id AS sample_a, b.sample_id AS sample_b, round(corr(a.v, b.v), 6) AS r FROM g a JOIN g b USING (bin) GROUP BY 1, 2""")
+def sample_correlations(t):
+    return d.sample_correlations(dosage_bins(t)).withColumn("r", F.round("r", 6))
+
+
 @query()
 def dosage_batches(t):
-    b = runs(t).withColumn("bin", F.floor(F.col("start") / 200))
-    bins = b.agg(F.max("bin")).first()[0] + 1  # a cohort's runs end where its longest sample does
-    return d.dosage_batches(b, bins, 4, components=5)
+    return d.dosage_batches(dosage_bins(t), 4, components=5)
 
 
 @query("""
@@ -191,40 +203,68 @@ def informative_columns(t):
     return rp.informative_columns(p, [("eval_name", "truth_name"), ("size_eval", "size_truth"), ("x_eval", "x_truth")])
 
 
-TRS = "SELECT id, chrom, pos AS st, pos + length(ref) AS en, ref, alt, motif, size, brand_no FROM {0} WHERE allele_type = 'trv'"
+TRS = """SELECT chrom, pos AS st, pos + length(ref) - 1 AS en, CASE WHEN brand_no = 12 THEN NULL ELSE ref END AS h1, CASE WHEN brand_no = 13 THEN NULL ELSE alt END AS h2,
+ ref <> alt AS nr2, motif, vid FROM {0} WHERE allele_type = 'trv'"""
 
 
 def tr_calls(t, view):
-    x = t.sql(TRS.format(view)).withColumnsRenamed({"st": "start", "en": "end"})
-    return x.select("chrom", "start", "end", F.lit("s").alias("sample"), F.col("ref").alias("hap1"), F.col("alt").alias("hap2"), F.lit(False).alias("nonref1"),
-                    (F.col("ref") != F.col("alt")).alias("nonref2"), F.length("motif").alias("motif_len"))
-
-
-CONC = f"""u AS (SELECT *, 1 AS src FROM ({TRS.format('sites')}) a UNION ALL SELECT *, 2 FROM ({TRS.format('truth')}) b),
-o AS (SELECT *, max(en) OVER (PARTITION BY chrom ORDER BY st, en, id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pe FROM u),
-g AS (SELECT *, sum(CASE WHEN pe IS NULL OR st >= pe THEN 1 ELSE 0 END) OVER (PARTITION BY chrom ORDER BY st, en, id) AS isl FROM o),
-s AS (SELECT chrom, isl, src, string_agg(ref, '' ORDER BY st, en, ref, alt) AS h1, string_agg(alt, '' ORDER BY st, en, ref, alt) AS h2, max(CASE WHEN ref <> alt THEN 1 ELSE 0 END) AS nonref, min(length(motif)) AS motif FROM g GROUP BY chrom, isl, src),
-p AS (SELECT a.chrom, a.isl, a.h1 AS a1, a.h2 AS a2, b.h1 AS b1, b.h2 AS b2, a.nonref AS na, b.nonref AS nb, b.motif AS mb FROM s a JOIN s b ON a.chrom = b.chrom AND a.isl = b.isl AND a.src = 1 AND b.src = 2),
-q AS (SELECT *, greatest((1 - levenshtein(a1, b1) / greatest(length(a1), length(b1)) + 1 - levenshtein(a2, b2) / greatest(length(a2), length(b2))) / 2,
-  (1 - levenshtein(a1, b2) / greatest(length(a1), length(b2)) + 1 - levenshtein(a2, b1) / greatest(length(a2), length(b1))) / 2) AS sim FROM p),
-conc AS (SELECT q.chrom, i.st, CASE WHEN sim = 1 THEN 'EXACT' WHEN sim >= 0.9 THEN 'SIMILAR' ELSE 'DIVERGENT' END AS category, sim, length(a1) + length(a2) - length(b1) - length(b2) AS length_diff, na, nb, mb
-  FROM q JOIN (SELECT chrom, isl, min(st) AS st FROM g GROUP BY chrom, isl) i ON i.chrom = q.chrom AND i.isl = q.isl)"""
+    return t.sql(TRS.format(view)).select("chrom", F.col("st").alias("start"), F.col("en").alias("end"), F.lit("s").alias("sample"), F.col("h1").alias("hap1"), F.col("h2").alias("hap2"),
+                                          F.lit(False).alias("nonref1"), F.col("nr2").alias("nonref2"), F.length("motif").alias("motif_len"), "vid")
+
+
+def concordance(t):
+    return rp.str_concordance(tr_calls(t, "sites"), tr_calls(t, "truth"), t.reference, 64, order="vid")
+
+
+# Sites of both sets, components of overlaps across the sets by reachability, then each haplotype call by call.
+TR_LINKS = f"""calls AS (SELECT *, concat(src, chrom, ':', st, ':', en) AS k FROM (
+  SELECT *, row_number() OVER (PARTITION BY src, chrom, st, en ORDER BY vid DESC) AS last FROM (SELECT 1 AS src, * FROM ({TRS.format('sites')}) a UNION ALL SELECT 2, * FROM ({TRS.format('truth')}) b) u) z WHERE last = 1),
+links AS (SELECT a.k AS a, b.k AS b FROM calls a JOIN calls b ON a.src <> b.src AND a.chrom = b.chrom AND a.st <= greatest(b.en, b.st + 1) AND b.st <= greatest(a.en, a.st + 1)),
+reach AS (SELECT a, a AS b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+comp AS (SELECT a AS k, min(b) AS c FROM reach GROUP BY a)"""
+CONC = f"""{TR_LINKS},
+m AS (SELECT comp.c, calls.* FROM calls JOIN comp USING (k)),
+win AS (SELECT c, min(chrom) AS chrom, min(st) AS ws, max(en) AS we, min(CASE WHEN src = 1 THEN length(motif) END) AS ma, min(CASE WHEN src = 2 THEN length(motif) END) AS mb,
+  max(CASE WHEN src = 1 AND nr2 THEN 1 ELSE 0 END) AS na, max(CASE WHEN src = 2 AND nr2 THEN 1 ELSE 0 END) AS nb FROM m GROUP BY c),
+rf AS (SELECT c, substr(string_agg(r.bases, '' ORDER BY r.block), ws - min(r.block) * 64, we - ws + 1) AS ref FROM win JOIN reference r ON r.chrom = win.chrom AND r.block BETWEEN (ws - 1) // 64 AND (we - 1) // 64 GROUP BY c, ws, we),
+haps AS (SELECT c, src, st, en, coalesce(h1, h2) AS x1, CASE WHEN h1 IS NOT NULL THEN h2 END AS x2 FROM m),
+hc AS (SELECT c, src, h, st, en, seq, row_number() OVER (PARTITION BY c, src, h ORDER BY st, en) AS n FROM (SELECT c, src, 1 AS h, st, en, x1 AS seq FROM haps UNION ALL SELECT c, src, 2, st, en, x2 FROM haps) y WHERE seq <> ''),
+fold AS (
+  SELECT win.c, s.src, h.h, 0 AS n, CAST(ws - 1 AS INT) AS last, CAST('' AS VARCHAR) AS txt FROM win, (VALUES (1), (2)) s(src), (VALUES (1), (2)) h(h)
+  UNION ALL
+  SELECT f.c, f.src, f.h, f.n + 1, CASE WHEN length(hc.seq) > greatest(f.last - hc.st + 1, 0) THEN hc.en ELSE f.last END,
+    CASE WHEN length(hc.seq) > greatest(f.last - hc.st + 1, 0) THEN concat(f.txt, substr(rf.ref, f.last - win.ws + 2, greatest(hc.st - 1 - f.last, 0)), substr(hc.seq, CAST(greatest(f.last - hc.st + 1, 0) + 1 AS INT))) ELSE f.txt END
+  FROM fold f JOIN hc ON hc.c = f.c AND hc.src = f.src AND hc.h = f.h AND hc.n = f.n + 1 JOIN rf ON rf.c = f.c JOIN win ON win.c = f.c),
+txt AS (SELECT c, max(CASE WHEN src = 1 AND h = 1 THEN t END) AS a1, max(CASE WHEN src = 1 AND h = 2 THEN t END) AS a2, max(CASE WHEN src = 2 AND h = 1 THEN t END) AS b1, max(CASE WHEN src = 2 AND h = 2 THEN t END) AS b2
+  FROM (SELECT f.c, f.src, f.h, concat(arg_max(f.txt, f.n), substr(rf.ref, max_by(f.last, f.n) - ws + 2, greatest(we - max_by(f.last, f.n), 0))) AS t FROM fold f JOIN win USING (c) JOIN rf USING (c) GROUP BY f.c, f.src, f.h, rf.ref, ws, we) z GROUP BY c),
+q AS (SELECT *, (2 - levenshtein(a1, b1) / greatest(length(a1), length(b1)) - levenshtein(a2, b2) / greatest(length(a2), length(b2))) / 2 AS s,
+  (2 - levenshtein(a1, b2) / greatest(length(a1), length(b2)) - levenshtein(a2, b1) / greatest(length(a2), length(b1))) / 2 AS w FROM txt JOIN win USING (c) JOIN rf USING (c)),
+conc AS (SELECT chrom, ws AS st, we AS en, CASE WHEN greatest(s, w) = 1 THEN 'EXACT' WHEN greatest(s, w) >= 0.9 THEN 'SIMILAR' ELSE 'DIVERGENT' END AS category, round(greatest(s, w), 6) AS similarity,
+  CASE WHEN w > s THEN levenshtein(a1, b2) + levenshtein(a2, b1) ELSE levenshtein(a1, b1) + levenshtein(a2, b2) END AS edit_distance,
+  levenshtein(a1, ref) + levenshtein(a2, ref) AS ref_distance_a, levenshtein(b1, ref) + levenshtein(b2, ref) AS ref_distance_b,
+  length(a1) + length(a2) - length(b1) - length(b2) AS length_diff, we - ws + 1 AS locus_size, ma, mb, na, nb FROM q)"""
+
+
+@query(f"WITH RECURSIVE {CONC} SELECT chrom, st, en, category, similarity, edit_distance, ref_distance_a, ref_distance_b, length_diff, locus_size, ma AS motif_a FROM conc")
+def str_concordance(t):
+    c = concordance(t).withColumnsRenamed({"start": "st", "end": "en"}).withColumn("similarity", F.round("similarity", 6))
+    return c.select("chrom", "st", "en", "category", "similarity", "edit_distance", "ref_distance_a", "ref_distance_b", "length_diff", "locus_size", "motif_a")
 
 
-@query(f"WITH {CONC} SELECT chrom, st, category, round(sim, 6) AS similarity, length_diff FROM conc")
-def str_concordance(t):
-    c = rp.str_concordance(tr_calls(t, "sites"), tr_calls(t, "truth"))
-    return c.select("chrom", F.col("island_start").alias("st"), "category", F.round("similarity", 6).alias("similarity"), "length_diff")
+@query(f"""WITH RECURSIVE {TR_LINKS}
+SELECT src, CAST(count(*) AS BIGINT) AS sites, CAST(count(c) AS BIGINT) AS overlapped, CAST(count(*) - count(c) AS BIGINT) AS exclusive, round(100.0 * count(c) / count(*), 6) AS pct_overlapped FROM calls LEFT JOIN comp USING (k) GROUP BY src""")
+def str_site_summary(t):
+    return rp.str_site_summary(tr_calls(t, "sites"), tr_calls(t, "truth")).withColumn("pct_overlapped", F.round("pct_overlapped", 6))
 
 
-@query(f"WITH {CONC} SELECT CASE WHEN mb <= 6 THEN '1-6' WHEN mb <= 20 THEN '7-20' ELSE '21+' END AS motif_size, category, CAST(count(*) AS BIGINT) AS n FROM conc GROUP BY 1, 2")
+@query(f"WITH RECURSIVE {CONC} SELECT CASE WHEN mb <= 6 THEN '1-6' WHEN mb <= 20 THEN '7-20' ELSE '21+' END AS motif_size, category, CAST(count(*) AS BIGINT) AS n FROM conc GROUP BY 1, 2")
 def str_aggregate(t):
-    return rp.str_aggregate(rp.str_concordance(tr_calls(t, "sites"), tr_calls(t, "truth")))
+    return rp.str_aggregate(concordance(t))
 
 
-@query(f"WITH {CONC} SELECT na AS nonref_a, nb AS nonref_b, CAST(count(*) AS BIGINT) AS n FROM conc GROUP BY 1, 2")
+@query(f"WITH RECURSIVE {CONC} SELECT na AS nonref_a, nb AS nonref_b, CAST(count(*) AS BIGINT) AS n FROM conc GROUP BY 1, 2")
 def str_nonref_matrix(t):
-    return rp.str_nonref_matrix(rp.str_concordance(tr_calls(t, "sites"), tr_calls(t, "truth")))
+    return rp.str_nonref_matrix(concordance(t))
 
 
 @query("""SELECT n.allele_type, CASE WHEN abs(n.allele_length) < 1 THEN '0-0' WHEN abs(n.allele_length) < 50 THEN '1-49' WHEN abs(n.allele_length) < 500 THEN '50-499' WHEN abs(n.allele_length) < 5000 THEN '500-4999' ELSE '5000+' END AS size_bucket,
@@ -236,6 +276,39 @@ def callset_qc(t):
     return rp.callset_qc(s, m)
 
 
+SIZES = "CASE WHEN abs(allele_length) < 1 THEN '0-0' WHEN abs(allele_length) < 50 THEN '1-49' WHEN abs(allele_length) < 500 THEN '50-499' WHEN abs(allele_length) < 5000 THEN '500-4999' ELSE '5000+' END"
+CARRIED = "SELECT vid, sample_id AS sample, a0, a1, gq FROM genotypes WHERE coalesce(a0, 0) > 0 OR coalesce(a1, 0) > 0"
+
+
+@query(f"""WITH c AS ({CARRIED}), k AS (SELECT vid FROM c GROUP BY vid HAVING count(DISTINCT sample) = 1)
+SELECT sample, allele_type, {SIZES} AS size_bucket, CAST(floor(least(gq, 99) / 10.0) * 10 AS INT) AS gq_bin, CAST(count(*) AS BIGINT) AS calls, CAST(count(*) FILTER (a0 <> a1) AS BIGINT) AS het, CAST(count(*) FILTER (a0 > 0 AND a1 > 0) AS BIGINT) AS hom,
+ CAST(count(k.vid) AS BIGINT) AS singletons FROM c JOIN annotated USING (vid) LEFT JOIN k USING (vid) GROUP BY ALL""")
+def sample_qc(t):
+    return rp.sample_qc(calls(t), t.annotated)
+
+
+NAT = "SELECT l_partkey AS vid, s_nationkey AS sample, max(CASE WHEN l_returnflag = 'N' THEN 0 ELSE 1 END) AS a0, CASE WHEN min(l_linenumber) = 7 THEN NULL ELSE max(CASE WHEN l_linestatus = 'F' THEN 1 ELSE 0 END) END AS a1 FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY l_partkey, s_nationkey"
+
+
+@query(f"""WITH n AS (SELECT *, a0 + a1 AS n, a0 <> a1 AS het FROM ({NAT}) q WHERE a0 IS NOT NULL AND a1 IS NOT NULL),
+x AS (SELECT c.sample AS family, allele_type, {SIZES} AS size_bucket, c.n > 0 AS kid, f.n > 0 AS dad, m.n > 0 AS mum, (f.het AND m.n = 0) OR (m.het AND f.n = 0) AS one
+  FROM n c JOIN n f ON f.vid = c.vid AND f.sample = c.sample + 1 JOIN n m ON m.vid = c.vid AND m.sample = c.sample + 2 JOIN annotated a ON a.vid = c.vid)
+SELECT family, allele_type, size_bucket, CAST(count(*) FILTER (kid) AS BIGINT) AS child_variants, CAST(count(*) FILTER (kid AND dad AND NOT mum) AS BIGINT) AS paternal, CAST(count(*) FILTER (kid AND NOT dad AND mum) AS BIGINT) AS maternal,
+ CAST(count(*) FILTER (kid AND dad AND mum) AS BIGINT) AS both, CAST(count(*) FILTER (kid AND NOT dad AND NOT mum) AS BIGINT) AS de_novo, CAST(count(*) FILTER (one) AS BIGINT) AS parent_het, CAST(count(*) FILTER (one AND kid) AS BIGINT) AS transmitted,
+ round(count(*) FILTER (kid AND (dad OR mum)) / nullif(count(*) FILTER (kid), 0), 6) AS inherited_share, round(count(*) FILTER (one AND kid) / nullif(count(*) FILTER (one), 0), 6) AS transmitted_share FROM x GROUP BY ALL""")
+def family_qc(t):
+    c = t.sql(NAT).select("vid", "sample", F.array("a0", "a1").alias("gt"))
+    k = F.col("n_nationkey")
+    out = rp.family_qc(c, t.annotated, t.nation.select(k.alias("family"), k.alias("child"), (k + 1).alias("father"), (k + 2).alias("mother")))
+    return out.withColumns({x: F.round(x, 6) for x in ("inherited_share", "transmitted_share")})
+
+
+@query("""SELECT sample, CAST(least(count(*), 20) AS BIGINT) AS calls FROM (SELECT DISTINCT vid, sample_id AS sample FROM genotypes) g GROUP BY sample""")
+def sampled_calls(t):
+    """Which calls are drawn is a matter of the hash; how many is not."""
+    return rp.sampled_calls(calls(t), 20).groupBy("sample").agg(F.count("*").alias("calls"))
+
+
 @query("""SELECT chrom, 'a' AS sample, 'x' AS run, CAST(count(*) AS BIGINT) AS n FROM sites GROUP BY chrom UNION ALL SELECT chrom, 'b', 'y', CAST(count(*) AS BIGINT) FROM features GROUP BY chrom""")
 def aggregate_eval_tables(t):
     a, b = (x.groupBy("chrom").agg(F.count("*").alias("n")) for x in (t.sites, t.features))
@@ -386,3 +459,46 @@ def read_tr_catalog_bed(t):
     path = scratch(t.spark, "catalog")
     b.write.csv(path, sep="\t")
     return readers.read_tr_catalog_bed(t.spark, path).select("trid", "chrom", F.col("start").alias("st"), F.col("attrs")["MOTIFS"].alias("motif"))
+
+
+# ------------------------------------------------------------------ round trips through files
+
+@query("""WITH o AS (SELECT chrom, pos, vid, row_number() OVER (ORDER BY CASE WHEN chrom = 'chrX' THEN 23 WHEN chrom = 'chrY' THEN 24 ELSE CAST(substr(chrom, 4) AS INT) END, pos, vid) - 1 AS n FROM sites)
+SELECT CAST(n // 70 AS BIGINT) AS shard, CAST(count(*) AS BIGINT) AS n_rows, arg_min(chrom, n) AS first_chrom, arg_min(pos, n) AS first_pos, arg_max(chrom, n) AS last_chrom, arg_max(pos, n) AS last_pos FROM o GROUP BY 1""")
+def shard_by_records(t):
+    out = writers.shard_by_records(t.sites, scratch(t.spark, "shards"), 70, ties=("vid",))
+    return out.withColumn("shard", F.col("shard").cast("bigint")).withColumnRenamed("rows", "n_rows")
+
+
+@query("SELECT chrom, CAST(b AS BIGINT) AS block, substr(s, CAST(b * 100 + 1 AS BIGINT), 100) AS bases FROM (SELECT chrom, s, unnest(range((length(s) - 1) // 100 + 1)) AS b FROM (SELECT chrom, string_agg(bases, '' ORDER BY block) AS s FROM reference GROUP BY chrom) c) d")
+def read_fasta(t):
+    """A FASTA file of the reference, in lines of 64 bases, read back in blocks of 100."""
+    path = scratch(t.spark, "fasta")
+    head = t.reference.select("chrom").distinct().select("chrom", F.lit(-1).alias("block"), F.concat(F.lit(">"), "chrom", F.lit(" of the test")).alias("value"))
+    body = t.reference.select("chrom", "block", F.col("bases").alias("value"))
+    head.unionByName(body).repartitionByRange(4, "chrom", "block").sortWithinPartitions("chrom", "block").select("value").write.text(path)
+    return readers.read_fasta(t.spark, path, 100)
+
+
+@query("SELECT chrom, pos, ref, alt, CASE WHEN id = 'V7' THEN NULL ELSE id END AS id, name, CASE WHEN size % 3 > 0 THEN motif END AS motif FROM sites")
+def read_annotation_tsv(t):
+    path = scratch(t.spark, "annotations")
+    writers.write_annotation_tsv(t.sites.select("chrom", "pos", "ref", "alt", F.when(F.col("id") != "V7", F.col("id")).alias("id"), "name", F.when(F.col("size") % 3 > 0, F.col("motif")).alias("motif")), path)
+    return readers.read_annotation_tsv(t.spark, path, ["name", "motif"])
+
+
+@query("SELECT chrom, st, en, CAST(fid AS INT) AS depth, name FROM features")
+def read_bed(t):
+    path = scratch(t.spark, "bed")
+    writers.write_annotation_tsv(t.features.select("chrom", "st", "en", "fid", "name"), path)
+    return readers.read_bed(t.spark, path, {"depth": "int", "name": "string"}).withColumnsRenamed({"start": "st", "end": "en"})
+
+
+@query("SELECT chrom, pos, id, ref, alt FROM sites UNION ALL SELECT 'wrote', 0, CAST(count(*) > 0 AS VARCHAR), CAST(false AS VARCHAR), NULL FROM sites")
+def write_tsv_parquet(t):
+    """The table as read back; in one row more, whether it was written and whether an empty one was."""
+    path, none = scratch(t.spark, "table"), scratch(t.spark, "table")
+    s = t.sites.select("chrom", "pos", "id", "ref", "alt")
+    wrote, empty = writers.write_tsv_parquet(s, path), writers.write_tsv_parquet(s.filter("false"), none)
+    said = t.spark.range(1).select(F.lit("wrote").alias("chrom"), F.lit(0).alias("pos"), F.lit(str(wrote).lower()).alias("id"), F.lit(str(empty).lower()).alias("ref"), F.lit(None).cast("string").alias("alt"))
+    return t.spark.read.parquet(path).unionByName(said)

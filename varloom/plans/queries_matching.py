@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window as W, functions as F
 
-from ..operators import matching as m
+from ..operators import evidence as ev, matching as m
 from .queries_rows import calls
 from .register import query
 
@@ -207,17 +207,43 @@ CALLS = f"c AS (SELECT r.*, {CALLER} AS caller, an AS ref_depth, u.ac AS alt_dep
 SUPPORT = f"""sup AS (SELECT * FROM (SELECT q.id, c.caller, c.ref_depth, c.alt_depth, abs(q.st - c.st) AS d, row_number() OVER (PARTITION BY q.id, c.caller ORDER BY abs(q.st - c.st), c.st, c.id DESC) AS n FROM q JOIN c
   ON q.chrom = c.chrom AND q.svtype = c.svtype AND c.caller <> 'sniffles') z WHERE n = 1 AND d <= 500)"""
 
+# Raw calls of six callers, each with its own depth fields; one of them of two ALTs, one with a field missing, one without any.
+WHICH = "CASE vid % 6 WHEN 0 THEN 'pbsv' WHEN 1 THEN 'delly' WHEN 2 THEN 'sniffles' WHEN 3 THEN 'sawfish' WHEN 4 THEN 'cutesv' ELSE 'dipcall' END"
 
-def support_inputs(t):
-    v = svs(t).withColumns({"svlen": F.col("len"), "callers": F.array(F.lit("pbsv"), F.lit("delly")), "supp": F.lit("pbsv, delly")})
-    c = svs(t, "truth").join(t.truth.select("id", "ac", "an", F.expr(CALLER).alias("caller")), "id").select(
-        "id", "caller", "chrom", "start", "svtype", F.array(F.struct("len", F.col("ac").alias("depth"))).alias("alts"), F.col("an").alias("ref_depth"))
-    return v, c
 
+def raw_calls(d):
+    """``vid, sample, r, a`` (depths) with the caller's own fields."""
+    text = lambda k: F.col(k).cast("string")
+    ad = F.concat_ws(",", F.when(F.col("vid") % 5 == 0, F.lit(".")).otherwise(text("r")), text("a"))
+    fields = (F.when(F.col("caller") == "pbsv", F.create_map(F.lit("AD"), ad)).when(F.col("caller") == "delly", F.create_map(F.lit("RR"), text("r"), F.lit("RV"), text("a")))
+              .when(F.col("caller") == "sniffles", F.create_map(F.lit("DR"), text("r"), F.lit("DV"), text("a"))).when(F.col("caller") == "sawfish", F.create_map(F.lit("AD"), F.concat_ws(",", "r", "a", F.lit("7"))))
+              .when(F.col("caller") == "cutesv", F.create_map(F.lit("DR"), text("r"))).otherwise(F.create_map(F.lit("GT"), F.lit("0/1"))))
+    alts = F.when(F.col("caller") == "sawfish", F.array("alt", F.lit("A" * 60))).otherwise(F.array("alt"))
+    return d.withColumn("caller", F.expr(WHICH)).withColumns({"fields": fields, "alts": alts, "svlen": F.col("len")})
 
-@query(f"WITH {Q}, {CALLS}, {SUPPORT} SELECT id, caller, ref_depth, alt_depth FROM sup")
+
+READ = """CASE WHEN caller = 'pbsv' AND vid % 5 = 0 OR caller IN ('cutesv', 'dipcall') THEN NULL ELSE r END AS r,
+ CASE WHEN caller = 'pbsv' AND vid % 5 = 0 OR caller IN ('cutesv', 'dipcall') THEN NULL WHEN caller = 'sawfish' AND abs(abs(60 - length(ref)) - want) < abs(abs(length(alt) - length(ref)) - want) THEN 7 ELSE a END AS a"""
+LISTED = "CASE vid % 3 WHEN 1 THEN ['pbsv', 'delly', 'hapdiff', 'dipcall'] ELSE CASE WHEN vid % 4 = 2 THEN [] ELSE ['sniffles', 'sawfish', 'cutesv'] END END"
+
+
+@query(f"""WITH {Q}, v AS (SELECT q.*, sample_id AS sample FROM q JOIN genotypes g ON g.vid = q.vid WHERE coalesce(a0, 0) + coalesce(a1, 0) > 0),
+s AS (SELECT id, chrom, st, len, svtype, vid, {LISTED} AS callers FROM q WHERE vid % 3 > 0),
+n AS (SELECT * FROM (SELECT q.id, s.callers, s.svtype, s.len, row_number() OVER (PARTITION BY q.id ORDER BY abs(q.st - s.st), s.st, s.vid) AS k FROM q JOIN s ON s.chrom = q.chrom AND s.svtype = q.svtype AND len(s.callers) > 0 AND abs(q.st - s.st) <= 500 WHERE q.vid % 3 = 0) z WHERE k = 1),
+l AS (SELECT id, callers, svtype, len FROM s UNION ALL SELECT id, callers, svtype, len FROM n),
+w AS (SELECT v.id, v.sample, v.chrom, v.st, l.svtype, l.len AS want, unnest(l.callers) AS caller FROM v JOIN l ON l.id = v.id),
+c AS (SELECT r.*, {WHICH.replace('vid', 'r.vid')} AS caller, g.sample_id AS sample, g.ad_ref AS r, g.ad_alt AS a FROM r JOIN genotypes2 g ON g.vid = r.vid WHERE r.len >= 50),
+m AS (SELECT w.id, w.sample, w.caller, w.want, c.r, c.a, c.vid, c.ref, c.alt, row_number() OVER (PARTITION BY w.id, w.sample, w.caller ORDER BY abs(w.st - c.st), c.st, c.vid) AS k
+  FROM w JOIN c ON c.sample = w.sample AND c.chrom = w.chrom AND c.svtype = w.svtype AND c.caller = w.caller AND abs(w.st - c.st) <= 500 WHERE w.caller NOT IN ('dipcall', 'hapdiff'))
+SELECT id, sample, caller, r AS ref_depth, a AS alt_depth FROM (SELECT id, sample, caller, {READ} FROM m WHERE k = 1) z WHERE r IS NOT NULL""")
 def caller_support(t):
-    return m.caller_support(*support_inputs(t))
+    q, r = svs(t), svs(t, "truth")
+    v = calls(t).join(q.select("id", "vid", "chrom", "start", "svtype"), "vid")
+    text = lambda *names: F.array(*[F.lit(x) for x in names])
+    listed = F.when(F.col("vid") % 3 == 1, text("pbsv", "delly", "hapdiff", "dipcall")).when(F.col("vid") % 4 == 2, F.array().cast("array<string>")).otherwise(text("sniffles", "sawfish", "cutesv"))
+    stats = q.filter("vid % 3 > 0").select("id", "chrom", "start", "svtype", F.col("len").alias("svlen"), listed.alias("callers"), F.col("vid").alias("file_order"))
+    g2 = t.genotypes2.select("vid", F.col("sample_id").alias("sample"), F.col("ad_ref").alias("r"), F.col("ad_alt").alias("a"))
+    return ev.caller_support(v, stats, raw_calls(g2.join(r, "vid")).withColumn("file_order", F.col("vid")))
 
 
 @query(f"""WITH {Q} SELECT svtype, CASE WHEN len < 100 THEN '50-99' WHEN len < 500 THEN '100-499' WHEN len < 5000 THEN '500-4999' ELSE '5000+' END AS bucket, caller, CAST(count(*) AS BIGINT) AS n
@@ -232,19 +258,72 @@ s AS (SELECT q.id, sup.caller, sup.ref_depth, sup.alt_depth, coalesce(n.n, 0) AS
 b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY n DESC, caller) AS k FROM s) z WHERE k = 1), e AS (SELECT id, string_agg(caller, ',' ORDER BY caller) AS ev FROM s GROUP BY id)
 SELECT q.id, b.caller AS bev, e.ev, b.alt_depth, CASE WHEN b.id IS NULL THEN 'NO_AD' ELSE 'FILLED' END AS status FROM q LEFT JOIN b USING (id) LEFT JOIN e USING (id)""")
 def best_caller(t):
-    v, c = support_inputs(t)
-    v2 = v.drop("supp").join(t.sites.select("id", F.expr(CALLER).alias("supp")), "id")
-    out = m.best_caller(v2, m.caller_support(v, c))
+    q, r = svs(t).withColumns({"svlen": F.col("len"), "sample": F.lit("s"), "gt": F.array(F.lit(1))}), svs(t, "truth")
+    lists = q.select("id", "chrom", "start", "svtype", "svlen", F.array(F.lit("pbsv"), F.lit("delly")).alias("callers"), F.col("vid").alias("file_order"))
+    text = lambda k: F.col(k).cast("string")
+    fields = F.when(F.col("caller") == "pbsv", F.create_map(F.lit("AD"), F.concat_ws(",", text("an"), text("ac")))).otherwise(F.create_map(F.lit("RR"), text("an"), F.lit("RV"), text("ac")))
+    raw = r.join(t.truth.select("id", "ac", "an", F.expr(CALLER).alias("caller")), "id").withColumns({"sample": F.lit("s"), "svlen": F.col("len"), "alts": F.array("alt"), "fields": fields, "file_order": -F.dense_rank().over(W.partitionBy("chrom", "start").orderBy("id"))})
+    c = ev.caller_support(q, lists, raw)
+    v2 = q.join(t.sites.select("id", F.expr(CALLER).alias("supp")), "id")
+    out = m.best_caller(v2, c)
     return out.select("id", "bev", F.array_join("ev", ",").alias("ev"), F.element_at("ad", 2).alias("alt_depth"), "status")
 
 
-@query()
+LIKELY = "list_sort([CAST(round_even(-10 * (l0 - greatest(l0, l1, l2)), 0) AS INT), CAST(round_even(-10 * (l1 - greatest(l0, l1, l2)), 0) AS INT), CAST(round_even(-10 * (l2 - greatest(l0, l1, l2)), 0) AS INT)])[2]"
+SAW = f"""WITH {Q}, v AS (SELECT q.*, svtype AS kind, CASE WHEN length(alt) > length(ref) THEN alt ELSE ref END AS seq, sample_id AS sample, a0, a1, ad_ref + ad_alt AS dp,
+  CASE WHEN coalesce(a0, 0) > 0 THEN 1 ELSE 0 END + CASE WHEN coalesce(a1, 0) > 0 THEN 1 ELSE 0 END AS n FROM q JOIN genotypes g ON g.vid = q.vid),
+kp AS (SELECT vid, sample_id AS sample, a0 AS k0, a1 AS k1, ad_ref AS r, ad_alt AS a, CASE WHEN coalesce(a0, 0) > 0 THEN 1 ELSE 0 END + CASE WHEN coalesce(a1, 0) > 0 THEN 1 ELSE 0 END AS kn FROM genotypes2 WHERE vid % 3 = 0),
+ls AS (SELECT *, CASE WHEN vid % 4 = 0 THEN ['pbsv', 'sniffles'] ELSE ['delly', 'sawfish', 'dipcall'] END AS callers FROM q WHERE vid % 4 < 2),
+fz AS (SELECT id, callers, row_number() OVER (PARTITION BY id ORDER BY score DESC, st, vid) AS k FROM (SELECT x.id, l.callers, l.st, l.vid,
+  least(x.len, l.len) / greatest(x.len, l.len) + greatest(0, least(x.en, l.en) - greatest(x.st, l.st)) / greatest(greatest(1, x.en - x.st), greatest(1, l.en - l.st)) + greatest(0.0, 1.0 - abs(l.st - x.st) / 50) AS score
+  FROM q x JOIN ls l ON l.chrom = x.chrom AND l.svtype = x.svtype AND abs(l.st - x.st) <= 50 WHERE x.vid % 4 >= 2) z),
+al AS (SELECT id, callers FROM ls UNION ALL SELECT id, callers FROM fz WHERE k = 1),
+c AS (SELECT r.*, svtype AS kind, CASE WHEN length(alt) > length(ref) THEN alt ELSE ref END AS seq, {WHICH.replace('vid', 'r.vid')} AS caller, g.sample_id AS sample, g.ad_ref AS r, g.ad_alt AS a,
+  CASE WHEN coalesce(a0, 0) > 0 THEN 1 ELSE 0 END + CASE WHEN coalesce(a1, 0) > 0 THEN 1 ELSE 0 END AS cn FROM r JOIN genotypes2 g ON g.vid = r.vid),
+pr AS (SELECT q.id, q.sample, q.n, q.len AS want, r.caller, r.cn, r.r, r.a, r.vid, r.ref, r.alt, r.st, {SCORE} AS sim, least(q.len, r.len) / greatest(q.len, r.len) AS size_sim,
+  greatest(0, least(q.st + q.len, r.st + r.len) - greatest(q.st, r.st)) / greatest(q.len, r.len) AS ovl FROM v q JOIN c r ON q.sample = r.sample AND {NEAR.format(0.7)} WHERE q.n > 0),
+bm AS (SELECT *, row_number() OVER (PARTITION BY id, sample, caller ORDER BY (sim + size_sim + ovl) / 3 DESC, st, vid) AS k FROM pr WHERE sim >= 0.7),
+mt AS (SELECT bm.id, bm.sample, caller, n = cn AS same, {READ} FROM bm LEFT JOIN al USING (id) WHERE k = 1 AND (al.id IS NULL OR list_contains(al.callers, caller))),
+su AS (SELECT id, sample, caller, r, a FROM mt WHERE same UNION ALL SELECT v.id, v.sample, 'kanpig', kp.r, kp.a FROM v JOIN kp USING (vid, sample) WHERE v.n > 0 AND v.n = kp.kn),
+sl AS (SELECT *, a * log10(0.05) + r * log10(1.0 - 0.05) AS l0, a * log10(0.5) + r * log10(0.5) AS l1, a * log10(0.95) + r * log10(1.0 - 0.95) AS l2 FROM su),
+sg AS (SELECT *, CASE WHEN r + a = 0 THEN 0 ELSE least(99, {LIKELY}) END AS gq FROM sl),
+bv AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id, sample ORDER BY CASE WHEN caller = 'kanpig' THEN 0 ELSE 1 END, gq DESC, caller) AS k FROM sg WHERE r IS NOT NULL) z WHERE k = 1),
+ev AS (SELECT id, sample, string_agg(CASE WHEN r IS NULL THEN caller ELSE concat(caller, '_(', r, '_', a, ')') END, ';' ORDER BY caller) AS ev FROM su GROUP BY id, sample),
+kq AS (SELECT vid, sample, k0, k1, kn, r, a, CASE WHEN r + a = 0 THEN 0 ELSE least(99, {LIKELY}) END AS gq, kn = 0 AND NOT (k0 IS NULL AND k1 IS NULL) AS rested FROM (
+  SELECT *, a * log10(0.05) + r * log10(1.0 - 0.05) AS l0, a * log10(0.5) + r * log10(0.5) AS l1, a * log10(0.95) + r * log10(1.0 - 0.95) AS l2 FROM kp) z)"""
+
+
+def evidence(t):
+    q, r = svs(t), svs(t, "truth")
+    seq = F.when(F.length("alt") > F.length("ref"), F.col("alt")).otherwise(F.col("ref"))
+    v = calls(t).select("vid", "sample", "gt", "dp").join(q, "vid").withColumns({"kind": F.col("svtype"), "seq": seq, "pos": F.col("start"), "alts": F.array("alt"), "svlen": F.col("len")})
+    g2 = calls(t, "genotypes2").select("vid", "sample", "gt", "ad", "dp")
+    again = g2.filter("vid % 3 = 0").join(q.select("vid", "id", "chrom", F.col("start").alias("pos"), F.lower("ref").alias("ref"), F.array("alt").alias("alts")), "vid")
+    raw = raw_calls(g2.withColumns({"r": F.get("ad", F.lit(0)), "a": F.get("ad", F.lit(1))}).join(r, "vid")).withColumns({"kind": F.col("svtype"), "seq": seq, "file_order": F.col("vid") * 1_000_000 + F.col("sample")})
+    text = lambda *names: F.array(*[F.lit(x) for x in names])
+    lists = q.filter("vid % 4 < 2").withColumns({"svlen": F.col("len"), "file_order": F.col("vid"), "callers": F.when(F.col("vid") % 4 == 0, text("pbsv", "pav", "sniffles")).otherwise(text("delly", "sawfish", "kanpig", "dipcall"))})
+    return ev.raw_caller_evidence(v, again, raw, lists, list_window=50)
+
+
+@query(f"""{SAW}
+SELECT v.id, v.sample, CASE WHEN v.n > 0 THEN concat(coalesce(CAST(a0 AS VARCHAR), '.'), ',', coalesce(CAST(a1 AS VARCHAR), '.')) WHEN kq.vid IS NULL THEN concat(coalesce(CAST(coalesce(a0, a1) AS VARCHAR), '.'), ',', CASE WHEN a0 IS NULL OR a1 IS NULL THEN '.' ELSE '0' END)
+  WHEN kq.rested THEN '0,0' ELSE '.,.' END AS gt,
+ CASE WHEN v.n > 0 THEN CASE WHEN bv.caller = 'kanpig' THEN kq.r + kq.a WHEN bv.caller IS NOT NULL THEN v.dp END WHEN kq.rested THEN kq.r + kq.a END AS dp,
+ CASE WHEN v.n > 0 THEN bv.r WHEN kq.rested THEN kq.r END AS ref_depth, CASE WHEN v.n > 0 THEN bv.a WHEN kq.rested THEN kq.a END AS alt_depth, CASE WHEN v.n > 0 THEN bv.gq WHEN kq.rested THEN kq.gq END AS gq, ev.ev, bv.caller AS bev
+FROM v LEFT JOIN kq ON kq.vid = v.vid AND kq.sample = v.sample LEFT JOIN bv ON bv.id = v.id AND bv.sample = v.sample LEFT JOIN ev ON ev.id = v.id AND ev.sample = v.sample""")
 def raw_caller_evidence(t):
-    g1, g2 = calls(t), calls(t, "genotypes2")
-    n = F.size(F.filter("gt", lambda a: a > 0)).alias("n_alt")
-    v = g1.select("vid", "sample", n).join(t.sites.select("vid", "id"), "vid").join(sim_cols(t, "sites"), "id")
-    c = g2.select("vid", "sample", "gq", n).join(t.truth.select("vid", "id", F.expr(CALLER).alias("caller")), "vid").join(sim_cols(t, "truth"), "id")
-    return m.raw_caller_evidence(v.select("id", "sample", "n_alt", *m.SEQ), c.select("id", "sample", "caller", "gq", "n_alt", *m.SEQ))
+    x = evidence(t)
+    gt = F.array_join(F.transform("gt", lambda a: F.coalesce(a.cast("string"), F.lit("."))), ",")
+    return x.select("id", "sample", gt.alias("gt"), "dp", F.get("ad", F.lit(0)).alias("ref_depth"), F.get("ad", F.lit(1)).alias("alt_depth"), "gq", F.array_join("ev", ";").alias("ev"), "bev")
+
+
+@query(f"""{SAW}, f AS (SELECT v.id, v.sample, v.n > 0 AS c, v.n > 0 AND kq.vid IS NOT NULL AS ks, v.n > 0 AND coalesce(v.n = kq.kn, false) AS kg, coalesce(x.site, false) AS ns, coalesce(x.same, false) AS ng, coalesce(x.deep, false) AS nd
+  FROM v LEFT JOIN kq ON kq.vid = v.vid AND kq.sample = v.sample LEFT JOIN (SELECT id, sample, true AS site, bool_or(same) AS same, bool_or(same AND r IS NOT NULL) AS deep FROM mt GROUP BY id, sample) x ON x.id = v.id AND x.sample = v.sample)
+SELECT sample, CAST(count(*) FILTER (c) AS BIGINT) AS count, CAST(count(*) FILTER (ks OR ns) AS BIGINT) AS count_match_site, CAST(count(*) FILTER (kg OR ng) AS BIGINT) AS count_match_gt, CAST(count(*) FILTER (kg OR nd) AS BIGINT) AS count_match_gt_ad,
+ CAST(count(*) FILTER (ks) AS BIGINT) AS count_match_site_kp, CAST(count(*) FILTER (kg) AS BIGINT) AS count_match_gt_kp, CAST(count(*) FILTER (kg) AS BIGINT) AS count_match_gt_ad_kp, CAST(count(*) FILTER (ns) AS BIGINT) AS count_match_site_nonkp,
+ CAST(count(*) FILTER (ng) AS BIGINT) AS count_match_gt_nonkp, CAST(count(*) FILTER (nd) AS BIGINT) AS count_match_gt_ad_nonkp FROM f GROUP BY sample""")
+def caller_match_counts(t):
+    return ev.match_counts(evidence(t))
 
 
 MEET = "s.chrom = x.chrom AND s.st < x.en AND x.st < s.en"

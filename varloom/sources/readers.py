@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from ..functions.alleles import region_parts
+from ..operators.positions import running
+from ..operators.sequences import BLOCK, blocks_of
 
 
 def _null_dot(c: Column) -> Column:
@@ -94,6 +96,22 @@ def calls_of(vcf: DataFrame) -> DataFrame:
                     m("DP").try_cast("int").alias("dp"), m("GQ").try_cast("int").alias("gq"), m("PS").try_cast("bigint").alias("ps"))
 
 
+def read_fasta(spark: SparkSession, path, block: int = BLOCK) -> DataFrame:
+    """A reference as blocks (chrom, block, bases; see ``operators.sequences``). Contigs are named by the first word of their header.
+
+    Lines are numbered as by ``vcf_lines``; a running sum of their lengths gives each line its place in its contig, so a contig of any length is read by many tasks,
+    and may go on in the next file.
+    """
+    lines = vcf_lines(spark, path)
+    lines = lines.select(F.lit(0).alias("_all"), "file_pos", F.trim("value").alias("v")).withColumn("_head", F.col("v").startswith(">"))
+    lines = lines.select("*", F.when(F.col("_head"), 0).otherwise(F.length("v")).cast("bigint").alias("n"),
+                         F.when(F.col("_head"), F.struct("file_pos", F.element_at(F.split(F.expr("substring(v, 2)"), r"\s"), 1).alias("chrom"))).alias("contig"))
+    run = running(lines, "file_pos", ["_all"], sums=["n"], maxes=["contig"])
+    first = run.filter("_head").select(F.col("file_pos").alias("_at"), F.col("run_n").alias("_before"))
+    p = run.filter("NOT _head AND n > 0").withColumn("_at", F.col("run_contig.file_pos")).join(first, "_at")
+    return blocks_of(p.select(F.col("run_contig.chrom").alias("chrom"), (F.col("run_n") - F.col("n") - F.col("_before") + 1).alias("start"), F.col("v").alias("bases")), block)
+
+
 KEY5 = ["chrom", "pos", "ref", "alt", "id"]
 
 

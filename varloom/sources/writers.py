@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.alleles import contig_sort
+from ..operators.positions import number_rows
 
 
 def _dot(c: Column) -> Column:
@@ -68,5 +69,27 @@ def write_per_sample(calls: DataFrame, path: str, salts: int = 4) -> None:
     calls.repartition("sample", salt).write.mode("overwrite").partitionBy("sample").parquet(path)
 
 
-def shard_by_records(df: DataFrame, path: str, records: int) -> None:
-    df.write.mode("overwrite").option("maxRecordsPerFile", records).parquet(path)
+def in_shards(df: DataFrame, records: int, ties: tuple[str, ...] = ("id",)) -> DataFrame:
+    """Rows with ``shard``: runs of exactly ``records`` rows (the last may be shorter) in order of contig, ``pos`` and ``ties``.
+
+    Rows are numbered within a contig stretch by stretch; contigs are shifted by the counts of those before, one row a contig.
+    """
+    numbered = number_rows(df, ["chrom"], ["pos", *ties], "_rank", "_of", chunk=1 << 14)
+    sizes = df.groupBy("chrom").agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(W.orderBy(*contig_sort("chrom"), "chrom").rowsBetween(W.unboundedPreceding, -1))
+    x = numbered.join(sizes.select("chrom", F.coalesce(before, F.lit(0)).alias("_before")), "chrom")
+    return x.withColumn("_place", F.col("_before") + F.col("_rank") - 1).withColumn("shard", F.floor(F.col("_place") / records)).drop("_rank", "_of", "_before")
+
+
+def shard_manifest(sharded: DataFrame) -> DataFrame:
+    """One row a shard: its number of rows, first and last place."""
+    at = lambda f: f(F.struct("chrom", "pos"), F.col("_place"))
+    m = sharded.groupBy("shard").agg(F.count("*").alias("rows"), at(F.min_by).alias("f"), at(F.max_by).alias("l"))
+    return m.select("shard", "rows", F.col("f.chrom").alias("first_chrom"), F.col("f.pos").alias("first_pos"), F.col("l.chrom").alias("last_chrom"), F.col("l.pos").alias("last_pos"))
+
+
+def shard_by_records(df: DataFrame, path: str, records: int, ties: tuple[str, ...] = ("id",)) -> DataFrame:
+    """One folder a shard of exactly ``records`` rows in order; the manifest, read from what was written."""
+    x = in_shards(df, records, ties)
+    x.repartition("shard").sortWithinPartitions("shard", "_place").write.mode("overwrite").partitionBy("shard").parquet(path)
+    return shard_manifest(df.sparkSession.read.parquet(path))
