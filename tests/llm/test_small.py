@@ -1,5 +1,6 @@
 """Every operator on a small table with all odd rows, against brute force; on an empty one; with clashing columns."""
 
+import gzip
 import hashlib
 import re
 import zlib
@@ -352,7 +353,7 @@ def test_archives(spark, tmp_path):
         if p is not None and len((h or "").encode()) >= 100:
             first[h] = min(first.get(h, p), p)
     want = [(p, len((h or "").encode()), hashlib.sha256((h or "").encode()).hexdigest(), *(("revisit", first[h]) if h in first and first[h] != p else ("response", None))) for p, _, h in pages]
-    files = archives.write(archives.chunks(archives.records(d)), f"file://{tmp_path}/warc")
+    files = archives.write(d.repartition(3), f"file://{tmp_path}/warc")
     back = archives.read(files)
     same(back.filter("last").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to").collect(), want)
     parts = back.filter("record_type = 'response'").orderBy("file", "record", "chunk").collect()
@@ -362,5 +363,17 @@ def test_archives(spark, tmp_path):
         whole[r.file, r.record] += r.data
         assert r.payload_digest == hashlib.sha256(whole[r.file, r.record]).hexdigest() and r.payload_bytes == len(whole[r.file, r.record])
     assert Counter(whole.values()) == Counter((h or "").encode() for (p, _, h), w in zip(pages, want) if w[3] == "response")
+    ids = [h for f in files.collect() for h in re.findall(rb"WARC-Record-ID: (\S+)", gzip.open(f.file.removeprefix("file://")).read())]
+    assert len(ids) == len(set(ids)) == len(pages)
     none = d.filter("false")
-    assert archives.read(archives.write(archives.chunks(archives.records(none)), f"file://{tmp_path}/none")).count() == 0
+    assert archives.read(archives.write(none, f"file://{tmp_path}/none")).count() == 0
+
+
+def test_no_payload_travels_by_its_digest(spark):
+    """Above the first pass there is no payload: decisions are made on rows of (page, bytes, digest)."""
+    d = spark.range(300).select(F.col("id").alias("page_id"), F.lit("u").alias("url"), F.when(F.col("id") % 3 == 0, F.repeat(F.lit("copy"), 500)).otherwise(F.repeat(F.col("id").cast("string"), 200)).alias("html"))
+    told = archives.decide(archives.digests(archives.chunks(d)))
+    assert set(told.columns) == {"record", "page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to"}
+    plan = told._jdf.queryExecution().executedPlan().toString()
+    assert "data" not in plan and "payload#" not in plan
+    assert told.filter("record_type = 'revisit'").count() == 99

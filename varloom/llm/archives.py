@@ -1,16 +1,20 @@
 """WARC archives written from a table of pages, and read back as a chunked record table.
 
-No step holds a whole record. Pages become rows of (record, chunk number, at most ``CHUNK`` payload
-bytes); a task streams them into archives of one gzip member a record. Reading gives rows of the
-same kind, each with the bytes and the SHA-256 so far: hash states are carried from chunk
+Pages become rows of (record, chunk number, at most ``CHUNK`` payload bytes). A first pass streams them through running
+SHA-256 states and leaves one row a record: page, bytes and digest, no payload. Which records are responses is decided
+on those rows: of equal payloads of at least ``least`` bytes the one with the smallest page_id is a response, the
+others revisit it. Groups are counted with partial aggregates; only groups of two or more are joined back.
+A second pass deals decisions and chunks by record, each record to one task, and streams them in order into archives
+of one gzip member a record; revisits write no payload, and a response whose chunks don't give the digest that was decided on fails the job.
+So no payload is shuffled by its digest, and beside the page's own cell no step holds a whole record; Arrow batches end at 64 MB.
+
+Reading gives rows of the same kind, each with the bytes and the SHA-256 so far: hash states are carried from chunk
 to chunk, and a response whose final digest differs from its header fails the job.
 
-Of records with equal payloads of at least ``least`` bytes the one with the smallest page_id is a
-response, the others revisit it. A group of equal payloads is known by its digest, counted with
-partial aggregates; only groups of two or more are joined back.
-
 Archives are written under a random name and moved to their final one when complete; the returned table
-names the files of the tasks that succeeded, so what a lost task leaves behind is never read.
+names the files of the tasks that succeeded, so what a lost task leaves behind is never read. Records are numbered by their
+place in the table, which must read the same rows whenever it is evaluated; the number is part of a record's id, so
+repeated pages have ids of their own.
 
 Nulls: a null payload is empty; a record without page_id gets no id header and reads back as null, and
 is never revisited. Rows equal in id and payload are all responses (or all revisits). Line breaks in
@@ -32,7 +36,6 @@ from pyspark.sql import DataFrame, functions as F
 from .tables import settled
 
 CHUNK = 1 << 16
-ROWS = 256
 ROLL = 1 << 30
 DATE = "2000-01-01T00:00:00Z"
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -41,35 +44,56 @@ PARTS = pa.schema([("file", pa.string()), ("record", pa.int64()), ("chunk", pa.i
                    ("refers_to", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("data", pa.binary())])
 
 
-def records(pages: DataFrame, least: int = 100) -> DataFrame:
-    """Each page with payload_bytes, payload_digest, record_type, refers_to and ``payload``."""
+def chunks(pages: DataFrame) -> DataFrame:
+    """One row per chunk of each page's payload: record (the row's number), page_id, url, chunk, last, data."""
     payload = F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary")
-    p = pages.select(F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"), payload.alias("payload"))
-    p = p.withColumns({"payload_bytes": F.octet_length("payload").cast("bigint"), "payload_digest": F.sha2("payload", 256)})
-    groups = p.filter(F.col("payload_bytes") >= least).groupBy("payload_digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n"))
-    groups = settled(groups.filter("n > 1 AND first IS NOT NULL").select("payload_digest", "first"))
-    again = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
-    return p.join(groups, "payload_digest", "left").select(
-        "page_id", "url", "payload", "payload_bytes", "payload_digest", F.when(again, "revisit").otherwise("response").alias("record_type"), F.when(again, F.col("first")).alias("refers_to"))
+    p = pages.select(F.monotonically_increasing_id().alias("record"), F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"), payload.alias("payload"))
+    at = F.expr(f"sequence(0, greatest(CAST(ceil(octet_length(payload) / {CHUNK}) AS INT) - 1, 0))")
+    cut = F.transform(at, lambda i: F.struct((i == F.size(at) - 1).alias("last"), F.expr("payload").substr(i * CHUNK + 1, F.lit(CHUNK)).alias("data")))
+    p = p.select("record", "page_id", "url", F.posexplode(cut).alias("chunk", "c"))
+    return p.select("record", "page_id", "url", F.col("chunk").cast("bigint").alias("chunk"), "c.last", "c.data")
+
 
+def digests(parts: DataFrame) -> DataFrame:
+    """record, page_id, url, payload_bytes, payload_digest of each record, by running states over its chunks."""
 
-def chunks(recs: DataFrame) -> DataFrame:
-    """One row per chunk, a record's rows in order and together; a revisit has one without payload."""
-    size = F.when(F.col("record_type") == "response", F.col("payload_bytes")).otherwise(F.lit(0))
-    last = F.greatest(F.ceil(size / CHUNK) - 1, F.lit(0)).cast("int")
-    r = recs.withColumn("chunk", F.explode(F.sequence(F.lit(0), last)))
-    data = F.when(F.col("record_type") == "response", F.expr(f"substring(payload, chunk * {CHUNK} + 1, {CHUNK})")).otherwise(F.lit(b""))
-    return r.select("page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", F.col("chunk").cast("bigint").alias("chunk"), (F.col("chunk") == last).alias("last"), data.alias("data"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        state, size = hashlib.sha256(), 0
+        for b in batches:
+            rows, bytes_, sums = [], [], []
+            for i, (last, data) in enumerate(zip(b.column("last").to_pylist(), b.column("data"))):
+                state.update(data.as_buffer())
+                size += data.as_buffer().size
+                if last:
+                    rows.append(i)
+                    bytes_.append(size)
+                    sums.append(state.hexdigest())
+                    state, size = hashlib.sha256(), 0
+            at = pa.array(rows, pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column(c).take(at) for c in ("record", "page_id", "url")] + [pa.array(bytes_, pa.int64()), pa.array(sums, pa.string())],
+                                             names=["record", "page_id", "url", "payload_bytes", "payload_digest"])
+
+    return parts.mapInArrow(run, "record bigint, page_id bigint, url string, payload_bytes bigint, payload_digest string")
+
+
+def decide(found: DataFrame, least: int = 100) -> DataFrame:
+    """``digests`` rows with record_type and refers_to."""
+    found = settled(found)
+    groups = found.filter(F.col("payload_bytes") >= least).groupBy("payload_digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n"))
+    groups = groups.filter("n > 1 AND first IS NOT NULL").select("payload_digest", "first")
+    again = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
+    return found.join(groups, "payload_digest", "left").select(
+        "record", "page_id", "url", "payload_bytes", "payload_digest", F.when(again, "revisit").otherwise("response").alias("record_type"), F.when(again, F.col("first")).alias("refers_to"))
 
 
-def _urn(page: int | None, digest: str) -> str:
-    return f"<urn:page:{page}:{digest[:32]}>"
+def _urn(page: int | None, digest: str, record: int | None = None) -> str:
+    return f"<urn:page:{page}:{digest[:32]}{'' if record is None else f':{record}'}>"
 
 
 def _head(r: dict) -> bytes:
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % r["payload_bytes"]
     there = r["payload_bytes"] if r["record_type"] == "response" else 0
-    lines = ["WARC/1.1", f"WARC-Type: {r['record_type']}", f"WARC-Record-ID: {_urn(r['page_id'], r['payload_digest'])}", f"WARC-Date: {DATE}",
+    lines = ["WARC/1.1", f"WARC-Type: {r['record_type']}", f"WARC-Record-ID: {_urn(r['page_id'], r['payload_digest'], r['record'])}", f"WARC-Date: {DATE}",
              "Content-Type: application/http; msgtype=response", f"WARC-Payload-Digest: sha256:{r['payload_digest']}", f"Content-Length: {len(http) + there}"]
     if r["page_id"] is not None:
         lines.append(f"WARC-X-Page-ID: {r['page_id']}")
@@ -80,17 +104,21 @@ def _head(r: dict) -> bytes:
     return "\r\n".join(lines).encode() + b"\r\n\r\n" + http
 
 
-def write(parts: DataFrame, folder: str) -> DataFrame:
-    """Write the chunk rows as archives in ``folder`` (a shared place); a table of the files."""
+def write(pages: DataFrame, folder: str, least: int = 100) -> DataFrame:
+    """Write the pages as archives in ``folder`` (a shared place); a table of the files."""
+    parts = chunks(pages)
+    told = decide(digests(parts), least)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         where, path = pafs.FileSystem.from_uri(folder)
         where.create_dir(path, recursive=True)
         done, out, name, n, size, pack = [], None, "", 0, 0, None
+        head, state = {}, None
         try:
             for b in batches:
                 for r in b.to_pylist():
-                    if r["chunk"] == 0:
+                    if r["chunk"] < 0:
+                        head, state = r, hashlib.sha256()
                         if out is not None and size >= ROLL:
                             out.close()
                             where.move(f"{path}/{name}.part", f"{path}/{name}")
@@ -101,8 +129,15 @@ def write(parts: DataFrame, folder: str) -> DataFrame:
                             out = where.open_output_stream(f"{path}/{name}.part", compression=None)
                         pack = zlib.compressobj(1, wbits=31)
                         size += out.write(pack.compress(_head(r))) or 0
-                    size += out.write(pack.compress(r["data"])) or 0
+                        continue
+                    if r["record"] != head.get("record"):
+                        raise RuntimeError("chunks without a decision: the table was read differently the second time")
+                    state.update(r["data"])
+                    if head["record_type"] == "response":
+                        size += out.write(pack.compress(r["data"])) or 0
                     if r["last"]:
+                        if state.hexdigest() != head["payload_digest"]:
+                            raise RuntimeError("another payload than was decided on: the table was read differently the second time")
                         size += out.write(pack.compress(b"\r\n\r\n") + pack.flush()) or 0
                         n += 1
             if out is not None:
@@ -116,13 +151,9 @@ def write(parts: DataFrame, folder: str) -> DataFrame:
         if done:
             yield pa.RecordBatch.from_arrays([pa.array([f"{folder}/{x[0]}" for x in done]), pa.array([x[1] for x in done], pa.int64()), pa.array([x[2] for x in done], pa.int64())], schema=FILES)
 
-    key, conf = "spark.sql.execution.arrow.maxRecordsPerBatch", parts.sparkSession.conf
-    before = conf.get(key)
-    conf.set(key, str(ROWS))  # of chunk rows that are in memory at once; the write ends within this call
-    try:
-        return settled(parts.mapInArrow(run, "file string, records bigint, bytes bigint"))
-    finally:
-        conf.set(key, before)
+    rows = told.withColumn("chunk", F.lit(-1).cast("bigint")).unionByName(parts.select("record", "chunk", "last", "data"), allowMissingColumns=True)
+    rows = rows.repartition("record").sortWithinPartitions("record", "chunk")
+    return settled(rows.mapInArrow(run, "file string, records bigint, bytes bigint"))
 
 
 def read(files: DataFrame, data: bool = True) -> DataFrame:

@@ -79,11 +79,10 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, len(w) - coalesce(n, 0) AS n_r
 
 
 def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
-    from .archives import chunks, read, records, write
+    from .archives import read, write
     from .tables import shared_folder
 
-    recs = records(table(spark, folder, "pages"))
-    back = read(write(chunks(recs), shared_folder(spark, "archives")), data=False)
+    back = read(write(table(spark, folder, "pages"), shared_folder(spark, "archives")), data=False)
     return back.filter("last").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
