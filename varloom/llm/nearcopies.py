@@ -32,13 +32,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .components import components
-from .tables import fresh, settled
+from .tables import bitmap, fresh, settled
 from .words import SPACED, slices, whole_windows, window_hashes, words
 
 COORDS, MINS, MATCH = 30, 3, 3
 HOT = 8192
 TILE = 1 << 20  # shingles of a block; a tile holds two at most
-BITS = 24
+BITS = 26
 
 _rng = np.random.default_rng(17)
 _MUL = _rng.integers(1, 1 << 63, COORDS * MINS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -213,16 +213,14 @@ def _named(c: str) -> Column:
 
 def _confirmed(docs: DataFrame, families: DataFrame, size: int, percent: int) -> DataFrame:
     """Edges (a, b) of a forest over the exact links within families. families: c, id (its first document), n, root."""
-    slot = f"CAST(shiftrightunsigned(xxhash64(id), {64 - BITS}) AS INT)"
-    slots = families.select(F.expr(slot).alias("s")).distinct().toArrow().column("s").to_numpy()
-    bits = np.zeros(1 << BITS, bool)
-    bits[slots] = True
-    bitmap = docs.sparkSession.sparkContext.broadcast(np.packbits(bits))  # BITS bits, whatever the number of documents
+    bits = min(BITS, max(16, (8 * families.count()).bit_length()))  # one document in eight passes by chance, more from 2^23 families on
+    slot = f"CAST(shiftrightunsigned(xxhash64(id), {64 - bits}) AS INT)"
+    held = docs.sparkSession.sparkContext.broadcast(bitmap(families.select(F.expr(slot).alias("s")), "s", bits))
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             s = whole.column("s").to_numpy()
-            for b in slices(whole.filter(pa.array((bitmap.value[s >> 3] >> (7 - (s & 7))) & 1 == 1)), "text"):
+            for b in slices(whole.filter(pa.array((held.value[s >> 3] >> (7 - (s & 7))) & 1 == 1)), "text"):
                 sets = shingle_sets(b.column("text"), size)
                 yield pa.RecordBatch.from_arrays([pa.array([_digest(x) if len(x) else None for x in sets], pa.int64()), b.column("id"), pa.array([x.tobytes() for x in sets], pa.binary())], names=["c", "id", "shingles"])
 

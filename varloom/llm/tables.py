@@ -6,7 +6,8 @@ import os
 import uuid
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import cut_lineage
 
@@ -44,6 +45,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(at)
 
 
+def bitmap(slots: DataFrame, slot: str, bits: int) -> np.ndarray:
+    """The slots (below 2^bits) that occur, as packed bits. They are joined to words of 64 in Spark, so at most 2^(bits - 6) rows reach the driver."""
+    words = slots.groupBy(F.expr(f"CAST({slot} AS INT) >> 6").alias("w")).agg(F.bit_or(F.expr(f"shiftleft(1L, CAST({slot} AS INT) & 63)")).alias("v")).toArrow()
+    out = np.zeros(max(1, 1 << (bits - 6)), np.uint64)
+    out[words.column("w").to_numpy()] = words.column("v").to_numpy().view(np.uint64)
+    return np.packbits(np.unpackbits(out.astype("<u8").view(np.uint8), bitorder="little"))
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Column names like ``names`` that ``df`` doesn't have."""
     taken, out = {c.lower() for c in df.columns}, []
