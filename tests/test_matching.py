@@ -6,7 +6,7 @@ from statistics import median
 import pytest
 from pyspark.sql import functions as F
 
-from varloom.operators import depth as d, matching as m
+from varloom.operators import collapse as co, depth as d, matching as m
 from varloom.sources import readers, writers
 
 S = "id string, chrom string, start int, len int, kind string, seq string"
@@ -44,7 +44,7 @@ def test_a_long_chain_collapses_in_as_many_jobs_as_a_short_one(spark, n):
     d = spark.createDataFrame([(f"v{i:05d}", "c", i * 8, 12, "INS", "ACGTACGTACGT") for i in range(n)], S)
     tracker = spark.sparkContext.statusTracker()
     spark.sparkContext.setJobGroup(f"chain{n}", "chain")
-    got = {r["id"]: r["kept_id"] for r in m.collapse_sites(d, 10).collect()}
+    got = {r["id"]: r["kept_id"] for r in co.collapse_sites(d, co.Limits(10)).collect()}
     jobs = len(tracker.getJobIdsForGroup(f"chain{n}"))
     spark.sparkContext.setJobGroup("rest", "rest")
     assert got == {f"v{i:05d}": f"v{i - i % 2:05d}" for i in range(n)}
@@ -65,7 +65,7 @@ def test_collapse_equals_greedy_scan(spark, most):
         if not near:
             kept.append(x)
     want = {x[0]: owner[firsts[x[1:]]] for x in rows}
-    got = {r["id"]: r["kept_id"] for r in m.collapse_sites(spark.createDataFrame(rows, S), 10, 0.8, 0.8, most).collect()}
+    got = {r["id"]: r["kept_id"] for r in co.collapse_sites(spark.createDataFrame(rows, S), co.Limits(10, 0.0, 0.8, 0.8), most=most).collect()}
     assert got == want
 
 
@@ -105,13 +105,40 @@ def test_missing_alleles_count_as_carriers_for_elements(spark):
     assert {r["sample"] for r in m.transferable_carriers(c).collect()} == {"a", "c"}
 
 
-def test_consolidation_returns_dissimilar_carriers(spark):
-    c = spark.createDataFrame([("k", "a", [0, 1]), ("k", "b", [0, 0]), ("r", "a", [0, 0]), ("r", "b", [1, 1]), ("z", "a", [0, 1]), ("z", "b", [0, 0])], "id string, sample string, gt array<int>")
+@pytest.mark.parametrize("most", [5, 1 << 20])
+def test_collapse_by_support_with_limits(spark, most):
+    """The most common site first; sizes, overlap and kinds out of limits are left alone."""
+    r = random.Random(9)
+    rows = [(*x, r.randrange(4)) for x in some_rows(5, 70, "v")]
+    lim = {"INS": co.Limits(12, 0.4, 0.7, 0.7, 3, 12)}
+    nodes = {}
+    for x in rows:
+        k = (-x[6], x[0])
+        nodes[x[1:6]] = min(nodes.get(x[1:6], k), k)
+    order = sorted((s, c[1], i, c) for c, (s, i) in nodes.items())
+    kept, owner = [], {}
+    for s, st, i, c in order:
+        fits = lambda c: c[3] == "INS" and 3 <= c[2] <= 12
+        near = [k for _, _, k, o in kept if fits(c) and fits(o) and similar((i, *c), (k, *o), 0.7, 0.7, 12) and min(c[1] + c[2], o[1] + o[2]) - max(c[1], o[1]) >= 0.4 * max(c[2], o[2])]
+        owner[i] = near[0] if near else i
+        if not near:
+            kept.append((s, st, i, c))
+    want = {x[0]: owner[nodes[x[1:6]][1]] for x in rows}
+    d = spark.createDataFrame(rows, S + ", support int")
+    assert {x["id"]: x["kept_id"] for x in co.collapse_sites(d, lim, common=True, most=most).collect()} == want
+    assert any(k != v for k, v in want.items())
+
+
+def test_consolidation(spark):
+    c = spark.createDataFrame([("k", "a", [0, 1]), ("k", "b", [0, 0]), ("r", "a", [0, 0]), ("r", "b", [1, 1]), ("z", "a", [0, 1]), ("z", "b", [0, 0]), ("z", "c", [0, 0]), ("r", "d", [0, 1])], "id string, sample string, gt array<int>")
     cl = spark.createDataFrame([("k", "k"), ("r", "k"), ("z", "k")], "id string, kept_id string")
-    info, calls = m.consolidate_collapsed(c, cl, 0.5)
-    assert {(r["kept_id"], r["merge_count"]) for r in info.collect()} == {("k", 2), ("r", 1)}
-    info, calls = m.consolidate_collapsed(c, cl)
-    assert {(r["id"], r["sample"], tuple(r["gt"])) for r in calls.collect()} == {("k", "a", (0, 1)), ("k", "b", (1, 1))}
+    places = spark.createDataFrame([("k", 5), ("r", 3), ("z", 2)], "id string, start int")
+    assert {(r["kept_id"], r["merge_count"], r["merge_type"]) for r in co.merge_info(co.alike_carriers(cl, c, 0.5)).collect()} == {("k", 2, "TRUVARI"), ("r", 1, "UNIQUE")}
+    assert co.merge_info(co.alike_carriers(cl, c, 0.0)).first()["merge_count"] == 3
+    got = {(r["id"], r["sample"], tuple(r["gt"]), r["source"]) for r in co.merged_calls(cl, c, places).collect()}
+    assert got == {("k", "a", (0, 1), "k"), ("k", "b", (1, 1), "r"), ("k", "d", (0, 1), "r")}
+    f = spark.createDataFrame([("k", "A", "1"), ("k", "B", None), ("r", "A", "2"), ("r", "B", "3"), ("z", "B", "4"), ("r", "C", "5")], "id string, key string, value string")
+    assert {tuple(r) for r in co.merged_fields(cl, f, places).collect()} == {("k", "A", "1", "k"), ("k", "B", "4", "z"), ("k", "C", "5", "r")}
 
 
 def test_bin_median_equals_per_base_median(spark):

@@ -177,3 +177,47 @@ def test_truth_limits(spark):
 def test_depths_by_caller(spark, caller, fields, alts, want):
     d = spark.createDataFrame([(caller, fields or {"x": "1"}, "A", alts)], "caller string, fields map<string,string>, ref string, alts array<string>")
     assert d.select(ev.depth_pair(ev.reads(), F.lit(60)).alias("d")).first().d == want
+
+
+@pytest.mark.parametrize("cells", [40, 1 << 20])
+def test_coverage_with_many_depths(spark, monkeypatch, cells):
+    """Depths to 100,000, cells few enough that counts are carried from one run of blocks to the next."""
+    monkeypatch.setattr(depth, "COVER_CELLS", cells)
+    rng = random.Random(5)
+    rows = []
+    for s in range(5):
+        at = 0
+        while at < 9000:
+            n = rng.randrange(1, 400)
+            rows.append((f"s{s}", "c", at, at + n, rng.choice([0, 3, rng.randrange(100_000)])))
+            at += n
+    d = spark.createDataFrame(rows, "sample string, chrom string, start int, end int, depth int")
+    base = {}
+    for s, _, a, b, v in rows:
+        for p in range(a, b):
+            base.setdefault(p, []).append(v)
+    got = depth.cohort_coverage(d, 5, 1000, (1, 50_000)).collect()
+    end = min(max(b for s2, _, _, b, _ in rows if s2 == s) for s in {r[0] for r in rows})
+    assert sum(r.end - r.start + 1 for r in got) == end
+    for r in got:
+        v = sorted(base[r.start - 1])
+        assert v == sorted(base[r.end - 1]) and r.total == sum(v) and r.median == v[2] and r.over_50000 == round(sum(x > 50_000 for x in v) / 5, 6)
+
+
+def test_match_table_and_totals(spark):
+    e = spark.createDataFrame([("a", "AF=0.5,0.1;AF_male=.2;X", "g|h|"), ("b", "AC=3", None), ("c", "AF=0.1", "x")], "id string, info string, vep string")
+    t = spark.createDataFrame([("t", "XY_AF=0.4;AF=0.25,7", "|k|"), ("u", "AF=bad", "q")], "id string, info string, vep string")
+    m = spark.createDataFrame([("a", "EXACT", "t"), ("b", "CLOSEST", "u")], "id string, match_type string, truth_id string")
+    got = {(r.id, r.match_status, r.truth_id, r.match_type, r.field, r.eval_value, r.truth_value) for r in rp.match_table(e, m, t, {"one": 0, "two": 1, "three": 2}).collect()}
+    assert got == {("a", True, "t", "EXACT", "af", "0.5", "0.25"), ("a", True, "t", "EXACT", "af_xy", "0.2", "0.4"), ("a", True, "t", "EXACT", "one", "g", "N/A"), ("a", True, "t", "EXACT", "two", "h", "k"),
+                   ("b", True, "u", "CLOSEST", "one", "N/A", "q"), ("b", True, "u", "CLOSEST", "two", "N/A", "N/A"), ("c", False, ".", None, None, None, None)}
+    assert {r.match_type: (r.variants, round(r.pct, 3)) for r in rp.match_totals(e, m).collect()} == {"EXACT": (1, 33.333), "CLOSEST": (1, 33.333), "UNMATCHED": (1, 33.333), "MATCHED": (2, 66.667), "TOTAL": (3, 100.0)}
+    assert {r.match_type: (r.variants, r.pct) for r in rp.match_totals(e.filter("false"), m).collect()} == {"MATCHED": (0, 0.0), "TOTAL": (0, 0.0)}
+
+
+@pytest.mark.parametrize("origin,kept", [("chr1:100-200+", True), ("chr1:100-200_-", True), ("chr1:100-200foo+", False), ("chr1:100-200", False), ("chr1:100-200__+", False), ("x+", False), ("chr1:100-200+,chr1:100-200+", False)])
+def test_only_the_strand_follows_an_origin(spark, origin, kept):
+    from varloom.operators import rows
+
+    d = spark.createDataFrame([("dup", 100, 105, origin)], "allele_type string, allele_length int, pos int, origin string")
+    assert (rows.transform_allele_type(d).first().allele_type == "dup") == kept

@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions import genotype as g
 from ..functions.alleles import contig_sort
 from .transfer import lookup
 
@@ -69,17 +70,22 @@ def merge_call_shards(shards: dict[str, DataFrame], header_value: str = "cluster
     return reduce(DataFrame.unionByName, [d.filter(F.col("cluster_id") != header_value).withColumn("me_type", F.lit(k)) for k, d in shards.items()])
 
 
-def variants_to_bed(sites: DataFrame, info: list[str], copies: dict[str, str] | None = None, infer_type: bool = False) -> DataFrame:
+def variants_to_bed(sites: DataFrame, info: list[str], copies: dict[str, str] | None = None, infer_type: bool = False, calls: DataFrame | None = None, filters: bool = False) -> DataFrame:
     """Sites as 0-based intervals with INFO columns; ``copies`` (source -> new name) and the type read
-    from the id (INS, else DEL) are optional."""
+    from the id (INS, else DEL) are optional. With ``calls`` (id, sample, gt) a column ``samples`` lists who carries a site, by name; with ``filters`` a
+    column of that name lists its filters."""
     d = sites
+    if calls is not None:
+        who = calls.filter(g.is_carrier("gt")).groupBy("id").agg(F.array_join(F.array_sort(F.collect_set(F.col("sample").cast("string"))), ",").alias("samples"))
+        d = d.join(who, "id", "left").withColumn("samples", F.coalesce("samples", F.lit("")))
     if infer_type:
         was = F.col("svtype") if "svtype" in d.columns else F.lit(None).cast("string")
         d = d.withColumn("svtype", F.when(F.col("id").contains("INS"), "INS").when(F.col("id").contains("DEL"), "DEL").otherwise(was))
     for src, dst in (copies or {}).items():
         d = d.withColumn(dst, F.coalesce(F.col(src), F.col(dst)) if dst in d.columns else F.col(src))
     end = F.coalesce("end", F.col("pos") - 1 + F.length("ref")) if "end" in d.columns else F.col("pos") - 1 + F.length("ref")
-    extra = [*info, *(copies or {}).values(), *(["svtype"] if infer_type and "svtype" not in info else [])]
+    extra = [*info, *(copies or {}).values(), *(["svtype"] if infer_type and "svtype" not in info else []), *(["samples"] if calls is not None else [])]
+    extra += [F.array_join("filters", ",").alias("filters")] if filters else []
     return d.select("chrom", (F.col("pos") - 1).alias("start"), end.alias("end"), "id", *extra)
 
 

@@ -55,7 +55,8 @@ def bin_median_depth(runs: DataFrame, bin_size: int, one_based: bool = False) ->
                     ((F.col("_lo") + F.col("_hi")) / 2).cast("int").alias("depth"))
 
 
-COVER_BIN = 4096  # bases; a task holds this times the number of depths
+COVER_BIN = 4096  # bases of a stretch
+COVER_CELLS = 1 << 20  # blocks times depths that a task holds at once
 
 
 def cohort_coverage(runs: DataFrame, n_samples: int | Column, bin_size: int, thresholds=(1, 5, 10, 15, 20, 25, 30)) -> DataFrame:
@@ -93,18 +94,31 @@ def cohort_coverage(runs: DataFrame, n_samples: int | Column, bin_size: int, thr
         e = x[x["d"].notna()]
         starts = b["start"].to_numpy(np.int64)
         values, col = np.unique(e["depth"].to_numpy(np.int64), return_inverse=True)
+        if not len(values):
+            values, col = np.zeros(1, np.int64), np.zeros(0, np.int64)
         row = np.where(e["start"].isna(), 0, np.searchsorted(starts, e["start"].fillna(0).to_numpy(np.int64), "left"))
-        n = np.zeros((len(starts) + 1, max(1, len(values))), np.int64)
-        np.add.at(n, (row, col), e["d"].to_numpy(np.int64))
-        n = np.cumsum(n, axis=0)[:len(starts)]
-        values = values if len(values) else np.zeros(1, np.int64)
-        out = {"chrom": key[0], "start": starts, "end": b["end"].to_numpy(np.int64), "total": n @ values, "_n": n.sum(1)}
-        out |= {name: n[:, values > t].sum(1) for name, t in zip(names, thresholds)}
-        samples = b["all"].to_numpy(np.int64)
-        need = samples // 2 - (samples - out["_n"]) + 1  # the middle one's place among the samples with a depth; the others count as 0
-        out["median"] = np.where(need <= 0, 0, values[np.minimum((np.cumsum(n, axis=1) < need[:, None]).sum(1), len(values) - 1)])
-        out["all"] = samples
-        return pd.DataFrame(out)
+        change, samples = e["d"].to_numpy(np.int64), b["all"].to_numpy(np.int64)
+        order = np.argsort(row, kind="stable")
+        row, col, change = row[order], col[order], change[order]
+        out: dict = {k: np.zeros(len(starts), np.int64) for k in ("total", "_n", *names, "median")}
+        held = np.zeros(len(values), np.int64)  # counts by depth, carried from one run of blocks to the next
+        step = max(1, COVER_CELLS // len(values))
+        for lo in range(0, len(starts), step):
+            hi = min(lo + step, len(starts))
+            at = slice(*np.searchsorted(row, [lo, hi]))
+            n = np.zeros((hi - lo, len(values)), np.int64)
+            np.add.at(n, (row[at] - lo, col[at]), change[at])
+            n[0] += held
+            n = np.cumsum(n, axis=0)
+            held = n[-1]
+            out["total"][lo:hi], out["_n"][lo:hi] = n @ values, n.sum(1)
+            for name, t in zip(names, thresholds):
+                out[name][lo:hi] = n[:, values > t].sum(1)
+            s = samples[lo:hi]
+            need = s // 2 - (s - n.sum(1)) + 1  # the middle one's place among the samples with a depth; the others count as 0
+            out["median"][lo:hi] = np.where(need <= 0, 0, values[np.minimum((np.cumsum(n, axis=1) < need[:, None]).sum(1), len(values) - 1)])
+        out |= {"chrom": key[0], "start": starts, "end": b["end"].to_numpy(np.int64), "all": samples}
+        return pd.DataFrame(out)[["chrom", "start", "end", "total", "_n", *names, "median", "all"]]
 
     schema = "chrom string, start int, end int, total bigint, _n bigint, " + "".join(f"{x} bigint, " for x in names) + "median int, all int"
     agg = rows.groupBy("chrom", "bin").applyInPandas(stretch, schema).filter("_n > 0")

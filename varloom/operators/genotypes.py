@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions import genotype as g, stats
 from .intervals import interval_semi
+from .sequences import distance
 
 # ------------------------------------------------------------------ quality
 
@@ -297,6 +298,31 @@ def longest_pure_run(seq, motif) -> Column:
     return F.coalesce((F.array_max(F.transform(marked, F.length)) / F.length(m)).cast("int"), F.lit(0))
 
 
+def motif_count(seq, motif) -> Column:
+    """Copies of ``motif`` found from left to right, not overlapping; NULL without a motif."""
+    s, m = F.upper(F.col(seq)), F.upper(F.col(motif))
+    return F.when(F.length(m) > 0, ((F.length(s) - F.length(F.replace(s, m, F.lit("")))) / F.length(m)).cast("int"))
+
+
+def allele_purity(seq, motif) -> Column:
+    """1 - edit distance to the pure repeat of the same length / length; NULL for an empty sequence or motif."""
+    s, m = F.upper(F.col(seq)), F.upper(F.col(motif))
+    n = F.length(s)
+    pure = F.substring(F.repeat(m, F.ceil(n / F.length(m)).cast("int")), F.lit(1), n)
+    return F.when((n > 0) & (F.length(m) > 0), 1 - distance(s, pure) / n)
+
+
+def repeat_alleles(sites: DataFrame, key) -> DataFrame:
+    """Per ALT (``allele``, from 1; 0 is REF) of repeat sites (``ref, alts, motif``): motif count, longest pure run and purity.
+
+    These stand beside the allele counts of sites with several ALTs; symbolic alleles have none.
+    """
+    key = list(key)
+    x = sites.select(*key, "motif", F.posexplode(F.concat(F.array("ref"), "alts")).alias("allele", "_seq"))
+    plain = lambda v: F.when(~F.col("_seq").startswith("<"), v)
+    return x.select(*key, "allele", plain(motif_count("_seq", "motif")).alias("mc"), plain(longest_pure_run("_seq", "motif")).alias("lps"), plain(allele_purity("_seq", "motif")).alias("ap"))
+
+
 def perfect_tandem_indel(df: DataFrame, min_copies: int = 3, min_total: int = 9, ref="ref", alt="alt") -> DataFrame:
     """Flag indels whose inserted or deleted sequence is a perfect repeat of one unit."""
     longer = F.when(F.length(alt) > F.length(ref), F.substr(alt, F.lit(2))).otherwise(F.substr(ref, F.lit(2)))

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions import genotype as g
 from ..functions.alleles import c, overlap_bases, sequence_score, sequence_similar, size_similarity
 from ..session import cut_lineage
-from .intervals import IV, islands, assign_islands, overlap_count
+from .intervals import islands, overlap_count
 from .positions import at_positions, overlap_pairs, point_in_interval, prefixed
 from .transfer import append_truth_counts, exact_match, lookup, unify_annotation_tables
 
@@ -63,6 +63,16 @@ def near_pairs(q: DataFrame, r: DataFrame, window: Column | int, by=("chrom",),
     return out
 
 
+def sized_overlaps(a: DataFrame, b: DataFrame, sim: float, by=("chrom",), prefix: str = "b_") -> DataFrame:
+    """``overlap_pairs`` of intervals whose lengths are within ``sim`` of each other, or a few more: the length class is part of
+    the key, so a place full of long and short intervals doesn't pair them all."""
+    if not 0 < sim < 0.99:
+        return overlap_pairs(a, b, by=by, prefix=prefix)
+    span = lambda d: d.withColumn("_span", F.col("end") - F.col("start"))
+    q, r = _size_classes(span(a), span(b), "_span", "_span", sim)
+    return overlap_pairs(q.drop("_span"), r.drop("_span"), by=[*by, "_cl"], prefix=prefix).drop("_cl")
+
+
 def windowed_match(q: DataFrame, r: DataFrame, window: int, size_sim: float, carry=(), vid="id") -> DataFrame:
     """Nearest same-type call within ``window`` and ``size_sim`` per query (ties: smallest id).
 
@@ -102,7 +112,7 @@ def med_match(dels: DataFrame, catalog: DataFrame, window: int = 500, reciprocal
     """
     cat = catalog.withColumn("kind", me_kind("designation")).filter("kind is not null").groupBy("chrom", "start", "end", "seq", "kind").agg(F.min("sub_family").alias("sub_family"))
     q = dels.select("chrom", "start", "end", "ref").distinct()
-    p = overlap_pairs(q, cat)
+    p = sized_overlaps(q, cat, size_sim)
     ld, lm = F.col("end") - F.col("start"), F.col("b_end") - F.col("b_start")
     ov = overlap_bases("start", "end", "b_start", "b_end")
     seq = F.substr("ref", F.lit(2))
@@ -333,93 +343,6 @@ def callset_overlap(evals: DataFrame, truth: DataFrame, truth_sv: DataFrame, min
     return unify_annotation_tables(parts)
 
 
-GROUP = 100_000
-
-
-def collapse_sites(sites: DataFrame, window: int = 500, seq_sim: float = 0.9, size_sim: float = 0.9, most: int = 1 << 20) -> DataFrame:
-    """(id, kept_id): greedy collapse in (position, id) order.
-
-    A site is kept unless an earlier kept one is similar; it then joins the earliest such. Sites more than ``window``
-    apart never meet, so the similar pairs of each stretch without such a gap are scanned in order by one task; the number
-    of jobs does not follow the data. A stretch of over ``most`` pairs is not gathered: it is decided in rounds.
-    """
-    nodes = cut_lineage(contents(sites, SEQ))
-    before = (F.col("b_start") < F.col("start")) | ((F.col("b_start") == F.col("start")) & (F.col("b_id") < F.col("id")))
-    p = similar_pairs(nodes, nodes, seq_sim, size_sim, window, before)
-    edges = cut_lineage(p.select("chrom", "start", "id", F.col("b_id").alias("early"), F.col("b_start").alias("es")))
-    reach = edges.select("chrom", F.col("es").alias("start"), (F.col("start") + 1).alias("end"))
-    isl = islands(reach, by=["chrom"])
-    edges = assign_islands(edges.withColumn("end", F.col("start") + 1), isl, by=["chrom"])
-    edges = cut_lineage(edges.select("chrom", F.col("island_start").alias("island"), "start", "id", "early", "es"))
-    size = edges.groupBy("chrom", "island").agg(F.count("*").alias("_n"))
-    big = cut_lineage(size.filter(F.col("_n") > most).select("chrom", "island"))
-    # Whole stretches are dealt to groups of about ``GROUP`` pairs; stretches share no site, so one scan may take several.
-    groups = F.pmod(F.xxhash64("chrom", "island"), F.lit(edges.count() // GROUP + 1))
-    scanned = edges.join(big, ["chrom", "island"], "left_anti").groupBy(groups.alias("g")).applyInPandas(_scan, "id string, kept_id string")
-    decided = scanned
-    if not big.isEmpty():
-        decided = decided.unionByName(_rounds(edges.join(big, ["chrom", "island"], "left_semi").select("id", "early", "es")))
-    final = nodes.select(F.col("id").alias("_cid")).join(decided.withColumnRenamed("id", "_cid"), "_cid", "left").select("_cid", F.coalesce("kept_id", "_cid").alias("kept_id"))
-    return sites.join(nodes.withColumnRenamed("id", "_cid"), SEQ).join(final, "_cid").select("id", "kept_id")
-
-
-def _scan(pairs):
-    """Sites with an earlier similar one, in order: each joins the earliest of those that are kept themselves."""
-    import pandas as pd
-
-    pairs = pairs.sort_values(["start", "id", "es", "early"])
-    owner: dict[str, str] = {}
-    for vid, early in zip(pairs["id"], pairs["early"]):
-        if owner.get(vid, vid) == vid and owner.get(early, early) == early:
-            owner[vid] = early
-    return pd.DataFrame({"id": list(owner), "kept_id": list(owner.values())}, dtype="object")
-
-
-def _rounds(edges: DataFrame) -> DataFrame:
-    """(id, kept_id) of the sites with an earlier neighbour, decided in rounds: sites whose earlier neighbours are all removed
-    are kept, sites next to a kept one are removed."""
-    todo = cut_lineage(edges.select("id").union(edges.select("early")).distinct())
-    decided, open_edges = None, edges
-    while not todo.isEmpty():
-        kept = cut_lineage(todo.join(open_edges.select("id").distinct(), "id", "left_anti"))
-        hit = open_edges.join(kept.withColumnRenamed("id", "early"), "early", "left_semi")
-        gone = hit.groupBy("id").agg(F.min_by("early", F.struct("es", "early")).alias("kept_id"))
-        step = cut_lineage(kept.withColumn("kept_id", F.col("id")).unionByName(gone))
-        decided = step if decided is None else decided.unionByName(step)
-        todo = cut_lineage(todo.join(step.select("id"), "id", "left_anti"))
-        out_of_play = step.filter("id <> kept_id").select(F.col("id").alias("early"))
-        open_edges = cut_lineage(open_edges.join(todo, "id", "left_semi").join(out_of_play, "early", "left_anti"))
-    # A site belongs to the earliest kept neighbour over all rounds.
-    kept = decided.filter("id = kept_id").select(F.col("id").alias("early"))
-    claim = edges.join(kept, "early", "left_semi").groupBy("id").agg(F.min_by("early", F.struct("es", "early")).alias("_k"))
-    return decided.join(claim, "id", "left").filter("id <> kept_id").select("id", F.coalesce("_k", "kept_id").alias("kept_id"))
-
-
-def consolidate_collapsed(calls: DataFrame, clusters: DataFrame, min_jaccard: float = 0.0, vid="id"):
-    """(clusters, calls) after collapsing: removed sites whose carriers overlap too little come back
-    on their own (two sites without carriers are equal); ref or missing calls of the kept site are filled from removed ones; ``merge_count``
-    and ``merge_type`` describe each kept site."""
-    cl = clusters
-    if min_jaccard > 0:
-        car = calls.filter(g.is_carrier("gt")).select(vid, "sample").distinct()
-        n = car.groupBy(vid).agg(F.count("*").alias("n"))
-        rem = clusters.filter("id <> kept_id")
-        both = rem.join(car, vid).join(car.withColumnRenamed(vid, "kept_id"), ["kept_id", "sample"]).groupBy(vid, "kept_id").agg(F.count("*").alias("_i"))
-        j = (rem.join(both, [vid, "kept_id"], "left").join(n.withColumnRenamed("n", "_a"), vid, "left")
-             .join(n.select(F.col(vid).alias("kept_id"), F.col("n").alias("_b")), "kept_id", "left"))
-        inter = F.coalesce("_i", F.lit(0))
-        union = F.coalesce("_a", F.lit(0)) + F.coalesce("_b", F.lit(0)) - inter
-        low = j.filter(F.coalesce(F.try_divide(inter, union), F.lit(1.0)) < min_jaccard).select(vid, F.lit(True).alias("_low"))
-        cl = clusters.join(low, vid, "left").withColumn("kept_id", F.when(F.col("_low"), F.col(vid)).otherwise(F.col("kept_id"))).drop("_low")
-    cl = cut_lineage(cl)
-    info = cl.groupBy("kept_id").agg(F.count("*").alias("merge_count")).withColumn("merge_type", F.when(F.col("merge_count") > 1, "COLLAPSED").otherwise("UNIQUE"))
-    x = calls.join(cl, vid)
-    own = F.col(vid) == F.col("kept_id")
-    rank = F.struct(F.when(g.is_carrier("gt"), 0).otherwise(1).alias("r"), F.when(own, 0).otherwise(1).alias("o"), F.col(vid))
-    filled = x.groupBy("kept_id", "sample").agg(F.min_by("gt", F.when(own | g.is_carrier("gt"), rank)).alias("gt")).withColumnRenamed("kept_id", vid)
-    return info, filled
-
-
 def agglomerate(callsets: list[DataFrame], min_overlap: float = 0.5, min_size: float = 0.5, max_offset: int | None = None,
                 match_ref: bool = False, match_alt: bool = False) -> DataFrame:
     """Cumulative union: rows of the next set without a pairwise match to anything gathered so far.
@@ -432,7 +355,7 @@ def agglomerate(callsets: list[DataFrame], min_overlap: float = 0.5, min_size: f
     for i, nxt in enumerate(callsets[1:], 2):
         by = ["chrom", "kind", *(["ref"] if match_ref else []), *(["alt"] if match_alt else [])]
         keep = [x for x in cols if x in by or x in ("start", "end", "len")]
-        p = overlap_pairs(nxt.select(*keep).distinct(), total.select(*keep).distinct(), by=by)
+        p = sized_overlaps(nxt.select(*keep).distinct(), total.select(*keep).distinct(), min_overlap, by)  # the overlap bounds the ratio of lengths, too
         la, lb = F.col("end") - F.col("start"), F.col("b_end") - F.col("b_start")
         ok = (overlap_bases("start", "end", "b_start", "b_end") >= min_overlap * F.greatest(la, lb) - 1e-9) & (size_similarity("len", "b_len") >= min_size - 1e-9)
         if max_offset is not None:

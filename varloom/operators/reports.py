@@ -12,6 +12,7 @@ from ..session import cut_lineage
 from .intervals import assign_islands, islands
 from .positions import overlap_pairs
 from .sequences import distance, spelled, with_bases
+from .transfer import lookup
 
 # ------------------------------------------------------------------ benchmark of matched pairs
 
@@ -77,6 +78,45 @@ def match_summary(evals: DataFrame, matches: DataFrame) -> DataFrame:
     return g.withColumn("pct", 100.0 * F.col("n") / F.sum("n").over(W.partitionBy("allele_type")))
 
 
+def match_totals(evals: DataFrame, matches: DataFrame) -> DataFrame:
+    """Variants and their share of all, by match type, and in total, matched and unmatched."""
+    x = evals.select("id").join(lookup(matches, ["id"], ["match_type"]), "id", "left")
+    kinds = F.array(F.coalesce("match_type", F.lit("UNMATCHED")), F.lit("TOTAL"), F.when(F.col("match_type").isNotNull(), F.lit("MATCHED")))
+    zero = evals.sparkSession.createDataFrame([("TOTAL",), ("MATCHED",)], "match_type string").withColumn("n", F.lit(0).cast("bigint"))
+    n = x.select(F.explode(kinds).alias("match_type")).filter("match_type IS NOT NULL").groupBy("match_type").agg(F.count("*").alias("n")).unionByName(zero)
+    n = n.groupBy("match_type").agg(F.sum("n").alias("variants"))
+    return n.withColumn("pct", F.coalesce(F.try_divide(100.0 * F.col("variants"), F.max(F.when(F.col("match_type") == "TOTAL", F.col("variants"))).over(W.partitionBy())), F.lit(0.0)))  # a row a match type
+
+
+def match_table(evals: DataFrame, matches: DataFrame, truth: DataFrame, categories: dict[str, int]) -> DataFrame:
+    """One row per variant and compared field: id, match_status, truth_id (``.`` without one), match_type, field, eval_value, truth_value.
+
+    Fields are the frequencies both sides carry and the VEP ``categories`` (name -> place) of the first annotation, N/A where absent; a category that is empty
+    in every row on both sides is left out. Variants without a match, or without a field, have one row without a field.
+    Both sides: id, info (text), vep (text).
+    """
+    m = evals.select("id", "info", "vep").join(lookup(matches, ["id"], ["match_type", "truth_id"]), "id", "left")
+    t = lookup(truth, ["id"], ["info", "vep"]).withColumnsRenamed({"id": "truth_id", "info": "_ti", "vep": "_tv"})
+    x = m.join(t, "truth_id", "left")
+
+    def af(col):
+        e = F.transform(F.map_entries(info_map(col)), lambda kv: F.struct(af_key(kv["key"]).alias("k"), F.element_at(F.split(kv["value"], ","), 1).try_cast("double").alias("v"), F.lower(kv["key"]).rlike("(^|_)af(_|$)").alias("is")))
+        return F.filter(e, lambda f: f["is"] & f["v"].isNotNull())
+
+    def named(col, i):
+        v = F.try_element_at(F.split(F.element_at(F.split(col, ","), 1), r"\|"), F.lit(i + 1))
+        return F.coalesce(F.nullif(v, F.lit("")), F.lit("N/A"))
+
+    found = x.filter("_ti IS NOT NULL").withColumns({"_e": af("info"), "_t": af("_ti")})
+    pairs = F.filter(F.transform("_e", lambda e: F.struct(e["k"].alias("field"), e["v"].cast("string").alias("e"), F.get(F.filter("_t", lambda t: t["k"] == e["k"]), F.lit(0))["v"].cast("string").alias("t"))), lambda p: p["t"].isNotNull())
+    cats = F.array(*[F.struct(F.lit(n).alias("field"), named("vep", i).alias("e"), named("_tv", i).alias("t")) for n, i in categories.items()])
+    rows = found.select("id", F.explode(F.concat(pairs, cats) if categories else pairs).alias("_f")).select("id", "_f.*")
+    full = rows.groupBy("field").agg(F.max((F.col("e") != "N/A") | (F.col("t") != "N/A")).alias("_k")).filter("_k").select("field")
+    rows = rows.join(full, "field")
+    return x.select("id", F.col("truth_id").isNotNull().alias("match_status"), F.coalesce("truth_id", F.lit(".")).alias("truth_id"), "match_type").join(
+        rows.select("id", "field", F.col("e").alias("eval_value"), F.col("t").alias("truth_value")), "id", "left")
+
+
 def informative_columns(table: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
     """Without the column pairs that are empty in every row; one row of flags decides.
 

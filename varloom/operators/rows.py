@@ -406,7 +406,8 @@ def transform_allele_type(df: DataFrame, window: int = 10, size_sim: float = 0.9
     """Collapse subtypes to ins/del, kept in ``allele_subtype``. A dup stays dup only when tandem:
     one ORIGIN of similar size with POS in or near it (the origin's contig is not compared)."""
     n = F.abs("allele_length")
-    span, stranded = origin_span("origin"), F.col("origin").rlike("[+-]$")
+    behind = F.regexp_replace(F.substring_index("origin", ":", -1), "^[0-9]+-[0-9]+", "")
+    span, stranded = origin_span("origin"), behind.isin("+", "-", "_+", "_-")  # nothing but the strand follows the end
     s, e = (F.when(stranded, span[x]) for x in ("start", "end"))
     near = F.col("pos").between(s, e) | (F.abs(s - F.col("pos")) <= window) | (F.abs(e - F.col("pos")) <= window)
     tandem = ((n >= min_size) & ~F.col("origin").contains(",") & s.isNotNull()

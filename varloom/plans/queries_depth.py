@@ -195,6 +195,33 @@ def match_summary(t):
     return rp.match_summary(t.sites, m).withColumn("pct", F.round("pct", 6))
 
 
+MATCHES = "SELECT DISTINCT s.id, 'EXACT' AS match_type, max(t.id) OVER (PARTITION BY s.id) AS truth_id FROM sites s JOIN truth t USING (chrom, pos, ref, alt)"
+
+
+def matches(t):
+    return t.sql("SELECT s.id, 'EXACT' AS match_type, max(t.id) AS truth_id FROM sites s JOIN truth t USING (chrom, pos, ref, alt) GROUP BY s.id")
+
+
+@query(f"""WITH m AS ({MATCHES}), n AS (SELECT count(*) AS n FROM sites)
+SELECT match_type, variants, round(100.0 * variants / n.n, 6) AS pct FROM (SELECT coalesce(match_type, 'UNMATCHED') AS match_type, CAST(count(*) AS BIGINT) AS variants FROM sites LEFT JOIN m USING (id) GROUP BY 1
+ UNION ALL SELECT 'TOTAL', count(*) FROM sites UNION ALL SELECT 'MATCHED', count(m.id) FROM sites LEFT JOIN m USING (id)) x, n""")
+def match_totals(t):
+    return rp.match_totals(t.sites, matches(t)).withColumn("pct", F.round("pct", 6))
+
+
+EVAL_INFO = "SELECT id, concat('AF=', CAST(size AS STRING), ';AF_male=', CAST(brand_no AS STRING), ';FLAG') AS info, concat_ws('|', name, CAST(brand_no AS STRING), '') AS vep FROM sites"
+TRUTH_INFO = "SELECT id, concat('AF=', CAST(ac AS STRING), ';XY_AF=', CAST(an - 200 AS STRING), ',9;AN=3;DP=7') AS info, concat_ws('|', motif, '', '') AS vep FROM truth"
+
+
+@query(f"""WITH m AS ({MATCHES}), s AS (SELECT s.*, m.match_type, m.truth_id, t.motif AS tm, t.ac, t.an FROM sites s LEFT JOIN m USING (id) LEFT JOIN truth t ON t.id = m.truth_id),
+f AS (SELECT id, 'af' AS field, CAST(CAST(size AS DOUBLE) AS VARCHAR) AS e, CAST(CAST(ac AS DOUBLE) AS VARCHAR) AS t FROM s WHERE truth_id IS NOT NULL UNION ALL SELECT id, 'af_xy', CAST(CAST(brand_no AS DOUBLE) AS VARCHAR), CAST(CAST(an - 200 AS DOUBLE) AS VARCHAR) FROM s WHERE truth_id IS NOT NULL
+ UNION ALL SELECT id, 'name', name, tm FROM s WHERE truth_id IS NOT NULL UNION ALL SELECT id, 'brand', CAST(brand_no AS VARCHAR), 'N/A' FROM s WHERE truth_id IS NOT NULL)
+SELECT s.id, s.truth_id IS NOT NULL AS match_status, coalesce(s.truth_id, '.') AS truth_id, s.match_type, f.field, f.e AS eval_value, f.t AS truth_value FROM s LEFT JOIN f USING (id)""")
+def match_table(t):
+    """Of three VEP fields the one that is empty on both sides goes."""
+    return rp.match_table(t.sql(EVAL_INFO), matches(t), t.sql(TRUTH_INFO), {"name": 0, "brand": 1, "none": 2})
+
+
 @query(f"SELECT id, eval_name, truth_name, CAST(size AS STRING) AS size_eval, NULLIF('', '') AS size_truth FROM ({PAIRS}) p")
 def informative_columns(t):
     """Of three column pairs the one that is empty everywhere goes; the other two stay, though one is half empty."""
@@ -364,12 +391,13 @@ def merge_call_shards(t):
     return ca.merge_call_shards({"LINE": a, "ALU": t.truth.select(F.col("id").alias("cluster_id"))})
 
 
-@query("""SELECT id, chrom, pos - 1 AS st, pos - 1 + length(ref) AS en, qual AS score, CASE WHEN allele_type LIKE '%ins' THEN 'INS' WHEN allele_type = 'del' THEN 'DEL' END AS svtype FROM
- (SELECT concat(upper(allele_type), '-', id) AS id, chrom, pos, ref, qual, allele_type FROM sites) x""")
+@query("""SELECT x.id, chrom, pos - 1 AS st, pos - 1 + length(ref) AS en, qual AS score, CASE WHEN allele_type LIKE '%ins' THEN 'INS' WHEN allele_type = 'del' THEN 'DEL' END AS svtype, coalesce(c.samples, '') AS samples, replace(filter_text, ';', ',') AS filters FROM
+ (SELECT concat(upper(allele_type), '-', id) AS id, vid, chrom, pos, ref, qual, allele_type, filter_text FROM sites) x
+ LEFT JOIN (SELECT vid, string_agg(CAST(sample_id AS VARCHAR), ',' ORDER BY CAST(sample_id AS VARCHAR)) AS samples FROM genotypes WHERE coalesce(a0, 0) > 0 OR coalesce(a1, 0) > 0 GROUP BY vid) c USING (vid)""")
 def variants_to_bed(t):
-    s = t.sites.withColumn("id", F.concat_ws("-", F.upper("allele_type"), "id"))
-    b = ca.variants_to_bed(s, [], {"qual": "score"}, infer_type=True)
-    return b.select("id", "chrom", F.col("start").alias("st"), F.col("end").alias("en"), "score", "svtype")
+    s = t.sites.withColumns({"id": F.concat_ws("-", F.upper("allele_type"), "id"), "filters": F.split("filter_text", ";")})
+    b = ca.variants_to_bed(s, [], {"qual": "score"}, infer_type=True, calls=calls(t).join(s.select("vid", "id"), "vid"), filters=True)
+    return b.select("id", "chrom", F.col("start").alias("st"), F.col("end").alias("en"), "score", "svtype", "samples", "filters")
 
 
 @query("""SELECT CAST(c_custkey AS STRING) AS sample, CASE c_nationkey % 3 WHEN 1 THEN 'male' WHEN 2 THEN 'female' ELSE 'unknown' END AS sex, CASE WHEN c_acctbal > 0 THEN c_mktsegment ELSE 'unknown' END AS population FROM customer""")

@@ -74,19 +74,26 @@ z AS (SELECT f.vid, f.n_alts, f.population, f.sex, al.al AS allele, coalesce(ac,
  LEFT JOIN m ON m.vid = f.vid AND m.population = f.population AND m.sex = f.sex AND m.al = al.al)"""
 
 
-@query(f"""
-WITH {AF}, gm AS (SELECT vid, population AS grpmax FROM (SELECT *, row_number() OVER (PARTITION BY vid ORDER BY ac / an DESC, population) AS n FROM z
-  WHERE sex = 'all' AND population <> 'all' AND ac > 0 AND n_alts = 1) q WHERE n = 1)
-SELECT s.id, z.population, z.sex, z.allele, s.allele_type, z.ac, z.an, round(z.ac / nullif(z.an, 0), 6) AS af, round(1 - z.an / nullif(z.slots, 0), 6) AS ncr,
- CASE WHEN n_alts = 1 THEN z.nhet END AS nhet, CASE WHEN n_alts = 1 THEN z.nhomalt END AS nhomalt, CASE WHEN n_alts = 1 THEN z.nhomref END AS nhomref,
- CASE WHEN n_alts = 1 THEN round(z.nhet / nullif(z.nhet + z.nhomalt + z.nhomref, 0), 6) END AS freq_het, gm.grpmax FROM z JOIN sites s USING (vid) LEFT JOIN gm USING (vid)
-""")
-def allele_frequencies(t):
+def frequencies(t):
     k = t.sites.select("vid", "chrom")
     c = calls(t, "multi").join(t.multi.select("vid", "n_alts").distinct(), "vid")
-    f = q.allele_frequencies(c.join(k, "vid"), people(t), ["vid", "chrom"])
-    out = f.join(t.sites.select("vid", "id", "allele_type"), "vid")
-    return rounded(out.select("id", "population", "sex", "allele", "allele_type", "ac", "an", "af", "ncr", "nhet", "nhomalt", "nhomref", "freq_het", "grpmax"), "af", "ncr", "freq_het")
+    return q.allele_frequencies(c.join(k, "vid"), people(t), ["vid", "chrom"])
+
+
+@query(f"""WITH {AF.replace(' AS (SELECT', ' AS MATERIALIZED (SELECT')}
+SELECT vid, population, sex, allele, ac, an, round(ac / nullif(an, 0), 6) AS af, round(1 - an / nullif(slots, 0), 6) AS ncr FROM z""")
+def allele_frequencies(t):
+    return rounded(frequencies(t).select("vid", "population", "sex", "allele", "ac", "an", "af", "ncr"), "af", "ncr")
+
+
+@query(f"""WITH {AF.replace(' AS (SELECT', ' AS MATERIALIZED (SELECT')}, gm AS (SELECT vid, population AS grpmax FROM (SELECT *, row_number() OVER (PARTITION BY vid ORDER BY ac / an DESC, population) AS n FROM z
+  WHERE sex = 'all' AND population <> 'all' AND ac > 0 AND n_alts = 1) q WHERE n = 1)
+SELECT s.id, z.population, z.sex, s.allele_type, z.nhet, z.nhomalt, z.nhomref, round(z.nhet / nullif(z.nhet + z.nhomalt + z.nhomref, 0), 6) AS freq_het, gm.grpmax
+FROM z JOIN sites s USING (vid) LEFT JOIN gm USING (vid) WHERE n_alts = 1""")
+def genotype_frequencies(t):
+    """What the operator gives for sites of one ALT only; joined to the site table."""
+    one = frequencies(t).filter("nhet IS NOT NULL").join(t.sites.select("vid", "id", "allele_type"), "vid")
+    return rounded(one.select("id", "population", "sex", "allele_type", "nhet", "nhomalt", "nhomref", "freq_het", "grpmax"), "freq_het")
 
 
 TAGS = """k AS (SELECT vid, max(n_alts) AS n_alts, sum(CASE WHEN a0 IS NULL THEN 0 ELSE 1 END + CASE WHEN a1 IS NULL THEN 0 ELSE 1 END) AS an FROM multi GROUP BY vid),
@@ -212,6 +219,18 @@ def perfect_tandem_indel(t):
     return q.perfect_tandem_indel(t.sites).select("id", "tandem_indel")
 
 
+ALLELES = """SELECT vid, motif, 0 AS allele, ref AS seq FROM sites UNION ALL SELECT vid, motif, 1, alt FROM sites UNION ALL SELECT vid, motif, 2, concat(ref, motif, 'A') FROM sites UNION ALL SELECT vid, motif, 3, concat('T', alt, alt, ref) FROM sites
+ UNION ALL SELECT vid, motif, 4, '<DEL>' FROM sites"""
+
+
+@query(f"""SELECT vid, allele, CASE WHEN allele < 4 THEN CAST((length(seq) - length(replace(seq, motif, ''))) / length(motif) AS INT) END AS mc,
+ CASE WHEN allele < 4 THEN CAST(coalesce(list_max(list_transform(regexp_extract_all(seq, concat('(?:', motif, ')+')), lambda x: length(x))), 0) / length(motif) AS INT) END AS lps,
+ CASE WHEN allele < 4 THEN round(1 - levenshtein(seq, substr(repeat(motif, CAST(ceil(length(seq) / length(motif)) AS INT)), 1, length(seq))) / length(seq), 6) END AS ap FROM ({ALLELES}) a""")
+def repeat_alleles(t):
+    s = t.sites.select("vid", "motif", "ref", F.array("alt", F.concat("ref", "motif", F.lit("A")), F.concat(F.lit("T"), "alt", "alt", "ref"), F.lit("<DEL>")).alias("alts"))
+    return q.repeat_alleles(s, ["vid"]).withColumn("ap", F.round("ap", 6))
+
+
 # ------------------------------------------------------------------ phasing
 
 def phase_inputs(t):

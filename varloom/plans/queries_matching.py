@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Window as W, functions as F
 
-from ..operators import evidence as ev, matching as m
+from ..functions import genotype as g
+from ..operators import collapse as co, evidence as ev, matching as m
+from ..session import cut_lineage
 from .queries_rows import calls
 from .register import query
 
@@ -151,7 +153,22 @@ def similarity_match(t):
     return m.similarity_match(sim_cols(t, "sites"), sim_cols(t, "truth"))
 
 
-@query()
+OVERLAP_SHAPE = """SELECT id, chrom, pos AS st, pos + CASE WHEN ty = 'INS' THEN 1 ELSE abs(allele_length) END AS en, abs(allele_length) AS len, ty AS svtype, ty AS kind, CASE WHEN length(alt) >= length(ref) THEN alt ELSE ref END AS seq
+ FROM (SELECT *, CASE WHEN upper(allele_type) LIKE '%DEL%' THEN 'DEL' WHEN upper(allele_type) LIKE '%DUP%' THEN 'DUP' ELSE 'INS' END AS ty FROM {0}) z"""
+
+
+@query(f"""WITH ex AS (SELECT s.id, max(t.id) AS truth_id FROM sites s JOIN truth t USING (chrom, pos, ref, alt) GROUP BY s.id),
+qa AS (SELECT * FROM ({OVERLAP_SHAPE.format('sites')}) x WHERE len >= 10 AND id NOT IN (SELECT id FROM ex)), ra AS (SELECT * FROM ({OVERLAP_SHAPE.format('truth')}) x WHERE len >= 10),
+qc AS (SELECT chrom, st, len, kind, seq, min(id) AS id FROM qa GROUP BY ALL), rc AS (SELECT chrom, st, len, kind, seq, min(id) AS id FROM ra GROUP BY ALL),
+p AS (SELECT q.id, r.id AS b_id, {SCORE} AS score, abs(q.st - r.st) AS d FROM qc q JOIN rc r ON {NEAR.format(0.7)}),
+{round_sql(0.9, [])}, {round_sql(0.7, ['09'])}, {round_sql(0.5, ['09', '07'])},
+m AS (SELECT * FROM m09 UNION ALL SELECT * FROM m07 UNION ALL SELECT * FROM m05),
+sim AS (SELECT qa.id, m.b_id AS truth_id, m.match_type FROM qa JOIN qc ON qc.chrom = qa.chrom AND qc.st = qa.st AND qc.len = qa.len AND qc.kind = qa.kind AND qc.seq = qa.seq JOIN m ON m.id = qc.id),
+q AS (SELECT * FROM qa WHERE len >= 50 AND id NOT IN (SELECT id FROM sim)), r AS ({OVERLAP_SHAPE.format('truth')}),
+{CLOSEST.format('')},
+y AS (SELECT id, truth_id, 'EXACT' AS match_type, false AS sv FROM ex UNION ALL SELECT id, truth_id, match_type, false FROM sim UNION ALL SELECT id, rid, 'CLOSEST', true FROM both_steps)
+SELECT y.id, y.match_type, y.truth_id, t.ac AS "AC", t.an AS "AN", CASE WHEN sv THEN t.size ELSE CAST(trunc(t.an / 2.0 - t.size - (t.ac - 2 * t.size)) AS BIGINT) END AS "N_HOMREF",
+ CASE WHEN sv THEN t.brand_no ELSE t.ac - 2 * t.size END AS "N_HET", CASE WHEN sv THEN 0 ELSE t.size END AS "N_HOMALT" FROM y JOIN truth t ON t.id = y.truth_id""")
 def callset_overlap(t):
     s = t.sites.withColumn("filters", F.split("filter_text", ";"))
     tr = t.truth.withColumn("filters", F.split("filter_text", ";")).withColumnsRenamed({"ac": "AC", "an": "AN"}).withColumn("nhomalt", F.col("size"))
@@ -172,16 +189,65 @@ g AS (SELECT DISTINCT chrom, CAST(0 AS BIGINT) AS n, CAST([] AS VARCHAR[]) AS ke
  FROM (SELECT o.chrom, o.n, g.kept, o.id, list_filter(o.early, lambda x: list_contains(g.kept, x))[1] AS k FROM g JOIN o ON o.chrom = g.chrom AND o.n = g.n + 1) s)
 SELECT u.id, g.kept_id FROM u JOIN q ON q.chrom = u.chrom AND q.st = u.st AND q.len = u.len AND q.kind = u.kind AND q.seq = u.seq JOIN g ON g.id = q.id""")
 def collapse_sites(t):
-    return m.collapse_sites(collapse_input(t))
+    return co.collapse_sites(collapse_input(t))
+
+
+# Both call sets merged as one cohort: the most common site of similar ones stays, by limits of its kind.
+KINDS = "CASE WHEN svtype = 'DEL' THEN 'DEL' WHEN svtype IN ('INS', 'DUP') THEN 'INS' ELSE 'OTHER' END"
+BOTH_CALLS = "SELECT concat('V', CAST(vid AS VARCHAR)) AS id, sample_id AS sample, a0, a1 FROM genotypes UNION ALL SELECT concat('T', CAST(vid AS VARCHAR)), sample_id, a0, a1 FROM genotypes2"
+MERGED = f"""bc AS ({BOTH_CALLS}), car AS (SELECT DISTINCT id, sample FROM bc WHERE coalesce(a0, 0) > 0 OR coalesce(a1, 0) > 0), sup AS (SELECT id, count(*) AS n FROM car GROUP BY id),
+u AS (SELECT z.id, z.chrom, z.st, z.len, {KINDS} AS kind, CASE WHEN length(alt) > length(ref) THEN alt ELSE ref END AS seq, coalesce(sup.n, 0) AS sup FROM ({SVQ.format('sites')} UNION ALL {SVQ.format('truth')}) z LEFT JOIN sup USING (id)),
+q AS (SELECT chrom, st, len, kind, seq, max(sup) AS sup, arg_min(id, (-sup, id)) AS id FROM u GROUP BY chrom, st, len, kind, seq),
+e AS (SELECT q.id, list(r.id ORDER BY r.sup DESC, r.st, r.id) AS early FROM q JOIN q r ON q.kind <> 'OTHER' AND {NEAR.format(0.5)} AND q.len <= 50000 AND r.len <= 50000 AND abs(q.st - r.st) <= CASE WHEN q.kind = 'DEL' THEN 500 ELSE 200 END
+  AND (r.sup > q.sup OR (r.sup = q.sup AND (r.st < q.st OR (r.st = q.st AND r.id < q.id)))) AND {SCORE} >= 0.5 GROUP BY q.id),
+o AS (SELECT q.chrom, q.id, early, row_number() OVER (PARTITION BY q.chrom ORDER BY q.sup DESC, q.st, q.id) AS n FROM q LEFT JOIN e USING (id)),
+g AS (SELECT DISTINCT chrom, CAST(0 AS BIGINT) AS n, CAST([] AS VARCHAR[]) AS kept, CAST(NULL AS VARCHAR) AS id, CAST(NULL AS VARCHAR) AS kept_id FROM o UNION ALL
+ SELECT chrom, n, CASE WHEN k IS NULL THEN list_append(kept, id) ELSE kept END, id, coalesce(k, id)
+ FROM (SELECT o.chrom, o.n, g.kept, o.id, list_filter(o.early, lambda x: list_contains(g.kept, x))[1] AS k FROM g JOIN o ON o.chrom = g.chrom AND o.n = g.n + 1) s),
+cl AS (SELECT u.id, u.st, g.kept_id FROM u JOIN q ON q.chrom = u.chrom AND q.st = u.st AND q.len = u.len AND q.kind = u.kind AND q.seq = u.seq JOIN g ON g.id = q.id),
+jc AS (SELECT cl.id, count(a.sample) AS na, count(b.sample) AS nb, count(*) FILTER (a.sample IS NOT NULL AND b.sample IS NOT NULL) AS i FROM cl LEFT JOIN (SELECT cl.id, s.sample FROM cl JOIN car s ON s.id = cl.id OR s.id = cl.kept_id GROUP BY ALL) w ON w.id = cl.id
+  LEFT JOIN car a ON a.id = cl.id AND a.sample = w.sample LEFT JOIN car b ON b.id = cl.kept_id AND b.sample = w.sample WHERE cl.id <> cl.kept_id GROUP BY cl.id),
+fin AS (SELECT cl.id, cl.st, CASE WHEN jc.id IS NOT NULL AND na + nb > 0 AND i / (na + nb - i) < 0.5 THEN cl.id ELSE kept_id END AS kept_id FROM cl LEFT JOIN jc USING (id))"""
 
 
-@query()
+def merged(t):
+    kinds = F.when(F.col("svtype") == "DEL", "DEL").when(F.col("svtype").isin("INS", "DUP"), "INS").otherwise("OTHER")
+    seq = F.when(F.length("alt") > F.length("ref"), F.col("alt")).otherwise(F.col("ref"))
+    own = lambda view, mark: calls(t, view).select(F.concat(F.lit(mark), F.col("vid").cast("string")).alias("id"), "sample", "gt")
+    both = own("genotypes", "V").unionByName(own("genotypes2", "T"))
+    support = both.filter(g.is_carrier("gt")).groupBy("id").agg(F.count_distinct("sample").alias("support"))
+    sites = svs(t).unionByName(svs(t, "truth")).withColumns({"kind": kinds, "seq": seq}).join(support, "id", "left")
+    clusters = cut_lineage(co.alike_carriers(co.collapse_sites(sites, co.MERGE_LIMITS, common=True), both))
+    return sites, both, clusters
+
+
+@query(f"""WITH RECURSIVE {MERGED}, c AS (SELECT fin.kept_id, bc.*, fin.st FROM bc JOIN fin USING (id)),
+f AS (SELECT *, row_number() OVER (PARTITION BY kept_id, sample ORDER BY CASE WHEN coalesce(a0, 0) > 0 OR coalesce(a1, 0) > 0 THEN 0 ELSE 1 END, CASE WHEN id = kept_id THEN 0 ELSE 1 END, st, id) AS n FROM c WHERE id = kept_id OR coalesce(a0, 0) > 0 OR coalesce(a1, 0) > 0),
+k AS (SELECT kept_id, count(*) AS calls, count(*) FILTER (coalesce(a0, 0) > 0 OR coalesce(a1, 0) > 0) AS carriers, count(*) FILTER (id <> kept_id) AS filled FROM f WHERE n = 1 GROUP BY kept_id)
+SELECT kept_id, CAST(count(*) AS BIGINT) AS merge_count, CASE WHEN count(*) > 1 THEN 'TRUVARI' ELSE 'UNIQUE' END AS merge_type, coalesce(max(calls), 0) AS calls, coalesce(max(carriers), 0) AS carriers, coalesce(max(filled), 0) AS filled
+FROM fin LEFT JOIN k USING (kept_id) GROUP BY kept_id""")
 def consolidate_collapsed(t):
-    a = calls(t).join(t.sites.select("vid", "id"), "vid").select("id", "sample", "gt")
-    b = calls(t, "genotypes2").join(t.truth.select("vid", "id"), "vid").select("id", "sample", "gt")
-    info, filled = m.consolidate_collapsed(a.unionByName(b), m.collapse_sites(collapse_input(t)), 0.1)
-    n = filled.groupBy("id").agg(F.count("*").alias("n_calls")).withColumnRenamed("id", "kept_id")
-    return info.join(n, "kept_id", "left")
+    sites, both, clusters = merged(t)
+    c = co.merged_calls(clusters, both, sites)
+    n = c.groupBy(F.col("id").alias("kept_id")).agg(F.count("*").alias("calls"), F.count_if(g.is_carrier("gt")).alias("carriers"), F.count_if(F.col("source") != F.col("id")).alias("filled"))
+    return co.merge_info(clusters).join(n, "kept_id", "left").fillna(0, ["calls", "carriers", "filled"])
+
+
+NOTES = "SELECT id, 'NAME' AS key, name AS value FROM sites WHERE size % 3 = 0 UNION ALL SELECT id, 'MOTIF', motif FROM sites WHERE size % 2 = 0 UNION ALL SELECT id, 'AC', CAST(ac AS VARCHAR) FROM truth UNION ALL SELECT id, 'MOTIF', CASE WHEN size % 5 > 0 THEN motif END FROM truth"
+
+
+@query(f"""WITH RECURSIVE {MERGED} SELECT kept_id AS id, key, value, id AS source FROM (
+  SELECT fin.kept_id, x.key, x.value, fin.id, row_number() OVER (PARTITION BY fin.kept_id, x.key ORDER BY CASE WHEN fin.id = fin.kept_id THEN 0 ELSE 1 END, fin.st, fin.id) AS n FROM fin JOIN ({NOTES}) x ON x.id = fin.id WHERE value IS NOT NULL) z WHERE n = 1""")
+def merged_fields(t):
+    sites, _, clusters = merged(t)
+    return co.merged_fields(clusters, t.sql(NOTES.replace("VARCHAR", "STRING")), sites)
+
+
+@query("""SELECT chrom, pos, ref, alt, CAST(count(*) AS BIGINT) AS merge_count, CASE WHEN count(*) = 1 THEN 'UNIQUE' WHEN bool_or(allele_type = 'trv') THEN 'TRV_EXACT' ELSE 'EXACT' END AS merge_type
+ FROM (SELECT chrom, pos, ref, alt, allele_type FROM sites UNION ALL SELECT chrom, pos, ref, alt, allele_type FROM truth) u GROUP BY chrom, pos, ref, alt""")
+def exact_merge_info(t):
+    cols = ["chrom", "pos", "ref", "alt", "allele_type"]
+    return co.exact_merge_info(t.sites.select(*cols).unionByName(t.truth.select(*cols)))
 
 
 @query(f"""
