@@ -377,3 +377,24 @@ def test_no_payload_travels_by_its_digest(spark):
     plan = told._jdf.queryExecution().executedPlan().toString()
     assert "data" not in plan and "payload#" not in plan
     assert told.filter("record_type = 'revisit'").count() == 99
+
+
+def test_top_k_ships_only_blocks_that_can_serve(monkeypatch, spark):
+    """Eight groups of vectors far apart: a query block meets the candidates of its own group; results are those of brute force."""
+    import random
+
+    monkeypatch.setattr(topk, "BLOCK", 40)
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 10)
+    rng, pairs = random.Random(8), []
+    real = topk.meetings
+    monkeypatch.setattr(topk, "meetings", lambda c, q, n: pairs.append((c.count() * q.count(), real(c, q, n).count())) or real(c, q, n))
+    vecs = [[(30.0 if j == i % 8 else 0.0) + rng.uniform(-1, 1) for j in range(8)] for i in range(640)]
+    d = spark.createDataFrame(list(enumerate(vecs)), "vec_id bigint, embedding array<double>")
+    got = topk.top_k(d, F.col("vec_id") % 20 == 0, k=5).collect()
+    use = [[int(64 * x // 1) for x in v] for v in vecs]
+    want = []
+    for q in range(0, 640, 20):
+        best = sorted((-sum(a * b for a, b in zip(use[q], use[c])), c) for c in range(640) if c != q)[:5]
+        want += [(q, r + 1, c, -s) for r, (s, c) in enumerate(best)]
+    same([tuple(r) for r in got], want)
+    assert pairs and pairs[0][1] * 3 <= pairs[0][0]
