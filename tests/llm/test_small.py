@@ -384,7 +384,7 @@ def test_top_k_ships_only_blocks_that_can_serve(monkeypatch, spark):
     import random
 
     monkeypatch.setattr(topk, "BLOCK", 40)
-    monkeypatch.setattr(topk, "QUERY_BLOCK", 10)
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 4)
     rng, pairs = random.Random(8), []
     real = topk.meetings
     monkeypatch.setattr(topk, "meetings", lambda c, q, n: pairs.append((c.count() * q.count(), real(c, q, n).count())) or real(c, q, n))

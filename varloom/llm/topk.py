@@ -98,13 +98,18 @@ def _one_length(v: DataFrame, dim: int, n: int, nq: int, is_query: Column, k: in
 
     v = v.withColumn("near", nearest("v"))
 
-    def dealt(rows: DataFrame, size: int) -> DataFrame:
-        """``b``: the nearest pivot and, where that has more than ``size`` rows, a hash."""
-        n_of = {r["near"]: -(-r["count"] // size) for r in rows.groupBy("near").count().collect()}  # a row a pivot
-        first = dict(zip(n_of, np.cumsum([0, *n_of.values()]).tolist()))
-        cut = F.create_map(*[F.lit(x) for p, m in n_of.items() for x in (p, m)]) if n_of else F.create_map().cast("map<int,int>")
-        base = F.create_map(*[F.lit(x) for p, m in first.items() for x in (p, m)]) if n_of else F.create_map().cast("map<int,int>")
-        return rows.withColumn("b", (base[F.col("near")] + F.pmod("key", cut[F.col("near")])).cast("int")).select("b", "vec_id", "key", "v")
+    def dealt(rows: DataFrame, size: int, fill: bool) -> DataFrame:
+        """``b``: the nearest pivot and, where that has more than ``size`` rows, a hash; with ``fill`` pivots of few rows share a block."""
+        cut, base, at, room = {}, {}, 0, 0  # by pivot: its number of blocks, and the first of them
+        for r in sorted(rows.groupBy("near").count().collect()):  # a row a pivot
+            cut[r["near"]] = -(-r["count"] // size)
+            if fill and cut[r["near"]] == 1 and r["count"] <= room:
+                base[r["near"]], room = at - 1, room - r["count"]
+            else:
+                base[r["near"]], at = at, at + cut[r["near"]]
+                room = size - r["count"] if cut[r["near"]] == 1 else 0
+        of = lambda m: F.create_map(*[F.lit(x) for kv in m.items() for x in kv])[F.col("near")] if m else F.lit(0)
+        return rows.withColumn("b", (of(base) + F.pmod("key", of(cut))).cast("int")).select("b", "vec_id", "key", "v")
 
     def packed(t: pa.Table) -> pa.Table:
         m = _matrix(t.column("v"), dim)
@@ -121,9 +126,9 @@ def _one_length(v: DataFrame, dim: int, n: int, nq: int, is_query: Column, k: in
 
     kind = "b int, lo array<double>, hi array<double>, len2 double, floor bigint, ids binary, keys binary, wide boolean, vecs binary, dist binary"
     edge = ["lo", "hi", "len2", "floor"]  # of a block: least and largest distance to each pivot, largest squared length, least score that a k-th best can have
-    c = settled(dealt(v, BLOCK).groupBy("b").applyInArrow(packed, kind))
-    q = settled(dealt(v.filter(is_query), QUERY_BLOCK).groupBy("b").applyInArrow(packed, kind).withColumnRenamed("b", "q"))
-    nblocks, nq_blocks = c.count(), q.count()
+    c = settled(dealt(v, BLOCK, False).groupBy("b").applyInArrow(packed, kind))
+    q = settled(dealt(v.filter(is_query), QUERY_BLOCK, True).groupBy("b").applyInArrow(packed, kind).withColumnRenamed("b", "q"))
+    nblocks, nq_blocks = c.count(), (q.agg(F.max("q")).first()[0] or 0) + 1  # a number may be free where a hash leaves a block empty
     slices = max(1, min(nblocks, TASKS // max(1, nq_blocks)))
 
     alive = meetings(c.select("b", *edge), q.select("q", *edge), nq_blocks)
