@@ -5,7 +5,7 @@ import pytest
 import __spark_entry__ as entry
 
 SMALL = "/root/testdata/sf0.001"
-NAMES = [f"op{n}_" for n in range(1, 11)]
+NAMES = [f"op{n}_" for n in range(1, 14)]
 
 
 def test_every_operator_is_registered_once():
