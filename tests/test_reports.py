@@ -168,7 +168,7 @@ def test_truth_limits(spark):
     got = {(r.id, r.truth_id) for r in tr.matched_sites(evals, truth, tr.CUTOFF_LIMITS, 20).collect()}
     assert got == {("d", "one_end"), ("i", "near"), ("s", "snv"), ("e", "indel")}
     got = {(r.id, r.truth_id) for r in tr.matched_sites(evals, truth, tr.TABLE_LIMITS, 20, exact_any=True).collect()}
-    assert got == {("d", "one_end"), ("i", "near"), ("i", "short"), ("i", "late"), ("s", "snv"), ("e", "indel")}
+    assert got == {("d", "one_end"), ("i", "near"), ("i", "short"), ("s", "snv"), ("e", "indel")}  # both breakpoints of "late" are 101 off: 202 in all
 
 
 @pytest.mark.parametrize("caller,fields,alts,want", [
