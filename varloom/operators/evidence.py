@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions import genotype as g
 from ..functions.alleles import c, sequence_score, size_similarity
 from ..session import cut_lineage
-from .matching import SEQ, contents, near_pairs, nearest_points
+from .matching import SEQ, contents, near_pairs
 
 # The FORMAT fields of each caller's reference and alternative depths (one field: a list by allele).
 DEPTHS = {"cutesv": ("DR", "DV"), "sniffles": ("DR", "DV"), "delly": ("RR", "RV"), "pbsv": ("AD",), "sawfish": ("AD",)}
@@ -44,6 +44,16 @@ def depth_pair(read: Column, target: Column) -> Column:
     return F.when(F.size(read["ad"]) == 2, read["ad"]).when(F.size(read["ad"]) > 2, many)
 
 
+def _nearest_row(points: DataFrame, rows: DataFrame, by: list[str], window: int, cols: list[str]) -> DataFrame:
+    """Distinct points (``by``, start) with ``_n``: the ``cols`` of the nearest row within ``window``; ties go to the lower place, then to what stands first.
+
+    Rows are folded to one a place, so a point meets at most 2 * window + 1 of them, however crowded a place is.
+    """
+    spots = rows.groupBy(*by, "start").agg(F.min_by(F.struct(*cols), "file_order").alias("_row"))
+    p = near_pairs(points.select(*by, "start").distinct(), spots, window, by)
+    return p.groupBy(*by, "start").agg(F.min_by("b__row", F.struct(F.abs(F.col("b_start") - F.col("start")), "b_start")).alias("_n"))
+
+
 def listed_nearest(variants: DataFrame, stats: DataFrame, window: int = 500) -> DataFrame:
     """Variants (id, sample, chrom, start, svtype) with the ``callers``, ``s_type`` and ``s_len`` of their list: that of their id, else the nearest of
     their type with callers within ``window``; without either, or with an empty list, a variant is left out."""
@@ -51,9 +61,8 @@ def listed_nearest(variants: DataFrame, stats: DataFrame, window: int = 500) ->
     item = F.struct(F.col("callers"), F.col("svtype").alias("s_type"), F.col("svlen").alias("s_len"))
     own = stats.groupBy("id", *who).agg(F.max_by(item, F.struct("start", "svlen")).alias("_s"))
     x = variants.join(own, ["id", *who], "left")
-    some = stats.filter(F.size("callers") > 0).withColumn("_o", -F.col("file_order"))
-    near = nearest_points(x.filter("_s IS NULL"), some, ["chrom", "svtype", *who], ["callers", "svlen"], vid="_o", right_wins=False)
-    near = near.filter(F.col("distance") <= window).select("chrom", "svtype", *who, "start", F.struct(F.col("b_callers").alias("callers"), F.col("svtype").alias("s_type"), F.col("b_svlen").alias("s_len")).alias("_n"))
+    some = stats.filter(F.size("callers") > 0).withColumnRenamed("svlen", "s_len").withColumn("s_type", F.col("svtype"))
+    near = _nearest_row(x.filter("_s IS NULL"), some, ["chrom", "svtype", *who], window, ["callers", "s_type", "s_len"])
     x = x.join(near, ["chrom", "svtype", *who, "start"], "left").withColumn("_s", F.coalesce("_s", "_n"))
     return x.filter(F.size("_s.callers") > 0).select(*variants.columns, "_s.*")
 
@@ -66,10 +75,10 @@ def caller_support(variants: DataFrame, stats: DataFrame, calls: DataFrame, wind
     """
     v = listed_nearest(variants.filter(g.is_carrier("gt")).select("id", "sample", "chrom", "start", "svtype"), stats, window)
     v = v.withColumn("caller", F.explode(F.array_distinct("callers"))).filter(~F.col("caller").isin(ASSEMBLY)).drop("svtype").withColumnRenamed("s_type", "svtype")
-    r = calls.filter(F.abs("svlen") >= min_length).withColumns({"read": reads(), "_o": -F.col("file_order")})
+    r = calls.filter(F.abs("svlen") >= min_length).withColumn("read", reads())
     by = ["chrom", "svtype", "caller", "sample"]
-    near = nearest_points(v, r, by, ["read"], vid="_o", right_wins=False).filter(F.col("distance") <= window)
-    x = v.join(near, [*by, "start"]).withColumn("_d", depth_pair(F.col("b_read"), F.col("s_len"))).filter("_d IS NOT NULL")
+    near = _nearest_row(v, r, by, window, ["read"])
+    x = v.join(near, [*by, "start"]).withColumn("_d", depth_pair(F.col("_n.read"), F.col("s_len"))).filter("_d IS NOT NULL")
     return x.select("id", "sample", "caller", F.get("_d", F.lit(0)).alias("ref_depth"), F.get("_d", F.lit(1)).alias("alt_depth"))
 
 
