@@ -1,8 +1,10 @@
 """Steps that must not depend on a table being small."""
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from varloom.operators import depth
+from varloom.plans.fixtures import Tables
 
 
 def cohort(spark):
@@ -34,3 +36,11 @@ def test_components_of_more_samples_than_the_driver_takes(spark, monkeypatch):
     assert one.keys() == many.keys()
     assert all(abs(one[k].loading - many[k].loading) < 1e-6 and abs(one[k].explained - many[k].explained) < 1e-9 for k in one)
     assert len(depth.dosage_batches(d, 2, 3, least=1, most=8).collect()) == 9
+
+
+def test_tables_are_judged_by_their_rows_not_their_files(spark, tmp_path):
+    path = tmp_path / "part.parquet"
+    spark.range(100_000).select(F.col("id").alias("p_partkey"), F.lit("x").alias("p_name")).coalesce(1).write.parquet(str(path))
+    stored = sum(f.stat().st_size for f in path.glob("*.parquet"))
+    part = Tables(spark, str(tmp_path)).part
+    assert part._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() > 4 * stored
