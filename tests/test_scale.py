@@ -3,7 +3,8 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from varloom.operators import depth
+from varloom.operators import depth, genotypes
+from varloom.plans import register
 from varloom.plans.fixtures import Tables
 
 
@@ -44,3 +45,15 @@ def test_tables_are_judged_by_their_rows_not_their_files(spark, tmp_path):
     stored = sum(f.stat().st_size for f in path.glob("*.parquet"))
     part = Tables(spark, str(tmp_path)).part
     assert part._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() > 4 * stored
+
+
+def test_frequencies_have_every_column_again(spark):
+    sql = register.ORACLE["allele_frequencies"]
+    assert all(c in sql.rsplit("SELECT z.vid", 1)[1] for c in ("s.id", "s.allele_type", "z.nhet", "z.nhomalt", "z.nhomref", "freq_het", "grpmax"))
+
+
+def test_frequency_totals_are_dealt_by_site_once(spark):
+    calls = spark.createDataFrame([(v, s, [0, s % 2], 1) for v in range(4) for s in range(3)], "vid long, sample long, gt array<int>, n_alts int")
+    people = spark.createDataFrame([(0, "a", "male"), (1, "b", "female"), (2, "b", "male")], "sample long, population string, sex string")
+    plan = genotypes.allele_frequencies(calls, people, ["vid"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_COL") == 1 and plan.split("REPARTITION_BY_COL")[0].count("Exchange") <= 1

@@ -120,8 +120,8 @@ def allele_frequencies(calls: DataFrame, samples: DataFrame, key, par: DataFrame
     full = ~g.has_null("gt")
     site = {"an": F.when(hap, F.least(called, F.lit(1))).otherwise(called), "_slots": F.when(hap, 1).otherwise(F.greatest(F.size("gt"), F.lit(0))),
             "nhet": full & ~hap & (alts == 1), "nhomalt": full & (alts >= F.when(hap, 1).otherwise(2)), "nhomref": full & (alts == 0)}
-    parts = _per_allele(x, [*key, "population", "sex"], hap, site)
-    # The cube runs over site x population x sex x ALT totals, not over calls.
+    # The cube runs over site x population x sex x ALT totals, not over calls; they are dealt by site once, which serves every step that follows.
+    parts = _per_allele(x, [*key, "population", "sex"], hap, site).repartition(*key)
     dims = F.array(*[F.struct(F.lit(p).alias("p"), F.lit(s).alias("s")) for p in (False, True) for s in (False, True)])
     cube = (parts.withColumn("_g", F.explode(dims))
             .withColumn("population", F.when(F.col("_g.p"), F.col("population")).otherwise("all"))

@@ -75,15 +75,19 @@ z AS (SELECT f.vid, f.n_alts, f.population, f.sex, al.al AS allele, coalesce(ac,
 
 
 def frequencies(t):
-    k = t.sites.select("vid", "chrom")
-    c = calls(t, "multi").join(t.multi.select("vid", "n_alts").distinct(), "vid")
-    return q.allele_frequencies(c.join(k, "vid"), people(t), ["vid", "chrom"])
+    c = t.multi.select("vid", F.col("sample_id").alias("sample"), F.array("a0", "a1").alias("gt"), "n_alts")
+    return q.allele_frequencies(c.join(t.sites.select("vid", "chrom"), "vid"), people(t), ["vid", "chrom"])
 
 
-@query(f"""WITH {AF.replace(' AS (SELECT', ' AS MATERIALIZED (SELECT')}
-SELECT vid, population, sex, allele, ac, an, round(ac / nullif(an, 0), 6) AS af, round(1 - an / nullif(slots, 0), 6) AS ncr FROM z""")
+@query(f"""WITH {AF.replace(' AS (SELECT', ' AS MATERIALIZED (SELECT')}, gm AS (SELECT vid, population AS grpmax FROM (SELECT *, row_number() OVER (PARTITION BY vid ORDER BY ac / an DESC, population) AS n FROM z
+  WHERE sex = 'all' AND population <> 'all' AND ac > 0 AND n_alts = 1) q WHERE n = 1)
+SELECT z.vid, s.id, z.population, z.sex, z.allele, s.allele_type, z.ac, z.an, round(z.ac / nullif(z.an, 0), 6) AS af, round(1 - z.an / nullif(z.slots, 0), 6) AS ncr,
+ CASE WHEN n_alts = 1 THEN z.nhet END AS nhet, CASE WHEN n_alts = 1 THEN z.nhomalt END AS nhomalt, CASE WHEN n_alts = 1 THEN z.nhomref END AS nhomref,
+ CASE WHEN n_alts = 1 THEN round(z.nhet / nullif(z.nhet + z.nhomalt + z.nhomref, 0), 6) END AS freq_het, gm.grpmax FROM z JOIN sites s USING (vid) LEFT JOIN gm USING (vid)
+""")
 def allele_frequencies(t):
-    return rounded(frequencies(t).select("vid", "population", "sex", "allele", "ac", "an", "af", "ncr"), "af", "ncr")
+    out = frequencies(t).join(t.sites.select("vid", "chrom", "id", "allele_type"), ["vid", "chrom"])
+    return rounded(out.select("vid", "id", "population", "sex", "allele", "allele_type", "ac", "an", "af", "ncr", "nhet", "nhomalt", "nhomref", "freq_het", "grpmax"), "af", "ncr", "freq_het")
 
 
 @query(f"""WITH {AF.replace(' AS (SELECT', ' AS MATERIALIZED (SELECT')}, gm AS (SELECT vid, population AS grpmax FROM (SELECT *, row_number() OVER (PARTITION BY vid ORDER BY ac / an DESC, population) AS n FROM z
@@ -92,7 +96,7 @@ SELECT s.id, z.population, z.sex, s.allele_type, z.nhet, z.nhomalt, z.nhomref, r
 FROM z JOIN sites s USING (vid) LEFT JOIN gm USING (vid) WHERE n_alts = 1""")
 def genotype_frequencies(t):
     """What the operator gives for sites of one ALT only; joined to the site table."""
-    one = frequencies(t).filter("nhet IS NOT NULL").join(t.sites.select("vid", "id", "allele_type"), "vid")
+    one = frequencies(t).filter("nhet IS NOT NULL").join(t.sites.select("vid", "chrom", "id", "allele_type"), ["vid", "chrom"])
     return rounded(one.select("id", "population", "sex", "allele_type", "nhet", "nhomalt", "nhomref", "freq_het", "grpmax"), "freq_het")
 
 
