@@ -73,18 +73,21 @@ def hwe(quality: DataFrame) -> DataFrame:
 FREQ = ["ac", "an", "af", "ncr", "nhet", "nhomalt", "nhomref", "n_bi_genos", "freq_het", "freq_homalt", "freq_homref"]
 
 
-def _per_allele(calls: DataFrame, by: list[str], hap: Column, site: dict[str, Column]) -> DataFrame:
+def _per_allele(calls: DataFrame, by: list[str], hap: Column, site: dict[str, Column], deal: list[str] | None = None) -> DataFrame:
     """``by``, the summed ``site`` values, ``n_alts`` and a map ``_ac`` of copies by ALT number.
 
     A call gives one row for the site values and one for each ALT it carries, summed before they meet again, so a
-    site of many ALTs costs no more than the copies seen. ``hap`` calls count an ALT once.
+    site of many ALTs costs no more than the copies seen. ``hap`` calls count an ALT once. With ``deal``, equal calls are
+    counted first and their counts dealt by those columns, which serves every later step that groups by them and more.
     """
     alts = F.coalesce(F.filter("gt", lambda a: a > 0), F.array().cast("array<int>"))
     seen = F.concat(F.array(F.lit(0)), F.when(hap, F.array_distinct(alts)).otherwise(alts))
     n_alts = F.col("n_alts") if "n_alts" in calls.columns else F.lit(1)
-    x = calls.select(*by, n_alts.alias("n_alts"), *[v.cast("bigint").alias(k) for k, v in site.items()], F.explode(seen).alias("_al"))
+    x = calls.select(*by, n_alts.alias("n_alts"), *[v.cast("bigint").alias(k) for k, v in site.items()], seen.alias("_seen"))
+    x = x.groupBy(*x.columns).agg(F.count("*").alias("_k")).repartition(*deal) if deal else x.withColumn("_k", F.lit(1).cast("bigint"))
+    x = x.withColumn("_al", F.explode("_seen"))
     own = F.col("_al") == 0
-    sums = x.groupBy(*by, "_al").agg(F.count("*").alias("_ac"), F.max("n_alts").alias("n_alts"), *[F.sum(F.when(own, F.col(k))).alias(k) for k in site])
+    sums = x.groupBy(*by, "_al").agg(F.sum("_k").alias("_ac"), F.max("n_alts").alias("n_alts"), *[F.sum(F.when(own, F.col(k) * F.col("_k"))).alias(k) for k in site])
     return sums
 
 
@@ -120,8 +123,8 @@ def allele_frequencies(calls: DataFrame, samples: DataFrame, key, par: DataFrame
     full = ~g.has_null("gt")
     site = {"an": F.when(hap, F.least(called, F.lit(1))).otherwise(called), "_slots": F.when(hap, 1).otherwise(F.greatest(F.size("gt"), F.lit(0))),
             "nhet": full & ~hap & (alts == 1), "nhomalt": full & (alts >= F.when(hap, 1).otherwise(2)), "nhomref": full & (alts == 0)}
-    # The cube runs over site x population x sex x ALT totals, not over calls; they are dealt by site once, which serves every step that follows.
-    parts = _per_allele(x, [*key, "population", "sex"], hap, site).repartition(*key)
+    # The cube runs over site x population x sex x ALT totals, not over calls.
+    parts = _per_allele(x, [*key, "population", "sex"], hap, site, deal=key)
     dims = F.array(*[F.struct(F.lit(p).alias("p"), F.lit(s).alias("s")) for p in (False, True) for s in (False, True)])
     cube = (parts.withColumn("_g", F.explode(dims))
             .withColumn("population", F.when(F.col("_g.p"), F.col("population")).otherwise("all"))
