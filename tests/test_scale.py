@@ -57,3 +57,21 @@ def test_frequency_totals_are_dealt_by_site_once(spark):
     people = spark.createDataFrame([(0, "a", "male"), (1, "b", "female"), (2, "b", "male")], "sample long, population string, sex string")
     plan = genotypes.allele_frequencies(calls, people, ["vid"])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("REPARTITION_BY_COL") == 1 and plan.split("REPARTITION_BY_COL")[0].count("Exchange") <= 1
+
+
+def test_depth_profile_deals_blocks_not_bases(spark):
+    """Repeated, null, empty, negative and long runs against plain Python; no shuffle is dealt by base."""
+    runs = [("chr1", 0, 70, "a", 3), ("chr1", 0, 70, "a", 3), ("chr1", 60, 66, "b", 5), ("chr1", 64, 64, "b", 9), ("chr1", 128, 5000, "b", None), ("chr1", -70, -60, "a", 2), ("chr2", 0, 10**6, "a", 1), ("chr1", 0, 200, "c", 8), (None, 0, 9, "a", 4), ("chr1", 0, 200, None, 8)]
+    windows = [("chr1", 62, 67), ("chr1", 65, 68), ("chr1", -66, -62), ("chr1", 127, 130), ("chr2", 900_000, 900_003), ("chr3", 1, 2), (None, 1, 3), ("chr1", None, 4)]
+    r = spark.createDataFrame(runs, "chrom string, start int, end int, sample string, depth int")
+    w = spark.createDataFrame(windows, "chrom string, start int, end int")
+    got = depth.depth_profile(r, w, spark.createDataFrame([("a",), ("b",), ("d",), ("a",), (None,)], "sample string"))
+    want = []
+    for c, p in {(c, p) for c, s, e in windows if s is not None for p in range(s, e)}:
+        for who in "abd":
+            hits = [d or 0 for rc, s, e, rs, d in runs if c is not None and (rc, rs) == (c, who) and s <= p < e]
+            want += [(c, p, who, d) for d in hits or [0]]
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
+    assert dict(got.dtypes)["pos"] == "int"
+    exchanges = [x for x in got._jdf.queryExecution().executedPlan().toString().splitlines() if "hashpartitioning" in x]
+    assert exchanges and not any("pos#" in x.split("hashpartitioning")[1] for x in exchanges)

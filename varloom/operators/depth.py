@@ -378,13 +378,25 @@ def sample_event_qc(events: DataFrame, limit: int) -> DataFrame:
 
 
 def depth_profile(runs: DataFrame, windows: DataFrame, samples: DataFrame) -> DataFrame:
-    """One row per base and sample of each requested window (chrom, start, end); 0 where no run covers."""
+    """One row per base and sample of each requested window (chrom, start, end); 0 where no run covers.
+
+    Bases asked for, and bases that a run covers, are the bits of one number per block of 64 bases, so blocks are dealt and joined, not bases.
+    """
     everyone = samples.agg(F.collect_set("sample")).scalar()  # cohort size
-    grid = windows.select("chrom", F.explode(F.sequence("start", F.col("end") - 1)).alias("pos")).distinct().withColumn("sample", F.explode(everyone))
-    spots = grid.select("chrom", "pos").distinct()
-    r = runs.select("chrom", F.col("start").alias("_s"), F.col("end").alias("_e"), "sample", "depth")
-    hit = point_in_interval(spots, r, "pos", "_s", "_e", ["chrom"]).select("chrom", "pos", "sample", "depth")
-    return grid.join(hit, ["chrom", "pos", "sample"], "left").withColumn("depth", F.coalesce("depth", F.lit(0)))
+    spots = windows.select("chrom", F.explode(F.sequence("start", F.col("end") - 1)).alias("pos"))
+    blocks = spots.groupBy("chrom", F.shiftright(F.col("pos").cast("bigint"), 6).alias("_b")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(pos & 63 AS INT))")).alias("_bits"))
+    r = runs.select("chrom", F.col("start").cast("bigint").alias("_s"), F.col("end").cast("bigint").alias("_e"), "sample", "depth").filter("_s < _e")
+    r = r.withColumns({"_first": F.shiftright("_s", 6), "_last": F.shiftright(F.col("_e") - 1, 6) + 1})
+    lo, hi = "greatest(_s - _b * 64, 0L)", "least(_e - _b * 64, 64L)"
+    own = f"_bits & shiftleft(shiftrightunsigned(-1L, CAST(64 - ({hi} - {lo}) AS INT)), CAST({lo} AS INT))"
+    hit = point_in_interval(blocks, r, "_b", "_first", "_last", ["chrom"]).select("chrom", "_b", "sample", "depth", F.expr(own).alias("_own")).filter("_own <> 0")
+    hit = hit.join(samples.select("sample").distinct(), "sample", "left_semi")
+    covered = hit.groupBy("chrom", "_b", "sample").agg(F.bit_or("_own").alias("_c"))
+    bare = blocks.withColumn("sample", F.explode(everyone)).join(covered, ["chrom", "_b", "sample"], "left").withColumn("_own", F.expr("_bits & ~coalesce(_c, 0L)"))
+    bare = bare.filter("_own <> 0").select("chrom", "_b", "sample", F.lit(None).cast(r.schema["depth"].dataType).alias("depth"), "_own")
+    bases = F.explode(F.expr("filter(sequence(0, 63), i -> shiftright(_own, i) & 1 = 1)"))
+    out = hit.select(*bare.columns).unionByName(bare).withColumn("_i", bases)
+    return out.select("chrom", (F.col("_b") * 64 + F.col("_i")).cast(spots.schema["pos"].dataType).alias("pos"), "sample", F.coalesce("depth", F.lit(0)).alias("depth"))
 
 
 def concat_depth(parts: list[DataFrame]) -> DataFrame:
