@@ -322,6 +322,27 @@ def test_training_rows_are_bounded_by_words(spark, monkeypatch):
     assert 0 < sum(len(f) for _, f, _ in got) <= 1000 and max(len(f) for _, f, _ in got) <= 50 and len(got) >= 45
 
 
+def test_every_labelled_row_is_learnt_from(spark, monkeypatch):
+    """More rows than any sample held, a text longer than any was, copies of an id once, in several parts."""
+    monkeypatch.setattr(toxicity, "PART_BYTES", 200_000)
+    monkeypatch.setattr(toxicity, "LONGEST", 50)  # bounds of the sample don't bind the fit
+    monkeypatch.setattr(toxicity, "WORDS", 1000)
+    monkeypatch.setattr(toxicity, "BATCH_WORDS", 100)
+    monkeypatch.setattr(toxicity, "SLICE", 64)
+    text = F.concat(F.repeat(F.lit("calm words "), F.when(F.col("id") == 1, 100).otherwise(9)), F.when(F.col("id") % 3 == 0, "vile ").otherwise(""), F.concat(F.lit("end"), F.col("id") % 50))
+    d = spark.range(8000).select(F.col("id").alias("doc_id"), text.alias("text"))
+    d = d.unionByName(d.filter("doc_id = 2").crossJoin(spark.range(20)).select("doc_id", "text"))
+    lab = spark.range(8000).select(F.col("id").alias("doc_id"), (F.col("id") % 3 == 0).cast("int").alias("toxic"))
+    rows = toxicity.learnt(d, lab, None)
+    assert rows.select("part").distinct().count() > 2
+    assert rows.count() == lab.filter(language.fold() != 2).count() > toxicity.POSITIVES + toxicity.NEGATIVES - 100
+    assert rows.agg(F.max(F.length("f"))).first()[0] == 201 * 2 * toxicity.FAMILIES
+    seen = toxicity._logits(rows, toxicity.fit(d, lab))
+    assert seen.n.sum() == rows.count()
+    got = toxicity.score(d, toxicity.fit(d, lab)).filter(language.fold() == 2)
+    assert got.filter((F.col("predicted") == 1) != (F.col("doc_id") % 3 == 0)).count() == 0
+
+
 @pytest.mark.parametrize("block,queries", [(16384, 2048), (20, 3)])
 def test_top_k(monkeypatch, spark, block, queries):
     import math
