@@ -7,7 +7,7 @@ supported a variant when the call set was merged: id, chrom, start, end, svtype,
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions import genotype as g
 from ..functions.alleles import c, sequence_score, size_similarity
@@ -44,14 +44,34 @@ def depth_pair(read: Column, target: Column) -> Column:
     return F.when(F.size(read["ad"]) == 2, read["ad"]).when(F.size(read["ad"]) > 2, many)
 
 
+SIGNED = ["_sig1", "_sig2"]
+
+
+def signature(cols: list[str]) -> list[Column]:
+    """128 bits of a hash of ``cols`` to join by instead of them (NULL if one is), so that calls are sent without their sequences."""
+    whole = F.forall(F.array(*[F.col(x).isNotNull() for x in cols]), lambda b: b)
+    return [F.when(whole, F.xxhash64(F.lit(i), *cols)).alias(name) for i, name in enumerate(SIGNED)]
+
+
 def _nearest_row(points: DataFrame, rows: DataFrame, by: list[str], window: int, cols: list[str]) -> DataFrame:
     """Distinct points (``by``, start) with ``_n``: the ``cols`` of the nearest row within ``window``; ties go to the lower place, then to what stands first.
 
-    Rows are folded to one a place, so a point meets at most 2 * window + 1 of them, however crowded a place is.
+    Rows are folded to one a place and no pairs are built: in stretches of 32 windows a point takes the last row up to it or the first one from it on. A row
+    also stands in a neighbouring stretch if its window reaches there.
     """
+    at = lambda x: F.floor(x / F.lit(32 * (window + 1)))
     spots = rows.groupBy(*by, "start").agg(F.min_by(F.struct(*cols), "file_order").alias("_row"))
-    p = near_pairs(points.select(*by, "start").distinct(), spots, window, by)
-    return p.groupBy(*by, "start").agg(F.min_by("b__row", F.struct(F.abs(F.col("b_start") - F.col("start")), "b_start")).alias("_n"))
+    reach = F.explode(F.array_distinct(F.array(at(F.col("start") - window), at(F.col("start") + window))))
+    spots = spots.select(*by, "start", reach.alias("_at"), F.struct(F.col("start").alias("s"), "_row").alias("_e"))
+    asked = points.select(*by, "start").distinct().select(*by, "start", at(F.col("start")).alias("_at"))
+    both = spots.withColumn("_asked", F.lit(False)).unionByName(asked.withColumn("_asked", F.lit(True)), allowMissingColumns=True)
+    place = W.partitionBy(*by, "_at")
+    nearest = lambda order: F.last("_e", ignorenulls=True).over(place.orderBy(order).rangeBetween(W.unboundedPreceding, W.currentRow))
+    x = both.withColumns({"_l": nearest(F.col("start")), "_r": nearest(F.col("start").desc())}).filter("_asked")
+    left, right = F.col("start") - F.col("_l.s"), F.col("_r.s") - F.col("start")
+    lower = F.coalesce(left <= right, F.col("_r").isNull())
+    x = x.filter(F.least(left, right) <= window).select(*by, "start", F.when(lower, F.col("_l._row")).otherwise(F.col("_r._row")).alias("_n"))
+    return x
 
 
 def listed_nearest(variants: DataFrame, stats: DataFrame, window: int = 500) -> DataFrame:
@@ -88,18 +108,20 @@ def allowed_callers(variants: DataFrame, stats: DataFrame, window: int | None =
     who = ["sample"] if "sample" in stats.columns else []
     listed = stats.withColumn("callers", F.array_except("callers", F.array(*[F.lit(x) for x in NOT_LISTED])))
     own = listed.groupBy("id", *who).agg(F.max_by("callers", F.col("file_order")).alias("_own"))
-    x = variants.join(own, ["id", *who], "left")
     if window is None:
-        return x.select("id", "sample", F.col("_own").alias("allowed"))
+        return variants.join(own, ["id", *who], "left").select("id", "sample", F.col("_own").alias("allowed"))
     by = ["chrom", "svtype", *who]
     cols = [*by, "start", "end", "svlen"]
+    # A list is sought once for all samples that share it.
+    x = variants.select("id", *cols).distinct().join(own, ["id", *who], "left")
     p = near_pairs(x.filter("_own IS NULL").select(*cols).distinct(), listed.filter(F.size("callers") > 0).select(*cols, "callers", "file_order"), window, by)
     n, m = (F.greatest(F.lit(1), F.abs(F.col(k))) for k in ("svlen", "b_svlen"))
     span = lambda s, e: F.greatest(F.lit(1), F.col(e) - F.col(s))
     overlap = F.greatest(F.lit(0), F.least("end", "b_end") - F.greatest("start", "b_start"))
     score = F.least(n, m) / F.greatest(n, m) + overlap / F.greatest(span("start", "end"), span("b_start", "b_end")) + F.greatest(F.lit(0.0), 1.0 - F.abs(F.col("b_start") - F.col("start")) / window)
     best = p.groupBy(*cols).agg(F.min_by("b_callers", F.struct(-score, "b_start", "b_file_order")).alias("_near"))
-    return x.join(best, cols, "left").select("id", "sample", F.coalesce("_own", "_near").alias("allowed"))
+    found = x.join(best, cols, "left").select("id", *who, F.xxhash64(*cols).alias("_at"), F.coalesce("_own", "_near").alias("allowed")).filter("allowed IS NOT NULL")
+    return variants.select("id", "sample", F.xxhash64(*cols).alias("_at")).join(found, ["id", *who, "_at"], "left").select("id", "sample", "allowed")
 
 
 def best_matches(variants: DataFrame, calls: DataFrame, window: int, reciprocal: float, seq_sim: float, size_sim: float) -> DataFrame:
@@ -112,8 +134,9 @@ def best_matches(variants: DataFrame, calls: DataFrame, window: int, reciprocal:
     shared = F.greatest(F.lit(0), F.least(F.col("start") + F.col("len"), F.col("b_start") + F.col("b_len")) - F.greatest("start", "b_start")) / F.greatest("len", "b_len")
     p = p.withColumn("_o", shared).filter(F.col("_o") >= reciprocal - 1e-9)
     p = cut_lineage(p.select(F.col("id").alias("qid"), F.col("b_file_order").alias("rid"), ((F.col("_s") + size_similarity("len", "b_len") + F.col("_o")) / 3).alias("score"), "b_start"))
-    own = calls.join(r.withColumnRenamed("file_order", "rid"), SEQ).select("rid", "sample", "caller", "file_order", F.struct("caller", g.n_alt("gt").alias("n"), g.is_carrier("gt").alias("called"), reads().alias("read")).alias("m"))
-    v = variants.join(q.withColumnRenamed("id", "qid"), SEQ).select("id", "sample", "qid")
+    own = calls.select("sample", "caller", "file_order", F.struct("caller", g.n_alt("gt").alias("n"), g.is_carrier("gt").alias("called"), reads().alias("read")).alias("m"), *signature(SEQ))
+    own = own.join(r.select(F.col("file_order").alias("rid"), *signature(SEQ)), SIGNED).drop(*SIGNED)
+    v = variants.select("id", "sample", *signature(SEQ)).join(q.select(F.col("id").alias("qid"), *signature(SEQ)), SIGNED).drop(*SIGNED)
     best = v.join(p, "qid").join(own, ["rid", "sample"]).groupBy("id", "sample", "caller").agg(F.min_by("m", F.struct(-F.col("score"), "b_start", "file_order")).alias("m"))
     return best.groupBy("id", "sample").agg(F.array_sort(F.collect_list("m")).alias("matches"))
 
@@ -129,9 +152,10 @@ def raw_caller_evidence(variants: DataFrame, regenotyped: DataFrame, calls: Data
     carried takes the re-genotyper's reference call, or is cleared if that is missing or carried.
     """
     up = lambda d: d.withColumns({"_ref": F.upper("ref"), "_alts": F.transform("alts", lambda a: F.upper(a))})
-    key = ["id", "sample", "chrom", "pos", "_ref", "_alts"]
-    again = up(regenotyped).groupBy(*key).agg(F.max(F.struct("gt", "ad", "dp")).alias("_k"))
-    x = up(variants).join(again, key, "left")
+    key = ["id", "sample", *SIGNED]
+    signed = lambda d, *cols: up(d).select("id", "sample", *cols, *signature(["chrom", "pos", "_ref", "_alts"]))
+    again = signed(regenotyped, "gt", "ad", "dp").groupBy(*key).agg(F.max(F.struct("gt", "ad", "dp")).alias("_k"))
+    x = signed(variants, "gt", "dp", "svlen", F.size("alts").alias("_n_alts")).join(again, key, "left").drop(*SIGNED)
     x = x.join(best_matches(variants.filter(g.is_carrier("gt")), calls, window, reciprocal, seq_sim, size_sim), ["id", "sample"], "left")
     if stats is not None:
         x = x.join(allowed_callers(variants.select("id", "sample", "chrom", "svtype", "start", "end", "svlen"), stats, list_window), ["id", "sample"], "left")
@@ -152,7 +176,7 @@ def raw_caller_evidence(variants: DataFrame, regenotyped: DataFrame, calls: Data
     scored = F.transform(F.filter("_sup", lambda s: s["ad"].isNotNull()), lambda s: F.struct((-g.gq_from_pl(pl(s["ad"]))).alias("q"), s["caller"].alias("caller"), s["ad"].alias("ad")))
     x = x.withColumn("_best", F.when(F.col("_kp") & F.col("_carried"), F.struct(F.lit(0).alias("q"), F.lit(REGENOTYPER).alias("caller"), kp_ad.alias("ad"))).otherwise(F.array_min(scored)))
     rested = ~g.is_carrier("_k.gt") & ~g.all_null("_k.gt")  # a reference call of the re-genotyper
-    n_alleles = F.size("alts") + 1
+    n_alleles = F.col("_n_alts") + 1
     same_length = lambda a: F.transform(F.sequence(F.lit(1), n_alleles), lambda i: F.lit(a).cast("int"))
     flat = F.when(F.col("_k").isNull(), F.col("gt")).when(rested, same_length(0)).otherwise(same_length(None))
     ad = F.when(F.col("_carried"), F.col("_best.ad")).when(rested, F.col("_k.ad"))
