@@ -239,6 +239,7 @@ def repeat_alleles(t):
 
 def phase_inputs(t):
     """Calls and backbone truth; the part key stands in for the place so that alleles pair one to one."""
+    t.keep_calls("genotypes", "genotypes2")
     c = site_calls(t).withColumn("alleles", F.array(F.struct(F.lit(1).alias("allele"), F.col("vid").alias("npos"), F.col("ref").alias("nref"), F.col("alt").alias("nalt"))))
     tr = site_calls(t, "genotypes2").select("chrom", F.col("vid").alias("npos"), F.col("ref").alias("nref"), F.col("alt").alias("nalt"), "sample", "gt", "phased")
     return c, tr
@@ -305,9 +306,11 @@ stt AS (SELECT m.*, CASE WHEN e.idx IS NOT NULL THEN CASE WHEN e.n % 2 = 1 AND e
 
 
 def statuses(t):
+    t.keep_calls("genotypes", "genotypes2")
     kind = F.when(F.col("allele_type") == "trv", "trv").otherwise("outside_tr")
-    a = site_calls(t).withColumns({"contig": F.col("chrom"), "collection": kind})
-    return ph.phase_statuses(ph.phase_states(a, calls(t, "genotypes2"), ["vid"]))
+    s = t.sites.select("vid", "id", F.col("chrom").alias("contig"), kind.alias("collection"), "pos", "file_pos")
+    states = ph.phase_states(calls(t).select("vid", "sample", "gt", "phased"), calls(t, "genotypes2"), ["vid"])
+    return ph.phase_statuses(states.select("vid", "sample", "state").join(s, "vid"))
 
 
 @query(f"WITH {STATES} SELECT contig, sample, collection, id, status FROM stt")
@@ -326,7 +329,9 @@ SELECT s.id, g.sample_id AS sample, CASE WHEN a0 IS NULL OR a1 IS NULL THEN 'NC'
  WHEN stt.status IS NOT NULL THEN stt.status WHEN p.population = 'ASIA' THEN 'MS' ELSE 'NF' END AS phase_status
 FROM genotypes g JOIN sites s USING (vid) JOIN samples p USING (sample_id) LEFT JOIN stt ON stt.id = s.id AND stt.sample = g.sample_id""")
 def phase_status_matrix(t):
-    return ph.phase_status_matrix(site_calls(t), statuses(t), people(t).filter("population = 'ASIA'")).select("id", "sample", "phase_status")
+    st = statuses(t)
+    m = ph.phase_status_matrix(calls(t).select("vid", "sample", "gt", "phased"), st, people(t).filter("population = 'ASIA'"), "vid")
+    return m.join(t.sites.select("vid", "id"), "vid").select("id", "sample", "phase_status")
 
 
 # Sites folded onto three short stretches, so that calls of a sample overlap often.
@@ -364,5 +369,7 @@ SELECT s.id, g.sample_id AS sample, CASE WHEN x.id IS NOT NULL THEN './.' ELSE {
  CASE WHEN x.id IS NULL THEN ad_ref + ad_alt END AS dp, phased AND x.id IS NULL AS phased
 FROM genotypes g JOIN sites s USING (vid) LEFT JOIN x ON x.id = s.id AND x.sample = g.sample_id""")
 def clear_calls(t):
-    c = crowded_calls(t)
-    return ph.clear_calls(c, ph.cleared_calls(c)).select("id", "sample", gt_text().alias("gt"), "gq", "dp", "phased")
+    t.keep_calls("genotypes")
+    lost = ph.cleared_calls(crowded_calls(t).withColumn("id", F.col("vid"))).withColumnRenamed("id", "vid")
+    c = ph.clear_calls(calls(t).select("vid", "sample", "gt", "gq", "dp", "phased"), lost, "vid").join(t.sites.select("vid", "id"), "vid")
+    return c.select("id", "sample", gt_text().alias("gt"), "gq", "dp", "phased")
