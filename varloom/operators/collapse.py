@@ -117,14 +117,19 @@ def _rounds(edges: DataFrame) -> DataFrame:
     return decided.join(claim, "id", "left").filter("id <> kept_id").select("id", F.coalesce("_k", "kept_id").alias("kept_id"))
 
 
+def carriers(calls: DataFrame) -> DataFrame:
+    """Distinct (id, sample) that carry an ALT."""
+    return calls.filter(g.is_carrier("gt")).select("id", "sample").distinct()
+
+
 def alike_carriers(clusters: DataFrame, calls: DataFrame, least: float = MERGE_JACCARD) -> DataFrame:
     """``clusters`` (id, kept_id) in which removed sites whose carriers overlap those of the kept one too little stand on their own again.
 
-    Two sites without carriers are equal; one without and one with have nothing in common.
+    Two sites without carriers are equal; one without and one with have nothing in common. ``calls`` without ``gt`` are distinct carriers.
     """
     if least <= 0:
         return clusters
-    car = calls.filter(g.is_carrier("gt")).select("id", "sample").distinct()
+    car = carriers(calls) if "gt" in calls.columns else calls
     n = car.groupBy("id").agg(F.count("*").alias("n"))
     rem = clusters.filter("id <> kept_id")
     both = rem.join(car, "id").join(car.withColumnRenamed("id", "kept_id"), ["kept_id", "sample"]).groupBy("id", "kept_id").agg(F.count("*").alias("_i"))
@@ -159,11 +164,11 @@ def merged_calls(clusters: DataFrame, calls: DataFrame, places: DataFrame) -> Da
 
     ``places`` (id, start) gives the order of sites. Samples without a call of the kept site get one only from a carrier.
     """
-    x = calls.join(clusters, "id").join(places.select("id", F.col("start").alias("_p")), "id")
     own, carried = F.col("id") == F.col("kept_id"), g.is_carrier("gt")
-    pick = F.min_by(F.struct("gt", F.col("id").alias("source")), F.when(own | carried, F.struct((~carried).alias("c"), _rank("_p").alias("r"))))
-    out = x.groupBy("kept_id", "sample").agg(pick.alias("_c")).filter("_c IS NOT NULL")
-    return out.select(F.col("kept_id").alias("id"), "sample", "_c.gt", "_c.source")
+    x = calls.join(clusters.join(places.select("id", F.col("start").alias("_p")), "id"), "id").filter(own | carried)
+    first = F.min(F.struct((~carried).alias("c"), _rank("_p").alias("r"), "gt"))
+    out = x.groupBy("kept_id", "sample").agg(first.alias("_f"))
+    return out.select(F.col("kept_id").alias("id"), "sample", "_f.gt", F.col("_f.r.id").alias("source"))
 
 
 def merged_fields(clusters: DataFrame, fields: DataFrame, places: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Window as W, functions as F
 
 from ..functions import genotype as g
 from ..operators import collapse as co, evidence as ev, matching as m
-from ..session import cut_lineage
+from ..session import cut_lineage, kept
 from .queries_rows import calls
 from .register import query
 
@@ -211,13 +211,15 @@ fin AS (SELECT cl.id, cl.st, CASE WHEN jc.id IS NOT NULL AND na + nb > 0 AND i /
 
 
 def merged(t):
+    t.keep_calls("genotypes", "genotypes2")
     kinds = F.when(F.col("svtype") == "DEL", "DEL").when(F.col("svtype").isin("INS", "DUP"), "INS").otherwise("OTHER")
     seq = F.when(F.length("alt") > F.length("ref"), F.col("alt")).otherwise(F.col("ref"))
     own = lambda view, mark: calls(t, view).select(F.concat(F.lit(mark), F.col("vid").cast("string")).alias("id"), "sample", "gt")
     both = own("genotypes", "V").unionByName(own("genotypes2", "T"))
-    support = both.filter(g.is_carrier("gt")).groupBy("id").agg(F.count_distinct("sample").alias("support"))
+    carriers = kept(co.carriers(both), "carriers")
+    support = carriers.groupBy("id").agg(F.count("sample").alias("support"))
     sites = svs(t).unionByName(svs(t, "truth")).withColumns({"kind": kinds, "seq": seq}).join(support, "id", "left")
-    clusters = cut_lineage(co.alike_carriers(co.collapse_sites(sites, co.MERGE_LIMITS, common=True), both))
+    clusters = cut_lineage(co.alike_carriers(co.collapse_sites(sites, co.MERGE_LIMITS, common=True), carriers))
     return sites, both, clusters
 
 
@@ -303,6 +305,7 @@ m AS (SELECT w.id, w.sample, w.caller, w.want, c.r, c.a, c.vid, c.ref, c.alt, ro
   FROM w JOIN c ON c.sample = w.sample AND c.chrom = w.chrom AND c.svtype = w.svtype AND c.caller = w.caller AND abs(w.st - c.st) <= 500 WHERE w.caller NOT IN ('dipcall', 'hapdiff'))
 SELECT id, sample, caller, r AS ref_depth, a AS alt_depth FROM (SELECT id, sample, caller, {READ} FROM m WHERE k = 1) z WHERE r IS NOT NULL""")
 def caller_support(t):
+    t.keep_calls("genotypes", "genotypes2")
     q, r = svs(t), svs(t, "truth")
     v = calls(t).join(q.select("id", "vid", "chrom", "start", "svtype"), "vid")
     text = lambda *names: F.array(*[F.lit(x) for x in names])
@@ -360,6 +363,7 @@ kq AS (SELECT vid, sample, k0, k1, kn, r, a, CASE WHEN r + a = 0 THEN 0 ELSE lea
 
 
 def evidence(t):
+    t.keep_calls("genotypes", "genotypes2")
     q, r = svs(t), svs(t, "truth")
     seq = F.when(F.length("alt") > F.length("ref"), F.col("alt")).otherwise(F.col("ref"))
     v = calls(t).select("vid", "sample", "gt", "dp").join(q, "vid").withColumns({"kind": F.col("svtype"), "seq": seq, "pos": F.col("start"), "alts": F.array("alt"), "svlen": F.col("len")})
