@@ -305,7 +305,6 @@ m AS (SELECT w.id, w.sample, w.caller, w.want, c.r, c.a, c.vid, c.ref, c.alt, ro
   FROM w JOIN c ON c.sample = w.sample AND c.chrom = w.chrom AND c.svtype = w.svtype AND c.caller = w.caller AND abs(w.st - c.st) <= 500 WHERE w.caller NOT IN ('dipcall', 'hapdiff'))
 SELECT id, sample, caller, r AS ref_depth, a AS alt_depth FROM (SELECT id, sample, caller, {READ} FROM m WHERE k = 1) z WHERE r IS NOT NULL""")
 def caller_support(t):
-    t.keep_calls("genotypes", "genotypes2")
     q, r = svs(t), svs(t, "truth")
     v = calls(t).join(q.select("id", "vid", "chrom", "start", "svtype"), "vid")
     text = lambda *names: F.array(*[F.lit(x) for x in names])
