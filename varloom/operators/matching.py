@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import genotype as g
 from ..functions.alleles import c, overlap_bases, sequence_score, sequence_similar, size_similarity
-from ..session import cut_lineage
+from ..session import cut_lineage, kept
 from .intervals import islands, overlap_count
 from .positions import at_positions, overlap_pairs, point_in_interval, prefixed
 from .transfer import append_truth_counts, exact_match, lookup, unify_annotation_tables
@@ -405,12 +405,19 @@ def predicted_effects(svs: DataFrame, genes: DataFrame, exons: DataFrame, promot
     nothing is PREDICTED_INTERGENIC with an empty list.
     """
     s = svs.select("id", "chrom", "svtype", "start", F.greatest("end", F.col("start") + 1).alias("end"))
-    s, genes = cut_lineage(s), cut_lineage(genes)
-    gene = overlap_pairs(s, genes)
+    # The SVs are dealt evenly first: a table of few row groups would be cut into blocks by as few tasks.
+    s, genes = cut_lineage(s.hint("rebalance")), cut_lineage(genes)
+    # All features are looked up in one pass, so an SV's blocks are made and dealt once, not once for each kind.
+    no_tss = F.lit(None).cast(dict(genes.dtypes)["tss"])
+    kinds = {"gene": genes, "exon": exons, "promoter": promoters, "utr": utrs} | ({} if noncoding is None else {"element": noncoding})
+    features = [d.select("gene", "chrom", "start", "end", (F.col("tss") if k == "gene" else no_tss).alias("tss"), F.lit(k).alias("feature")) for k, d in kinds.items()]
+    met = kept(overlap_pairs(s, reduce(DataFrame.unionByName, features)), "features")
+    meets = lambda k: met.filter(F.col("b_feature") == k)
+    gene = meets("gene")
     inside = (F.col("b_start") <= F.col("start")) & (F.col("end") <= F.col("b_end"))
     spans = (F.col("start") <= F.col("b_start")) & (F.col("b_end") <= F.col("end"))
     tss = (F.col("b_tss") >= F.col("start")) & (F.col("b_tss") < F.col("end"))
-    ex = overlap_pairs(s, exons)
+    ex = meets("exon")
     whole = (F.col("start") <= F.col("b_start")) & (F.col("b_end") <= F.col("end"))
     exon = ex.groupBy("id", F.col("b_gene").alias("gene")).agg(F.bool_or(whole).alias("exon_whole"), F.bool_or(inside).alias("in_exon"), F.lit(True).alias("exonic"))
     x = gene.select("id", "svtype", F.col("b_gene").alias("gene"), inside.alias("inside"), spans.alias("spans"), tss.alias("tss")).join(exon, ["id", "gene"], "left")
@@ -421,10 +428,10 @@ def predicted_effects(svs: DataFrame, genes: DataFrame, exons: DataFrame, promot
            .when((t == "DUP") & F.col("inside") & F.col("in_exon"), "PREDICTED_PARTIAL_EXON_DUP")
            .when((t == "DUP") & ~F.col("inside") & F.col("tss"), "PREDICTED_TSS_DUP").when((t == "DUP") & ~F.col("inside"), "PREDICTED_DUP_PARTIAL")
            .when(t.isin("DEL", "INS", "INV") & hit, "PREDICTED_LOF"))
-    u = overlap_pairs(s, utrs).select("id", F.col("b_gene").alias("gene")).distinct().withColumn("_u", F.lit(True))
+    u = meets("utr").select("id", F.col("b_gene").alias("gene")).distinct().withColumn("_u", F.lit(True))
     x = x.join(u, ["id", "gene"], "left").withColumn("effect", F.coalesce(eff, F.when(F.col("_u"), F.lit("PREDICTED_UTR")), F.lit("PREDICTED_INTRONIC")))
     x = cut_lineage(x.select("id", "gene", "effect"))
-    pr = overlap_pairs(s, promoters).select("id", F.col("b_gene").alias("gene"), F.lit("PREDICTED_PROMOTER").alias("effect")).distinct()
+    pr = meets("promoter").select("id", F.col("b_gene").alias("gene"), F.lit("PREDICTED_PROMOTER").alias("effect")).distinct()
     pr = pr.join(x.select("id", "gene"), ["id", "gene"], "left_anti")
     found = cut_lineage(x.unionByName(pr))
     free = s.join(found.select("id").distinct(), "id", "left_anti")
@@ -432,7 +439,7 @@ def predicted_effects(svs: DataFrame, genes: DataFrame, exons: DataFrame, promot
     tail = free.join(near, ["chrom", "start"]).select("id", F.col("b_id").alias("gene"), F.lit("PREDICTED_NEAREST_TSS").alias("effect"))
     parts, alone = found.unionByName(tail), free.select("id")
     if noncoding is not None:
-        el = overlap_pairs(s, noncoding)
+        el = meets("element")
         el = el.select("id", F.col("b_gene").alias("gene"), F.when(whole, "PREDICTED_NONCODING_SPAN").otherwise("PREDICTED_NONCODING_BREAKPOINT").alias("effect"))
         parts, alone = parts.unionByName(el), alone.join(el.select("id").distinct(), "id", "left_anti")
     parts = parts.unionByName(alone.select("id", F.lit(None).cast("string").alias("gene"), F.lit("PREDICTED_INTERGENIC").alias("effect")))
