@@ -31,3 +31,31 @@ def test_effects_look_all_features_up_at_once(spark, monkeypatch):
     assert got == sorted([("dup", "COPY_GAIN", ("G",)), ("-", "COPY_GAIN", ("G",)), ("-", "PROMOTER", ("G",)), ("-", "NEAREST_TSS", ("G",)), ("del", "LOF", ("G",)), ("utr", "UTR", ("G",)), ("-", "INTERGENIC", ()), ("far", "NEAREST_TSS", ("G",)),
                           ("far", "NONCODING_BREAKPOINT", ()), ("pro", "PROMOTER", ("G",)), ("none", "INTERGENIC", ()), ("el", "NONCODING_SPAN", ("E",)), ("bare", "INTERGENIC", ())])
     assert len(calls) == 1
+
+
+# ------------------------------------------------------------------ haplotype overlaps
+
+def haplotype_input(spark):
+    kinds = ["del", "ins", "snv", "alu_ins", "trv"]
+    data = [(i, s, 1 + (i * 37 + s) % 150 if i % 9 else 7, "A" * (700 if i % 11 == 0 else 0 if i % 13 == 0 else 1 + i % 40), kinds[i % 5], i % 4 * 10 - 10, i % 6, i % 3, [i % 2, s % 2], i % 7 > 0) for i in range(90) for s in (1, 2)]
+    data += data[:9] + [(None, 1, 3, None, "del", 5, None, None, [1, 1], True), (200, 1, None, "AC", "del", 5, 1, 1, [1, None], True), (201, 2, -70, "A" * 200, "del", None, None, 1, [None, 1], True), (202, 2, -3, "AC", "snv", 0, None, 1, [1], True)]
+    return spark.createDataFrame(data, "id int, sample int, pos int, ref string, allele_type string, allele_length int, qual int, gq int, gt array<int>, phased boolean").withColumns(
+        {"chrom": F.lit("c"), "file_pos": F.col("id")})
+
+
+def test_haplotype_overlaps_meet_in_one_join(spark):
+    calls = haplotype_input(spark)
+    h = ph.haplotype_calls(calls).collect()
+    order = lambda p: tuple((v is not None, v or 0) for v in p)
+    want = sorted(((a.sample, a.haplotype, a.id, a.kind, b.id, b.kind) for a in h for b in h if a.sample == b.sample and a.haplotype == b.haplotype and None not in (a.start, a.end, b.start, b.end)
+                   and a.start < a.end and b.start < b.end and a.start < b.end and b.start < a.end and order(a.prio) > order(b.prio)), key=str)
+    out = ph.haplotype_overlaps(calls)
+    assert len(want) > 500 and rows(out) == want
+    assert plan(out).count("Join ") == 1
+
+
+def test_points_in_coarse_blocks_are_those_in_fine_ones(spark):
+    p = spark.createDataFrame([("c", i * 13 - 400) for i in range(120)] + [("d", 5), (None, 5), ("c", None)], "chrom string, p int")
+    iv = spark.createDataFrame([("c", i * 29 - 500, i * 29 - 500 + [0, 1, 63, 64, 65, 900, -4][i % 7]) for i in range(40)] + [("c", None, 4), ("c", 4, None), (None, 0, 9)], "chrom string, s int, e int")
+    fine = rows(po.point_in_interval(p, iv, "p", "s", "e", ["chrom"]))
+    assert len(fine) > 100 and rows(po.point_in_interval(p, iv, "p", "s", "e", ["chrom"], least_bits=6)) == fine

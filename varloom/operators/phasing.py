@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import genotype as g
-from ..session import cut_lineage
+from ..session import cut_lineage, kept
 from .intervals import beaten_by_overlap
-from .positions import number_rows, overlap_pairs, running
+from .positions import number_rows, point_in_interval, prefixed, running
 from .transfer import lookup
 
 GT01, GT10 = "0|1", "1|0"
@@ -198,8 +198,8 @@ def haplotype_calls(calls: DataFrame) -> DataFrame:
         calls = calls.filter("NOT coalesce(tr_enveloped, false)")
     t, n = F.lower("allele_type"), F.abs("allele_length")
     kind = F.when(n == 0, "SNV").when(t.contains("del"), "DEL").when(t.contains("ins") | t.contains("dup"), "INS").otherwise("OTHER")
-    hap = F.filter(F.array(F.lit(1), F.lit(2)), lambda h: F.coalesce(F.try_element_at(F.col("gt"), h) > 0, F.lit(False)))
-    x = calls.filter("phased").withColumns({"kind": kind, "start": F.col("pos"), "end": F.col("pos") + F.length("ref"), "haplotype": F.explode(hap)})
+    x = calls.filter("phased").withColumn("haplotype", F.explode(F.array(F.lit(1), F.lit(2)))).filter(F.get("gt", F.col("haplotype") - 1) > 0)
+    x = x.withColumns({"kind": kind, "start": F.col("pos"), "end": F.col("pos") + F.length("ref")})
     rank = F.create_map(*[F.lit(z) for kv in TYPE_RANK.items() for z in kv])[F.col("kind")]
     prio = F.struct((F.col("end") - F.col("start")).alias("span"), F.coalesce("gq", F.lit(0)).alias("gq"), F.coalesce(n, F.lit(0)).alias("len"),
                     rank.alias("rank"), F.coalesce(F.col("qual").cast("double"), F.lit(0.0)).alias("qual"), (-F.col("file_pos")).alias("first"))
@@ -211,10 +211,14 @@ def haplotype_overlaps(calls: DataFrame) -> DataFrame:
 
     Longer reference span wins, then GQ, length, type, QUAL and file order.
     """
-    h = cut_lineage(haplotype_calls(calls))
-    p = overlap_pairs(h, h, by=("chrom", "sample", "haplotype")).filter(F.col("prio") > F.col("b_prio"))
-    return p.select("sample", "haplotype", F.col("id").alias("retained"), F.col("kind").alias("type_retained"),
-                    F.col("b_id").alias("cleared"), F.col("b_kind").alias("type_cleared"))
+    by = ["chrom", "sample", "haplotype"]
+    h = kept(haplotype_calls(calls).filter(F.col("start") < F.col("end")), "haplotypes")
+    # Of two overlapping calls the later one starts inside the other; where both start at one place each meets the other.
+    p = point_in_interval(h, prefixed(h, "b_").withColumnsRenamed({"b_" + x: x for x in by}), "start", "b_start", "b_end", by, least_bits=6)
+    wins, loses = F.col("prio") > F.col("b_prio"), F.col("prio") < F.col("b_prio")
+    p = p.filter(wins | (loses & (F.col("b_start") < F.col("start"))))
+    return p.select("sample", "haplotype", F.when(wins, F.col("id")).otherwise(F.col("b_id")).alias("retained"), F.when(wins, F.col("kind")).otherwise(F.col("b_kind")).alias("type_retained"),
+                    F.when(wins, F.col("b_id")).otherwise(F.col("id")).alias("cleared"), F.when(wins, F.col("b_kind")).otherwise(F.col("kind")).alias("type_cleared"))
 
 
 def cleared_calls(calls: DataFrame) -> DataFrame:
