@@ -59,3 +59,28 @@ def test_points_in_coarse_blocks_are_those_in_fine_ones(spark):
     iv = spark.createDataFrame([("c", i * 29 - 500, i * 29 - 500 + [0, 1, 63, 64, 65, 900, -4][i % 7]) for i in range(40)] + [("c", None, 4), ("c", 4, None), (None, 0, 9)], "chrom string, s int, e int")
     fine = rows(po.point_in_interval(p, iv, "p", "s", "e", ["chrom"]))
     assert len(fine) > 100 and rows(po.point_in_interval(p, iv, "p", "s", "e", ["chrom"], least_bits=6)) == fine
+
+
+# ------------------------------------------------------------------ re-genotyped calls
+
+def test_regenotypes_meet_grouped_calls_where_they_lie(spark):
+    """With contigs from sites the calls are dealt twice after grouping, by site and by sample; before, three times."""
+    lines = spark.createDataFrame([(v, s, (v + s) % 3, (v * s) % 2) for v in range(12) for s in range(5)], "vid int, sample int, a int, b int")
+    a = F.when(F.col("a") < 2, F.col("a"))
+    base = lines.groupBy("vid", "sample").agg(F.max("a").alias("a")).select("vid", "sample", F.array(a, F.lit(0)).alias("gt"), F.lit(True).alias("phased"), F.lit(9).alias("gq"), F.array(F.lit(3), F.lit(0)).alias("ad"),
+                                                                            F.lit(3).alias("dp"), F.array(F.lit(0), F.lit(0), F.lit(0)).alias("pl"))
+    regeno = lines.filter("vid % 4 <> 1").groupBy("vid", "sample").agg(F.max("b").alias("b")).select("vid", "sample", F.array(F.when(F.col("vid") % 5 > 0, F.col("b")), F.when(F.col("vid") % 5 > 0, 0)).alias("gt"),
+                                                                                                F.array(F.lit(7), F.col("b")).alias("ad"), F.lit(7).alias("dp"))
+    sites = spark.createDataFrame([(v, [None, "chr1", "chrX", "chrY"][v % 4]) for v in range(10)] + [(2, "chrX"), (None, "chr1")], "vid int, chrom string")
+    sex = spark.createDataFrame([(0, "M"), (1, "F"), (2, "M"), (3, None), (3, "M")], "sample int, sex string")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        one = tr.merge_regenotypes(base.join(sites, "vid"), regeno, sex, ["vid"])
+        two = tr.merge_regenotypes(base, regeno, sex, ["vid"], sites=sites)
+        dealt = lambda d: d._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+        assert dealt(two) == dealt(one) - 1
+        assert set(one.columns) == set(two.columns)
+        assert rows(one.select(two.columns)) == rows(two) and two.count() > 40
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

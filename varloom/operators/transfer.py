@@ -280,23 +280,30 @@ def replace_caller_ad(cohort: DataFrame, samples: DataFrame, min_length: int = 5
     return _drop_other(x), counts
 
 
-def merge_regenotypes(base: DataFrame, regeno: DataFrame, sex: DataFrame, site_key=("chrom", "pos", "ref", "alt", "id")) -> DataFrame:
+def merge_regenotypes(base: DataFrame, regeno: DataFrame, sex: DataFrame, site_key=("chrom", "pos", "ref", "alt", "id"),
+                      sites: DataFrame | None = None) -> DataFrame:
     """Fill ref/missing base calls from a re-genotyper.
 
     Re-genotyped ref: depth, AD, PL and GQ are taken and GT becomes hom-ref (``0/.`` for a
     male on chrX/Y; a female's chrY call is cleared). Re-genotyped missing or alt: cleared.
-    Every call ends unphased with missing alleles last.
+    Every call ends unphased with missing alleles last. Where ``base`` has no ``chrom``, it comes from ``sites``
+    (the columns of ``site_key``, chrom), and calls without a site go: calls grouped by their key then meet where they lie.
     """
     key = [*site_key, "sample"]
-    x = base.join(_other(regeno, key, ["gt", "ad", "dp"]), key, "left").join(
-        sex.select("sample", F.col("sex").alias("o_sex")), "sample", "left")
-    male = F.coalesce(F.col("o_sex") == "M", F.lit(False))
+    x = base.join(_other(regeno, key, ["gt", "ad", "dp"]), key, "left")
     called = g.is_carrier("gt")
     o_called, o_missing = g.is_carrier("o_gt"), g.all_null("o_gt")
-    to_ref = ~called & ~o_called & ~o_missing
+    # Only what is still needed goes on to sites and samples.
+    x = x.withColumns({"o_clear": ~called & (o_missing | o_called), "o_ref": ~called & ~o_called & ~o_missing}).drop("o_gt", "o_hit")
+    x = x.withColumns({n: F.when(F.col("o_ref"), F.col(n)) for n in ("o_ad", "o_dp")})
+    if sites is not None:
+        x = x.join(sites, list(site_key))
+    x = x.join(sex.select("sample", F.col("sex").alias("o_sex")), "sample", "left")
+    male = F.coalesce(F.col("o_sex") == "M", F.lit(False))
+    to_ref = F.col("o_ref")
     y_female = ~male & (F.col("chrom") == "chrY")
     hemi = male & F.col("chrom").isin("chrX", "chrY")
-    wipe = (~called & (o_missing | o_called)) | (to_ref & y_female)
+    wipe = F.col("o_clear") | (to_ref & y_female)
     fill = to_ref & ~y_female
     has_ad = fill & (F.size("o_ad") == 2)
     null = F.lit(None).cast("int")

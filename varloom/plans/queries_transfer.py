@@ -223,8 +223,8 @@ SELECT vid, sample_id AS sample, CASE WHEN wipe THEN NULL WHEN fill THEN br ELSE
 def merge_regenotypes(t):
     k = t.sites.select("vid", "chrom")
     sex = t.samples.select(F.col("sample_id").alias("sample"), F.when(F.col("sex") == "male", "M").otherwise("F").alias("sex"))
-    base = calls(t).join(k, "vid").withColumn("pl", F.array(F.lit(0), F.lit(0), F.lit(0)))
-    out = x.merge_regenotypes(base, half(t), sex, ["vid"])
+    base = calls(t).withColumn("pl", F.array(F.lit(0), F.lit(0), F.lit(0)))
+    out = x.merge_regenotypes(base, half(t), sex, ["vid"], sites=k)
     return out.select("vid", "sample", F.element_at("ad", 1).alias("ad_ref"), gt_text().alias("gt"))
 
 
