@@ -84,3 +84,32 @@ def test_regenotypes_meet_grouped_calls_where_they_lie(spark):
         assert rows(one.select(two.columns)) == rows(two) and two.count() > 40
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+# ------------------------------------------------------------------ truth tables
+
+@pytest.fixture(scope="module")
+def folder(spark, tmp_path_factory):
+    at = str(tmp_path_factory.mktemp("tables"))
+    types = ["STANDARD", "ECONOMY", "MEDIUM", "PROMO", "SMALL", "LARGE"]
+    part = [(i, f"part {i}", f"Brand#{11 + i % 40}", types[i % 6], i % 50 + 1, 900.0 + i) for i in range(1, 41)]
+    spark.createDataFrame(part, "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double").write.parquet(f"{at}/part.parquet")
+    spark.createDataFrame([(s, s % 4, f"supplier {s}") for s in range(1, 10)], "s_suppkey bigint, s_nationkey bigint, s_name string").write.parquet(f"{at}/supplier.parquet")
+    lines = [((o * 7 + n * 3) % 40 + 1 if o % 8 else None, (o + n) % 9 + 1, float(o * n % 50 + 1), (o * n) % 9 / 100, "ANR"[(o + n) % 3], "FO"[o % 2]) for o in range(1, 61) for n in range(1, 8)]
+    spark.createDataFrame(lines, "l_partkey bigint, l_suppkey bigint, l_quantity double, l_tax double, l_returnflag string, l_linestatus string").write.parquet(f"{at}/lineitem.parquet")
+    return at
+
+
+def test_truth_tables_join_suppliers_once(spark, folder, monkeypatch):
+    from varloom.plans import queries_counting as qc
+    from varloom.plans.fixtures import Tables
+
+    t, seen = Tables(spark, folder), []
+    sites, calls, truth, truth_calls = qc.truth_inputs(t)
+    assert "s_suppkey" not in plan(calls) and "s_suppkey" not in plan(truth_calls)
+    assert rows(calls) == rows(qc.nat_calls(t).withColumnRenamed("vid", "id"))
+    assert rows(truth_calls) == rows(t.sql(qc.TRUTH_CALLS).select("id", "sample", F.array("a0", "a1").alias("gt")))
+    real = tt.matched_sites
+    monkeypatch.setattr(tt, "matched_sites", lambda e, *a, **k: seen.append(plan(e)) or real(e, *a, **k))
+    assert tt.truth_gq_table(sites, calls, truth, truth_calls).count() > 0
+    assert len(seen) == 1 and "p_partkey" not in seen[0]

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import genotype as g
 from ..functions.alleles import overlap_bases
-from ..session import cut_lineage
+from ..session import cut_lineage, kept
 from .counting import PLOT_EDGES, caller_gqs, size_column
 from .matching import near_pairs
 
@@ -50,6 +50,11 @@ def shaped(sites: DataFrame, least: int) -> DataFrame:
     return sites.withColumns({"_kind": kind_of(), "_len": n, "_start": start, "_end": end}).withColumn("_long", F.col("_kind").isin("DEL", "INS") & (F.col("_len") >= least))
 
 
+def kept_sites(sites: DataFrame) -> DataFrame:
+    """The columns used here, written once: the matches read their sites once for each kind and side."""
+    return kept(sites.select(*[x for x in ("id", "chrom", "pos", "ref", "alt", "allele_type", "allele_length", "end", "tr_enveloped") if x in sites.columns]), "sites")
+
+
 def matched_sites(evals: DataFrame, truth: DataFrame, limits: dict[str, Limits], least: int, exact_any: bool = False) -> DataFrame:
     """Distinct (id, truth_id). Long truth sites serve no exact match and short ones no match by place, unless ``exact_any``."""
     e, t = shaped(evals, least), shaped(truth, least)
@@ -93,9 +98,9 @@ def truth_gq_table(sites: DataFrame, calls: DataFrame, truth: DataFrame, truth_c
 
     Only samples that both sets have count, and of them carriers. A variant matches if any sample could have carried it.
     """
-    who = calls.select("sample").distinct().join(truth_calls.select("sample").distinct(), "sample")
+    who = kept(calls.select("sample").distinct().join(truth_calls.select("sample").distinct(), "sample"), "samples")
     calls = calls.filter(g.is_carrier("gt")).join(who, "sample")
-    s = sites.filter(kind_of() != "TRV") if skip_trv else sites
+    s, truth = kept_sites(sites.filter(kind_of() != "TRV") if skip_trv else sites), kept_sites(truth)
     pairs = cut_lineage(matched_sites(s, truth, limits, least, exact_any=True))
     hit = pairs.select("id").distinct().withColumn("_m", F.lit(True))
     same = supported(pairs, calls, truth_calls).withColumn("_c", F.lit(True))
@@ -116,7 +121,7 @@ def gq_cutoff_table(sites: DataFrame, calls: DataFrame, trios: DataFrame, truth:
     from .counting import size_bucket
 
     kids = trios.select("sample", "father", "mother").distinct()
-    s = sites.filter(kind_of() != "TRV") if skip_trv else sites
+    s, truth = kept_sites(sites.filter(kind_of() != "TRV") if skip_trv else sites), kept_sites(truth)
     own = calls.filter(g.is_carrier("gt") & F.col("gq").isNotNull()).join(kids, "sample")
     pairs = cut_lineage(matched_sites(s, truth, limits, least))
     yes = supported(pairs, own, truth_calls.join(kids.select("sample").distinct(), "sample", "left_semi")).withColumn("_t", F.lit(True))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import counting as k, truth as tr
+from ..session import kept
 from .queries_rows import calls
 from .queries_transfer import find_trios
 from .register import query
@@ -137,8 +138,9 @@ def trio_transmission(t):
 
 
 # Trio tables need parents called at the child's sites; nations stand in for samples.
-NAT_CALLS = """nc AS (SELECT l_partkey AS vid, s_nationkey AS sample, max(CASE WHEN l_returnflag = 'N' THEN 0 ELSE 1 END) AS a0, max(CASE WHEN l_linestatus = 'F' THEN 1 ELSE 0 END) AS a1,
-  CAST(max(l_quantity) AS INT) AS gq FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY l_partkey, s_nationkey)"""
+NAT_COLUMNS = """max(CASE WHEN l_returnflag = 'N' THEN 0 ELSE 1 END) AS a0, max(CASE WHEN l_linestatus = 'F' THEN 1 ELSE 0 END) AS a1,
+  CAST(max(l_quantity) AS INT) AS gq"""
+NAT_CALLS = f"""nc AS (SELECT l_partkey AS vid, s_nationkey AS sample, {NAT_COLUMNS} FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY l_partkey, s_nationkey)"""
 
 
 READS = "(SELECT 'pbsv' AS caller, 7 AS m, 9 AS n UNION ALL SELECT 'delly_2', 5, 4)"
@@ -153,8 +155,8 @@ e AS (SELECT vid, sample, a0, a1, 'no_caller' AS caller, gq FROM nc WHERE vid %
  UNION ALL SELECT vid, sample, a0, a1, caller, CASE WHEN r + a = 0 THEN 0 ELSE least(99, {LIKELY}) END FROM b WHERE vid % 4 > 1)"""
 
 
-def nat_calls(t):
-    n = t.sql(f"WITH {NAT_CALLS} SELECT * FROM nc")
+def nat_calls(t, n=None):
+    n = t.sql(f"WITH {NAT_CALLS} SELECT * FROM nc") if n is None else n
     ev = [F.format_string("pbsv_(%d_%d)", F.col("gq") % 7, F.col("vid") % 9), F.format_string("delly_2_(%d_%d)", F.col("gq") % 5, F.col("vid") % 4), F.lit("broken")]
     bev = F.when(F.col("vid") % 4 == 1, "kanpig").when(F.col("vid") % 4 > 1, "pbsv")
     return n.select("vid", "sample", F.array("a0", "a1").alias("gt"), "gq", F.array(*ev).alias("ev"), bev.alias("bev"))
@@ -176,14 +178,17 @@ EVAL_SITES = """SELECT s.vid AS id, s.chrom, s.pos, s.ref, s.alt, n.allele_type,
  FROM sites s JOIN annotated n ON n.vid = s.vid"""
 TRUTH_SITES = """SELECT vid AS id, chrom, pos, lower(ref) AS ref, alt, CASE WHEN allele_type LIKE '%_ins' THEN 'ins' ELSE allele_type END AS allele_type, allele_length,
  pos - 1 + CASE WHEN allele_type = 'del' THEN abs(allele_length) ELSE length(ref) END AS en FROM truth"""
-TRUTH_CALLS = """SELECT l_partkey AS id, s_nationkey AS sample, min(CASE WHEN l_returnflag = 'A' THEN 1 ELSE 0 END) AS a0, max(CASE WHEN l_linestatus = 'F' AND l_tax < 0.04 THEN 1 ELSE 0 END) AS a1
+TRUTH_COLUMNS = "min(CASE WHEN l_returnflag = 'A' THEN 1 ELSE 0 END) AS a0, max(CASE WHEN l_linestatus = 'F' AND l_tax < 0.04 THEN 1 ELSE 0 END) AS a1"
+TRUTH_CALLS = f"""SELECT l_partkey AS id, s_nationkey AS sample, {TRUTH_COLUMNS}
  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY l_partkey, s_nationkey"""
 
 
 def truth_inputs(t):
+    """Sites and calls of both sets. The calls, read several times, come from one join and one grouping, written once."""
     ends = lambda d: d.withColumnRenamed("en", "end")
-    tc = t.sql(TRUTH_CALLS).select("id", "sample", F.array("a0", "a1").alias("gt"))
-    return ends(t.sql(EVAL_SITES)), nat_calls(t).withColumnRenamed("vid", "id"), ends(t.sql(TRUTH_SITES)), tc
+    both = kept(t.sql(TRUTH_CALLS.replace("AS id", "AS vid").replace(TRUTH_COLUMNS, f"struct({NAT_COLUMNS}) AS nc, struct({TRUTH_COLUMNS}) AS tc")), "calls")
+    tc = both.select(F.col("vid").alias("id"), "sample", F.array("tc.a0", "tc.a1").alias("gt"))
+    return ends(t.sql(EVAL_SITES)), nat_calls(t, both.select("vid", "sample", "nc.*")).withColumnRenamed("vid", "id"), ends(t.sql(TRUTH_SITES)), tc
 
 
 def truth_pairs(exact: str, fuzzy: str) -> str:
