@@ -75,3 +75,24 @@ def test_depth_profile_deals_blocks_not_bases(spark):
     assert dict(got.dtypes)["pos"] == "int"
     exchanges = [x for x in got._jdf.queryExecution().executedPlan().toString().splitlines() if "hashpartitioning" in x]
     assert exchanges and not any("pos#" in x.split("hashpartitioning")[1] for x in exchanges)
+
+
+def test_correlations_meet_blocks_once_and_lay_both_ways_together(spark, monkeypatch, tmp_path):
+    """Rows of both orders equal numpy's, whatever the shares of the chunks, and a column file holds each value once (before, 8 bytes a row)."""
+    rng = np.random.default_rng(2)
+    x = rng.poisson(30, (300, 24))
+    rows = [(i, "chr1", j, int(x[i, j])) for i in range(300) for j in range(24) if (i + j) % 9] + [(None, "chr1", 3, 4), (7, "chr1", 30, None)]
+    d = spark.createDataFrame(rows, "sample int, chrom string, bin int, depth int")
+    v = np.where((np.arange(300)[:, None] + np.arange(24)) % 9, x, 0)
+    want = np.corrcoef(np.hstack([v, np.zeros((300, 1))]))
+    monkeypatch.setattr(depth, "BLOCK", 30)
+    for chunk, shares in ((1024, 64), (5, 64), (5, 200)):  # one chunk; chunks in one task; chunks in several
+        monkeypatch.setattr(depth, "CHUNK", chunk)
+        monkeypatch.setattr(depth, "SHARES", shares)
+        out = depth.sample_correlations(d)
+        got = {(r.sample_a, r.sample_b): r.r for r in out.collect()}
+        assert len(got) == 301 ** 2 and got[None, None] == 1 and got[None, 5] == got[5, None] == 0
+        assert all(abs(got[i, j] - want[i, j]) < 1e-9 for i in range(300) for j in range(300))
+        if shares == 64 and chunk == 1024:
+            out.withColumn("r", F.round("r", 6)).coalesce(1).write.parquet(str(tmp_path / "r"))
+            assert sum(f.stat().st_size for f in (tmp_path / "r").glob("*.parquet")) < 6.5 * 301 ** 2
