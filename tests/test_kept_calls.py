@@ -88,3 +88,17 @@ def test_carriers_may_be_given(spark):
     calls = spark.createDataFrame([("a", s, [0, 1]) for s in (1, 2, 2)] + [("b", s, [0, 1]) for s in (1, 3, 4, 5)] + [("b", 9, [0, 0])], "id string, sample int, gt array<int>")
     clusters = spark.createDataFrame([("a", "a"), ("b", "a")], "id string, kept_id string")
     assert rows(co.alike_carriers(clusters, calls)) == rows(co.alike_carriers(clusters, co.carriers(calls))) == [("a", "a"), ("b", "b")]
+
+
+def test_kept_calls_lie_by_site(spark, folder):
+    """Joins of kept calls with sites send the sites only; before, the calls were sent for every use."""
+    k = Tables(spark, folder).keep_calls("genotypes", "genotypes2")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        joined = k.genotypes.join(k.sites.select("vid", "id"), "vid")
+        assert joined._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+        assert joined.count() == k.genotypes.count() > 100
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert not spark.catalog.listTables("default") or all(not x.name.startswith("calls_") for x in spark.catalog.listTables("default"))

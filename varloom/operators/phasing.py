@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ..functions import genotype as g
 from ..session import cut_lineage, kept
-from .intervals import beaten_by_overlap
 from .positions import number_rows, point_in_interval, prefixed, running
 from .transfer import lookup
 
@@ -222,9 +227,48 @@ def haplotype_overlaps(calls: DataFrame) -> DataFrame:
 
 
 def cleared_calls(calls: DataFrame) -> DataFrame:
-    """(id, sample) losing to some overlapping call, found without building pairs."""
-    h = cut_lineage(haplotype_calls(calls))
-    return beaten_by_overlap(h, F.col("prio"), by=("chrom", "sample", "haplotype")).filter("beaten").select("id", "sample").distinct()
+    """(id, sample) losing to some overlapping call, found without building pairs.
+
+    Calls are sent once, to where their haplotype is, and swept there by start. Longer calls rank higher, so a later call that outranks an open one also ends
+    behind it and takes its place: the open calls are a stack of falling ranks, emptied where all have ended. A call of no length loses to what covers
+    either base beside its place and outranks none.
+    """
+    by = ["chrom", "sample", "haplotype"]
+    h = haplotype_calls(calls).filter("chrom IS NOT NULL AND sample IS NOT NULL AND start IS NOT NULL AND end IS NOT NULL")
+    point = F.col("start") >= F.col("end")
+    h = h.select(*by, "id", "prio", point.alias("point"), (F.col("start") - point.cast("int")).cast("bigint").alias("start"), (F.col("end") + point.cast("int")).cast("bigint").alias("end"))
+    h = h.repartition(*by).withColumn("rank", F.dense_rank().over(W.partitionBy(*by).orderBy("prio"))).drop("prio").sortWithinPartitions(*by, "start")
+    kind = {x: h.schema[x].dataType for x in ("id", "sample")}
+
+    def swept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, stack = None, []  # of each open call: rank, end, id, last end of those up to it, and of those that outrank it
+        for b in batches:
+            new = np.zeros(b.num_rows, bool)
+            for x in by:
+                new[1:] |= pc.not_equal(b[x].slice(1), b[x].slice(0, b.num_rows - 1)).to_numpy(zero_copy_only=False)
+            new[0] = [b[x][0].as_py() for x in by] != group
+            group = [b[x][-1].as_py() for x in by]
+            lost, of = [], []
+            for i, (fresh, start, end, rank, at, vid) in enumerate(zip(new.tolist(), *(b[x].to_pylist() for x in ("start", "end", "rank", "point", "id")))):
+                if fresh:
+                    stack = []
+                while stack and stack[-1][0] < rank and not at:
+                    _, until, whose, _, _ = stack.pop()
+                    if until > start:
+                        lost.append(whose)
+                        of.append(i)
+                if stack and stack[-1][3] <= start and not at:
+                    stack = []
+                last = stack[-1][3] if stack else start
+                above = stack[-1][4] if stack and stack[-1][0] <= rank and not at else last
+                if above > start:
+                    lost.append(vid)
+                    of.append(i)
+                stack.append((rank, end, vid, last if at else max(last, end), above))
+            yield pa.RecordBatch.from_arrays([pa.array(lost, types["id"]), b["sample"].take(pa.array(of, pa.int64()))], names=["id", "sample"])
+
+    types = {x: to_arrow_type(t) for x, t in kind.items()}
+    return h.mapInArrow(swept, ", ".join(f"{x} {t.simpleString()}" for x, t in kind.items())).distinct()
 
 
 def clear_calls(calls: DataFrame, cleared: DataFrame, vid="id") -> DataFrame:
