@@ -102,3 +102,36 @@ def test_kept_calls_lie_by_site(spark, folder):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert not spark.catalog.listTables("default") or all(not x.name.startswith("calls_") for x in spark.catalog.listTables("default"))
+
+
+CALL = "id string, sample int, chrom string, pos int, start int, end int, ref string, alts array<string>, gt array<int>, dp int, svtype string, svlen int, len int, kind string, seq string"
+
+
+def evidence_input(spark):
+    row = lambda i, s, alt, gt, ref="A": (i, s, "c", 5, 5, 6, ref, [alt], gt, 9, "INS", 60, 60, "INS", alt)
+    long, other = "A" + "CG" * 30, "A" + "TA" * 30
+    v = spark.createDataFrame([row("a", 1, long, [0, 1]), row("a", 2, long, [1, 1]), row("b", 1, other, [0, 1]), row("b", 3, other, [0, 0]), row("n", 1, None, [0, 1])], CALL)
+    again = spark.createDataFrame([("a", 1, "c", 5, "a", [other], [1, 1], [1, 1], 2), ("a", 1, "c", 5, "a", [long.lower()], [0, 1], [7, 8], 15), ("a", 1, "c", 5, "A", [long], [0, 0], [9, 9], 18), ("b", 3, "c", 5, "A", [other], [0, 0], [4, 0], 4), ("n", 1, "c", 5, "A", None, [0, 1], [1, 1], 2)],
+                                  "id string, sample int, chrom string, pos int, ref string, alts array<string>, gt array<int>, ad array<int>, dp int")
+    call = lambda s, who, alt, order, gt, r, a: (s, who, "c", 5, "INS", 60, "A", [alt], gt, {"DR": r, "DV": a}, order, 60, "INS", alt)
+    raw = spark.createDataFrame([call(1, "cutesv", long, 4, [1, 1], "1", "2"), call(1, "cutesv", long, 2, [0, 1], "3", "4"), call(1, "sniffles", long, 9, [1, 1], "5", "6"), call(2, "cutesv", other, 1, [0, 1], "1", "1"),
+                                 call(3, "cutesv", other, 3, [0, 1], "1", "1"), call(1, "sniffles", None, 5, [0, 1], "1", "1")],
+                                "sample int, caller string, chrom string, start int, svtype string, svlen int, ref string, alts array<string>, gt array<int>, fields map<string, string>, file_order long, len int, kind string, seq string")
+    return v, again, raw
+
+
+def test_evidence_by_alleles_content_and_sample(spark):
+    got = {(r.id, r["sample"]): (r.gt, r.ad, r.ev, r.bev, r["count_match_site_kp"], r["count_match_gt_nonkp"]) for r in ev.raw_caller_evidence(*evidence_input(spark)).collect()}
+    assert got == {("a", 1): ([0, 1], [7, 8], ["cutesv_(3_4)", "kanpig_(7_8)"], "kanpig", 1, 1), ("a", 2): ([1, 1], None, None, None, 0, 0), ("b", 1): ([0, 1], None, None, None, 0, 0), ("b", 3): ([0, 0], [4, 0], None, None, 0, 0),
+                   ("n", 1): ([0, 1], None, None, None, 0, 0)}
+
+
+def test_evidence_sends_calls_once(spark):
+    """Raw calls go once, to the content and sample they are asked for, and every row meets its evidence by id and sample: before, 15 shuffles."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        out = ev.raw_caller_evidence(*evidence_input(spark))
+        assert out._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 7
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

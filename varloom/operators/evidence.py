@@ -127,17 +127,22 @@ def allowed_callers(variants: DataFrame, stats: DataFrame, window: int | None =
 def best_matches(variants: DataFrame, calls: DataFrame, window: int, reciprocal: float, seq_sim: float, size_sim: float) -> DataFrame:
     """(id, sample, matches): each caller's most similar call of the sample, by the mean of sequence, size and overlap similarity (ties: the first).
 
-    Both sides carry the columns of ``SEQ``. Contents are paired once, whatever number of samples carries them; a list holds one entry a caller.
+    Both sides carry the columns of ``SEQ``. Contents are paired once, whatever number of samples carries them; a list holds one entry a caller. Calls are sent
+    once, by the signature of their content and the sample, and what matches once more, by id and sample.
     """
     q, r = contents(variants, SEQ), contents(calls, SEQ, "file_order")
     p = near_pairs(q, r, window, ("chrom", "kind"), size_sim=size_sim).withColumn("_s", sequence_score("seq", "b_seq", seq_sim)).filter("_s IS NOT NULL")
     shared = F.greatest(F.lit(0), F.least(F.col("start") + F.col("len"), F.col("b_start") + F.col("b_len")) - F.greatest("start", "b_start")) / F.greatest("len", "b_len")
     p = p.withColumn("_o", shared).filter(F.col("_o") >= reciprocal - 1e-9)
-    p = cut_lineage(p.select(F.col("id").alias("qid"), F.col("b_file_order").alias("rid"), ((F.col("_s") + size_similarity("len", "b_len") + F.col("_o")) / 3).alias("score"), "b_start"))
-    own = calls.select("sample", "caller", "file_order", F.struct("caller", g.n_alt("gt").alias("n"), g.is_carrier("gt").alias("called"), reads().alias("read")).alias("m"), *signature(SEQ))
-    own = own.join(r.select(F.col("file_order").alias("rid"), *signature(SEQ)), SIGNED).drop(*SIGNED)
-    v = variants.select("id", "sample", *signature(SEQ)).join(q.select(F.col("id").alias("qid"), *signature(SEQ)), SIGNED).drop(*SIGNED)
-    best = v.join(p, "qid").join(own, ["rid", "sample"]).groupBy("id", "sample", "caller").agg(F.min_by("m", F.struct(-F.col("score"), "b_start", "file_order")).alias("m"))
+    theirs = [x if x in ("chrom", "kind") else f"b_{x}" for x in SEQ]
+    asked = [f"_q{x}" for x in SIGNED]
+    p = cut_lineage(p.select(*[x.alias(n) for x, n in zip(signature(SEQ), asked)], *signature(theirs), ((F.col("_s") + size_similarity("len", "b_len") + F.col("_o")) / 3).alias("score"), "b_start"))
+    own = calls.select("sample", "caller", "file_order", g.n_alt("gt").alias("n"), g.is_carrier("gt").alias("called"), reads().alias("read"), *signature(SEQ))
+    own = own.select("sample", "caller", "file_order", "n", "called", "read.ad", "read.sizes", *SIGNED)
+    v = variants.select("id", "sample", *[x.alias(n) for x, n in zip(signature(SEQ), asked)]).join(p, asked).drop(*asked)
+    m = F.struct("caller", "n", "called", F.struct("ad", "sizes").alias("read"))
+    found = v.join(own, [*SIGNED, "sample"]).drop(*SIGNED).repartition("id", "sample")
+    best = found.groupBy("id", "sample", "caller").agg(F.min_by(m, F.struct(-F.col("score"), "b_start", "file_order")).alias("m"))
     return best.groupBy("id", "sample").agg(F.array_sort(F.collect_list("m")).alias("matches"))
 
 
@@ -152,10 +157,13 @@ def raw_caller_evidence(variants: DataFrame, regenotyped: DataFrame, calls: Data
     carried takes the re-genotyper's reference call, or is cleared if that is missing or carried.
     """
     up = lambda d: d.withColumns({"_ref": F.upper("ref"), "_alts": F.transform("alts", lambda a: F.upper(a))})
-    key = ["id", "sample", *SIGNED]
-    signed = lambda d, *cols: up(d).select("id", "sample", *cols, *signature(["chrom", "pos", "_ref", "_alts"]))
-    again = signed(regenotyped, "gt", "ad", "dp").groupBy(*key).agg(F.max(F.struct("gt", "ad", "dp")).alias("_k"))
-    x = signed(variants, "gt", "dp", "svlen", F.size("alts").alias("_n_alts")).join(again, key, "left").drop(*SIGNED)
+    spelled = F.when(F.forall(F.array(*[F.col(n).isNotNull() for n in ("chrom", "pos", "_ref", "_alts")]), lambda b: b), F.xxhash64("chrom", "pos", "_ref", "_alts"))
+    signed = lambda d, *cols: up(d).select("id", "sample", *cols, spelled.alias("_sig"))
+    # A call's rows of the re-genotyper meet it by id and sample, as all else does, and are told apart by their alleles there (64 bits of a hash).
+    again = signed(regenotyped, "gt", "ad", "dp").filter("_sig IS NOT NULL").repartition("id", "sample").groupBy("id", "sample", "_sig").agg(F.max(F.struct("gt", "ad", "dp")).alias("k"))
+    again = again.groupBy("id", "sample").agg(F.collect_list(F.struct("_sig", "k")).alias("_ks"))
+    x = signed(variants, "gt", "dp", "svlen", F.size("alts").alias("_n_alts")).join(again, ["id", "sample"], "left")
+    x = x.withColumn("_k", F.get(F.filter("_ks", lambda k: k["_sig"] == F.col("_sig")), F.lit(0))["k"]).drop("_ks", "_sig")
     x = x.join(best_matches(variants.filter(g.is_carrier("gt")), calls, window, reciprocal, seq_sim, size_sim), ["id", "sample"], "left")
     if stats is not None:
         x = x.join(allowed_callers(variants.select("id", "sample", "chrom", "svtype", "start", "end", "svlen"), stats, list_window), ["id", "sample"], "left")
