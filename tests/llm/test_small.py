@@ -419,3 +419,19 @@ def test_top_k_ships_only_blocks_that_can_serve(monkeypatch, spark):
         want += [(q, r + 1, c, -s) for r, (s, c) in enumerate(best)]
     same([tuple(r) for r in got], want)
     assert pairs and pairs[0][1] * 3 <= pairs[0][0]
+
+
+def test_toxicity_learns_in_full_from_several_parts(spark, monkeypatch):
+    """All rounds are made however many parts there are (before, half of them), and all texts of a repeated id are learnt from (before, one)."""
+    passes = []
+    over = toxicity._over_parts
+    monkeypatch.setattr(toxicity, "_over_parts", lambda *a: passes.append(1) or over(*a))
+    monkeypatch.setattr(toxicity, "PART_BYTES", 4000)
+    d = spark.range(600).select((F.col("id") % 300).alias("doc_id"), F.concat_ws(" ", F.lit("some words of row"), F.when(F.col("id") % 2 == 0, F.lit("vile")), (F.col("id") % 450).cast("string")).alias("text"))
+    d = d.unionByName(d.limit(50)).unionByName(spark.createDataFrame([(None, "vile"), (4, None), (4, None)], "doc_id bigint, text string"))
+    lab = spark.range(250).select(F.col("id").alias("doc_id"), (F.col("id") % 2 == 0).cast("int").alias("toxic"))
+    rows = toxicity.learnt(d, lab, None)
+    want = d.join(lab, "doc_id").filter(language.fold() != 2).select("doc_id", F.coalesce("text", F.lit(""))).distinct().count()
+    assert rows.count() == want > lab.filter(language.fold() != 2).count() and rows.rdd.getNumPartitions() > 1
+    toxicity.fit(d, lab, epochs=4)
+    assert len(passes) == 1 + 4
