@@ -221,3 +221,21 @@ def test_only_the_strand_follows_an_origin(spark, origin, kept):
 
     d = spark.createDataFrame([("dup", 100, 105, origin)], "allele_type string, allele_length int, pos int, origin string")
     assert (rows.transform_allele_type(d).first().allele_type == "dup") == kept
+
+
+def test_str_aggregate_counts_all_reports(spark):
+    """Both sets' motif classes, matrix, similarity, distance and length differences; before, categories by one set's motif only."""
+    conc = [("EXACT", 1.0, 0, 0, 3, 25, 1, 1), ("SIMILAR", 0.95, 4, -4, 6, 7, 2, 1), ("SIMILAR", 0.959, 4, 4, 6, 20, 2, 1), ("DIVERGENT", 0.29, 30, 12, 21, 6, 0, 2)]
+    d = spark.createDataFrame(conc, "category string, similarity double, edit_distance int, length_diff int, motif_a int, motif_b int, nonref_a int, nonref_b int")
+    got = {(r.measure, r.motif_set, r.motif_size, r.category, r.value, r.value_b): (r.n, r["mean"]) for r in rp.str_aggregate(d).collect()}
+    size = lambda m: "1-6" if m <= 6 else "7-20" if m <= 20 else "21+"
+    want, diffs = {}, {}
+    for cat, sim, dist, diff, ma, mb, na, nb in conc:
+        cells = [("nonref", None, "All", None, na, nb), ("similarity", None, "All", cat, {1.0: 99, 0.95: 95, 0.959: 95, 0.29: 29}[sim], None), ("edit_distance", None, "All", cat, dist, None)]
+        for group in ((None, "All"), ("a", size(ma)), ("b", size(mb))):
+            cells += [("category", *group, cat, None, None), ("length_diff", *group, None, diff, None), ("length_sign", *group, None, (diff > 0) - (diff < 0), None)]
+            diffs.setdefault(("length_mean", *group, None, None, None), []).append(diff)
+        for c in cells:
+            want[c] = (want.get(c, (0,))[0] + 1, None)
+    want |= {k: (len(v), sum(v) / len(v)) for k, v in diffs.items()}
+    assert got == want and sum(n for (m, *_), (n, _) in got.items() if m == "category") == 12
