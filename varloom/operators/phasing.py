@@ -231,12 +231,14 @@ def cleared_calls(calls: DataFrame) -> DataFrame:
 
     Calls are sent once, to where their haplotype is, and swept there by start. Longer calls rank higher, so a later call that outranks an open one also ends
     behind it and takes its place: the open calls are a stack of falling ranks, emptied where all have ended. A call of no length loses to what covers
-    either base beside its place and outranks none.
+    either base beside its place, one of unknown length to what covers its place; neither outranks any.
     """
     by = ["chrom", "sample", "haplotype"]
-    h = haplotype_calls(calls).filter("chrom IS NOT NULL AND sample IS NOT NULL AND start IS NOT NULL AND end IS NOT NULL")
-    point = F.col("start") >= F.col("end")
-    h = h.select(*by, "id", "prio", point.alias("point"), (F.col("start") - point.cast("int")).cast("bigint").alias("start"), (F.col("end") + point.cast("int")).cast("bigint").alias("end"))
+    h = haplotype_calls(calls).filter("chrom IS NOT NULL AND sample IS NOT NULL AND start IS NOT NULL")
+    empty = F.coalesce(F.col("start") >= F.col("end"), F.lit(False))
+    point = empty | F.col("end").isNull()
+    h = h.select(*by, "id", "prio", point.alias("point"), (F.col("start") - empty.cast("int")).cast("bigint").alias("start"),
+                 F.coalesce(F.col("end") + empty.cast("int"), F.col("start") + 1).cast("bigint").alias("end"))
     h = h.repartition(*by).withColumn("rank", F.dense_rank().over(W.partitionBy(*by).orderBy("prio"))).drop("prio").sortWithinPartitions(*by, "start")
     kind = {x: h.schema[x].dataType for x in ("id", "sample")}
 
